@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.exact_dedup import exact_dedup
+from tidemark.llm.minhash import near_dedup
 from tidemark.llm.mixing import mix
 from tidemark.llm.sharding import shard
 
@@ -84,3 +85,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Law `bytes`: groups of equal texts, best-fit-decreasing into 16 shards of near equal bytes."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return shard(docs, SHARDS).select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op9_minhash_near_dedup")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return near_dedup(docs, shingle_words=2, percent=80)
