@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.decontaminate import contamination
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.minhash import near_dedup
 from tidemark.llm.mixing import mix
 from tidemark.llm.sharding import shard
+from tidemark.llm.warc import warc_round_trip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -91,3 +93,15 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return near_dedup(docs, shingle_words=2, percent=80)
+
+
+@query("op2_decontaminate")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contaminated (document, item) pairs; clean documents have no row."""
+    return contamination(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@query("op5_warc")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc_round_trip(spark, spark.read.parquet(f"{sf_dir}/pages.parquet"), least_bytes=0)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
