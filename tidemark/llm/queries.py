@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.decontaminate import contamination
 from tidemark.llm.exact_dedup import exact_dedup
+from tidemark.llm.linededup import repeated_units
 from tidemark.llm.minhash import near_dedup
 from tidemark.llm.mixing import mix
 from tidemark.llm.sharding import shard
@@ -105,3 +106,28 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = warc_round_trip(spark, spark.read.parquet(f"{sf_dir}/pages.parquet"), least_bytes=0)
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query(
+    "op10_repeated_units",
+    r"""
+    WITH cut AS (
+        SELECT doc_id, regexp_extract_all(text, '[^.!?\n]*[.!?\n]+|[^.!?\n]+') AS parts FROM documents),
+    one AS (
+        SELECT doc_id, unnest(range(len(parts)))::INTEGER AS unit, unnest(parts) AS part FROM cut),
+    placed AS (
+        SELECT doc_id, unit, part,
+               coalesce(sum(length(part)) OVER (PARTITION BY doc_id ORDER BY unit ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start,
+               regexp_extract_all(lower(part), '[^\x20\x09-\x0D]+') AS tokens FROM one),
+    long AS (
+        SELECT doc_id, unit, start, (start + length(part))::BIGINT AS "end", len(tokens)::INTEGER AS words,
+               array_to_string(tokens, ' ') AS norm FROM placed WHERE len(tokens) >= 5),
+    ranked AS (
+        SELECT *, first_value(doc_id) OVER w AS kept_in, first_value(unit) OVER w AS kept_unit
+        FROM long WINDOW w AS (PARTITION BY norm ORDER BY doc_id, unit))
+    SELECT doc_id, unit, start, "end", words, kept_in, kept_unit
+    FROM ranked WHERE doc_id <> kept_in OR unit <> kept_unit
+    """,
+)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_units(spark.read.parquet(f"{sf_dir}/documents.parquet"))
