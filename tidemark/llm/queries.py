@@ -12,7 +12,9 @@ from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.linededup import repeated_units
 from tidemark.llm.minhash import near_dedup
 from tidemark.llm.mixing import mix
+from tidemark.llm.quality import fit_quality, scored
 from tidemark.llm.sharding import shard
+from tidemark.llm.toxicity import fit_toxicity
 from tidemark.llm.warc import warc_round_trip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -131,3 +133,15 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_units(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+@query("op3_quality")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    return scored(docs, fit_quality(docs, labels), 0.5)
+
+
+@query("op7_toxicity")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    return scored(docs, fit_toxicity(docs, labels), 0.7)
