@@ -12,6 +12,7 @@ from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.linededup import repeated_units
 from tidemark.llm.minhash import near_dedup
 from tidemark.llm.mixing import mix
+from tidemark.llm.pii import find_pii
 from tidemark.llm.quality import fit_quality, scored
 from tidemark.llm.sharding import shard
 from tidemark.llm.toxicity import fit_toxicity
@@ -145,3 +146,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
     return scored(docs, fit_toxicity(docs, labels), 0.7)
+
+
+@query("op6_pii")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_pii(spark.read.parquet(f"{sf_dir}/documents.parquet"))
