@@ -225,3 +225,18 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", train
         return ToxicityModel(keys, weights, bias)
     finally:
         sample.unpersist()
+
+
+def _below(model, threshold: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = model.value.scores(batch.column(batch.num_columns - 1)) < threshold
+            yield pa.RecordBatch.from_arrays(batch.columns[:-1], names=batch.schema.names[:-1]).filter(pa.array(keep))
+
+    return run
+
+
+def toxic_free(docs: DataFrame, model: ToxicityModel, threshold: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` scored below ``threshold``, with all their columns."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    return docs.select("*", F.coalesce(F.col(text_col), F.lit("")).alias("__scored")).mapInArrow(_below(sent, threshold), docs.schema)
