@@ -361,7 +361,7 @@ PIVOTS = """,
         QUALIFY count(*) OVER x = 11 AND min(low) OVER x = low AND min(low) OVER (PARTITION BY instrument_id ORDER BY date ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING) > low)"""
 STATES = """,
     steps AS (SELECT *, sign(price - lag(price) OVER (PARTITION BY instrument_id, kind ORDER BY "row")) AS s FROM piv),
-    asof AS (
+    latest AS (
         SELECT r.instrument_id, r.date, r.close, r."row",
                (SELECT arg_max(coalesce(s, 0), p."row") FROM steps p WHERE p.instrument_id = r.instrument_id AND p.kind = 'high' AND p.known_row <= r."row") AS hs,
                (SELECT arg_max(coalesce(s, 0), p."row") FROM steps p WHERE p.instrument_id = r.instrument_id AND p.kind = 'low' AND p.known_row <= r."row") AS ls,
@@ -370,7 +370,7 @@ STATES = """,
                (SELECT arg_max(price, p."row") FROM steps p WHERE p.instrument_id = r.instrument_id AND p.kind = 'low' AND p.known_row <= r."row") AS lp,
                (SELECT max(p."row") FROM steps p WHERE p.instrument_id = r.instrument_id AND p.kind = 'low' AND p.known_row <= r."row") AS lr
         FROM rows r),
-    stated AS (SELECT *, CASE WHEN hs = 1 AND ls = 1 THEN 'up' WHEN hs = -1 AND ls = -1 THEN 'down' ELSE 'neutral' END AS state FROM asof)"""
+    stated AS (SELECT *, CASE WHEN hs = 1 AND ls = 1 THEN 'up' WHEN hs = -1 AND ls = -1 THEN 'down' ELSE 'neutral' END AS state FROM latest)"""
 
 
 @query("w25_pivots", REGION + PIVOTS + ' SELECT instrument_id, date, "row", kind, round(price, 6) AS price, known_row FROM piv')
