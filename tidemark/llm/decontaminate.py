@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.wordhash import shingle_hashes, word_hashes
+from tidemark.llm.wordhash import pieces, shingle_hashes, word_hashes
 
 MATCH, MISMATCH, GAP = 2, -1, 1
 
@@ -129,7 +129,7 @@ def _counted(seeds) -> callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: Seeds = seeds.value
         df = np.zeros(len(found.keys), np.int64)
-        for batch in batches:
+        for batch in pieces(batches):
             words, starts, _ = word_hashes(batch.column(0), ascii_words_only=True)
             for a, b in pairwise(starts):
                 df[np.unique(found.hits(words[a:b])[:, 1])] += 1
@@ -153,7 +153,7 @@ def _ready(docs: DataFrame, benchmark: DataFrame, text_col: str, item_col: str,
 def _matched(seeds, least: float) -> callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: Seeds = seeds.value
-        for batch in batches:
+        for batch in pieces(batches):
             words, starts, _ = word_hashes(batch.column(1), ascii_words_only=True)
             out = [(i, found.ids[m], len(found.words[m]), *rest) for i, (a, b) in enumerate(pairwise(starts)) for m, *rest in found.matches(words[a:b], least)]
             cols = list(zip(*out, strict=True)) if out else [()] * 6
@@ -178,7 +178,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 def _clean(seeds, least: float) -> callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: Seeds = seeds.value
-        for batch in batches:
+        for batch in pieces(batches):
             words, starts, _ = word_hashes(batch.column(batch.num_columns - 1), ascii_words_only=True)
             keep = [not found.matches(words[a:b], least) for a, b in pairwise(starts)]
             yield pa.RecordBatch.from_arrays(batch.columns[:-1], names=batch.schema.names[:-1]).filter(pa.array(keep, pa.bool_()))

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.labels import held_out, training_sample
-from tidemark.llm.wordhash import buffers, word_hashes
+from tidemark.llm.wordhash import buffers, pieces, word_hashes
 
 #: Byte classes whose shares are statistics.
 CLASSES = ("space", "break", "lower", "upper", "digit", "stop", "comma", "shout", "bar", "mark", "high", "other")
@@ -105,7 +105,7 @@ class QualityModel:
 
 def _moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     n, total, square = 0, 0.0, 0.0
-    for batch in batches:
+    for batch in pieces(batches):
         s = statistics(batch.column(0))
         n, total, square = n + len(s), total + s.sum(axis=0), square + (s**2).sum(axis=0)
     if n:
@@ -116,7 +116,7 @@ def _normal_equations(model: QualityModel):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         d = len(model.phase) + 1
         gram, moment = np.zeros((d, d)), np.zeros(d)
-        for batch in batches:
+        for batch in pieces(batches, 0):
             x, y = model.features(batch.column(0)), batch.column(1).to_numpy()
             gram += x.T @ x
             moment += x.T @ y
@@ -127,7 +127,7 @@ def _normal_equations(model: QualityModel):
 
 def _raw(model: QualityModel, weights: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, 0):
             yield pa.RecordBatch.from_arrays([pa.array(model.features(batch.column(0)) @ weights), batch.column(1)], names=["raw", "y"])
 
     return run
@@ -171,7 +171,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", trai
 
 def _scored(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(model.value.scores(batch.column(2)), pa.float64())], names=["id", "held_out", "score"])
 
     return run

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.labels import training_sample
-from tidemark.llm.wordhash import buffers, byte_values, mix64, powers, word_hashes
+from tidemark.llm.wordhash import buffers, byte_values, mix64, pieces, powers, word_hashes
 
 #: Group names that may stand for one another in a sentence.
 IDENTITY_TERMS = (
@@ -112,7 +112,7 @@ class ToxicityModel:
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents of either label that have each feature, summed by batch."""
-    for batch in batches:
+    for batch in pieces(batches, 0):
         table, first = word_features(batch.column(0))
         y = batch.column(1).to_numpy()
         found = [np.unique(table[a:b]) for a, b in pairwise(first)]
@@ -129,7 +129,7 @@ def _vectors(model: ToxicityModel):
     """Each text's row and, where it names a group, its twin's."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, 0):
             texts = batch.column(0).to_pylist()
             twins = {i: t for i, x in enumerate(texts) if (t := counterfactual(x)) is not None}
             both = pa.array(texts + list(twins.values()), pa.string())
@@ -229,7 +229,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", train
 
 def _below(model, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             keep = model.value.scores(batch.column(batch.num_columns - 1)) < threshold
             yield pa.RecordBatch.from_arrays(batch.columns[:-1], names=batch.schema.names[:-1]).filter(pa.array(keep))
 

@@ -8,6 +8,7 @@ memory follows the words of one batch and not the square of anything.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -46,6 +47,20 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
 
 
+def pieces(batches: Iterator[pa.RecordBatch], column: int = -1, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in slices of about ``limit`` bytes of one text column, so that tables of its words stay small."""
+    for batch in batches:
+        texts = batch.column(column % batch.num_columns)
+        _, offsets = buffers(texts)
+        at = 0
+        while at < batch.num_rows:
+            to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, side="right")) - 1)
+            yield batch.slice(at, to - at)
+            at = to
+        if not batch.num_rows:
+            yield batch
+
+
 def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string array and the offsets of its texts; nulls are empty."""
     if isinstance(texts, pa.ChunkedArray):
