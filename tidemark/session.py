@@ -41,6 +41,11 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
 
 
+def modest_batches(spark: SparkSession, limit: str = "4m") -> None:
+    """From now on rows go to Python in Arrow batches of about ``limit``: whole texts can be long, and each task holds several batches."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", limit)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read back: lineage ends there."""
     spark = df.sparkSession
