@@ -110,7 +110,7 @@ def corrected(comparisons: DataFrame, partition: Sequence[str], horizon: str = "
     raw = named.withColumns({"n_tests": F.count(F.lit(1)).over(everyone), "__raw": F.col("p_value") * m / F.row_number().over(ordered)})
     # Equal p-values end up equal: the running minimum from the largest covers ties.
     rising = Window.partitionBy(*keys, F.col("p_value").isNull()).orderBy("p_value").rangeBetween(Window.currentRow, Window.unboundedFollowing)
-    return raw.withColumn("p_value_fdr", F.least(F.lit(1.0), F.min("__raw").over(rising))).drop("__raw", "__family")
+    return raw.withColumn("p_value_fdr", F.when(F.col("p_value").isNotNull(), F.least(F.lit(1.0), F.min("__raw").over(rising)))).drop("__raw", "__family")
 
 
 def verdict(metric: Column, p: str = "p_value_fdr") -> Column:

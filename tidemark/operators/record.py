@@ -88,7 +88,7 @@ def history_documents(prices: DataFrame, n: int = 1460) -> DataFrame:
     """instrument_id, document: the last n days as JSON of parallel arrays."""
     day = F.struct("date", *(number(F.col(c), 4).alias(c) for c in ("open", "high", "low", "close", "volume")))
     packed = last_n(prices, n).groupBy("instrument_id").agg(F.array_sort(F.collect_list(day)).alias("d"))
-    return packed.select("instrument_id", F.to_json(F.struct(*(F.transform("d", lambda x, c=c: x[c]).alias(c) for c in ("date", "open", "high", "low", "close", "volume")))).alias("document"))
+    return packed.select("instrument_id", F.to_json(F.struct(*(F.col(f"d.{c}").alias(c) for c in ("date", "open", "high", "low", "close", "volume")))).alias("document"))
 
 
 def instrument_documents(universe: DataFrame, prices: DataFrame, forecasts: DataFrame, outcomes: DataFrame, n: int = 250) -> DataFrame:

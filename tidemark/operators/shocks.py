@@ -133,11 +133,11 @@ def calm_windows(keys: DataFrame, flags: DataFrame, market: DataFrame, horizons:
     """instrument_id, date, horizon, calm of ``keys``: no signal of the instrument or the market on the h rows after; null while open."""
     joined = flags.select("instrument_id", "date", F.coalesce("flag", F.lit(False)).alias("own")).join(market.select("date", F.col("market_flag").alias("wide")), "date", "left")
     rows = joined.withColumn("loud", (F.col("own") | F.coalesce("wide", F.lit(False))).cast("int"))
-    calm = []
     for h in horizons:
         ahead = by_instrument().rowsBetween(1, h)
-        calm.append(F.struct(F.lit(h).alias("horizon"), F.when(F.count("loud").over(ahead) == h, F.sum("loud").over(ahead) == 0).alias("calm")))
-    long = rows.select("instrument_id", "date", F.explode(F.array(*calm)).alias("c")).select("instrument_id", "date", "c.*")
+        rows = rows.withColumn(f"calm_{h}", F.when(F.count("loud").over(ahead) == h, F.sum("loud").over(ahead) == 0))
+    calm = F.array(*[F.struct(F.lit(h).alias("horizon"), F.col(f"calm_{h}").alias("calm")) for h in horizons])
+    long = rows.select("instrument_id", "date", F.explode(calm).alias("c")).select("instrument_id", "date", "c.*")
     return keys.select("instrument_id", "date", "horizon").join(long, ["instrument_id", "date", "horizon"], "left")
 
 

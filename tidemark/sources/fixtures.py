@@ -146,3 +146,98 @@ def prelude(*parts: str) -> str:
         "sessions": "\n    sessions AS (SELECT date, row_number() OVER (ORDER BY date) AS idx FROM (SELECT DISTINCT date FROM panel_region))",
     }
     return "WITH RECURSIVE" + ",".join(text[p] for p in parts)
+
+
+def thinned(panel: DataFrame, every: int = 97) -> DataFrame:
+    """The panel without every 97th bar of an instrument, so that some targets have no price."""
+    n = F.row_number().over(Window.partitionBy("instrument_id").orderBy("date"))
+    return panel.withColumn("__n", n).where(F.col("__n") % every != 0).drop("__n")
+
+
+def forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A forecast package for every region, day and horizon, from past returns alone."""
+    over = Window.partitionBy("instrument_id").orderBy("date")
+    back = lambda n: over.rowsBetween(1 - n, 0)
+    bars = panel(spark, sf_dir)
+    rows = bars.select("instrument_id", F.col("date").alias("session"), "date", "close", F.row_number().over(over).alias("n"), (F.ln("close") - F.lag(F.ln("close")).over(over)).alias("ret"))
+    up = (F.col("ret") > 0).cast("int")
+    rows = rows.withColumns(
+        {
+            "vol_20": F.when(F.count("ret").over(back(20)) == 20, F.stddev_samp("ret").over(back(20)) * F.sqrt(F.lit(252.0))),
+            "up_20": F.when(F.count("ret").over(back(20)) == 20, F.avg(up).over(back(20))),
+            "mean_60": F.when(F.count("ret").over(back(60)) >= 20, F.avg("ret").over(back(60))),
+            "rate": F.avg(up).over(over.rowsBetween(Window.unboundedPreceding, 0)),
+        }
+    )
+    days = sessions(bars)
+    at = days.select(F.col("date").alias("session"), "idx")
+    target = days.select(F.col("idx").alias("__to"), F.col("date").alias("target_session"))
+    rows = rows.where("n >= 21").withColumn("horizon", F.explode(F.array(*map(F.lit, HORIZONS)))).join(at, "session")
+    rows = rows.withColumn("__to", F.col("idx") + F.col("horizon")).join(target, "__to", "left")
+    clip = lambda x: F.round(F.least(F.greatest(x, F.lit(0.01)), F.lit(0.99)), 6)
+    scale = F.greatest(F.sqrt(F.col("horizon") / F.lit(252.0)) * F.col("vol_20"), F.lit(1e-4))
+    rows = rows.withColumns({"expected_return": F.col("mean_60") * F.col("horizon"), "scale": scale})
+    return rows.select(
+        F.concat_ws("|", "instrument_id", F.col("session").cast("string"), F.col("horizon").cast("string")).alias("forecast_id"),
+        "instrument_id",
+        "session",
+        "horizon",
+        "target_session",
+        "close",
+        "expected_return",
+        "scale",
+        "vol_20",
+        clip(0.5 + 0.6 * (F.col("up_20") - 0.5)).alias("prob_up"),
+        clip(F.col("rate")).alias("baseline_prob"),
+        (F.col("expected_return") - 1.645 * F.col("scale")).alias("band_low"),
+        (F.col("expected_return") + 1.645 * F.col("scale")).alias("band_high"),
+        F.when(F.col("n") % 7 != 0, F.element_at(F.array(F.lit("calm"), F.lit("normal"), F.lit("stressed")), (F.col("n") % 3 + 1).cast("int"))).alias("regime"),
+        (F.col("n") % 50 == 0).alias("withheld"),
+        F.when(F.col("n") % 11 == 0, "failed").otherwise("ok").alias("shock_status"),
+        F.when(F.col("n") % 13 == 0, "move").otherwise("").alias("shock_signals"),
+        F.when(F.col("idx") % 17 == 0, "vix").otherwise("").alias("shock_market"),
+        (F.col("session").cast("timestamp") + F.expr("INTERVAL 22 HOURS")).alias("made_at"),
+    )
+
+
+#: The same in DuckDB, after the CTEs region and sessions: forecasts, thin_tr (total return of the thinned panel), outcomes.
+FORECASTS = """,
+    fbase AS (
+        SELECT instrument_id, date AS session, close, row_number() OVER w AS n, ln(close) - lag(ln(close)) OVER w AS ret
+        FROM panel_region WINDOW w AS (PARTITION BY instrument_id ORDER BY date)),
+    fstat AS (
+        SELECT *, CASE WHEN count(ret) OVER a = 20 THEN stddev_samp(ret) OVER a * sqrt(252.0) END AS vol_20,
+               CASE WHEN count(ret) OVER a = 20 THEN avg((ret > 0)::INT) OVER a END AS up_20,
+               CASE WHEN count(ret) OVER b >= 20 THEN avg(ret) OVER b END AS mean_60, avg((ret > 0)::INT) OVER c AS rate
+        FROM fbase WINDOW a AS (PARTITION BY instrument_id ORDER BY session ROWS 19 PRECEDING),
+            b AS (PARTITION BY instrument_id ORDER BY session ROWS 59 PRECEDING), c AS (PARTITION BY instrument_id ORDER BY session ROWS UNBOUNDED PRECEDING)),
+    fh AS (SELECT *, unnest([1, 5, 20, 60, 120]) AS horizon FROM fstat WHERE n >= 21),
+    forecasts AS MATERIALIZED (
+        SELECT instrument_id || '|' || session || '|' || horizon AS forecast_id, instrument_id, session, horizon, t.date AS target_session, close,
+               mean_60 * horizon AS expected_return, greatest(sqrt(horizon / 252.0) * vol_20, 1e-4) AS scale, vol_20,
+               round(least(greatest(0.5 + 0.6 * (up_20 - 0.5), 0.01), 0.99), 6) AS prob_up, round(least(greatest(rate, 0.01), 0.99), 6) AS baseline_prob,
+               mean_60 * horizon - 1.645 * greatest(sqrt(horizon / 252.0) * vol_20, 1e-4) AS band_low,
+               mean_60 * horizon + 1.645 * greatest(sqrt(horizon / 252.0) * vol_20, 1e-4) AS band_high,
+               CASE WHEN n % 7 <> 0 THEN ['calm', 'normal', 'stressed'][n % 3 + 1] END AS regime, n % 50 = 0 AS withheld,
+               CASE WHEN n % 11 = 0 THEN 'failed' ELSE 'ok' END AS shock_status, CASE WHEN n % 13 = 0 THEN 'move' ELSE '' END AS shock_signals,
+               CASE WHEN s.idx % 17 = 0 THEN 'vix' ELSE '' END AS shock_market, session + INTERVAL 22 HOUR AS made_at
+        FROM fh JOIN sessions s ON s.date = session LEFT JOIN sessions t ON t.idx = s.idx + horizon)"""
+OUTCOMES = (
+    FORECASTS
+    + """,
+    thin AS (SELECT * FROM panel_region QUALIFY row_number() OVER (PARTITION BY instrument_id ORDER BY date) % 97 <> 0),
+    thin_tr AS MATERIALIZED (
+        SELECT *, exp(sum(ln(g)) OVER (PARTITION BY instrument_id ORDER BY date ROWS UNBOUNDED PRECEDING)) AS tr FROM (
+            SELECT p.*, coalesce((p.close + coalesce(a.dividend, 0)) / lag(p.close) OVER (PARTITION BY p.instrument_id ORDER BY p.date), 1.0) AS g
+            FROM thin p LEFT JOIN actions_region a USING (instrument_id, date))),
+    ended AS (
+        SELECT f.*, s.tr AS start_tr, e.tr AS end_tr, e.date AS end_date
+        FROM forecasts f JOIN thin_tr s ON s.instrument_id = f.instrument_id AND s.date = f.session
+        ASOF JOIN thin_tr e ON e.instrument_id = f.instrument_id AND f.target_session >= e.date
+        WHERE f.target_session IS NOT NULL),
+    outcomes AS MATERIALIZED (
+        SELECT * EXCLUDE (start_tr, end_tr, end_date), y AS actual_return, ((prob_up > 0.5) = (y > 0))::INT::DOUBLE AS hit, ((baseline_prob > 0.5) = (y > 0))::INT::DOUBLE AS baseline_hit,
+               power(prob_up - (y > 0)::INT, 2) AS brier, power(baseline_prob - (y > 0)::INT, 2) AS baseline_brier,
+               (band_low <= y AND y <= band_high)::INT::DOUBLE AS covered, CASE WHEN end_date = target_session THEN 'normal' ELSE 'delisted_or_halted' END AS resolution_type
+        FROM (SELECT *, ln(end_tr / start_tr) AS y FROM ended WHERE end_date > session))"""
+)
