@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.wordhash import pieces, shingle_hashes, word_hashes
+from tidemark.session import modest_batches
 
 MATCH, MISMATCH, GAP = 2, -1, 1
 
@@ -141,6 +142,7 @@ def _counted(seeds) -> callable:
 
 def _ready(docs: DataFrame, benchmark: DataFrame, text_col: str, item_col: str, item_text_col: str, seed_words: int, block_bytes: int) -> Iterator:
     """Each block with its rare seeds chosen, as a broadcast variable."""
+    modest_batches(docs.sparkSession)
     sc = docs.sparkSession.sparkContext
     lowered = docs.select(F.lower(F.col(text_col)).alias("text"))
     for found in blocks(benchmark, item_col, item_text_col, seed_words, block_bytes):

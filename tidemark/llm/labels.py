@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import modest_batches
+
 
 def held_out(id_col: Column) -> Column:
     """True for the third whose label no model may see; a null id is not held out."""
@@ -17,6 +19,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int,
     Only ids and labels are joined to the texts, and there are about ``bound``
     of them, so they are broadcast.
     """
+    modest_batches(docs.sparkSession)
     known = labels.where(F.col(label).isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col))).groupBy(F.col(id_col).alias("id")).agg(F.max(label).cast("double").alias("y"))
     share = min(1.0, bound / max(1, known.count()))
     grains = 1 << 30

@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import modest_batches
+
 UNIT = re.compile(r"[^.!?\n]*[.!?\n]+|[^.!?\n]+")
 
 
@@ -56,6 +58,7 @@ def _cut(least_words: int):
 
 def repeated_units(docs: DataFrame, rank_col: str = "doc_id", text_col: str = "text", least_words: int = 5) -> DataFrame:
     """Every removed span: rank column, unit, start, end, words, kept_in, kept_unit."""
+    modest_batches(docs.sparkSession)
     rows = docs.select(F.col(rank_col).cast("long").alias("rank"), F.col(text_col).alias("text"))
     cut = rows.mapInArrow(_cut(least_words), "rank long, unit int, start long, end long, words int, digest binary")
     at = F.struct("rank", "unit")

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import stored
+from tidemark.session import modest_batches, stored
 
 BASE = ("email", "ip", "card", "phone")
 MORE = ("email_spelled", "ip6", "iban", "phone_local")
@@ -273,6 +273,7 @@ def _decide(model):
 
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_spans: int = 20_000, threshold: float = 0.5) -> DataFrame:
     """Each row's id, count of each base kind, base_sha256 and all spans as kind:start:end."""
+    modest_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
     candidates = stored(rows.mapInArrow(_propose, CANDIDATES), "pii-candidates")
     model = fit_pii(candidates, train_spans, threshold=threshold)

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.labels import held_out, training_sample
 from tidemark.llm.wordhash import buffers, pieces, word_hashes
+from tidemark.session import modest_batches
 
 #: Byte classes whose shares are statistics.
 CLASSES = ("space", "break", "lower", "upper", "digit", "stop", "comma", "shout", "bar", "mark", "high", "other")
@@ -179,6 +180,7 @@ def _scored(model):
 
 def scored(docs: DataFrame, model, threshold: float, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Each row's id, held_out, score and predicted by a fitted model (this one or another with ``scores``)."""
+    modest_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), held_out(F.col(id_col)).alias("held_out"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     found = rows.mapInArrow(_scored(sent), "id long, held_out boolean, score double")

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.labels import training_sample
 from tidemark.llm.wordhash import buffers, byte_values, mix64, pieces, powers, word_hashes
+from tidemark.session import modest_batches
 
 #: Group names that may stand for one another in a sentence.
 IDENTITY_TERMS = (
@@ -238,5 +239,6 @@ def _below(model, threshold: float):
 
 def toxic_free(docs: DataFrame, model: ToxicityModel, threshold: float, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` scored below ``threshold``, with all their columns."""
+    modest_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     return docs.select("*", F.coalesce(F.col(text_col), F.lit("")).alias("__scored")).mapInArrow(_below(sent, threshold), docs.schema)

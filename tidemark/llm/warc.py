@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import scratch, stored
+from tidemark.session import modest_batches, scratch, stored
 
 DICTIONARY_MAGIC, FRAME_MAGIC = 0x184D2A5D, 0xFD2FB528
 VERSION, BREAK = b"WARC/1.1", b"\r\n"
@@ -233,6 +233,7 @@ def _writer(folder: str, archive_bytes: int, date: str):
 
 def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least_bytes: int = 0, archive_bytes: int = 8 << 20, date: str = "2024-01-01T00:00:00Z") -> DataFrame:
     """Write all rows as records under ``folder``; return the archives of finished attempts: name, records."""
+    modest_batches(pages.sparkSession)
     html = F.coalesce(F.col(html_col), F.lit(""))
     rows = pages.select(F.col(id_col).cast("long").alias("page"), F.col(url_col).alias("url"), html.alias("html"), F.unhex(F.sha2(html, 256)).alias("same"))
     holders = rows.where(F.octet_length("html") >= least_bytes).groupBy("same").agg(F.max("page").alias("keep"), F.count(F.lit(1)).alias("copies")).where("copies > 1").select("same", "keep")
