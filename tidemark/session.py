@@ -50,7 +50,8 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read back: lineage ends there."""
     spark = df.sparkSession
     path = scratch(spark, label)
-    df.write.parquet(path)
+    # This codec works on heap buffers; others keep a direct one for each file they touch until the next full collection.
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
