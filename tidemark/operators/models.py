@@ -181,7 +181,7 @@ def fit_network(train: DataFrame, features: Sequence[str], target: str, hidden:
         parts = [middle, mean, std, np.array([shift, spread]), *(p.ravel() for p in w), *c]
         return pd.DataFrame({"part": range(len(parts)), "values": [p.astype(float).tolist() for p in parts]})
 
-    fitted = sample.groupBy(F.lit(0)).applyInPandas(lambda g: fit(g), "part int, values array<double>")
+    fitted = sample.groupBy(F.lit(0).alias("all")).applyInPandas(fit, "part int, values array<double>")
     parts = [np.array(r["values"]) for r in fitted.orderBy("part").collect()]
     sizes = [len(features), *hidden, 1]
     shapes = list(zip(sizes, sizes[1:], strict=False))
