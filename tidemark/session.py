@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,6 +56,12 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sweep(spark: SparkSession) -> None:
+    """Let the driver notice that finished steps' shuffles are referenced no more, so that executors delete their files now."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def discard(df_or_path: DataFrame | str, spark: SparkSession) -> None:
     """Delete a scratch table that nothing reads any more."""
     paths = [df_or_path] if isinstance(df_or_path, str) else df_or_path.inputFiles()
