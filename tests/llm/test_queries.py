@@ -48,3 +48,19 @@ def test_pipeline(spark):
     assert [n for n, *_ in seen] == ["toxicity", "near_dedup", "decontaminate", "mix", "shard"]
     assert all(b < a for n, a, b in seen if n in ("toxicity", "near_dedup"))
     assert sorted(r["slot"] for r in before.where("shard = 0").select("slot").collect()) == list(range(before.where("shard = 0").count()))
+
+
+def test_stages_take_awkward_rows_and_clashing_columns(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(1, None, "en", "a", 0), (2, "", "en", None, 0), (3, "six words of text in here", "en", "a", 9), (3, "six words of text in here", "en", "a", 9), (None, "no id but words", None, "b", None), (5, "w " * 30_000, "en", "b", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").withColumns({"size": F.lit("s"), "shard": F.lit("t"), "n": F.lit(1), "id": F.lit("u"), "taken": F.lit(2), "words": F.lit(3)})
+    for table, least in ((docs, 3), (docs.where("false"), 0)):
+        for name, stage in corpus_pipeline.STAGES:
+            table_after = stage(spark, table, SF)
+            assert table_after.count() >= least
+            if name != "shard":
+                assert table_after.columns == docs.columns
+            else:
+                assert sorted(set(table_after.columns)) == sorted(table_after.columns) and "slot" in table_after.columns
+            table = table_after
