@@ -40,19 +40,26 @@ def leave_out_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """What an operator reads, and the whole row beside it, so that no column of either clashes."""
+    return docs.select("doc_id", "text", "source", F.struct(*docs.columns).alias("__row"))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it: its repetitions, a part of one counting as one.
 
     A document of no words counts for none, but the mix has no reason to reject it: it stays once.
     """
-    taken = mix(docs, MIX_WEIGHTS, MIX_EPOCHS, MIX_SEED, keep=docs.columns)
+    taken = mix(packed(docs), MIX_WEIGHTS, MIX_EPOCHS, MIX_SEED, keep=["__row"])
     copies = F.when(F.col("size") == 0, F.lit(1)).otherwise(F.ceil(F.col("taken") / F.col("size"))).cast("int")
-    return taken.withColumn("copy", F.explode(F.array_repeat(F.lit(0), copies))).select(*docs.columns)
+    return taken.withColumn("copy", F.explode(F.array_repeat(F.lit(0), copies))).select("__row.*")
 
 
 def into_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their shard, best-fit-decreasing by bytes, and their slot in it."""
-    return shard(docs, SHARDS, keep=docs.columns)
+    found = shard(packed(docs), SHARDS, keep=["__row"])
+    made = [c for c in found.columns if c != "__row"]
+    return found.select(*(F.col(f"__row.{c}") for c in docs.columns if c not in made), *made)
 
 
 STAGES = [
