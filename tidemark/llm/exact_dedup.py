@@ -75,8 +75,8 @@ def exact_dedup(spark: SparkSession, path: str, id_col: str = "doc_id", text_col
     table = spark.read.parquet(path).select(id_col, text_col, "_metadata")
     rows = _located(table, id_col, text_col, digest)
 
-    # Full bytes are compared for digests that were hit more than once.
-    hits = rows.join(state.where("group_size > 1"), "digest")
+    # Full bytes are compared for digests that were hit more than once. These rows are kept aside, so that all texts are shuffled once only.
+    hits = stored(rows.join(state.where("group_size > 1"), "digest").select("digest", "text", "at", "keep"), "dedup-hits")
     holders = hits.where(F.col("at") == F.col("keep")).select("digest", F.col("text").alias("held"))
     collided = stored(hits.join(holders, "digest").where(F.col("text") != F.col("held")).select("digest").distinct(), "dedup-collisions")
 
