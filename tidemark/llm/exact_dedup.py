@@ -23,7 +23,11 @@ from pyspark.sql import functions as F
 
 from tidemark.session import scratch, stored
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Disk-backed state. Each partition would otherwise set 4 MB of disk aside for a log of a few kilobytes.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def sha256(text: Column) -> Column:
@@ -56,9 +60,9 @@ def digest_state(spark: SparkSession, path: str, id_col: str = "doc_id", text_co
     schema = spark.read.parquet(path).select(id_col, text_col).schema
     source = spark.readStream.schema(schema).option("maxBytesPerTrigger", str(bytes_per_trigger)).parquet(_watched(spark, path))
     seen = _located(source, id_col, text_col, digest).groupBy("digest").agg(F.max("at").alias("keep"), F.count(F.lit(1)).alias("group_size"))
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(provider, None)
-    spark.conf.set(provider, ROCKSDB)
+    before = {key: spark.conf.get(key, None) for key in STATE_STORE}
+    for key, value in STATE_STORE.items():
+        spark.conf.set(key, value)
     try:
         run = seen.writeStream.outputMode("update").format("noop").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
         run.awaitTermination()
@@ -66,7 +70,8 @@ def digest_state(spark: SparkSession, path: str, id_col: str = "doc_id", text_co
         _, value = (state.schema[k].dataType for k in ("key", "value"))
         return state.select("key.digest", F.col(f"value.`{value[0].name}`").alias("keep"), F.col(f"value.`{value[1].name}`").alias("group_size"))
     finally:
-        spark.conf.set(provider, before) if before else spark.conf.unset(provider)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def exact_dedup(spark: SparkSession, path: str, id_col: str = "doc_id", text_col: str = "text", digest: Callable[[Column], Column] = sha256, checkpoint: str | None = None, bytes_per_trigger: int = 256 << 30) -> DataFrame:
