@@ -83,7 +83,8 @@ def exact_dedup(spark: SparkSession, path: str, id_col: str = "doc_id", text_col
     # Full bytes are compared for digests that were hit more than once. These rows are kept aside, so that all texts are shuffled once only.
     hits = stored(rows.join(state.where("group_size > 1"), "digest").select("digest", "text", "at", "keep"), "dedup-hits")
     holders = hits.where(F.col("at") == F.col("keep")).select("digest", F.col("text").alias("held"))
-    collided = stored(hits.join(holders, "digest").where(F.col("text") != F.col("held")).select("digest").distinct(), "dedup-collisions")
+    # Made distinct only once written: an aggregate right above the join would forbid Spark to split a hot digest's rows.
+    collided = stored(hits.join(holders, "digest").where(F.col("text") != F.col("held")).select("digest"), "dedup-collisions").distinct()
 
     sha = F.sha2("text", 256).alias("text_sha256")
     found = rows.select("digest", "at", sha).join(state, "digest")
