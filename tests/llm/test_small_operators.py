@@ -104,6 +104,18 @@ def test_decontaminate_finds_edited_copies(spark):
     assert {(r.doc_id, r.item_id) for r in blocks.collect()} == set(got)
 
 
+@pytest.mark.parametrize("beside", [False, True])
+def test_decontaminate_finds_a_copy_that_lost_most_of_its_seeds(spark, beside):
+    """Substitutions break 15 of 21 5-grams; an exact copy beside it makes those the rarer ones, its absence makes them count 0."""
+    words = ITEM.split()
+    edited = ["changed" if i % 7 == 3 else w for i, w in enumerate(words)]
+    rows = [(1, "some words before " + " ".join(edited) + " some words after", "s")] + [(2, ITEM, "s")] * beside
+    bench = spark.createDataFrame([(10, ITEM)], "item_id long, text string")
+    got = {r.doc_id: r.score for r in decontaminate.contamination(docs(spark, rows), bench).collect()}
+    assert set(got) == ({1, 2} if beside else {1}) and 0.7 < got[1] < 0.8
+    assert decontaminate.decontaminated(docs(spark, rows), bench).count() == 0
+
+
 def test_alignment_equals_the_textbook_one():
     import numpy as np
 

@@ -1,15 +1,15 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
-Words are lower-cased runs of letters and digits. A first pass counts in how
-many documents each n-gram of the test items occurs; each item keeps the rarer
-half of its n-grams as seeds, so an item has seeds however often it was copied
-and its stock phrases are not among them. A second pass looks the seeds up in
-every whole text and aligns each item with the words around its seeds by
-Smith-Waterman (match 2, mismatch -1, gap -1). The score is the alignment's
-over that of an identical copy: substituting a third of the words leaves 0.5.
+Words are lower-cased runs of letters and digits. Every n-gram of a test item is
+a seed, however common, so any text that shares one with an item is a candidate
+for it. One pass looks the seeds up in every whole text and aligns each item
+with the words around its seeds by Smith-Waterman (match 2, mismatch -1, gap
+-1), except where too few of the item's words occur there at all to reach the
+score. The score is the alignment's over that of an identical copy:
+substituting a third of the words leaves 0.5.
 
 Test items come in blocks of at most ``block_bytes`` of text; what is broadcast
-and counted follows that bound and not the benchmark. Texts are never shuffled.
+follows that bound and not the benchmark. Texts are never shuffled.
 
 Defined results: null or empty texts match nothing; items of fewer words than a
 seed match nothing; repeated rows match each for itself; several equal items
@@ -56,23 +56,10 @@ class Seeds:
         self.gram = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
         self.item = np.repeat(np.arange(len(ids)), [len(g) for g in grams])
         self.place = np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.zeros(0, np.int64)
-        self._sort()
-
-    def _sort(self) -> None:
         order = np.lexsort((self.place, self.item, self.gram))
         self.gram, self.item, self.place = self.gram[order], self.item[order], self.place[order]
         self.keys, self.first = np.unique(self.gram, return_index=True)
 
-    def rarer_half(self, df: dict[int, int]) -> None:
-        """Keep the rarer half of each item's n-grams."""
-        count = np.array([df.get(int(g), 0) for g in self.gram.view(np.int64)], np.int64)
-        order = np.lexsort((self.gram, count, self.item))
-        size = np.bincount(self.item, minlength=len(self.ids))
-        rank = np.arange(len(order)) - np.repeat(np.concatenate(([0], np.cumsum(size)[:-1])), size)
-        keep = order[rank < (size[self.item[order]] + 1) // 2]
-        self.gram, self.item, self.place = self.gram[keep], self.item[keep], self.place[keep]
-        self._sort()
-
     def hits(self, words: np.ndarray) -> np.ndarray:
         """(place in the text, index of the key) of every key that occurs."""
         grams = shingle_hashes(words, self.n)
@@ -84,13 +71,16 @@ class Seeds:
 
     def matches(self, words: np.ndarray, least: float) -> list[tuple[int, float, int, int]]:
         """(item index, score, first word, word after the last) of the best alignment of each item that reaches ``least``."""
-        ends = np.append(self.first[1:], len(self.gram))
+        found = self.hits(words)
+        low, high = self.first[found[:, 1]], np.append(self.first[1:], len(self.gram))[found[:, 1]]
+        # Each hit once for each (item, place) of its key.
+        k = np.arange((high - low).sum()) + np.repeat(low - np.cumsum(high - low) + high - low, high - low)
+        starts = np.unique(np.stack([self.item[k], np.repeat(found[:, 0], high - low) - self.place[k]], axis=1), axis=0)
         spans: dict[int, list[tuple[int, int]]] = {}
-        for place, key in self.hits(words).tolist():
-            for k in range(self.first[key], ends[key]):
-                item, size = int(self.item[k]), len(self.words[self.item[k]])
-                pad = max(8, size // 2)
-                spans.setdefault(item, []).append((max(0, place - int(self.place[k]) - pad), place - int(self.place[k]) + size + pad))
+        for item, start in starts.tolist():
+            size = len(self.words[item])
+            pad = max(8, size // 2)
+            spans.setdefault(item, []).append((max(0, start - pad), start + size + pad))
         out = []
         for item, windows in spans.items():
             target, merged = self.words[item], []
@@ -99,6 +89,10 @@ class Seeds:
                     merged[-1][1] = max(merged[-1][1], high)
                 else:
                     merged.append([low, high])
+            # No alignment scores more than a match for each of the item's words that occur.
+            merged = [(a, b) for a, b in merged if np.isin(target, words[a:b]).sum() >= least * len(target)]
+            if not merged:
+                continue
             score, low, end = max((*align(target, words[a:b])[:1], a, b) for a, b in merged)
             if score >= least * MATCH * len(target):
                 _, stop = align(target, words[low:end])
@@ -126,30 +120,11 @@ def blocks(benchmark: DataFrame, item_col: str, text_col: str, seed_words: int,
         yield block()
 
 
-def _counted(seeds) -> callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: Seeds = seeds.value
-        df = np.zeros(len(found.keys), np.int64)
-        for batch in pieces(batches):
-            words, starts, _ = word_hashes(batch.column(0), ascii_words_only=True)
-            for a, b in pairwise(starts):
-                df[np.unique(found.hits(words[a:b])[:, 1])] += 1
-        some = df > 0
-        yield pa.RecordBatch.from_arrays([pa.array(found.keys[some].view(np.int64)), pa.array(df[some])], names=["gram", "df"])
-
-    return run
-
-
-def _ready(docs: DataFrame, benchmark: DataFrame, text_col: str, item_col: str, item_text_col: str, seed_words: int, block_bytes: int) -> Iterator:
-    """Each block with its rare seeds chosen, as a broadcast variable."""
+def _ready(docs: DataFrame, benchmark: DataFrame, item_col: str, item_text_col: str, seed_words: int, block_bytes: int) -> Iterator:
+    """Each block with its seeds, as a broadcast variable."""
     modest_batches(docs.sparkSession)
-    sc = docs.sparkSession.sparkContext
-    lowered = docs.select(F.lower(F.col(text_col)).alias("text"))
     for found in blocks(benchmark, item_col, item_text_col, seed_words, block_bytes):
-        every = sc.broadcast(found)
-        counts = lowered.mapInArrow(_counted(every), "gram long, df long").groupBy("gram").agg(F.sum("df").alias("df"))
-        found.rarer_half({r["gram"]: r["df"] for r in counts.collect()})  # at most one row for each n-gram of the block
-        yield sc.broadcast(found)
+        yield docs.sparkSession.sparkContext.broadcast(found)
 
 
 def _matched(seeds, least: float) -> callable:
@@ -169,7 +144,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """Each (document, item) whose best alignment reaches ``least``: id, item, item_words, score, start_word, end_word."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.lower(F.col(text_col)).alias("text"))
     found = None
-    for seeds in _ready(docs, benchmark, text_col, item_col, item_text_col, seed_words, block_bytes):
+    for seeds in _ready(docs, benchmark, item_col, item_text_col, seed_words, block_bytes):
         part = rows.mapInArrow(_matched(seeds, least), "doc long, item long, item_words long, score double, start_word long, end_word long")
         found = part if found is None else found.unionByName(part)
     if found is None:
@@ -191,7 +166,7 @@ def _clean(seeds, least: float) -> callable:
 def decontaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", seed_words: int = 5, least: float = 0.5, block_bytes: int = 8 << 20) -> DataFrame:
     """The rows of ``docs`` that match no item, with all their columns."""
     out = docs
-    for seeds in _ready(docs, benchmark, text_col, item_col, item_text_col, seed_words, block_bytes):
+    for seeds in _ready(docs, benchmark, item_col, item_text_col, seed_words, block_bytes):
         lowered = out.select("*", F.lower(F.col(text_col)).alias("__lowered"))
         out = lowered.mapInArrow(_clean(seeds, least), docs.schema)
     return out
