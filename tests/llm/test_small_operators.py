@@ -454,6 +454,40 @@ def test_near_dedup_links_leaves_through_their_centre(spark):
     assert got == near_by_hand(rows, 2, 80)
 
 
+def bucket_of(rng, low, size, linked):
+    """Texts that share one bucket by their lowest word ``low``; only the given pairs of members are similar."""
+    word = lambda: "".join(rng.choices("etaoinshr", k=12))
+    bodies = [[word() for _ in range(20)] for _ in range(size)]
+    for a, b in linked:
+        bodies[b] = [*bodies[a][:19], word()]
+    return [" ".join([low, *b]) for b in bodies]
+
+
+def lowest_words(rng, n):
+    """Words whose hashes come before practically every other word's."""
+    words = ["".join(rng.choices("etaoinshr", k=6)) for _ in range(60_000)]
+    return sorted(set(words), key=lambda w: int(minhash.shingle_set(minhash.word_hashes(pa.array([w]))[0], 1)[0]))[:n]
+
+
+def missed_links(spark, groups):
+    """Links not found among groups of (texts, linked pairs), each group one bucket, at random ids."""
+    ids = random.Random(12).sample(range(10**6), sum(len(texts) for texts, _ in groups))
+    rows, want = [], []
+    for texts, linked in groups:
+        own = [ids.pop() for _ in texts]
+        rows += zip(own, texts, ["s"] * len(own), strict=True)
+        want += [(own[a], own[b]) for a, b in linked]
+    found = {r.doc_id: r.component_id for r in minhash.near_dedup(docs(spark, rows), shingle_words=1, bands=1, rows=1).collect()}
+    assert len(set(found.values())) >= len(rows) - len(want)
+    return [(a, b) for a, b in want if found[a] != found[b]]
+
+
+def test_minhash_finds_links_in_a_large_bucket_whose_members_are_unlike_the_hubs(spark):
+    rng = random.Random(11)
+    pairs = [(k, k + 1) for k in range(0, 100, 2)]
+    assert missed_links(spark, [(bucket_of(rng, w, 100, pairs), pairs) for w in lowest_words(rng, 2)]) == []
+
+
 def test_near_dedup_awkward_and_empty(spark):
     got = minhash.near_dedup(awkward(spark), shingle_words=2).collect()
     assert len(got) == 8

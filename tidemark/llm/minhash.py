@@ -13,10 +13,12 @@
    whose set sizes alone rule the threshold out are not formed.
 4. Every pair is confirmed on the two full sets.
 5. Links merge components. Every bucket that still holds several gets a second
-   star, from the member with the most confirmed links, and goes on with two
-   more from other hubs (one in an order common to all buckets, one in the
-   bucket's own) as long as the last round has merged any of its members, and
-   small ones for some rounds in any case. Stars run between components only.
+   star, from the member with the most confirmed links.
+6. The members of all buckets that hold several components after that, whatever
+   their size, are joined exactly: two sets that reach the threshold share one
+   of the first hashes of each in any one order of all hashes (here from rare
+   to frequent), so a join on those, cut by sizes and places, has every pair of
+   different components that is a link. Nothing is left to the choice of hubs.
 
 With 40 bands of 5 rows a pair at similarity 0.8 shares no bucket with
 probability ``(1 - 0.8**5)**40``, about 1e-7.
@@ -42,8 +44,8 @@ from tidemark.llm.components import components
 from tidemark.llm.wordhash import mix64, pieces, shingle_set, word_hashes
 from tidemark.session import discard, modest_batches, stored, sweep
 
-#: Buckets of so many members get their stars in at least so many rounds, found or not; larger ones only while they are fruitful.
-SMALL_BUCKET, PATIENCE = 64, 6
+#: Frequencies are summed in 2**SLOT_BITS slots by the top bits of a hash. Any order is exact; hashes that share a slot only count as more frequent.
+SLOT_BITS = 20
 
 
 @lru_cache
@@ -137,20 +139,80 @@ def confirmed(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataF
     return with_both.select("hub", "member", "hub_text", "member_text").mapInArrow(_confirm(n, percent), "a long, b long")
 
 
-def _stars(members: DataFrame, orders: list[Column], percent: int, fruitful: Column | None = None) -> tuple[DataFrame, DataFrame]:
-    """One star for each order in every bucket that holds several components.
+def _stars(members: DataFrame, order: Column, percent: int) -> tuple[DataFrame, DataFrame]:
+    """A star in every bucket that holds several components.
 
-    ``members`` has bucket, id, n and comp. Returns the (bucket, id, n, was) rows of
-    those buckets, ``was`` the component, and the distinct (hub, member) pairs between
-    components that sizes allow. Buckets for which ``fruitful``, an aggregate, is
-    false are left out.
+    ``members`` has bucket, id, n and comp. Returns the (bucket, id, n) rows of those
+    buckets and the distinct (hub, member) pairs between components that sizes allow.
     """
-    hubs = F.array(*[F.min(F.struct(o.alias("o"), F.struct("id", "n", "comp").alias("hub"))).getField("hub") for o in orders])
-    open_buckets = members.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), (F.lit(True) if fruitful is None else fruitful).alias("fruitful"), hubs.alias("hubs")).where("low < high and fruitful").select("bucket", "hubs")
+    hub = F.min(F.struct(order.alias("o"), F.struct("id", "n", "comp").alias("hub"))).getField("hub")
+    open_buckets = members.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), hub.alias("h")).where("low < high").select("bucket", "h")
     mixed = stored(members.select("bucket", "id", "n", "comp").join(open_buckets, "bucket"), "mixed")
-    each = mixed.select("id", "n", "comp", F.explode("hubs").alias("h")).where(F.col("h.comp") != F.col("comp"))
     small, large = F.least("n", "h.n"), F.greatest("n", "h.n")
-    return mixed.select("bucket", "id", "n", F.col("comp").alias("was")), each.where(small * 100 >= large * percent).select(F.col("h.id").alias("hub"), F.col("id").alias("member")).distinct()
+    pairs = mixed.where((F.col("h.comp") != F.col("comp")) & (small * 100 >= large * percent))
+    return mixed.select("bucket", "id", "n"), pairs.select(F.col("h.id").alias("hub"), F.col("id").alias("member")).distinct()
+
+
+def _slots(n: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << SLOT_BITS, np.int64)
+        for batch in pieces(batches):
+            words, starts, _ = word_hashes(batch.column(0))
+            for lo, hi in zip(starts[:-1], starts[1:], strict=True):
+                slots, counts = np.unique(shingle_set(words[lo:hi], n) >> np.uint64(64 - SLOT_BITS), return_counts=True)
+                total[slots.astype(np.int64)] += counts
+        slots = np.flatnonzero(total)
+        for at in range(0, len(slots), 1 << 16):
+            part = slots[at : at + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(total[part])], names=["slot", "count"])
+
+    return run
+
+
+FIRSTS = T.StructType([T.StructField(c, T.LongType()) for c in ("id", "comp", "n", "place", "gram")])
+
+
+def _firsts(frequency, n: int, percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = frequency.value
+        for batch in pieces(batches):
+            words, starts, _ = word_hashes(batch.column(2))
+            sizes, grams = [], []
+            for lo, hi in zip(starts[:-1], starts[1:], strict=True):
+                s = shingle_set(words[lo:hi], n)
+                # A set of threshold similarity shares at least percent of this one's hashes.
+                first = len(s) and len(s) + (-percent * len(s)) // 100 + 1
+                order = np.lexsort((s, counts[(s >> np.uint64(64 - SLOT_BITS)).astype(np.int64)]))[:first]
+                sizes.append(len(s))
+                grams.append(s[order])
+            times = [len(g) for g in grams]
+            row = np.repeat(np.arange(batch.num_rows), times)
+            places = np.concatenate([np.arange(t) for t in times]) if times else row
+            flat = np.concatenate(grams).view(np.int64) if grams else row
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), batch.column(1).take(pa.array(row)), pa.array(np.array(sizes, np.int64)[row]), pa.array(places), pa.array(flat)], names=FIRSTS.names)
+
+    return run
+
+
+def exact_pairs(texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """(hub, member) pairs of (id, comp, text) rows in different components: every pair whose full sets reach the threshold is among them."""
+    spark = texts.sparkSession
+    summed = texts.select("text").mapInArrow(_slots(n), "slot long, count long").groupBy("slot").agg(F.sum("count").alias("count")).toArrow()
+    counts = np.zeros(1 << SLOT_BITS, np.int32)
+    counts[summed["slot"].to_numpy()] = np.minimum(summed["count"].to_numpy(), np.iinfo(np.int32).max)
+    firsts = stored(texts.select("id", "comp", "text").mapInArrow(_firsts(spark.sparkContext.broadcast(counts), n, percent), FIRSTS), "firsts")
+    # Pairs within a hash's largest component are never formed, so a large group costs its size times its strangers.
+    by_comp = firsts.groupBy("gram", "comp").agg(F.count(F.lit(1)).alias("c"))
+    top = by_comp.groupBy("gram").agg(F.max_by("comp", F.struct("c", "comp")).alias("top"), F.count(F.lit(1)).alias("comps")).where("comps > 1").select("gram", "top")
+    shared = stored(firsts.join(top, "gram"), "shared")
+    discard(firsts, spark)
+    x, y = shared.where("comp <> top").alias("x"), shared.alias("y")
+    c = lambda name: F.col(name)
+    between = (c("x.gram") == c("y.gram")) & (c("x.comp") != c("y.comp")) & ((c("y.comp") == c("y.top")) | (c("x.id") < c("y.id")))
+    sizes = F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent
+    # At the first hash that two sets share, what is left of each from there on bounds all that they share.
+    places = F.least(c("x.n") - c("x.place"), c("y.n") - c("y.place")) * (100 + percent) >= (c("x.n") + c("y.n")) * percent
+    return x.join(y, between & sizes & places).select(F.least("x.id", "y.id").alias("hub"), F.greatest("x.id", "y.id").alias("member")).distinct()
 
 
 def _merged(linked: DataFrame, found: DataFrame) -> DataFrame:
@@ -178,32 +240,25 @@ def near_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     banded = classes.select(F.col("rep").alias("id"), "n", F.col("rep").alias("comp"), F.explode("bands").alias("bucket"))
     # The first star follows one order of all ids, so that the bands of a group mostly agree on its hub.
     common = lambda k: F.xxhash64("id", F.lit(k))
-    by_bucket = lambda k: F.xxhash64("id", "bucket", F.lit(k))
-    mixed, pairs = _stars(banded, [common(0)], percent)
+    mixed, pairs = _stars(banded, common(0), percent)
     wanted = mixed.select("id").distinct()
     texts = stored(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(wanted, "id", "left_semi").dropDuplicates(["id", "text"]), "candidates")
     links = stored(confirmed(pairs, texts, shingle_words, percent), "confirmed")
     sweep(spark)
-    linked, turn = stored(components(links), "components"), 1
-    while True:
-        labelled = mixed.join(linked.withColumnRenamed("node", "id"), "id", "left").withColumn("comp", F.coalesce("component", "id"))
-        # A bucket of m members has seen all its pairs after m - 1 stars; 2 * turn - 1 have been run before this round.
-        members = F.count(F.lit(1))
-        patient = (members <= SMALL_BUCKET) & (members > 2 * turn) & F.lit(turn < PATIENCE)
-        orders, fruitful = [common(turn), by_bucket(turn)], F.bool_or(F.col("comp") != F.col("was")) | patient
-        if turn == 1:
-            degree = links.select("a").unionByName(links.select(F.col("b").alias("a"))).groupBy(F.col("a").alias("id")).agg(F.count(F.lit(1)).alias("degree"))
-            labelled = labelled.join(degree, "id", "left")
-            orders, fruitful = [F.struct(-F.coalesce("degree", F.lit(0)), common(turn))], None
-        before, (mixed, pairs) = mixed, _stars(labelled, orders, percent, fruitful)
-        discard(before, spark)
-        found = stored(confirmed(pairs, texts, shingle_words, percent), "confirmed")
-        sweep(spark)
-        if not found.isEmpty():
-            linked = _merged(linked, found)
-        elif turn >= PATIENCE:
-            break
-        turn += 1
+    linked = stored(components(links), "components")
+    placed = lambda rows: rows.join(linked.withColumnRenamed("node", "id"), "id", "left").withColumn("comp", F.coalesce("component", "id"))
+    degree = links.select("a").unionByName(links.select(F.col("b").alias("a"))).groupBy(F.col("a").alias("id")).agg(F.count(F.lit(1)).alias("degree"))
+    before, (mixed, pairs) = mixed, _stars(placed(mixed).join(degree, "id", "left"), F.struct(-F.coalesce("degree", F.lit(0)), common(1)), percent)
+    discard(before, spark)
+    linked = _merged(linked, stored(confirmed(pairs, texts, shingle_words, percent), "confirmed"))
+    sweep(spark)
+    # What two stars leave open is finished exactly.
+    in_open = placed(mixed).groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
+    left = stored(placed(texts.join(mixed.join(in_open, "bucket", "left_semi").select("id").distinct(), "id", "left_semi")).select("id", "comp", "text"), "open")
+    pairs = exact_pairs(left, shingle_words, percent)
+    linked = _merged(linked, stored(confirmed(pairs, left, shingle_words, percent), "confirmed"))
+    sweep(spark)
+    discard(left, spark)
     discard(texts, spark)
     discard(mixed, spark)
     return rows_with_rep, linked
