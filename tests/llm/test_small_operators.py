@@ -488,6 +488,13 @@ def test_minhash_finds_links_in_a_large_bucket_whose_members_are_unlike_the_hubs
     assert missed_links(spark, [(bucket_of(rng, w, 100, pairs), pairs) for w in lowest_words(rng, 2)]) == []
 
 
+@pytest.mark.parametrize("size", [3, 4])
+def test_minhash_finds_the_only_link_of_a_small_bucket_that_avoids_the_first_hub(spark, size):
+    rng = random.Random(13)
+    link = [(size - 2, size - 1)]
+    assert missed_links(spark, [(bucket_of(rng, w, size, link), link) for w in lowest_words(rng, 40)]) == []
+
+
 def test_near_dedup_awkward_and_empty(spark):
     got = minhash.near_dedup(awkward(spark), shingle_words=2).collect()
     assert len(got) == 8
