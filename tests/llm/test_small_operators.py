@@ -505,31 +505,66 @@ def test_near_dedup_awkward_and_empty(spark):
 # 10
 
 
-def test_repeated_units(spark):
-    rng = random.Random(13)
-    pool = [" ".join(rng.choices("un deux Trois quatre cinq six".split(), k=rng.randint(2, 7))) + rng.choice([".", "!", "?", "\n"]) for _ in range(30)]
-    rows = [(i, " ".join(rng.choices(pool, k=rng.randint(0, 12)))) for i in range(60)] + [(90, None)]
-    got = {(r.doc_id, r.unit, r.start, r.end, r.kept_in, r.kept_unit) for r in linededup.repeated_units(docs(spark, [(i, t, "s") for i, t in rows])).collect()}
+def units_by_hand(rows, least):
+    """(removed spans, texts that are left)."""
     first, want, cut = {}, set(), {}
-    for i, t in rows:
-        at, out = 0, []
-        for k, m in enumerate(re.findall(r"[^.!?\n]*[.!?\n]+|[^.!?\n]+", t or "")):
+    for i, t in sorted(rows):
+        at, number, seen = 0, 0, []
+        for m in re.findall(r"[^.!?\n]*[.!?\n]+|[^.!?\n]+", t or ""):
             words = m.lower().split()
-            key = " ".join(words)
-            if len(words) >= 5 and key in first:
-                want.add((i, k, at, at + len(m), *first[key]))
-            else:
-                out.append(m)
-                if len(words) >= 5:
-                    first[key] = (i, k)
+            if words:
+                holder = first.setdefault(" ".join(words), (i, number))
+                seen.append((number, at, at + len(m), len(words), None if holder == (i, number) else holder))
+                number += 1
             at += len(m)
+        runs, run = [], []
+        for u in [*seen, (0, 0, 0, 0, None)]:
+            if u[4] is not None:
+                run.append(u)
+            else:
+                runs.append(run)
+                run = []
+        gone = []
+        for run in runs:
+            if sum(u[3] for u in run) >= least:
+                want |= {(i, k, a, b, *kept) for k, a, b, _, kept in run}
+                gone += [(a, b) for _, a, b, _, _ in run]
+        out = list(t or "")
+        for a, b in gone:
+            out[a:b] = [""] * (b - a)
         cut[i] = "".join(out) if t is not None else None
-    assert got == want
+    return want, cut
+
+
+@pytest.mark.parametrize("least", [1, 8, 15])
+def test_repeated_units(spark, least):
+    rng = random.Random(13)
+    pool = [" ".join(rng.choices("un deux Trois quatre cinq six é".split(), k=rng.randint(1, 7))) + rng.choice([".", "!", "?", "\n", "...\n\n"]) for _ in range(40)]
+    rows = [(i, " ".join(rng.choices(pool, k=rng.randint(0, 12)))) for i in range(60)] + [(90, None), (91, " . \n ?")]
+    want, cut = units_by_hand(rows, least)
     table = docs(spark, [(i, t, "s") for i, t in rows])
-    assert {r.doc_id: r.text for r in linededup.dedup_units(table).collect()} == cut
+    got = {(r.doc_id, r.unit, r.start, r.end, r.kept_in, r.kept_unit) for r in linededup.repeated_units(table, least_words=least).collect()}
+    assert want and got == want
+    assert {r.doc_id: r.text for r in linededup.dedup_units(table, least_words=least).collect()} == cut
+
+
+def test_repeated_units_finds_a_passage_inside_a_line_and_leaves_short_lines(spark):
+    passage = "A shared passage begins here. It goes on for a while with words. Then it comes to its end, at last."
+    rows = [(1, f"Menu\nfirst text and {passage} and so on."), (2, f"Menu\nsecond, quite other, {passage} with more."), (3, "Menu\nclean text.")]
+    got = linededup.dedup_units(docs(spark, [(i, t, "s") for i, t in rows])).collect()
+    assert {r.doc_id: r.text for r in got} == {1: rows[0][1], 2: "Menu\nsecond, quite other, A shared passage begins here. with more.", 3: rows[2][1]}
+
+
+def test_repeated_units_of_repeated_and_equal_ranks(spark):
+    long = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen."
+    rows = [(1, long), (1, long), (1, "other words. " + long), (2, long), (2, long), (None, long), (None, None)]
+    got = Counter((r.doc_id, r.unit, r.kept_in, r.kept_unit) for r in linededup.repeated_units(docs(spark, [(i, t, "s") for i, t in rows])).collect())
+    assert got == {(1, 0, None, 0): 2, (1, 1, None, 0): 1, (2, 0, None, 0): 2}
 
 
 def test_repeated_units_awkward_and_empty(spark):
-    got = linededup.repeated_units(awkward(spark)).collect()
+    got = linededup.repeated_units(awkward(spark), least_words=1).collect()
     assert {(r.doc_id, r.kept_in) for r in got} == {(4, 3)}
+    assert linededup.repeated_units(awkward(spark)).collect() == []
+    assert {r.doc_id: r.text for r in linededup.dedup_units(awkward(spark), least_words=1).collect()} == {r.doc_id: "" if r.doc_id == 4 else r.text for r in awkward(spark).collect()}
     assert linededup.repeated_units(empty(spark)).collect() == []

@@ -115,21 +115,26 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     "op10_repeated_units",
     r"""
     WITH cut AS (
-        SELECT doc_id, regexp_extract_all(text, '[^.!?\n]*[.!?\n]+|[^.!?\n]+') AS parts FROM documents),
+        SELECT doc_id, md5(text) AS body, regexp_extract_all(text, '[^.!?\n]*[.!?\n]+|[^.!?\n]+') AS parts FROM documents),
     one AS (
-        SELECT doc_id, unnest(range(len(parts)))::INTEGER AS unit, unnest(parts) AS part FROM cut),
+        SELECT doc_id, body, unnest(range(len(parts))) AS place, unnest(parts) AS part FROM cut),
     placed AS (
-        SELECT doc_id, unit, part,
-               coalesce(sum(length(part)) OVER (PARTITION BY doc_id ORDER BY unit ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start,
+        SELECT doc_id, body, place, part,
+               coalesce(sum(length(part)) OVER (PARTITION BY doc_id, body ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start,
                regexp_extract_all(lower(part), '[^\x20\x09-\x0D]+') AS tokens FROM one),
-    long AS (
-        SELECT doc_id, unit, start, (start + length(part))::BIGINT AS "end", len(tokens)::INTEGER AS words,
-               array_to_string(tokens, ' ') AS norm FROM placed WHERE len(tokens) >= 5),
+    worded AS (
+        SELECT doc_id, body, (row_number() OVER (PARTITION BY doc_id, body ORDER BY place) - 1)::INTEGER AS unit,
+               start, (start + length(part))::BIGINT AS "end", len(tokens)::INTEGER AS words,
+               array_to_string(tokens, ' ') AS norm FROM placed WHERE len(tokens) > 0),
     ranked AS (
         SELECT *, first_value(doc_id) OVER w AS kept_in, first_value(unit) OVER w AS kept_unit
-        FROM long WINDOW w AS (PARTITION BY norm ORDER BY doc_id, unit))
-    SELECT doc_id, unit, start, "end", words, kept_in, kept_unit
-    FROM ranked WHERE doc_id <> kept_in OR unit <> kept_unit
+        FROM worded WINDOW w AS (PARTITION BY norm ORDER BY doc_id, unit)),
+    repeats AS (
+        SELECT *, unit - row_number() OVER (PARTITION BY doc_id, body ORDER BY unit) AS run
+        FROM ranked WHERE doc_id <> kept_in OR unit <> kept_unit),
+    sized AS (
+        SELECT *, (sum(words) OVER (PARTITION BY doc_id, body, run))::BIGINT AS run_words FROM repeats)
+    SELECT doc_id, unit, start, "end", words, run_words, kept_in, kept_unit FROM sized WHERE run_words >= 15
     """,
 )
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
