@@ -359,26 +359,56 @@ def test_pii_awkward_and_empty(spark):
 # 8
 
 
-def test_packing():
+def packed_by_hand(sizes, capacity):
+    """Best-fit-decreasing item by item: how many items of each size each bin has."""
+    left, found = [], Counter()
+    for size in sorted(sizes, reverse=True):
+        fits = [(r, b) for b, r in enumerate(left) if r >= size]
+        if not fits:
+            fits = [(capacity, len(left))]
+            left.append(capacity)
+        left[min(fits)[1]] -= size
+        found[size, min(fits)[1]] += 1
+    return found, len(left)
+
+
+def test_packing_equals_best_fit_item_by_item():
     rng = random.Random(7)
-    for _ in range(60):
-        items = [(f"i{k}", rng.randint(1, 50)) for k in range(rng.randint(1, 60))]
-        placed = sharding.best_fit_decreasing(items, 60)
-        load, bins = defaultdict(int), {}
-        for name, size in sorted(items, key=lambda x: (-x[1], x[0])):
-            fits = [(60 - load[b], b) for b in load if 60 - load[b] >= size]
-            b = min(fits)[1] if fits else len(load)
-            load[b] += size
-            bins[name] = b
-        assert placed == bins
-        assert len(load) <= 11 / 9 * -(-sum(s for _, s in items) // 60) + 4
-    assert sharding.best_fit_decreasing([("a", 9)], 5) is None
-
-
-def test_sharding(spark):
+    for _ in range(200):
+        sizes = [rng.randint(1, rng.choice([3, 10, 50])) for _ in range(rng.randint(1, 80))]
+        histogram = list(Counter(sizes).items())
+        filled = sharding.best_fit_decreasing(histogram, 60)
+        want, bins = packed_by_hand(sizes, 60)
+        got = Counter()
+        for size, b, n in filled:
+            got[size, b] += n
+        assert got == want
+        assert bins <= 11 / 9 * -(-sum(sizes) // 60) + 4
+        assert sharding.best_fit_decreasing(histogram, 60, bins) == filled and sharding.best_fit_decreasing(histogram, 60, bins - 1) is None
+    assert sharding.best_fit_decreasing([(9, 1)], 5) is None
+
+
+def loads_by_hand(groups, shards):
+    """Bytes of each shard at the smallest capacity that holds; as best fit isn't monotone, no capacity below one that failed is tried."""
+    low = high = max(max(groups), -(-sum(groups) // shards))
+    step = 1
+    fits = lambda c: packed_by_hand(groups, c)[1] <= shards
+    while not fits(high):
+        low, high, step = high + 1, high + step, step * 2
+    while low < high:
+        low, high = (low, (low + high) // 2) if fits((low + high) // 2) else ((low + high) // 2 + 1, high)
+    load = Counter()
+    for (size, b), n in packed_by_hand(groups, high)[0].items():
+        load[b] += size * n
+    return load
+
+
+@pytest.mark.parametrize("most", [300, 6])
+def test_sharding(spark, most):
+    """Each shard's bytes are those of packing the groups one by one."""
     rng = random.Random(1)
-    texts = ["".join(rng.choices("ab é", k=rng.randrange(300))) for _ in range(500)]
-    rows = [(i, rng.choice(texts + [None, ""]), "s") for i in range(1500)]
+    texts = ["".join(rng.choices("ab é", k=rng.randrange(most))) for _ in range(500)]
+    rows = [(i, rng.choice(texts + [None, ""] * 20), "s") for i in range(1500)]
     got = sharding.shard(docs(spark, rows), 16).collect()
     assert sorted(r.doc_id for r in got) == list(range(1500))
     by_text, load, slots = defaultdict(set), Counter(), defaultdict(list)
@@ -388,8 +418,13 @@ def test_sharding(spark):
         load[r.shard] += r["size"]
         slots[r.shard].append(r.slot)
     assert all(len(s) == 1 for s in by_text.values())
-    assert set(load) == set(range(16)) and max(load.values()) <= 1.02 * min(load.values())
+    groups = Counter()
+    for _, t, _ in rows:
+        groups[t or ""] += len((t or "").encode()) + 1
+    assert load == loads_by_hand(list(groups.values()), 16)
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    again = sharding.shard(docs(spark, rows).repartition(7), 16).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, again))
 
 
 def test_sharding_awkward_and_empty(spark):

@@ -1,31 +1,45 @@
 """Sharding by best-fit-decreasing bin packing of indivisible groups.
 
 Rows with equal keys (here: equal texts) form a group that no shard boundary
-may cut. Groups larger than a 64th of a shard's fair share are packed one by
-one; there are at most 64 a shard of them, whatever the input. The others go
-into ``bundles`` by hash first. What the driver packs is therefore bounded by
-``64 * shards + bundles`` items. Packing takes items by falling size and puts
-each into the bin with the tightest remaining capacity, found in a treap keyed
-by (remaining, bin). For a fixed number of shards the capacity is the smallest
-at which the packing fits, found by bisection.
-
-Slots are gapless in each shard without sorting a shard in one task: rows are
-counted by (shard, hash range), running sums of the counts give each range its
-first slot, and only ranges are ranked.
+may cut. Groups go by falling size into the shard with the tightest remaining
+capacity, found in a treap keyed by (remaining, bin). For a fixed number of
+shards the capacity is the smallest that a search from the fair share upwards
+finds.
+
+Groups of one size may stand in for one another, so what is packed is the
+histogram (size, number of groups): the tightest bin that takes one group of a
+size stays the tightest as long as it takes another, so each step of the
+packing fills one bin with as many groups of the size as fit. Every group is
+packed as best-fit-decreasing packs it, one by one, and groups of one size are
+handed to their bins in the order of their digests. Different sizes that add up
+to ``b`` bytes are at most ``sqrt(2 b)``; nothing else comes to the driver.
+
+Neither ranks nor slots sort a size or a shard in one task: rows are counted by
+hash range, running sums of the counts give each range its first number, and
+only ranges are ranked. Rows of one group are dealt over hash ranges of their
+identifiers, so that a group that holds a third of all rows is many small cells.
+Texts are read once, for their sizes and digests, or, where whole rows are kept,
+travel once, to their cell.
 
 Defined results: null text has size 1 (no bytes plus 1) and groups with the
-empty text; repeated rows each get a slot; an empty table gives an empty result.
+empty text; a very long text is one group like any other, and a group of more
+than a fair share makes its shard that large; repeated rows each get a slot;
+ties in size go by digest, ties within a group by identifier, equal rows are
+interchangeable; an empty table gives an empty result; other columns, whatever
+their names, are carried only where ``keep`` names them.
 """
 
 from __future__ import annotations
 
 import random
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-LARGE_FRACTION = 64
-SLOT_RANGES = 8192
+from tidemark.session import stored
+
+RANGES = 8192
 
 
 class _Node:
@@ -79,36 +93,39 @@ class RemainingTree:
         return node.key
 
 
-def best_fit_decreasing(items: list[tuple[str, int]], capacity: int, most: int | None = None) -> dict[str, int] | None:
-    """Bin of each item, opening bins as needed; None if an item or the bin count doesn't fit.
+def best_fit_decreasing(sizes: list[tuple[int, int]], capacity: int, most: int | None = None) -> list[tuple[int, int, int]] | None:
+    """Bins of (size, number of groups) rows: (size, bin, number) in the order of filling; None if a size or the bin count doesn't fit.
 
-    Items are (name, size); order among equal sizes is by name.
+    Bins are opened as needed and numbered from 0.
     """
-    tree, bins, placed = RemainingTree(), 0, {}
-    for name, size in sorted(items, key=lambda x: (-x[1], x[0])):
+    tree, bins, filled = RemainingTree(), 0, []
+    for size, number in sorted(sizes, reverse=True):
         if size > capacity:
             return None
-        found = tree.take_tightest(size)
-        if found is None:
-            if most is not None and bins == most:
-                return None
-            found, bins = (capacity, bins), bins + 1
-        placed[name] = found[1]
-        tree.add((found[0] - size, found[1]))
-    return placed
-
-
-def pack_into(items: list[tuple[str, int]], shards: int) -> dict[str, int]:
-    """The packing into ``shards`` bins at the smallest capacity that bisection finds."""
-    total, largest = sum(s for _, s in items), max((s for _, s in items), default=0)
-    low, high = max(largest, -(-total // shards)), max(largest, -(-total // shards)) * 2
-    best = best_fit_decreasing(items, high, shards)
+        while number:
+            found = tree.take_tightest(size)
+            if found is None:
+                if most is not None and bins == most:
+                    return None
+                found, bins = (capacity, bins), bins + 1
+            here = min(number, found[0] // size)
+            filled.append((size, found[1], here))
+            tree.add((found[0] - here * size, found[1]))
+            number -= here
+    return filled
+
+
+def pack_into(sizes: list[tuple[int, int]], shards: int) -> list[tuple[int, int, int]]:
+    """The packing into ``shards`` bins at the smallest capacity that is found: steps that double from the fair share, then bisection."""
+    total, largest = sum(s * n for s, n in sizes), max((s for s, _ in sizes), default=0)
+    low = high = max(largest, -(-total // shards))
+    step, best = 1, best_fit_decreasing(sizes, high, shards)
     while best is None:
-        high *= 2
-        best = best_fit_decreasing(items, high, shards)
+        low, high, step = high + 1, high + step, step * 2
+        best = best_fit_decreasing(sizes, high, shards)
     while low < high:
         middle = (low + high) // 2
-        found = best_fit_decreasing(items, middle, shards)
+        found = best_fit_decreasing(sizes, middle, shards)
         if found is None:
             low = middle + 1
         else:
@@ -120,30 +137,52 @@ def byte_size(text: Column) -> Column:
     return (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long")
 
 
-def shard(docs: DataFrame, shards: int = 16, bundles: int = 4096, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+def _before(count: str, *by: str) -> Column:
+    """Running sum of ``count`` over the hash ranges of ``by`` before this one."""
+    return F.coalesce(F.sum(count).over(Window.partitionBy(*by).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+
+def _packed(groups: DataFrame, shards: int) -> DataFrame:
+    """(digest, bytes) of all groups to (digest, shard)."""
+    spark = groups.sparkSession
+    histogram = groups.groupBy("bytes").agg(F.count(F.lit(1)).alias("number"))
+    sizes = histogram.toArrow()
+    sized, ranks, bins, at = [], [], [], 0
+    for size, bin_no, number in pack_into(list(zip(sizes["bytes"].to_pylist(), sizes["number"].to_pylist(), strict=True)), shards):
+        at = at if sized[-1:] == [size] else 0
+        sized.append(size)
+        ranks.append(at)
+        bins.append(bin_no)
+        at += number
+    # The shards of a size with the rank among its groups from which each is filled.
+    filled = spark.createDataFrame(pa.table({"bytes": pa.array(sized, pa.int64()), "rank": pa.array(ranks, pa.int64()), "shard": pa.array(bins, pa.int32())})).groupBy("bytes").agg(F.array_sort(F.collect_list(F.struct("rank", "shard"))).alias("fills"))
+    ranged = groups.withColumn("range", F.pmod(F.xxhash64("digest"), F.lit(RANGES)))
+    firsts = ranged.groupBy("bytes", "range").agg(F.count(F.lit(1)).alias("n")).withColumn("first", _before("n", "bytes")).drop("n").join(filled, "bytes")
+    ranked = ranged.withColumn("place", F.row_number().over(Window.partitionBy("bytes", "range").orderBy("digest")) - 1).join(firsts, ["bytes", "range"])
+    own = F.filter("fills", lambda x: x["rank"] <= F.col("first") + F.col("place"))
+    return ranked.select("digest", F.element_at(own, -1)["shard"].alias("shard"))
+
+
+def shard(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Each row with size, text_crc32, shard and slot; equal texts share a shard."""
-    spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(*(F.col(c).alias(f"kept_{c}") for c in keep or []), F.col(id_col).alias("id"), byte_size(F.col(text_col)).alias("size"), F.crc32(text).alias("text_crc32"), F.sha2(text, 256).alias("digest"))
-    bundle = F.concat(F.lit("b"), F.pmod(F.xxhash64("digest"), F.lit(bundles)).cast("string"))
-    groups = rows.groupBy("digest").agg(F.sum("size").alias("bytes"))
-    total = rows.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-    bound = max(1, total // (shards * LARGE_FRACTION))
-    name = F.when(F.col("bytes") > bound, F.col("digest")).otherwise(bundle)
-    # At most shards * LARGE_FRACTION large groups and `bundles` bundles, at any input size.
-    items = [(r["item"], r["bytes"]) for r in groups.groupBy(name.alias("item")).agg(F.sum("bytes").alias("bytes")).collect()]
-    placed = pack_into(items, shards)
-    large = spark.createDataFrame([(k, v) for k, v in placed.items() if k[0] != "b" or len(k) == 64], "digest string, large_shard int")
-    small = spark.createDataFrame([(k, v) for k, v in placed.items() if not (k[0] != "b" or len(k) == 64)], "bundle string, small_shard int")
-    rows = rows.withColumn("bundle", bundle).join(F.broadcast(large), "digest", "left").join(F.broadcast(small), "bundle", "left")
-    rows = rows.select(*(f"kept_{c}" for c in keep or []), "id", "size", "text_crc32", F.coalesce("large_shard", "small_shard").alias("shard"), F.pmod(F.xxhash64("id"), F.lit(SLOT_RANGES)).alias("range"))
-    return _slots(rows, keep or [], id_col)
-
-
-def _slots(rows: DataFrame, keep: list[str], id_col: str) -> DataFrame:
-    counts = rows.groupBy("shard", "range").agg(F.count(F.lit(1)).alias("n"))
-    first = counts.select("shard", "range", F.coalesce(F.sum("n").over(Window.partitionBy("shard").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("first"))
-    rank = F.row_number().over(Window.partitionBy("shard", "range").orderBy("id", "text_crc32", "size"))
-    ranked = rows.withColumn("rank", rank).join(first, ["shard", "range"])
-    named = [F.col(f"kept_{c}").alias(c) for c in keep] or [F.col("id").alias(id_col)]
-    return ranked.select(*named, "size", "text_crc32", "shard", (F.col("first") + F.col("rank") - 1).cast("long").alias("slot"))
+    rows = docs.select(
+        *(F.col(c).alias(f"kept_{c}") for c in keep or []),
+        F.col(id_col).alias("id"), byte_size(F.col(text_col)).alias("size"), F.crc32(text).alias("text_crc32"), F.unhex(F.sha2(text, 256)).alias("digest"),
+        F.pmod(F.xxhash64(F.col(id_col)), F.lit(RANGES)).alias("part"),
+    )
+    if keep:
+        narrow = stored(rows.select("digest", "part", "size"), "sizes")
+    else:
+        narrow = rows = stored(rows, "sizes")
+    cells = stored(narrow.groupBy("digest", "part").agg(F.count(F.lit(1)).alias("rows"), F.first("size").alias("size")), "cells")
+    placed = _packed(cells.groupBy("digest").agg(F.sum(F.col("rows") * F.col("size")).alias("bytes")), shards)
+    # Slots run over a shard's cells by hash range of (digest, part).
+    dealt = stored(cells.join(placed, "digest").withColumn("range", F.pmod(F.xxhash64("digest", "part"), F.lit(RANGES))).drop("size"), "dealt")
+    firsts = dealt.groupBy("shard", "range").agg(F.sum("rows").alias("n")).withColumn("first", _before("n", "shard")).drop("n")
+    within = F.coalesce(F.sum("rows").over(Window.partitionBy("shard", "range").orderBy("digest", "part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    slots = dealt.withColumn("within", within).join(firsts, ["shard", "range"]).select("digest", "part", "shard", (F.col("first") + F.col("within")).alias("first"))
+    rank = F.row_number().over(Window.partitionBy("digest", "part").orderBy("id"))
+    found = rows.join(slots, ["digest", "part"]).withColumn("slot", (F.col("first") + rank - 1).cast("long"))
+    named = [F.col(f"kept_{c}").alias(c) for c in keep or []] or [F.col("id").alias(id_col)]
+    return found.select(*named, "size", "text_crc32", "shard", "slot")
