@@ -530,6 +530,18 @@ def test_minhash_finds_the_only_link_of_a_small_bucket_that_avoids_the_first_hub
     assert missed_links(spark, [(bucket_of(rng, w, size, link), link) for w in lowest_words(rng, 40)]) == []
 
 
+def test_near_dedup_of_an_id_with_several_texts(spark):
+    """One id stands for unlike texts, each with a near copy of its own, and for a null beside another id's."""
+    rng = random.Random(14)
+    bodies = [["".join(rng.choices("abcdefgh", k=5)) for _ in range(200)] for _ in range(4)]
+    near = lambda body: " ".join([*body[:-1], "other"])
+    a, b, c, d = bodies
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (1, None), (2, near(a)), (3, near(b)), (4, " ".join(c)), (4, ""), (4, None), (5, " ".join(d)), (5, ""), (6, near(c)), (7, near(d))]
+    for table in (docs(spark, [(i, t, "s") for i, t in rows]), docs(spark, [(i, t, "s") for i, t in rows[::-1]]).repartition(5)):
+        got = {(r.doc_id, r.component_id) for r in minhash.near_dedup(table, shingle_words=2).collect()}
+        assert got == {(1, 1), (2, 1), (3, 1), (4, 4), (6, 4), (5, 5), (7, 5)}
+
+
 def test_near_dedup_awkward_and_empty(spark):
     got = minhash.near_dedup(awkward(spark), shingle_words=2).collect()
     assert len(got) == 8

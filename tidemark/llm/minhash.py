@@ -24,9 +24,11 @@ With 40 bands of 5 rows a pair at similarity 0.8 shares no bucket with
 probability ``(1 - 0.8**5)**40``, about 1e-7.
 
 Defined results: null and empty texts and texts of separators alone have no
-shingles, are linked with nothing and stay; a null identifier is never linked
-and stays; repeated rows share their class; an empty table gives an empty
-result. Only the two named columns are read.
+shingles, are linked with nothing and stay; very long texts are compared whole; a
+null identifier is never linked and stays; repeated rows share their class; an
+identifier with several texts has the links of them all; of several least
+identifiers none can tie; an empty table gives an empty result. Only the two
+named columns are read, whatever the others' names.
 """
 
 from __future__ import annotations
@@ -114,18 +116,20 @@ def signed(docs: DataFrame, id_col: str, text_col: str, n: int, bands: int, rows
 
 def _confirm(n: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, held = None, None  # the hub's set; rows come sorted by hub from the join
+        last, held = None, None  # the hub's text and set; rows come sorted by hub from the join
         for batch in pieces(batches):
             hubs, members = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             words, starts, _ = word_hashes(batch.column(3))
             keep = np.zeros(len(hubs), bool)
-            for i, hub in enumerate(hubs):
-                if hub != last:
-                    last, held = hub, shingle_set(word_hashes(batch.column(2).slice(i, 1))[0], n)
+            for i in range(len(hubs)):
+                # An id may stand for several texts, so it is the text that is compared.
+                text = batch.column(2)[i].as_buffer()
+                if last is None or text is None or not text.equals(last):
+                    last, held = text, shingle_set(word_hashes(batch.column(2).slice(i, 1))[0], n)
                 mine = shingle_set(words[starts[i] : starts[i + 1]], n)
                 at = np.minimum(np.searchsorted(held, mine), len(held) - 1)
                 both = int(np.count_nonzero(held[at] == mine)) if len(held) else 0
-                keep[i] = 100 * both >= percent * (len(held) + len(mine) - both)
+                keep[i] = both > 0 and 100 * both >= percent * (len(held) + len(mine) - both)
             yield pa.RecordBatch.from_arrays([pa.array(hubs[keep]), pa.array(members[keep])], names=["a", "b"])
 
     return run
