@@ -116,6 +116,53 @@ def test_decontaminate_finds_a_copy_that_lost_most_of_its_seeds(spark, beside):
     assert decontaminate.decontaminated(docs(spark, rows), bench).count() == 0
 
 
+def edited(rng, words, kind, rate):
+    """``words`` with a share of about ``rate`` substituted, left out, or met by an added word, evenly or at random."""
+    out = []
+    for i, w in enumerate(words):
+        if (i % round(1 / rate) == 1) if kind[1] == "even" else rng.random() < rate:
+            new = f"new{rng.randrange(10**6)}"
+            out += {"change": [new], "leave": [], "add": [w, new]}[kind[0]]
+        else:
+            out.append(w)
+    return out
+
+
+def test_decontaminate_recall_by_edit_rate(spark):
+    """Against aligning every item with every whole text: one edited copy of each item and no other copy in the table."""
+    rng = random.Random(21)
+    vocabulary = ["the", "of", "and", "to", "in"] * 40 + ["".join(rng.choices("abcdefgh", k=4)) for _ in range(400)]
+    kinds = [(k, how) for k in ("change", "leave", "add") for how in ("even", "random")]
+    cases = [(kind, 1 / every) for kind in kinds for every in (3, 4, 5, 6, 8, 12) for _ in range(4)]
+    items = [rng.choices(vocabulary, k=rng.randint(25, 70)) for _ in cases]
+    bodies = [rng.choices(vocabulary, k=60) + edited(rng, w, *case) + rng.choices(vocabulary, k=60) for w, case in zip(items, cases, strict=True)]
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.score for r in decontaminate.contamination(docs(spark, [(i, " ".join(b), "s") for i, b in enumerate(bodies)]), bench).collect()}
+    hashed = lambda texts: [decontaminate.word_hashes(pa.array([" ".join(t)]), ascii_words_only=True)[0] for t in texts]
+    want = {}
+    for d, text in enumerate(hashed(bodies)):
+        for i, item in enumerate(hashed(items)):
+            score = decontaminate.align(item, text)[0] / (2 * len(item))
+            if score >= 0.5:
+                want[d, i] = score
+    assert set(got) <= set(want) and all(abs(got[k] - want[k]) < 1e-9 for k in got)
+    by_rate = defaultdict(list)
+    for (d, i), score in want.items():
+        by_rate[cases[d]].append((score, (d, i) in got))
+    close = [found for seen in by_rate.values() for score, found in seen if score >= 0.7]
+    assert len(close) > 90 and sum(close) == len(close)
+    loose = [found for seen in by_rate.values() for _, found in seen]
+    assert sum(loose) >= 0.97 * len(loose)
+
+
+def test_decontaminate_repetitive_texts(spark):
+    """Seeds that an item repeats, at every place of a long text."""
+    item = "a b c d " * 30
+    rows = [(1, "a b c d " * 20_000, "s"), (2, "x " * 500 + "a b c d " * 28 + "y " * 500, "s"), (3, "a b c d " * 5 + "z " * 90, "s")]
+    got = {r.doc_id: (round(r.score, 3), r.end_word - r.start_word) for r in decontaminate.contamination(docs(spark, rows), spark.createDataFrame([(1, item)], "item_id long, text string")).collect()}
+    assert got == {1: (1.0, 120), 2: (round(112 / 120, 3), 112)}
+
+
 def test_alignment_equals_the_textbook_one():
     import numpy as np
 

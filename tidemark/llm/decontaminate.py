@@ -1,19 +1,29 @@
 """Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
-Words are lower-cased runs of letters and digits. Every n-gram of a test item is
-a seed, however common, so any text that shares one with an item is a candidate
-for it. One pass looks the seeds up in every whole text and aligns each item
-with the words around its seeds by Smith-Waterman (match 2, mismatch -1, gap
--1), except where too few of the item's words occur there at all to reach the
-score. The score is the alignment's over that of an identical copy:
-substituting a third of the words leaves 0.5.
-
-Test items come in blocks of at most ``block_bytes`` of text; what is broadcast
-follows that bound and not the benchmark. Texts are never shuffled.
+Words are lower-cased runs of letters and digits. A seed is four words of a test
+item, two and two, that stand side by side or with one other word in the middle;
+texts are looked up in both forms. So a copy keeps a seed wherever two pairs of
+its words stay around a substituted, a missing or an added word: contiguous
+n-grams alone miss copies in which every fourth or fifth word is changed. Every
+seed counts, however common; leaving out common ones would lose edited copies
+whose rare words are just those that were edited.
+
+One pass over the texts finds all seeds of a batch at once. Whether an item can
+reach the score near its seeds is then bounded by how many of its words occur
+there at all, which turns stock phrases away; what is left is aligned by
+Smith-Waterman (match 2, mismatch -1, gap -1). The score is the alignment's over
+that of an identical copy: substituting a third of the words leaves 0.5.
+
+Test items come in blocks of at most ``block_bytes`` of text, or one longer item;
+what is broadcast follows that bound and not the benchmark, and each further block
+is a further pass over the texts. Texts are never shuffled.
 
 Defined results: null or empty texts match nothing; items of fewer words than a
-seed match nothing; repeated rows match each for itself; several equal items
-match each under its own id; other columns pass through untouched.
+seed match nothing; very long texts and items are aligned whole around their
+seeds; repeated rows match each for itself; several equal items match each under
+its own id; of several places with the same score the first one is reported; empty
+tables give an empty result, or all rows where clean rows are asked for; other
+columns pass through untouched, whatever their names.
 """
 
 from __future__ import annotations
@@ -26,10 +36,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.wordhash import pieces, shingle_hashes, word_hashes
+from tidemark.llm.wordhash import PRIME, mix64, pieces, word_hashes
 from tidemark.session import modest_batches
 
 MATCH, MISMATCH, GAP = 2, -1, 1
+#: Words of a seed. Texts are held against a bit of each seed's hash before its whole.
+SEED, FILTER_BITS = 4, 22
+FILTER_MASK = np.uint64((1 << FILTER_BITS) - 1)
 
 
 def align(item: np.ndarray, words: np.ndarray) -> tuple[int, int]:
@@ -47,66 +60,100 @@ def align(item: np.ndarray, words: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
+def seeds_of(words: np.ndarray) -> list[np.ndarray]:
+    """Hashes of the four-word seeds that begin at each word: without and with a word left out in the middle."""
+    out = []
+    for span in (SEED, SEED + 1):
+        n = max(0, len(words) - span + 1)
+        h = np.zeros(n, np.uint64)
+        for k in (0, 1, span - 2, span - 1):
+            h = mix64(h * PRIME + words[k : k + n])
+        out.append(h)
+    return out
+
+
 class Seeds:
     """One block of items with their seeds, as arrays."""
 
-    def __init__(self, ids: list, words: list[np.ndarray], seed_words: int):
-        self.ids, self.words, self.n = ids, words, seed_words
-        grams = [shingle_hashes(w, seed_words) for w in words]
-        self.gram = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
-        self.item = np.repeat(np.arange(len(ids)), [len(g) for g in grams])
-        self.place = np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.zeros(0, np.int64)
-        order = np.lexsort((self.place, self.item, self.gram))
-        self.gram, self.item, self.place = self.gram[order], self.item[order], self.place[order]
-        self.keys, self.first = np.unique(self.gram, return_index=True)
-
-    def hits(self, words: np.ndarray) -> np.ndarray:
-        """(place in the text, index of the key) of every key that occurs."""
-        grams = shingle_hashes(words, self.n)
-        if not len(grams) or not len(self.keys):
-            return np.zeros((0, 2), np.int64)
-        at = np.minimum(np.searchsorted(self.keys, grams), len(self.keys) - 1)
-        found = np.flatnonzero(self.keys[at] == grams)
-        return np.stack([found, at[found]], axis=1)
-
-    def matches(self, words: np.ndarray, least: float) -> list[tuple[int, float, int, int]]:
-        """(item index, score, first word, word after the last) of the best alignment of each item that reaches ``least``."""
-        found = self.hits(words)
-        low, high = self.first[found[:, 1]], np.append(self.first[1:], len(self.gram))[found[:, 1]]
+    def __init__(self, ids: list, words: list[np.ndarray]):
+        self.ids, self.words = ids, words
+        self.sizes = np.array([len(w) for w in words], np.int64)
+        found = [seeds_of(w) for w in words]
+        flat = [(i, g) for i, forms in enumerate(found) for g in forms]
+        gram = np.concatenate([g for _, g in flat]) if flat else np.zeros(0, np.uint64)
+        item = np.repeat(np.array([i for i, _ in flat], np.int32), [len(g) for _, g in flat])
+        place = np.concatenate([np.arange(len(g), dtype=np.int32) for _, g in flat]) if flat else np.zeros(0, np.int32)
+        order = np.lexsort((place, item, gram))
+        gram, item, place = gram[order], item[order], place[order]
+        # Of a seed's places in one item the first and the last suffice: the windows of those between lie inside their joint one.
+        same = (gram[1:] == gram[:-1]) & (item[1:] == item[:-1])
+        inner = np.zeros(len(gram), bool)
+        inner[1:-1] = same[1:] & same[:-1]
+        gram, self.item, self.place = gram[~inner], item[~inner], place[~inner]
+        self.keys, self.first = np.unique(gram, return_index=True)
+        self.last = np.append(self.first[1:], len(gram))
+        self.maybe = np.zeros(1 << FILTER_BITS, bool)
+        self.maybe[self.keys & FILTER_MASK] = True
+
+    def starts(self, words: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct (text, item, word of the text where the item would begin) of every seed in the texts that begin at ``firsts``."""
+        none = np.zeros(0, np.int64)
+        if not len(self.keys):
+            return none, none, none
+        places, keys = [], []
+        for grams, span in zip(seeds_of(words), (SEED, SEED + 1), strict=True):
+            near = np.flatnonzero(self.maybe[grams & FILTER_MASK])
+            at = np.minimum(np.searchsorted(self.keys, grams[near]), len(self.keys) - 1)
+            real = self.keys[at] == grams[near]
+            near, at = near[real], at[real]
+            # A seed may not reach from one text into the next.
+            whole = np.searchsorted(firsts, near, side="right") == np.searchsorted(firsts, near + span - 1, side="right")
+            places.append(near[whole])
+            keys.append(at[whole])
+        place, key = np.concatenate(places), np.concatenate(keys)
+        low, times = self.first[key], self.last[key] - self.first[key]
         # Each hit once for each (item, place) of its key.
-        k = np.arange((high - low).sum()) + np.repeat(low - np.cumsum(high - low) + high - low, high - low)
-        starts = np.unique(np.stack([self.item[k], np.repeat(found[:, 0], high - low) - self.place[k]], axis=1), axis=0)
-        spans: dict[int, list[tuple[int, int]]] = {}
-        for item, start in starts.tolist():
-            size = len(self.words[item])
-            pad = max(8, size // 2)
-            spans.setdefault(item, []).append((max(0, start - pad), start + size + pad))
-        out = []
-        for item, windows in spans.items():
-            target, merged = self.words[item], []
-            for low, high in sorted(windows):
-                if merged and low <= merged[-1][1]:
-                    merged[-1][1] = max(merged[-1][1], high)
-                else:
-                    merged.append([low, high])
+        k = np.arange(times.sum()) + np.repeat(low - np.cumsum(times) + times, times)
+        at = np.repeat(place, times)
+        text = np.searchsorted(firsts, at, side="right") - 1
+        return tuple(np.unique(np.stack([text, self.item[k], at - self.place[k]], axis=1), axis=0).T) if len(k) else (none, none, none)
+
+    def matches(self, words: np.ndarray, firsts: np.ndarray, least: float) -> list[tuple[int, int, float, int, int]]:
+        """(text, item, score, first word, word after the last) of the best alignment of each item with each text that reaches ``least``."""
+        text, item, start = self.starts(words, firsts)
+        if not len(text):
+            return []
+        ends = np.append(firsts[1:], len(words))
+        pad = np.maximum(8, self.sizes[item] // 2)
+        low = np.maximum(firsts[text], start - pad)
+        high = np.minimum(ends[text], start + self.sizes[item] + pad)
+        # Windows of one item in one text that touch are one window; they are in order of their starts.
+        fresh = np.ones(len(low), bool)
+        fresh[1:] = (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (low[1:] > high[:-1])
+        begin = np.flatnonzero(fresh)
+        out: dict[tuple[int, int], tuple[int, int, int]] = {}
+        for a, b in zip(begin, np.append(begin[1:], len(low)), strict=True):
+            t, i, here, to = int(text[a]), int(item[a]), int(low[a]), int(high[b - 1])
+            target, around = self.words[i], words[here:to]
             # No alignment scores more than a match for each of the item's words that occur.
-            merged = [(a, b) for a, b in merged if np.isin(target, words[a:b]).sum() >= least * len(target)]
-            if not merged:
+            if np.isin(target, around).sum() < least * len(target):
                 continue
-            score, low, end = max((*align(target, words[a:b])[:1], a, b) for a, b in merged)
-            if score >= least * MATCH * len(target):
-                _, stop = align(target, words[low:end])
-                _, back = align(target[::-1], words[low : low + stop][::-1])
-                out.append((item, score / (MATCH * len(target)), low + stop - back, low + stop))
-        return out
+            score, stop = align(target, around)
+            if score >= least * MATCH * len(target) and score > out.get((t, i), (0,))[0]:
+                out[t, i] = (score, here, here + stop)
+        found = []
+        for (t, i), (score, here, stop) in out.items():
+            _, back = align(self.words[i][::-1], words[here:stop][::-1])
+            found.append((t, i, score / (MATCH * len(self.words[i])), stop - back - int(firsts[t]), stop - int(firsts[t])))
+        return found
 
 
-def blocks(benchmark: DataFrame, item_col: str, text_col: str, seed_words: int, block_bytes: int) -> Iterator[Seeds]:
+def blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int) -> Iterator[Seeds]:
     ids, texts, held = [], [], 0
 
     def block() -> Seeds:
         hashes, starts, _ = word_hashes(pa.array(texts, pa.string()), ascii_words_only=True)
-        return Seeds(ids, [hashes[a:b] for a, b in pairwise(starts)], seed_words)
+        return Seeds(ids, [hashes[a:b] for a, b in pairwise(starts)])
 
     items = benchmark.select(F.col(item_col).alias("item"), F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("text"))
     for r in items.toLocalIterator():
@@ -120,10 +167,10 @@ def blocks(benchmark: DataFrame, item_col: str, text_col: str, seed_words: int,
         yield block()
 
 
-def _ready(docs: DataFrame, benchmark: DataFrame, item_col: str, item_text_col: str, seed_words: int, block_bytes: int) -> Iterator:
+def _ready(docs: DataFrame, benchmark: DataFrame, item_col: str, item_text_col: str, block_bytes: int) -> Iterator:
     """Each block with its seeds, as a broadcast variable."""
     modest_batches(docs.sparkSession)
-    for found in blocks(benchmark, item_col, item_text_col, seed_words, block_bytes):
+    for found in blocks(benchmark, item_col, item_text_col, block_bytes):
         yield docs.sparkSession.sparkContext.broadcast(found)
 
 
@@ -132,7 +179,7 @@ def _matched(seeds, least: float) -> callable:
         found: Seeds = seeds.value
         for batch in pieces(batches):
             words, starts, _ = word_hashes(batch.column(1), ascii_words_only=True)
-            out = [(i, found.ids[m], len(found.words[m]), *rest) for i, (a, b) in enumerate(pairwise(starts)) for m, *rest in found.matches(words[a:b], least)]
+            out = [(i, found.ids[m], len(found.words[m]), *rest) for i, m, *rest in found.matches(words, starts[:-1], least)]
             cols = list(zip(*out, strict=True)) if out else [()] * 6
             ids = batch.column(0).take(pa.array(cols[0], pa.int64()))
             yield pa.RecordBatch.from_arrays([ids, pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.float64()), pa.array(cols[4], pa.int64()), pa.array(cols[5], pa.int64())], names=["doc", "item", "item_words", "score", "start_word", "end_word"])
@@ -140,11 +187,11 @@ def _matched(seeds, least: float) -> callable:
     return run
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", seed_words: int = 5, least: float = 0.5, block_bytes: int = 8 << 20) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", least: float = 0.5, block_bytes: int = 8 << 20) -> DataFrame:
     """Each (document, item) whose best alignment reaches ``least``: id, item, item_words, score, start_word, end_word."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.lower(F.col(text_col)).alias("text"))
     found = None
-    for seeds in _ready(docs, benchmark, item_col, item_text_col, seed_words, block_bytes):
+    for seeds in _ready(docs, benchmark, item_col, item_text_col, block_bytes):
         part = rows.mapInArrow(_matched(seeds, least), "doc long, item long, item_words long, score double, start_word long, end_word long")
         found = part if found is None else found.unionByName(part)
     if found is None:
@@ -157,16 +204,17 @@ def _clean(seeds, least: float) -> callable:
         found: Seeds = seeds.value
         for batch in pieces(batches):
             words, starts, _ = word_hashes(batch.column(batch.num_columns - 1), ascii_words_only=True)
-            keep = [not found.matches(words[a:b], least) for a, b in pairwise(starts)]
-            yield pa.RecordBatch.from_arrays(batch.columns[:-1], names=batch.schema.names[:-1]).filter(pa.array(keep, pa.bool_()))
+            keep = np.ones(batch.num_rows, bool)
+            keep[[i for i, *_ in found.matches(words, starts[:-1], least)]] = False
+            yield pa.RecordBatch.from_arrays(batch.columns[:-1], names=batch.schema.names[:-1]).filter(pa.array(keep))
 
     return run
 
 
-def decontaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", seed_words: int = 5, least: float = 0.5, block_bytes: int = 8 << 20) -> DataFrame:
+def decontaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", least: float = 0.5, block_bytes: int = 8 << 20) -> DataFrame:
     """The rows of ``docs`` that match no item, with all their columns."""
     out = docs
-    for seeds in _ready(docs, benchmark, item_col, item_text_col, seed_words, block_bytes):
+    for seeds in _ready(docs, benchmark, item_col, item_text_col, block_bytes):
         lowered = out.select("*", F.lower(F.col(text_col)).alias("__lowered"))
         out = lowered.mapInArrow(_clean(seeds, least), docs.schema)
     return out
