@@ -394,6 +394,69 @@ def test_pii_weak_supervision_adds_and_weighs(spark):
     assert model.reliability[0, 0] > 0.9  # the strict form of an address is nearly always right
 
 
+def test_pii_precision_and_recall_on_planted_secrets_names_and_addresses(spark):
+    rng = random.Random(31)
+    hexed = lambda n: "".join(rng.choices("0123456789abcdef", k=n))
+    word = lambda: "".join(rng.choices("etaoinshr", k=rng.randint(2, 8)))
+    first, last = ["Jane", "Peter", "Klaus", "María", "Sophie"], ["Miller", "Schmidt", "García", "Dupont", "O'Neil"]
+    plant = {
+        "secret": [lambda: ('token = "', hexed(40), '"'), lambda: ("api_key: ", "sk_" + hexed(12).upper() + hexed(12) + "9aZ", ""), lambda: ("password='", "hunter" + hexed(6), "'")],
+        "person": [lambda: ("my name is ", f"{rng.choice(first)} {rng.choice(last)}", ","), lambda: ("Frau ", f"{rng.choice(first)} {rng.choice(last)}", " sagt")],
+        "address": [lambda: ("I live at ", f"{rng.randint(1, 900)} {rng.choice(['Oak', 'Main', 'Mill'])} Street", ","), lambda: ("wohnt ", f"Linden{rng.choice(['straße', 'weg'])} {rng.randint(1, 99)}", ".")],
+    }
+    decoys = [lambda: f"commit: {hexed(40)}", lambda: "version 1.2.3", lambda: "color: red-orange", lambda: f"sha = {hexed(32)}", lambda: "Chapter 5 Of The Book", lambda: "path=/usr/local/lib/tool", lambda: f"isbn: 978{rng.randrange(10**10):010}"]
+    rows, want = [], set()
+    for i in range(600):
+        text = " ".join(word() for _ in range(20)) + " "
+        if i % 2:
+            kind = rng.choice(list(plant))
+            before, value, after = rng.choice(plant[kind])()
+            want.add((i, kind, len(text) + len(before), len(text) + len(before) + len(value)))
+            text += before + value + after
+        else:
+            text += rng.choice(decoys)()
+        rows.append((i, text + " " + " ".join(word() for _ in range(20)), "s"))
+    got = set()
+    for r in pii.find_pii(docs(spark, rows)).collect():
+        spans = [x.split(":") for x in r.spans.split(",") if x]
+        assert r.n_spans == len(spans)
+        got |= {(r.doc_id, k, int(a), int(b)) for k, a, b in spans if k in plant}
+    for kind in plant:
+        mine, theirs = {x for x in got if x[1] == kind}, {x for x in want if x[1] == kind}
+        assert len(mine & theirs) >= 0.9 * len(theirs) and len(mine & theirs) >= 0.9 * len(mine), kind
+
+
+def test_em_equals_the_plain_one():
+    """Row by row and loop by loop, with the same start and pseudo-votes."""
+    import math
+
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    truth = rng.random(400) < 0.6
+    right = [0.95, 0.8, 0.7, 0.6]
+    cast = [[0 if rng.random() < 0.1 else (1 if t == (rng.random() < q) else -1) for q in right] for t in truth]
+    counts = np.zeros(81)
+    for c in cast:
+        counts[sum((v + 1) * 3**i for i, v in enumerate(c))] += 1
+    every = [[p // 3**i % 3 - 1 for i in range(4)] for p in range(81)]
+    start = {tuple(c): 1 / (1 + math.exp(-2 * sum(c))) for c in every}
+    pseudo = {s: [[4 * sum((start[tuple(c)] if s else 1 - start[tuple(c)]) for c in every if c[k] == v) / sum((start[tuple(c)] if s else 1 - start[tuple(c)]) for c in every) + 0.1 for v in (-1, 0, 1)] for k in range(4)] for s in (0, 1)}
+    post = dict(start)
+    for _ in range(60):
+        share = (sum(post[tuple(c)] for c in cast) + 1) / (len(cast) + 2)
+        table = {}
+        for s in (0, 1):
+            table[s] = [[sum((post[tuple(c)] if s else 1 - post[tuple(c)]) for c in cast if c[k] == v) + pseudo[s][k][v + 1] for v in (-1, 0, 1)] for k in range(4)]
+            table[s] = [[x / sum(t) for x in t] for t in table[s]]
+        for c in every:
+            odds = math.log(share / (1 - share)) + sum(math.log(table[1][k][v + 1] / table[0][k][v + 1]) for k, v in enumerate(c))
+            post[tuple(c)] = 1 / (1 + math.exp(-max(-30, min(30, odds))))
+    got, reliability = pii.expectation_maximisation(counts)
+    assert np.allclose(got, [post[tuple(c)] for c in every], atol=1e-6)
+    assert np.allclose(reliability, right, atol=0.08)
+
+
 def rng_digits(i):
     return "".join(random.Random(i).choices("0123456789", k=16))
 
