@@ -143,15 +143,32 @@ def confirmed(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataF
     return with_both.select("hub", "member", "hub_text", "member_text").mapInArrow(_confirm(n, percent), "a long, b long")
 
 
-def _stars(members: DataFrame, order: Column, percent: int) -> tuple[DataFrame, DataFrame]:
+def _open(members: DataFrame, hot: int, *more: Column) -> DataFrame:
+    """(bucket, parts, ...) of each bucket that holds several components. ``parts`` is 1, or more in a bucket of over ``hot`` members."""
+    found = members.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("c"), *more).where("low < high")
+    return stored(found.withColumn("parts", F.ceil(F.col("c") / hot)).drop("low", "high", "c"), "open")
+
+
+def _dealt(members: DataFrame, buckets: DataFrame) -> DataFrame:
+    """``members`` joined to their bucket's row, a hot bucket's in parts by id.
+
+    A member is in one bucket a band, so there are at most bands * members / hot hot
+    buckets, and ``hot`` grows with the members: their list is small at any size.
+    """
+    hot = buckets.where("parts > 1").select("bucket", "parts")
+    marked = members.join(F.broadcast(hot), "bucket", "left").withColumn("part", F.coalesce(F.pmod(F.xxhash64("id"), F.col("parts")), F.lit(0))).drop("parts")
+    copies = buckets.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+    return marked.join(copies, ["bucket", "part"]).drop("part")
+
+
+def _stars(members: DataFrame, order: Column, percent: int, hot: int) -> tuple[DataFrame, DataFrame]:
     """A star in every bucket that holds several components.
 
     ``members`` has bucket, id, n and comp. Returns the (bucket, id, n) rows of those
     buckets and the distinct (hub, member) pairs between components that sizes allow.
     """
     hub = F.min(F.struct(order.alias("o"), F.struct("id", "n", "comp").alias("hub"))).getField("hub")
-    open_buckets = members.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), hub.alias("h")).where("low < high").select("bucket", "h")
-    mixed = stored(members.select("bucket", "id", "n", "comp").join(open_buckets, "bucket"), "mixed")
+    mixed = stored(_dealt(members.select("bucket", "id", "n", "comp"), _open(members, hot, hub.alias("h"))), "mixed")
     small, large = F.least("n", "h.n"), F.greatest("n", "h.n")
     pairs = mixed.where((F.col("h.comp") != F.col("comp")) & (small * 100 >= large * percent))
     return mixed.select("bucket", "id", "n"), pairs.select(F.col("h.id").alias("hub"), F.col("id").alias("member")).distinct()
@@ -240,11 +257,12 @@ def near_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     classes = stored(filled.groupBy(*same).agg(F.min("id").alias("rep"), F.min_by("bands", "id").alias("bands")), "classes")
     rows_with_rep = marks.select("id", *same).join(classes.drop("bands"), same, "left").select("id", "n", F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("rep")).alias("rep"))
 
+    hot = max(64, classes.count() // 1024)
     # An id of several rows may stand for several classes; its buckets then hold them all.
     banded = classes.select(F.col("rep").alias("id"), "n", F.col("rep").alias("comp"), F.explode("bands").alias("bucket"))
     # The first star follows one order of all ids, so that the bands of a group mostly agree on its hub.
     common = lambda k: F.xxhash64("id", F.lit(k))
-    mixed, pairs = _stars(banded, common(0), percent)
+    mixed, pairs = _stars(banded, common(0), percent, hot)
     wanted = mixed.select("id").distinct()
     texts = stored(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(wanted, "id", "left_semi").dropDuplicates(["id", "text"]), "candidates")
     links = stored(confirmed(pairs, texts, shingle_words, percent), "confirmed")
@@ -252,13 +270,13 @@ def near_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     linked = stored(components(links), "components")
     placed = lambda rows: rows.join(linked.withColumnRenamed("node", "id"), "id", "left").withColumn("comp", F.coalesce("component", "id"))
     degree = links.select("a").unionByName(links.select(F.col("b").alias("a"))).groupBy(F.col("a").alias("id")).agg(F.count(F.lit(1)).alias("degree"))
-    before, (mixed, pairs) = mixed, _stars(placed(mixed).join(degree, "id", "left"), F.struct(-F.coalesce("degree", F.lit(0)), common(1)), percent)
+    before, (mixed, pairs) = mixed, _stars(placed(mixed).join(degree, "id", "left"), F.struct(-F.coalesce("degree", F.lit(0)), common(1)), percent, hot)
     discard(before, spark)
     linked = _merged(linked, stored(confirmed(pairs, texts, shingle_words, percent), "confirmed"))
     sweep(spark)
     # What two stars leave open is finished exactly.
-    in_open = placed(mixed).groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
-    left = stored(placed(texts.join(mixed.join(in_open, "bucket", "left_semi").select("id").distinct(), "id", "left_semi")).select("id", "comp", "text"), "open")
+    members = _dealt(mixed, _open(placed(mixed), hot)).select("id").distinct()
+    left = stored(placed(texts.join(members, "id", "left_semi")).select("id", "comp", "text"), "left")
     pairs = exact_pairs(left, shingle_words, percent)
     linked = _merged(linked, stored(confirmed(pairs, left, shingle_words, percent), "confirmed"))
     sweep(spark)
