@@ -15,8 +15,10 @@ archives by task attempt; only archives that a finished attempt reports are
 read, so a lost executor or a second attempt can't duplicate records.
 
 Defined results: null html is the empty payload; a null url is written as
-about:blank; null page ids rank lowest and come back null; rows that repeat a
-page id and payload are of the same type; an empty table gives an empty result.
+about:blank; a very long page is one record, up to ``MOST_RECORD_BYTES``, beyond
+which reading is an error; null page ids rank lowest and come back null; rows
+that repeat a page id and payload are of the same type; an empty table gives an
+empty result; only the three named columns are read, whatever the others' names.
 """
 
 from __future__ import annotations
@@ -44,6 +46,8 @@ MANDATORY = ("warc-record-id", "warc-date", "warc-type", "content-length")
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 URN = "urn:tidemark:page:"
 CHUNK = 1 << 16
+#: A record longer than this is refused, so that no frame can grow without bound in a task's memory.
+MOST_RECORD_BYTES = 1 << 28
 SAMPLES, SAMPLE_BYTES, DICTIONARY_BYTES = 200, 2 << 20, 16 << 10
 
 
@@ -96,8 +100,8 @@ def opening(content: bytes) -> bytes:
     return struct.pack("<II", DICTIONARY_MAGIC, len(packed)) + packed
 
 
-def frames(data: bytes) -> Iterator[tuple[int, bytes]]:
-    """(offset, content) of each frame after the dictionary's."""
+def frames(data: bytes, most: int | None = None) -> Iterator[tuple[int, bytes]]:
+    """(offset, content) of each frame after the dictionary's. A frame that holds more than ``most`` bytes is an error before it is held whole."""
     if len(data) < 8:
         raise WarcError(f"archive of {len(data)} bytes has no dictionary frame")
     magic, size = struct.unpack_from("<II", data)
@@ -111,10 +115,13 @@ def frames(data: bytes) -> Iterator[tuple[int, bytes]]:
     decoder = zstd.ZstdDecompressor(dict_data=zstd.ZstdCompressionDict(held))
     view, at = memoryview(data), 8 + size
     while at < len(data):
-        one, start, out = decoder.decompressobj(), at, []
+        one, start, out, held = decoder.decompressobj(), at, [], 0
         try:
             while not one.eof and at < len(data):
                 out.append(one.decompress(view[at : at + CHUNK]))
+                held += len(out[-1])
+                if most is not None and held > most:
+                    raise WarcError(f"frame at {start} holds more than {most} bytes")
                 at += min(CHUNK, len(data) - at)
         except zstd.ZstdError as e:
             raise WarcError(f"frame at {start}: {e}") from e
@@ -163,8 +170,8 @@ def parse(content: bytes, at: int = 0) -> Record:
     return Record(headers, http, payload)
 
 
-def read_archive(data: bytes) -> Iterator[Record]:
-    for at, content in frames(data):
+def read_archive(data: bytes, most: int | None = MOST_RECORD_BYTES) -> Iterator[Record]:
+    for at, content in frames(data, most):
         yield parse(content, at)
 
 
@@ -242,34 +249,50 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     return stored(joined.select("page", "url", "html", "keep", revisit.alias("revisit")).mapInArrow(_writer(folder, archive_bytes, date), "name string, records long"), "warc-manifest")
 
 
-def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+#: Records are handed on in slices of about so many bytes of payload.
+SLICE_BYTES = 4 << 20
+
+
+def _reader(payloads: bool):
+    fields = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "payload")
+    kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.binary())
     page = lambda x: int(x) if (x := x.removeprefix(f"<{URN}").removesuffix(">")) else None
-    for batch in batches:
-        for content in batch.column(0):
-            out = []
-            for r in read_archive(content.as_py()):
-                refers = r.headers.get("warc-refers-to")
-                out.append((page(r.headers["warc-record-id"]), int(r.http["content-length"]), r.headers["warc-payload-digest"].removeprefix("sha1:"), r.headers["warc-type"], page(refers) if refers else None, r.headers.get("warc-target-uri"), r.payload))
-            cols = list(zip(*out, strict=True)) if out else [()] * 7
-            kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "payload"])
+
+    def batch_of(out: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names=list(fields))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for content in batch.column(0):
+                out, held = [], 0
+                for r in read_archive(content.as_py()):
+                    refers = r.headers.get("warc-refers-to")
+                    out.append((page(r.headers["warc-record-id"]), int(r.http["content-length"]), r.headers["warc-payload-digest"].removeprefix("sha1:"), r.headers["warc-type"], page(refers) if refers else None, r.headers.get("warc-target-uri"), r.payload if payloads else None))
+                    held += len(r.payload) + 256
+                    if held >= SLICE_BYTES:
+                        yield batch_of(out)
+                        out, held = [], 0
+                if out:
+                    yield batch_of(out)
+
+    return run
 
 
 READ_SCHEMA = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, payload binary"
 
 
-def read_archives(spark: SparkSession, folder: str, manifest: DataFrame | None = None) -> DataFrame:
-    """One row for each record of the archives under ``folder``, or of those that ``manifest`` names."""
+def read_archives(spark: SparkSession, folder: str, manifest: DataFrame | None = None, payloads: bool = True) -> DataFrame:
+    """One row for each record of the archives under ``folder``, or of those that ``manifest`` names; without ``payloads`` these are checked and let go."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder)
     if manifest is not None:
         files = files.withColumn("name", F.element_at(F.split("path", "/"), -1)).join(manifest, "name", "left_semi")
-    return files.select("content").mapInArrow(_reader, READ_SCHEMA)
+    return files.select("content").mapInArrow(_reader(payloads), READ_SCHEMA)
 
 
-def warc_round_trip(spark: SparkSession, pages: DataFrame, **options) -> DataFrame:
+def warc_round_trip(spark: SparkSession, pages: DataFrame, payloads: bool = True, **options) -> DataFrame:
     """Write ``pages`` to archives in the shared folder and read them back."""
     folder = scratch(spark, "warc")
     manifest = write_archives(pages, folder, **options)
     if manifest.isEmpty():
         return spark.createDataFrame([], READ_SCHEMA)
-    return read_archives(spark, folder, manifest)
+    return read_archives(spark, folder, manifest, payloads)
