@@ -8,7 +8,7 @@ and hands the reread table on. All stages but the last return the columns of
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.decontaminate import decontaminated
@@ -29,10 +29,16 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: five-word shingles, similarity 0.8."""
-    kept = near_dedup(docs, shingle_words=5, percent=80).where("kept").select("doc_id")
-    known = docs.where("doc_id is not null").join(kept.where("doc_id is not null").distinct(), "doc_id", "left_semi")
-    return known.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    """One document of each near-duplicate group: five-word shingles, similarity 0.8.
+
+    A group's document is the one with its smallest id. Of several rows with one id the
+    one with the smallest text stays, null first, of equal texts one. Rows without an id all stay.
+    """
+    kept = stored(near_dedup(docs, shingle_words=5, percent=80).where("kept and doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")), "kept")
+    once = docs.join(kept.where("rows = 1").select("doc_id"), "doc_id", "left_semi")
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text", *(F.hash(c) for c in docs.columns)))
+    several = docs.join(kept.where("rows > 1").select("doc_id"), "doc_id", "left_semi").withColumn("__place", first).where("__place = 1").drop("__place")
+    return once.unionByName(several).unionByName(docs.where("doc_id is null")).select(*docs.columns)
 
 
 def leave_out_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

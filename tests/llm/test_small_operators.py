@@ -398,6 +398,19 @@ def archive(records):
     return warc.opening(content) + b"".join(pressed.compress(r) for r in records)
 
 
+def test_warc_of_a_very_long_page_and_a_bound_on_records(spark):
+    page = "".join(random.Random(1).choices("abc<>é ", k=3_000_000))
+    pages = spark.createDataFrame([(1, "u", page), (2, "u", "x" * 9_000_000), (3, "u", page)], "page_id long, url string, html string")
+    for payloads in (True, False):
+        got = {r.page_id: r for r in warc.warc_round_trip(spark, pages, payloads=payloads).collect()}
+        assert [(got[i].record_type, got[i].refers_to, got[i].payload_bytes) for i in (1, 2, 3)] == [("revisit", 3, len(page.encode())), ("response", None, 9_000_000), ("response", None, len(page.encode()))]
+        assert got[3].payload == (page.encode() if payloads else None)
+    long = archive([warc.record(1, "http://x", b"y" * 100_000, None, False, "2024-01-01T00:00:00Z")])
+    assert len(list(warc.read_archive(long))) == 1
+    with pytest.raises(warc.WarcError, match="more than"):
+        list(warc.read_archive(long, most=50_000))
+
+
 def test_warc_refuses_what_is_broken():
     good = [warc.record(i, "http://x", b"body %d " % i * 20, None, False, "2024-01-01T00:00:00Z") for i in range(40)]
     whole = archive(good)

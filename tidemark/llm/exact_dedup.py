@@ -8,7 +8,8 @@ partition as one row a task. Digests only nominate: every hit's full text is
 then compared with the text that the state's locator points to, and digests
 whose texts differ are grouped again by the text itself.
 
-Defined results: null text is the empty text; null identifiers rank lowest;
+Defined results: null text is the empty text; very long texts are digested and
+compared whole; null identifiers rank lowest;
 rows that repeat an identifier count as rows of their own, and the locator
 decides which one stays; an empty table gives an empty result; other columns of
 the table are never read, whatever their names.

@@ -13,9 +13,11 @@ The order by hash is cut into ``2**12`` hash ranges; running sums over range
 totals find the range with the boundary, and only its rows are ranked. No
 source, however large, is sorted in one task. Only DataFrame functions are used.
 
-Defined results: null or empty texts have size 0 and take 0; a null source is a
-source of its own that ranks last; equal (source, hash, id, size) rows are
-interchangeable; an empty table gives an empty result.
+Defined results: null or empty texts have size 0 and take 0; very long texts are
+counted whole; a null source is a source of its own that ranks last; equal
+(source, hash, id, size) rows are interchangeable; an empty table gives an empty
+result; other columns, whatever their names, are carried only where ``keep``
+names them.
 """
 
 from __future__ import annotations

@@ -12,9 +12,11 @@ Labels come from the rows outside the held-out third, ``train_rows`` of them at
 most. No statistic is an id, a language, a source or a label.
 
 Defined results: null and empty texts are scored like any text (all statistics
-0); repeated rows are scored alike; without both kinds of label every score is
-the share of label 1 (a half without labels); an empty table gives an empty
-result.
+0); very long texts are measured whole; repeated rows are scored alike; labels of
+one id that differ count as 1; raw scores that tie are calibrated alike; without
+both kinds of label every score is the share of label 1 (a half without labels);
+an empty table gives an empty result; only the named columns are read, whatever
+the others' names.
 """
 
 from __future__ import annotations
