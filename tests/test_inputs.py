@@ -121,6 +121,19 @@ def test_tables_round_trip(spark, tmp_path):
     assert tables.read_manifests(spark, str(tmp_path / "*.json")).first().horizons == [5, 20]
 
 
+def test_outcomes_are_patched_once(spark):
+    entries = spark.createDataFrame([(1, None, None), (2, "kept", DAY), (3, None, None)], "id long, outcome string, resolved_at date")
+    fresh = lambda name: spark.createDataFrame([(1, name, DAY), (2, name, DAY)], "id long, outcome string, resolved_at date")
+    once = sinks.patched(entries, fresh("new"))
+    assert sorted(map(tuple, sinks.patched(once, fresh("newer")).collect())) == [(1, "new", DAY), (2, "kept", DAY), (3, None, None)]
+
+
+def test_implied_statuses_keep_their_order(spark):
+    rows = [(n, 20, spot, rate, DAY, DAY if n != "C" else DAY - timedelta(1), k, 1.0, 1.1, 0.2, 500) for n, spot, rate in (("A", None, 0.02), ("B", 100.0, None), ("C", 100.0, 0.02)) for k in (95.0, 105.0)]
+    table = spark.createDataFrame(rows, "instrument_id string, horizon int, spot double, rate double, session date, chain_session date, strike double, bid double, ask double, iv double, open_interest long").withColumn("years", F.lit(0.1))
+    assert {r.instrument_id: r.status for r in feeds.implied_table(table).collect()} == {"A": "no_spot", "B": "no_rate", "C": "stale_session"}
+
+
 def test_package_hash_ignores_order_and_sees_change(spark):
     rows = spark.createDataFrame([(f"f{i}", DAY, 0.1 * i) for i in range(50)], "forecast_id string, session date, p double")
     one, two = (record.content_hash(r, ["forecast_id"]).first().sha256 for r in (rows, rows.repartition(7).orderBy(F.rand())))
@@ -149,15 +162,17 @@ def test_streaming_bars_equal_batch(spark, tmp_path):
     assert got and all(want[k] == v for k, v in got.items()) and len(got) > 30
 
 
-def test_streaming_merge_is_idempotent(spark, tmp_path):
-    path = str(tmp_path / "t")
-    merge = streams.merge_into(path, ["instrument_id", "date"], "arrived")
-    rows = lambda v, a: spark.createDataFrame([("A", DAY, v, a)], "instrument_id string, date date, close double, arrived int")
-    assert streams.current(spark, path) is None
+@pytest.mark.parametrize("compact_every", [2, 16])
+def test_streaming_merge_is_idempotent(spark, tmp_path, compact_every):
+    path, keys = str(tmp_path / "t"), ["instrument_id", "date"]
+    merge = streams.merge_into(path, keys, "arrived", compact_every)
+    rows = lambda v, a, name="A": spark.createDataFrame([(name, DAY, v, a)], "instrument_id string, date date, close double, arrived int")
+    assert streams.current(spark, path, keys) is None
     merge(rows(1.0, 1).unionByName(rows(2.0, 2)), 0)
-    merge(rows(3.0, 3), 1)
-    merge(rows(3.0, 3), 1)
-    assert [(r.close, r.arrived) for r in streams.current(spark, path).collect()] == [(3.0, 3)]
+    merge(rows(3.0, 3).unionByName(rows(5.0, 1, "B")), 1)
+    merge(rows(3.0, 3).unionByName(rows(5.0, 1, "B")), 1)
+    merge(rows(4.0, 2), 2)
+    assert sorted((r.instrument_id, r.close, r.arrived) for r in streams.current(spark, path, keys).collect()) == [("A", 4.0, 2), ("B", 5.0, 1)]
 
 
 def test_split_factor_and_screens(spark):

@@ -43,8 +43,10 @@ def test_twin(spark, duck, name):
 
 
 ROWS_ONLY = sorted(set(registry.QUERIES) - set(registry.ORACLES))
+#: May be empty on the smallest tables: no trigger on the last day, no fold or package of a short series.
+MAYBE_EMPTY = ("a19_live_panel", "a11_daily_forecasts", "a33_class_backtests")
 
 
-@pytest.mark.parametrize("name", [n for n in ROWS_ONLY if n[:3] not in ("a17", "a18", "m05", "m07", "m08")])
+@pytest.mark.parametrize("name", ROWS_ONLY)
 def test_rows_only(spark, name):
-    assert registry.QUERIES[name](spark, SF).count() > 0
+    assert registry.QUERIES[name](spark, SF).count() > 0 or name in MAYBE_EMPTY

@@ -8,7 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import evaluate, models, returns, rolling, technical
+from tidemark.operators import evaluate, models, ranks, returns, rolling, technical
 
 DAY = date(2020, 1, 1)
 
@@ -42,11 +42,38 @@ def test_expanding_rank_equals_pandas(spark):
     rng = np.random.default_rng(0)
     x = rng.integers(0, 20, 80).astype(float).tolist()
     x[5] = None
-    got = [r.p for r in panel(spark, x).select("date", technical.expanding_rank("close", 10).alias("p")).orderBy("date").collect()]
+    got = [r.p for r in ranks.with_expanding_ranks(panel(spark, x), {"p": "close"}, 10).orderBy("date").collect()]
     want = pd.Series(x, dtype=float).expanding(min_periods=10).rank(pct=True)
     assert np.allclose(np.array(got, float), want, equal_nan=True)
 
 
+def test_quantiles_equal_numpy(spark):
+    """Over many ranges, with ties, a hot key, a key of one value, a null key and values that are missing."""
+    rng = np.random.default_rng(4)
+    rows = [("hot", float(v)) for v in rng.integers(0, 300, 4000)] + [("few", 2.0), ("few", 1.0), ("one", 7.0), (None, 3.0), (None, 4.0), ("few", None), ("few", float("nan")), ("none", None)]
+    levels = [0.0, 0.005, 0.1, 0.5, 0.9, 0.995, 1.0]
+    table = spark.createDataFrame(rows, "k string, v double").repartition(5)
+    got = {r.k: (r.n, r.quantiles) for r in ranks.quantiles(table, ["k"], "v", levels).collect()}
+    for key in ("hot", "few", "one", None):
+        own = np.array([v for k, v in rows if k == key and v is not None and v == v])
+        assert got[key][0] == len(own) and np.allclose(got[key][1], np.quantile(own, levels))
+    assert set(got) == {"hot", "few", "one", None}
+
+
+def test_standardiser_equals_numpy(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(3, 2, (300, 2))
+    x[::7, 0] = np.nan
+    rows = pd.DataFrame({"a": x[:, 0], "b": x[:, 1], "c": 1.5})
+    ready = spark.createDataFrame(rows)
+    for stage in models.standardiser(ready, ["a", "b", "c"]):
+        ready = stage.transform(ready)
+    got = np.array([r.features.toArray() for r in ready.select("features").collect()])
+    x[:, 0] = np.where(np.isnan(x[:, 0]), np.nanmedian(x[:, 0]), x[:, 0])
+    want = np.column_stack([(x - x.mean(0)) / x.std(0), np.zeros(300)])
+    assert np.allclose(np.sort(got, axis=0), np.sort(want, axis=0))
+
+
 @pytest.mark.parametrize("cut", [60, 120])
 def test_features_never_see_the_future(spark, cut):
     rng = np.random.default_rng(cut)
@@ -128,15 +155,49 @@ def test_conformal_band_covers(spark):
     rows.loc[::50, "x"] = None
     table = spark.createDataFrame(rows)
     parts = [table.where(f"date < '{DAY + timedelta(500)}'"), table.where(f"date >= '{DAY + timedelta(500)}' and date < '{DAY + timedelta(900)}'"), table.where(f"date >= '{DAY + timedelta(900)}'")]
-    for kind in ("linear", "trees"):
+    for kind in ("linear", "trees", "network"):
         got = models.fit_horizon(parts[0], parts[1], ["x"], 5, kind).predict(parts[2]).toPandas()
         inside = ((got.band_low <= got.y_5) & (got.y_5 <= got.band_high)).mean()
         assert 0.84 <= inside <= 0.96
         assert got.prob_up.between(0.01, 0.99).all()
         assert ((got.prob_up > 0.5) == (got.y_5 > 0)).mean() > 0.6
-    predict = models.fit_network(parts[0], ["x"], "y_5")
-    found = predict(parts[2]).toPandas()
+    network = models.fit_network(parts[0], ["x"], "y_5")
+    found = network.transform(parts[2]).toPandas()
     assert np.corrcoef(found.point, found.y_5)[0, 1] > 0.5
+    again = models.fit_network(parts[0].repartition(5), ["x"], "y_5")
+    assert all(np.allclose(p, q) for one, two in zip(network.layers, again.layers, strict=True) for p, q in zip(one, two, strict=True))
     fitted = models.fit_horizon(parts[0], parts[1], ["x"], 5, "linear")
     share = models.linear_contributions(fitted.points, ["x"], parts[2]).first().contributions
     assert [c.feature for c in share] == ["x"]
+
+
+def test_saved_models_predict_as_before(spark, tmp_path):
+    rng = np.random.default_rng(5)
+    n = 900
+    rows = pd.DataFrame({"instrument_id": "A", "date": [DAY + timedelta(i) for i in range(n)], "x": rng.normal(size=n), "vol_20": 0.2})
+    rows["y_5"] = 0.02 * rows.x + 0.02 * rng.normal(size=n)
+    table = spark.createDataFrame(rows)
+    model = models.fit_horizon(table.where(f"date < '{DAY + timedelta(400)}'"), table.where(f"date >= '{DAY + timedelta(400)}'"), ["x"], 5, "linear")
+    models.save_models({5: model}, str(tmp_path / "m"))
+    loaded = models.load_models(spark, str(tmp_path / "m"), (5, 120), core=(5,))
+    assert set(loaded) == {5}
+    one, two = (m.predict(table).orderBy("date").toPandas() for m in (model, loaded[5]))
+    pd.testing.assert_frame_equal(one, two)
+    with pytest.raises(Exception, match="h20|PATH_NOT_FOUND"):
+        models.load_models(spark, str(tmp_path / "m"), (20,), core=(20,))
+
+
+def test_linear_fit_equals_ridge(spark):
+    """The linear model is the ridge solution on standardised features, with the label's own scale in the penalty."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(400, 2)) * [1.0, 3.0] + [0.5, -2.0]
+    y = x @ [0.3, -0.1] + rng.normal(size=400) * 0.2
+    table = spark.createDataFrame(pd.DataFrame({"a": x[:, 0], "b": x[:, 1], "y_5": y}))
+    got = models.fit_points(table, ["a", "b"], "y_5", "linear").transform(table).orderBy("a").toPandas().point
+    z = (x - x.mean(0)) / x.std(0)
+    spread = y.std(ddof=1)
+    # The fit standardises by sample deviations and divides the label by its own: so does the penalty.
+    z = z * x.std(0) / x.std(0, ddof=1)
+    w = np.linalg.solve(z.T @ z / 400 + 1e-3 * np.eye(2), z.T @ ((y - y.mean()) / spread) / 400) * spread
+    want = (z @ w + y.mean())[np.argsort(x[:, 0])]
+    assert np.allclose(got, want, atol=2e-3)

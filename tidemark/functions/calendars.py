@@ -230,3 +230,13 @@ def upcoming(events: DataFrame, after: Column, days: int = 45) -> DataFrame:
 def uncovered_kinds(events: DataFrame, end: Column) -> DataFrame:
     """kind, until: kinds whose schedule ends before ``end``."""
     return events.groupBy("kind").agg(F.max("day").alias("until")).where(F.col("until") < end)
+
+
+def calendar_rows(calendar: DataFrame, code: str, events: DataFrame, due: DataFrame) -> DataFrame:
+    """day, kind, what: sessions, events within the calendar, and each (target session, horizon) of open forecasts once."""
+    within = calendar.agg(F.min("date").alias("low"), F.max("date").alias("high"))
+    row = lambda t, day, kind, what: t.select(F.col(day).alias("day"), F.lit(kind).alias("kind"), what.alias("what"))
+    inside = events.join(F.broadcast(within), F.col("day").between(F.col("low"), F.col("high")))
+    ends = due.where("target_session is not null").select("target_session", "horizon").distinct()
+    parts = (row(calendar, "date", "session", F.lit(code)), row(inside, "day", "event", F.col("kind")), row(ends, "target_session", "target", F.concat(F.lit("h"), F.col("horizon").cast("string"))))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])

@@ -66,6 +66,11 @@ def listed_symbols(text: Column, pattern: str = r"`([A-Z0-9]{2,12})`") -> Column
     return F.regexp_extract_all(text, F.lit(pattern), 1)
 
 
+def exact_name(name: Column, offered: Column) -> Column:
+    """How many of the offered names are the same but for case."""
+    return F.size(F.filter(offered, lambda o: F.lower(o) == F.lower(name)))
+
+
 def rule_name(rule: Column) -> Column:
     """A rule without its variant."""
     return F.substring_index(rule, "|", 1)

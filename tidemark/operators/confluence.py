@@ -13,6 +13,7 @@ from tidemark.operators.candles import PATTERNS
 from tidemark.operators.evaluate import LEAST, compared, corrected, daily_cells, verdict
 from tidemark.operators.patterns import CONTEXTS, masks, pattern_events
 from tidemark.operators.returns import forward_direction, usual_direction
+from tidemark.session import stored
 
 MOST_CONTEXTS = 3
 BITS = {c: 1 << i for i, c in enumerate(CONTEXTS)}
@@ -77,7 +78,11 @@ def measured(outcomes: DataFrame) -> DataFrame:
 
 
 def measure(events: DataFrame, prices: DataFrame, horizons: Sequence[int], discovery_end, confirmation_start) -> DataFrame:
-    """The whole protocol: discovery, correction, confirmation of what was found, correction, status."""
+    """The whole protocol: discovery, correction, confirmation of what was found, correction, status.
+
+    Discovery and the later outcomes are written once; several steps read each.
+    """
+
     def period(start, end) -> DataFrame:
         parts = None
         for h in horizons:
@@ -86,9 +91,9 @@ def measure(events: DataFrame, prices: DataFrame, horizons: Sequence[int], disco
         return parts
 
     keys = ["combo", "trigger", "contexts", "direction", "horizon"]
-    discovery = measured(period(None, discovery_end))
+    discovery = stored(measured(period(None, discovery_end)), "discovery")
     found = discovery.where("verdict = 'better_significant'").select("trigger", "horizon", "contexts")
-    later = period(confirmation_start, None)
+    later = stored(period(confirmation_start, None), "later")
     # Only combinations that were found are measured again, and corrected among themselves.
     again = with_combos(later).join(found, ["trigger", "horizon", "contexts"], "left_semi")
     cells = daily_cells(again, keys)

@@ -34,3 +34,10 @@ def top_decile(prices: DataFrame, least: int = 252, share: float = 0.9) -> DataF
     cutoff: Column = F.percentile("momentum", F.lit(share)).over(Window.partitionBy("date"))
     flagged = ready.withColumn("in_top", F.coalesce(F.col("momentum") >= cutoff, F.lit(False)))
     return flagged.withColumn("fired", first_of_run(F.col("in_top"))).where((F.col("history") >= least) & F.col("fired")).select("instrument_id", "date", F.lit("momentum_top_decile").alias("rule"))
+
+
+def by_date(rows: DataFrame, *daily: DataFrame) -> DataFrame:
+    """``rows`` with tables of one row a day joined by date; a day that one lacks leaves its columns null."""
+    for table in daily:
+        rows = rows.join(table, "date", "left")
+    return rows

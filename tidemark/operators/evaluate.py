@@ -143,8 +143,8 @@ def records(long: DataFrame, keys: Sequence[str], partition: Sequence[str]) -> D
     return found.withColumns({"verdict": verdict(F.col("metric")), "observations_needed": observations_needed()})
 
 
-def arena(signals: DataFrame, prices: DataFrame, horizons: Sequence[int]) -> DataFrame:
-    """Every rule at every horizon against the instrument's usual direction, corrected over rules and horizons."""
+def arena_long(signals: DataFrame, prices: DataFrame, horizons: Sequence[int], keep: Sequence[str] = ()) -> DataFrame:
+    """One row for each signal whose horizon has closed: keep, rule, direction, horizon, day, model (its hit), base (the usual direction's)."""
     from tidemark.operators.returns import forward_direction, usual_direction
 
     parts = None
@@ -152,10 +152,15 @@ def arena(signals: DataFrame, prices: DataFrame, horizons: Sequence[int]) -> Dat
         outcomes = forward_direction(prices, h)
         usual = usual_direction(outcomes).select("instrument_id", "usual_up")
         joined = signals.join(outcomes, ["instrument_id", "date"]).join(usual, "instrument_id")
-        rows = joined.select("rule", "direction", F.lit(h).alias("horizon"), F.col("date").alias("day"), (F.col("up") == (F.col("direction") == "long")).cast("double").alias("model"), (F.col("up") == F.col("usual_up")).cast("double").alias("base"))
+        rows = joined.select(*keep, "rule", "direction", F.lit(h).alias("horizon"), F.col("date").alias("day"), (F.col("up") == (F.col("direction") == "long")).cast("double").alias("model"), (F.col("up") == F.col("usual_up")).cast("double").alias("base"))
         parts = rows if parts is None else parts.unionByName(rows)
+    return parts
+
+
+def arena(signals: DataFrame, prices: DataFrame, horizons: Sequence[int]) -> DataFrame:
+    """Every rule at every horizon against the instrument's usual direction, corrected over rules and horizons."""
     keys = ["rule", "direction", "horizon"]
-    found = corrected(compared(daily_cells(parts, keys), keys), [])
+    found = corrected(compared(daily_cells(arena_long(signals, prices, horizons), keys), keys), [])
     return found.withColumn("verdict", verdict(F.lit("direction_accuracy"))).orderBy("horizon", F.col("delta").desc(), "rule")
 
 

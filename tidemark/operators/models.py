@@ -1,9 +1,11 @@
-"""Walk-forward models: baselines, linear and tree regressors, conformal bands, calibrated probabilities.
-
-Trees are MLlib's, which grow by depth and want no missing values; gaps take
-the training median. Numbers are this library's own, the protocol is fixed: fit
-on the past, a first half of the calibration window for the band, a second for
-the probabilities.
+"""Walk-forward models: baselines, linear, tree and network regressors, conformal bands, calibrated probabilities.
+
+Trees are MLlib's, which grow by depth and want no missing values; gaps take the
+exact training median, and every feature is standardised by its population
+deviation (0 counts as 1). The network is fitted by many tasks at once, each on its
+own rows, whose weights are averaged after every round. Numbers are this library's
+own, the protocol is fixed: fit on the past, a first half of the calibration window
+for the band, a second for the probabilities.
 """
 
 from __future__ import annotations
@@ -13,14 +15,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, IsotonicRegression, LinearRegression
-from pyspark.sql import DataFrame, Window
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import GBTRegressor, IsotonicRegression, IsotonicRegressionModel, LinearRegression
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.scalar import horizon_scale, sign_bin
+from tidemark.operators.ranks import quantiles
+from tidemark.session import stored
 
 NOMINAL, LEAST_BIN, LEAST_HISTORY = 0.90, 100, 300
 BASELINES = {"naive": None, "momentum": "ret_20", "sector": "sector_ret_20", "buy_hold": None}
@@ -41,7 +46,8 @@ def fit_baselines(train: DataFrame, target: str, horizon: int) -> DataFrame:
     y, scale = F.col(target), horizon_scale(F.col("vol_20"), F.lit(horizon))
     base = train.agg(F.avg((y > 0).cast("double")).alias("base_rate"), F.avg(y).alias("base_mean"))
     with_base = train.crossJoin(F.broadcast(base))
-    band = with_base.agg(F.percentile(F.abs((y - F.col("base_mean")) / scale), F.lit(NOMINAL)).alias("band_q"))
+    sizes = with_base.select(F.lit(0).alias("all"), F.abs((y - F.col("base_mean")) / scale).alias("size"))
+    band = quantiles(sizes, ["all"], "size", [NOMINAL]).select(F.col("quantiles")[0].alias("band_q"))
     parts = None
     for name, column in BASELINES.items():
         if column is None:
@@ -68,10 +74,24 @@ def predict_baseline(rows: DataFrame, fitted: DataFrame, name: str, horizon: int
     return found.select(*rows.columns, point.alias("expected_return"), prob.alias("prob_up"), (point - F.col("band_q") * scale).alias("band_low"), (point + F.col("band_q") * scale).alias("band_high"))
 
 
-def standardised(features: Sequence[str]) -> list:
-    """Median imputation, assembly and standardisation as pipeline stages."""
-    filled = [f"{c}__filled" for c in features]
-    return [Imputer(strategy="median", inputCols=list(features), outputCols=filled), VectorAssembler(inputCols=filled, outputCol="raw", handleInvalid="keep"), StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True)]
+def standardiser(train: DataFrame, features: Sequence[str]) -> list:
+    """Fitted stages: gaps to the exact median, less the mean, over the population deviation (0 counts as 1); then one vector."""
+    known = train.select(*(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in features))
+    medians = {r["feature"]: r["quantiles"][0] for r in quantiles(known.unpivot([], list(features), "feature", "value"), ["feature"], "value", [0.5]).collect()}
+    filled = {c: F.coalesce(F.col(c), F.lit(float(medians.get(c, 0.0)))) for c in features}
+    stats = known.agg(*(f(x).alias(f"{c}__{name}") for c, x in filled.items() for name, f in (("mean", F.avg), ("sd", F.stddev_pop)))).first()
+    one = lambda c: f"(coalesce(nanvl(CAST(`{c}` AS DOUBLE), CAST(NULL AS DOUBLE)), {medians.get(c, 0.0)!r}D) - {stats[f'{c}__mean'] or 0.0!r}D) / {stats[f'{c}__sd'] or 1.0!r}D AS `{c}__std`"
+    scaled = SQLTransformer(statement=f"SELECT *, {', '.join(map(one, features))} FROM __THIS__")
+    return [scaled, VectorAssembler(inputCols=[f"{c}__std" for c in features], outputCol="features")]
+
+
+def fit_points(train: DataFrame, features: Sequence[str], target: str, kind: str) -> PipelineModel:
+    """Standardisation and a regressor that adds ``point``."""
+    stages = standardiser(train, features)
+    ready = train
+    for stage in stages:
+        ready = stage.transform(ready)
+    return PipelineModel([*stages, regressor(kind, target).fit(ready)])
 
 
 def regressor(kind: str, target: str, seed: int = 7):
@@ -82,12 +102,16 @@ def regressor(kind: str, target: str, seed: int = 7):
     raise ValueError(kind)
 
 
+#: Past errors stand in a model as so many evenly spaced exact quantiles, at every size.
+ERROR_LEVELS = [i / 1000 for i in range(1001)]
+
+
 @dataclass
 class HorizonModel:
     """A fitted point model with its band and its calibrated probabilities."""
 
-    points: PipelineModel
-    residuals: np.ndarray
+    points: object  # adds ``point`` by transform()
+    errors: list[float]
     band_q: float
     calibrator: object
     horizon: int
@@ -95,16 +119,16 @@ class HorizonModel:
     def predict(self, rows: DataFrame) -> DataFrame:
         """Add expected_return, scale, prob_up_raw, prob_up, band_low, band_high."""
         scaled = self.points.transform(rows).withColumn("scale", horizon_scale(F.col("vol_20"), F.lit(self.horizon)))
-        raw = scaled.withColumn("prob_up_raw", raw_probability(self.residuals)(F.col("point"), F.col("scale")))
+        raw = scaled.withColumn("prob_up_raw", raw_probability(self.errors)(F.col("point"), F.col("scale")))
         done = self.calibrator.transform(raw)
         prob = F.least(F.greatest(F.col("calibrated"), F.lit(LOW)), F.lit(HIGH))
         band = F.lit(self.band_q) * F.col("scale")
         return done.select(*rows.columns, F.col("point").alias("expected_return"), "scale", "prob_up_raw", prob.alias("prob_up"), (F.col("point") - band).alias("band_low"), (F.col("point") + band).alias("band_high"))
 
 
-def raw_probability(residuals: np.ndarray):
+def raw_probability(errors: Sequence[float]):
     """Share of past normalised errors that would leave the return above 0, as a vectorised function of point and scale."""
-    ordered = np.sort(residuals)
+    ordered = np.array(errors)
 
     @F.pandas_udf(T.DoubleType())
     def share(point: pd.Series, scale: pd.Series) -> pd.Series:
@@ -113,99 +137,127 @@ def raw_probability(residuals: np.ndarray):
     return share
 
 
-#: A band needs no more than so many calibration errors; the sample is by hash and documented.
-MOST_RESIDUALS = 200_000
-
-
 def fit_horizon(train: DataFrame, calibration: DataFrame, features: Sequence[str], horizon: int, kind: str = "trees") -> HorizonModel:
     """Fit on train; band from the older half of the calibration days, probabilities from the newer."""
     target = f"y_{horizon}"
     train, calibration = (d.where(F.col(target).isNotNull()) for d in (train, calibration))
-    points = Pipeline(stages=[*standardised(features), regressor(kind, target)]).fit(train)
+    points = fit_network(train, features, target) if kind == "network" else fit_points(train, features, target, kind)
+    return calibrated(points, calibration, horizon)
+
+
+def calibrated(points, calibration: DataFrame, horizon: int) -> HorizonModel:
+    """Band and probabilities of a point model; the calibration rows are predicted once."""
+    target = f"y_{horizon}"
     days = calibration.select("date").distinct().withColumn("half", F.ntile(2).over(Window.orderBy("date")))
-    scored = points.transform(calibration.join(days, "date")).withColumn("scale", horizon_scale(F.col("vol_20"), F.lit(horizon)))
-    errors = scored.where("half = 1").select(((F.col(target) - F.col("point")) / F.col("scale")).alias("e"))
-    seen = errors.count()
-    sample = errors if seen <= MOST_RESIDUALS else errors.sample(False, MOST_RESIDUALS / seen, 7)
-    residuals = np.array([r["e"] for r in sample.collect()])
-    band_q = errors.agg(F.percentile(F.abs("e"), F.lit(NOMINAL))).first()[0]
-    newer = scored.where("half = 2").withColumn("prob_up_raw", raw_probability(residuals)(F.col("point"), F.col("scale"))).withColumn("up", (F.col(target) > 0).cast("double"))
-    calibrator = IsotonicRegression(featuresCol="prob_up_raw", labelCol="up", predictionCol="calibrated").fit(newer.select("prob_up_raw", "up"))
-    return HorizonModel(points, residuals, float(band_q or 0.0), calibrator, horizon)
+    scored = points.transform(calibration.where(F.col(target).isNotNull()).join(days, "date")).withColumn("scale", horizon_scale(F.col("vol_20"), F.lit(horizon)))
+    scored = stored(scored.select("half", "point", "scale", F.col(target).alias("y")), "calibration")
+    errors = scored.where("half = 1").select(((F.col("y") - F.col("point")) / F.col("scale")).alias("error")).withColumn("size", F.abs("error"))
+    found = {r["what"]: list(r["quantiles"]) for r in quantiles(errors.unpivot([], ["error", "size"], "what", "value"), ["what"], "value", ERROR_LEVELS).collect()}
+    past = found.get("error", [])
+    newer = scored.where("half = 2").select(raw_probability(past)(F.col("point"), F.col("scale")).alias("prob_up_raw"), (F.col("y") > 0).cast("double").alias("up"))
+    calibrator = IsotonicRegression(featuresCol="prob_up_raw", labelCol="up", predictionCol="calibrated").fit(newer)
+    return HorizonModel(points, past, found["size"][ERROR_LEVELS.index(NOMINAL)] if found else 0.0, calibrator, horizon)
 
 
 def ensemble(predictions: Sequence[DataFrame], keys: Sequence[str] = ("instrument_id", "date")) -> DataFrame:
-    """Equal-weight mean of several models' expected returns and probabilities."""
-    union = predictions[0].select(*keys, "expected_return", "prob_up")
+    """Equal-weight mean of several models' numbers: all double columns."""
+    union = predictions[0]
     for p in predictions[1:]:
-        union = union.unionByName(p.select(*keys, "expected_return", "prob_up"))
-    return union.groupBy(*keys).agg(F.avg("expected_return").alias("expected_return"), F.avg("prob_up").alias("prob_up"))
-
-
-def fit_network(train: DataFrame, features: Sequence[str], target: str, hidden: tuple[int, int] = (64, 32), rows: int = 100_000, rounds: int = 300, seed: int = 7):
-    """A small two-layer regressor, fitted with numpy in one task on at most about ``rows`` training rows (a documented bound)."""
-    total = train.count()
-    sample = train.where(F.col(target).isNotNull()).select(*features, target)
-    if total > rows:
-        sample = sample.sample(False, rows / total, seed)
-
-    def fit(g: pd.DataFrame) -> pd.DataFrame:
-        rng = np.random.default_rng(seed)
-        x, y = g[list(features)].to_numpy(float), g[target].to_numpy(float)
-        middle = np.nan_to_num(np.nanmedian(np.where(np.isfinite(x), x, np.nan), axis=0))
-        x = np.where(np.isfinite(x), x, middle)
-        mean, std = x.mean(0), x.std(0)
-        std[std == 0] = 1
-        x = (x - mean) / std
-        shift, spread = y.mean(), y.std() or 1.0
-        t = (y - shift) / spread
-        sizes = [x.shape[1], *hidden, 1]
-        w = [rng.normal(0, np.sqrt(2 / a), (a, b)) for a, b in zip(sizes, sizes[1:], strict=False)]
-        c = [np.zeros(b) for b in sizes[1:]]
-        moments = [[np.zeros_like(p), np.zeros_like(p)] for p in w + c]
-        for step in range(1, rounds + 1):
-            at = rng.integers(len(x), size=min(512, len(x)))
-            layers = [x[at]]
-            for i, (a, b) in enumerate(zip(w, c, strict=True)):
-                z = layers[-1] @ a + b
-                layers.append(np.maximum(z, 0) if i < len(w) - 1 else z)
-            back = (layers[-1][:, 0] - t[at])[:, None] / len(at)
-            slopes_w, slopes_c = [], []
-            for i in reversed(range(len(w))):
-                slopes_w.insert(0, layers[i].T @ back + 1e-4 * w[i])
-                slopes_c.insert(0, back.sum(0))
-                back = (back @ w[i].T) * (layers[i] > 0)
-            for p, g_, m in zip(w + c, slopes_w + slopes_c, moments, strict=True):
-                m[0], m[1] = 0.9 * m[0] + 0.1 * g_, 0.999 * m[1] + 0.001 * g_**2
-                p -= 0.003 * (m[0] / (1 - 0.9**step)) / (np.sqrt(m[1] / (1 - 0.999**step)) + 1e-8)
-        parts = [middle, mean, std, np.array([shift, spread]), *(p.ravel() for p in w), *c]
-        return pd.DataFrame({"part": range(len(parts)), "values": [p.astype(float).tolist() for p in parts]})
-
-    fitted = sample.groupBy(F.lit(0).alias("all")).applyInPandas(fit, "part int, values array<double>")
-    parts = [np.array(r["values"]) for r in fitted.orderBy("part").collect()]
+        union = union.unionByName(p)
+    return union.groupBy(*keys).agg(*(F.avg(c).alias(c) for c, t in predictions[0].dtypes if t == "double"))
+
+
+@dataclass
+class Network:
+    """A small two-layer regressor over standardised features."""
+
+    stages: list
+    layers: list[tuple[np.ndarray, np.ndarray]]
+    shift: float
+    spread: float
+
+    def transform(self, rows: DataFrame) -> DataFrame:
+        layers, shift, spread = self.layers, self.shift, self.spread
+
+        @F.pandas_udf(T.DoubleType())
+        def predict(vectors: pd.Series) -> pd.Series:
+            return pd.Series(forward(np.array(vectors.tolist()), layers)[-1][:, 0] * spread + shift)
+
+        for stage in self.stages:
+            rows = stage.transform(rows)
+        return rows.withColumn("point", predict(vector_to_array("features")))
+
+
+def forward(x: np.ndarray, layers: list) -> list[np.ndarray]:
+    out = [x]
+    for i, (a, b) in enumerate(layers):
+        z = out[-1] @ a + b
+        out.append(np.maximum(z, 0) if i < len(layers) - 1 else z)
+    return out
+
+
+def descend(x: np.ndarray, t: np.ndarray, layers: list, steps: int, seed: int, batch: int = 256, rate: float = 0.003, decay: float = 1e-4) -> list:
+    """So many Adam steps on one task's rows, from the given weights."""
+    rng, params = np.random.default_rng(seed), [p.copy() for layer in layers for p in layer]
+    first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
+    for step in range(1, steps + 1):
+        at = rng.integers(len(x), size=min(batch, len(x)))
+        now = list(zip(params[::2], params[1::2], strict=True))
+        seen = forward(x[at], now)
+        back, slopes = (seen[-1] - t[at, None]) / len(at), []
+        for i in reversed(range(len(now))):
+            slopes[:0] = [seen[i].T @ back + decay * now[i][0], back.sum(0)]
+            back = (back @ now[i][0].T) * (seen[i] > 0)
+        for p, g, m, v in zip(params, slopes, first, second, strict=True):
+            m += 0.1 * (g - m)
+            v += 0.001 * (g * g - v)
+            p -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+    return list(zip(params[::2], params[1::2], strict=True))
+
+
+#: The network's rows are dealt into so many parts by a hash of their key, whatever the cluster, so that reruns agree.
+PARTS = 8
+
+
+def fit_network(train: DataFrame, features: Sequence[str], target: str, hidden: tuple[int, int] = (64, 32), rounds: int = 6, steps: int = 120, seed: int = 7, keys: Sequence[str] = ("instrument_id", "date")) -> Network:
+    """Each round every part descends from the common weights on its own rows; their weights are averaged by rows.
+
+    All training rows take part; what comes to the driver is one set of weights a part.
+    """
+    stages, ready = standardiser(train, features), train
+    for stage in stages:
+        ready = stage.transform(ready)
+    part = F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(PARTS))
+    rows = stored(ready.select(part.alias("part"), F.xxhash64(*keys).alias("k"), vector_to_array("features").alias("x"), F.col(target).cast("double").alias("y")).repartition(PARTS, "part").sortWithinPartitions("part", "k"), "network")
+    mean, spread = rows.agg(F.avg("y"), F.stddev_pop("y")).first()
+    mean, spread = mean or 0.0, spread or 1.0
     sizes = [len(features), *hidden, 1]
-    shapes = list(zip(sizes, sizes[1:], strict=False))
-    layers = [(p.reshape(s), b) for p, s, b in zip(parts[4:7], shapes, parts[7:10], strict=True)]
+    start = np.random.default_rng(seed)
+    layers = [(start.normal(0, np.sqrt(2 / a), (a, b)), np.zeros(b)) for a, b in zip(sizes, sizes[1:], strict=False)]
 
-    @F.pandas_udf(T.DoubleType())
-    def predict(*columns: pd.Series) -> pd.Series:
-        x = np.column_stack(columns).astype(float)
-        x = (np.where(np.isfinite(x), x, parts[0]) - parts[1]) / parts[2]
-        for i, (a, b) in enumerate(layers):
-            x = x @ a + b
-            if i < len(layers) - 1:
-                x = np.maximum(x, 0)
-        return pd.Series(x[:, 0] * parts[3][1] + parts[3][0])
+    def moved_by(now: list, turn: int):
+        def run(g: pd.DataFrame) -> pd.DataFrame:
+            g = g.sort_values("k")
+            x, t = np.array(g["x"].tolist(), float), (g["y"].to_numpy(float) - mean) / spread
+            moved = descend(x, t, now, steps, seed + 1000 * turn + int(g["part"].iloc[0]))
+            return pd.DataFrame([{"n": len(g), "weights": np.concatenate([p.ravel() for layer in moved for p in layer]).tolist()}])
+
+        return run
 
-    return lambda rows_: rows_.withColumn("point", predict(*[F.col(f).cast("double") for f in features]))
+    for turn in range(rounds):
+        found = rows.groupBy("part").applyInPandas(moved_by(layers, turn), "n long, weights array<double>").collect()
+        flat = np.average([r["weights"] for r in found], axis=0, weights=[r["n"] for r in found])
+        layers, at = [], 0
+        for a, b in zip(sizes, sizes[1:], strict=False):
+            layers.append((flat[at : at + a * b].reshape(a, b), flat[at + a * b : at + a * b + b]))
+            at += a * b + b
+    return Network(stages, layers, mean, spread)
 
 
 def linear_contributions(model: PipelineModel, features: Sequence[str], rows: DataFrame) -> DataFrame:
     """Add contributions: an array of (feature, value), each standardised feature times its weight. Exact for the linear model."""
-    from pyspark.ml.functions import vector_to_array
-
     weights = model.stages[-1].coefficients.toArray().tolist()
-    scaled = Pipeline(stages=[]).fit(rows).transform(rows)
+    scaled = rows
     for stage in model.stages[:-1]:
         scaled = stage.transform(scaled)
     values = vector_to_array("features")
@@ -219,8 +271,6 @@ def tree_contributions(model: PipelineModel, features: Sequence[str], rows: Data
     Trees are flattened on the driver (their size is fixed by depth and rounds)
     and walked in vectorised batches.
     """
-    from pyspark.ml.functions import vector_to_array
-
     boosted = model.stages[-1]
     trees = []
     for weight, tree in zip(boosted.treeWeights, boosted.trees, strict=True):
@@ -266,19 +316,20 @@ def tree_contributions(model: PipelineModel, features: Sequence[str], rows: Data
 
 
 def save_models(models: dict[int, HorizonModel], path: str) -> None:
-    """Each horizon's pipeline under a folder of its own."""
+    """Each horizon's point model, calibrator, errors and band under a folder of its own."""
     for h, m in models.items():
         m.points.write().overwrite().save(f"{path}/h{h}/points")
         m.calibrator.write().overwrite().save(f"{path}/h{h}/calibrator")
+        SparkSession.active().createDataFrame([(h, m.band_q, m.errors)], "horizon int, band_q double, errors array<double>").write.mode("overwrite").parquet(f"{path}/h{h}/band")
 
 
-def load_points(path: str, horizons: Sequence[int], core: Sequence[int] = (5, 20, 60)) -> dict[int, PipelineModel]:
-    """Saved pipelines by horizon. A core horizon must be there; an extended one may be missing."""
+def load_models(spark: SparkSession, path: str, horizons: Sequence[int], core: Sequence[int] = (5, 20, 60)) -> dict[int, HorizonModel]:
+    """Saved models by horizon, ready to predict. A core horizon must be there; an extended one that was never saved is left out."""
     found = {}
     for h in horizons:
-        try:
-            found[h] = PipelineModel.load(f"{path}/h{h}/points")
-        except Exception:
-            if h in core:
-                raise
+        at = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/h{h}")
+        if h not in core and not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+            continue
+        band = spark.read.parquet(f"{path}/h{h}/band").first()
+        found[h] = HorizonModel(PipelineModel.load(f"{path}/h{h}/points"), list(band["errors"]), band["band_q"], IsotonicRegressionModel.load(f"{path}/h{h}/calibrator"), h)
     return found

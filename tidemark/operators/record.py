@@ -117,6 +117,11 @@ def verdict_documents(records: DataFrame, keys: Sequence[str]) -> DataFrame:
     return records.groupBy("horizon").agg(F.to_json(F.array_sort(F.collect_list(row))).alias("document"))
 
 
+def placed(rows: DataFrame, *ties: str) -> DataFrame:
+    """Add place: 1 for the largest delta of a horizon, equal ones in the order of ``ties``."""
+    return rows.withColumn("place", F.row_number().over(Window.partitionBy("horizon").orderBy(F.col("delta").desc_nulls_last(), *ties)))
+
+
 def questions(prices: DataFrame, horizon: int, window: int = 120, least_past: int = 60) -> DataFrame:
     """instrument_id, date, closes, after, baseline_prob, up: blind windows normalised to 100, with the past-only base rate."""
     over = Window.partitionBy("instrument_id").orderBy("date")

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.macro import by_day
 from tidemark.operators.rolling import guarded
-from tidemark.operators.technical import YEAR, expanding_rank
+from tidemark.operators.ranks import with_expanding_ranks
+from tidemark.operators.technical import YEAR
 
 CALM_BELOW, STRESSED_FROM, MIN_HISTORY = 1 / 3, 0.80, 252
 
@@ -56,5 +57,5 @@ def regime(wide: DataFrame, market: str, basket: Sequence[str], least: int = MIN
     """date, market_vol_20, cross_market_corr_60, vol_pct, corr_pct, stress, regime."""
     vol = guarded(F.stddev_samp, F.col(f"`{market}`"), 20, over=by_day()) * F.sqrt(F.lit(float(YEAR)))
     daily = wide.select("date", vol.alias("market_vol_20")).join(pair_correlation(wide, basket).withColumnRenamed("corr", "cross_market_corr_60"), "date", "left")
-    ranked = daily.withColumns({"vol_pct": expanding_rank("market_vol_20", least, by_day()), "corr_pct": expanding_rank("cross_market_corr_60", least, by_day())})
+    ranked = with_expanding_ranks(daily, {"vol_pct": "market_vol_20", "corr_pct": "cross_market_corr_60"}, least)
     return ranked.withColumn("stress", (F.col("vol_pct") + F.col("corr_pct")) / 2).withColumn("regime", label(F.col("stress")))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.evaluate import LEAST, NOMINAL, each_regime
+from tidemark.operators.ranks import quantiles
 
 #: 0.5 % to 99.5 % in steps of half a per cent.
 LEVELS = [round(0.005 * i, 3) for i in range(1, 200)]
@@ -22,14 +23,13 @@ def quantile_grid(scored: DataFrame) -> DataFrame:
     ``scored`` has horizon, regime, calm, y, expected_return, scale.
     """
     rows = each_regime(with_error(scored.where("calm is not null"))).where(F.col("regime").isin("all", "calm", "normal", "stressed"))
-    calm = F.when(F.col("calm"), F.col("error"))
-    found = rows.groupBy("horizon", "regime").agg(
-        F.count(F.lit(1)).alias("windows"),
-        F.count_if("calm").alias("calm_windows"),
-        F.percentile(calm, F.array(*map(F.lit, LEVELS))).alias("q"),
-        F.percentile(F.abs(calm), F.lit(NOMINAL)).alias("b"),
-        F.percentile(F.abs("error"), F.lit(NOMINAL)).alias("a"),
-    )
+    rows = rows.withColumns({"calm_error": F.when(F.col("calm"), F.col("error")), "size": F.abs("error"), "calm_size": F.abs(F.when(F.col("calm"), F.col("error")))})
+    keys = ["horizon", "regime"]
+    found = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("windows"), F.count_if("calm").alias("calm_windows"))
+    # A horizon's regime "all" is a fifth of the table: ranks, not buffers.
+    for name, value, levels in (("q", "calm_error", LEVELS), ("b", "calm_size", [NOMINAL]), ("a", "size", [NOMINAL])):
+        found = found.join(quantiles(rows, keys, value, levels).select(*keys, F.col("quantiles").alias(name)), keys, "left")
+    found = found.withColumns({"a": F.col("a")[0], "b": F.col("b")[0]})
     enough = F.col("calm_windows") >= LEAST
     return found.select(
         "horizon",

@@ -11,8 +11,8 @@ from tidemark.functions import calendars, quality, scalar
 from tidemark.functions.assets import ASSETS, Asset, train_stride
 from tidemark.operators import confluence, cross_section, evaluate, macro, models, record, regime, resolve, returns, technical, upsert
 from tidemark.operators.signals import all_signals
-from tidemark.plans.inputs import FEATURES, hashed_events, offered
-from tidemark.plans.measure import OUT, market, outcomes, region_universe, thin_series
+from tidemark.plans.inputs import FEATURES, offered, ready
+from tidemark.plans.measure import OUT, market, outcomes, region_universe, shock_frame, thin_series
 from tidemark.plans.panel import BASKET, KEYS, REGION, TR, bars, log_returns, with_tr
 from tidemark.plans.registry import query, rounded
 from tidemark.session import stored
@@ -50,18 +50,91 @@ def fold_parts(rows: DataFrame, fold, calendar: DataFrame, horizon: int, calibra
     return train.drop("idx"), calibration.drop("idx"), rows.where(F.col("date").between(fold["test_start"], fold["test_end"]))
 
 
-def backtest(rows: DataFrame, calendar: DataFrame, features: Sequence[str], horizon: int, asset: Asset, kind: str = "linear", most_folds: int | None = None) -> DataFrame:
-    """Scored rows of all folds: the model's prediction and its naive baseline's, with the fold. Folds are fitted one after another, each in parallel."""
-    out, rows = None, stored(rows, "backtest")  # every fold reads them several times
-    folds = calendars.walk_forward(calendar, horizon, asset.test_sessions, asset.train_sessions).orderBy("fold").limit(most_folds or 1000).collect()
-    for fold in folds:
+SCORED = "instrument_id string, date date, actual_return double, expected_return double, scale double, prob_up double, band_low double, band_high double, family string, baseline_prob double, fold int, horizon int"
+
+
+def backtest(rows: DataFrame, calendar: DataFrame, features: Sequence[str], horizon: int, asset: Asset, kinds: Sequence[str] = ("linear",)) -> DataFrame:
+    """Scored rows of all folds: every family's prediction and the naive baseline's, with the fold; of several families also their ensemble.
+
+    Folds are fitted one after another, each in parallel and on the same rows for
+    all families. A scored fold is written, so plans stay short and a lost
+    executor costs no fit.
+    """
+    spark, out, rows = rows.sparkSession, None, stored(rows, "backtest")  # every fold reads them several times
+    for fold in calendars.walk_forward(calendar, horizon, asset.test_sessions, asset.train_sessions).orderBy("fold").collect():
         train, calibration, test = fold_parts(rows, fold, calendar, horizon, asset.calibration_sessions)
-        model = models.fit_horizon(train, calibration, features, horizon, kind)
         naive = models.predict_baseline(test.select(*KEYS, "vol_20"), models.fit_baselines(train, f"y_{horizon}", horizon), "naive", horizon)
-        scored = model.predict(test).select(*KEYS, F.col(f"y_{horizon}").alias("actual_return"), "expected_return", "scale", "prob_up", "band_low", "band_high")
-        part = scored.join(naive.select(*KEYS, F.col("prob_up").alias("baseline_prob")), KEYS).withColumns({"fold": F.lit(fold["fold"]), "horizon": F.lit(horizon)})
+        parts = []
+        for kind in kinds:
+            model = models.fit_horizon(train, calibration, features, horizon, kind)
+            parts.append(model.predict(test).select(*KEYS, F.col(f"y_{horizon}").alias("actual_return"), "expected_return", "scale", "prob_up", "band_low", "band_high", F.lit(kind).alias("family")))
+        if len(parts) > 1:
+            parts.append(models.ensemble(parts).withColumn("family", F.lit("ensemble")))
+        scored = parts[0]
+        for p in parts[1:]:
+            scored = scored.unionByName(p)
+        done = scored.join(naive.select(*KEYS, F.col("prob_up").alias("baseline_prob")), KEYS).withColumns({"fold": F.lit(fold["fold"]), "horizon": F.lit(horizon)})
+        part = stored(done.select(*(c.split()[0] for c in SCORED.split(", "))), "fold")
         out = part if out is None else out.unionByName(part)
-    return out
+    return spark.createDataFrame([], SCORED) if out is None else out
+
+
+def points(long: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """What a comparison rests on, before any resampling: keys, days, n, value, baseline_value, delta."""
+    total = F.sum("n")
+    return evaluate.daily_cells(long, keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("days"), total.alias("n"), (F.sum("model") / total).alias("value"), (F.sum("base") / total).alias("baseline_value"), (F.sum("d") / total).alias("delta"))
+
+
+def with_scores(rows: DataFrame) -> DataFrame:
+    y = F.col("actual_return")
+    return rows.withColumns({"hit": scalar.hit(F.col("prob_up"), y), "brier": scalar.brier(F.col("prob_up"), y)})
+
+
+def shared_sample(rows: DataFrame, families: int, keys: Sequence[str] = ("instrument_id", "session", "horizon")) -> DataFrame:
+    """Rows of the keys that all families forecast."""
+    full = rows.groupBy(*keys).agg(F.count_distinct("family").alias("__f")).where(F.col("__f") == families).select(*keys)
+    return rows.join(full, [*keys], "left_semi")
+
+
+def models_live(rows: DataFrame, main: str, families: int) -> DataFrame:
+    """horizon, family, metric, day, model, base: every other family against the main one, on what all of them forecast."""
+    shared = shared_sample(rows, families)
+    others = shared.where(F.col("family") != main)
+    base = shared.where(F.col("family") == main).select("instrument_id", "session", "horizon", F.col("hit").alias("base_hit"), F.col("brier").alias("base_brier"))
+    pair = lambda m, a, b: F.struct(F.lit(m).alias("metric"), F.col(a).alias("model"), F.col(b).alias("base"))
+    both = others.join(base, ["instrument_id", "session", "horizon"])
+    return both.select("horizon", "family", F.col("session").alias("day"), F.explode(F.array(pair("direction_accuracy", "hit", "base_hit"), pair("brier", "brier", "base_brier"))).alias("m")).select("horizon", "family", "day", "m.*")
+
+
+def implied_comparisons(rows: DataFrame) -> DataFrame:
+    """horizon, metric, day, model, base: the model against the market's implied probability, where it has one."""
+    y, known = F.col("actual_return"), rows.where((F.col("implied_status") == "ok") & F.col("implied_prob_up").isNotNull())
+    pair = lambda m, f: F.struct(F.lit(m).alias("metric"), f(F.col("prob_up"), y).alias("model"), f(F.col("implied_prob_up"), y).alias("base"))
+    return known.select("horizon", F.col("session").alias("day"), F.explode(F.array(pair("direction_accuracy", scalar.hit), pair("brier", scalar.brier))).alias("m")).select("horizon", "day", "m.*")
+
+
+def daily_package(today: DataFrame, fitted: dict[int, models.HorizonModel], calendar: DataFrame, version: str, made_at: Column, flags: DataFrame, events: DataFrame, implied: DataFrame) -> DataFrame:
+    """One session's forecasts: every model's point, probability and bands, in returns and prices, with target, events, shock flags and the implied columns.
+
+    ``flags`` has instrument_id, session, shock_signals and shock_market; a session
+    on which the market itself is in shock has its probabilities withheld.
+    """
+    parts = None
+    for horizon, model in fitted.items():
+        part = model.predict(today).select("instrument_id", F.col("date").alias("session"), F.lit(horizon).alias("horizon"), "close", "expected_return", "scale", "prob_up", "band_low", "band_high")
+        parts = part if parts is None else parts.unionByName(part)
+    placed = calendars.events_in_window(calendars.with_target(parts, calendar), events, calendar)
+    flagged = placed.join(flags, ["instrument_id", "session"], "left").withColumns({c: F.coalesce(c, F.lit("")) for c in ("shock_signals", "shock_market")})
+    named = feeds.attach_implied(flagged, implied).withColumns(
+        {
+            "forecast_id": scalar.forecast_id(F.col("instrument_id"), F.col("session"), F.col("horizon"), F.lit(version)),
+            "price_low": scalar.price_band(F.col("close"), F.col("band_low")),
+            "price_high": scalar.price_band(F.col("close"), F.col("band_high")),
+            "withheld": F.col("shock_market") != "",
+            "made_at": made_at,
+        }
+    )
+    return named.withColumn("prob_up", scalar.masked(F.col("prob_up"), F.col("withheld")))
 
 
 def paired_long(challenger: DataFrame, main: DataFrame, keys: Sequence[str] = ("instrument_id", "session", "horizon")) -> DataFrame:
@@ -120,32 +193,79 @@ def g15(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(label_share(days, windows))
 
 
+def target_rows(prices: DataFrame, horizons: Sequence[int], least: int = 252) -> DataFrame:
+    """Features and targets of priced rows with enough history."""
+    targets = returns.with_targets(prices, list(horizons)).select(*KEYS, *(f"y_{h}" for h in horizons))
+    return technical.features(prices).join(targets, KEYS).where(F.col("history_sessions") >= least)
+
+
 @query("a05_backtest")
 def a05(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two folds of the linear model at five days (all folds run the same way)."""
+    """Every fold of the linear model at five days."""
     prices = with_tr(spark, sf_dir)
-    rows = technical.features(prices).join(returns.with_targets(prices, [5]).select(*KEYS, "y_5"), KEYS).where("history_sessions >= 252")
-    return rounded(backtest(rows, fx.sessions(prices), FEATURES, 5, ASSETS["equity"], most_folds=2))
+    return rounded(backtest(target_rows(prices, [5]), fx.sessions(prices), FEATURES, 5, ASSETS["equity"]))
+
+
+LONG_FOLDS = ", folds AS (SELECT k AS fold, 756 + k * 504 AS start FROM (SELECT unnest(range(100))::INTEGER AS k) WHERE 756 + k * 504 + 504 <= (SELECT max(idx) FROM sessions)), fd AS (SELECT fold, a.idx AS end_idx, b.idx AS from_idx, c.idx AS to_idx FROM folds JOIN sessions a ON a.idx = greatest(0, start - 6) + 1 JOIN sessions b ON b.idx = start + 1 JOIN sessions c ON c.idx = start + 504)"
+
+
+@query(
+    "a05_fold_parts",
+    fx.prelude("region", "sessions") + LONG_FOLDS + """, h AS (SELECT instrument_id, date, idx, row_number() OVER (PARTITION BY instrument_id ORDER BY date) AS n FROM panel_region JOIN sessions USING (date)), r AS (SELECT * FROM h WHERE n >= 252)
+    SELECT fold, count(*) FILTER (idx + 5 <= end_idx - 252) AS train, count(*) FILTER (idx + 5 <= end_idx AND idx + 5 > end_idx - 252) AS calibration, count(*) FILTER (idx BETWEEN from_idx AND to_idx) AS test FROM r, fd GROUP BY 1""",
+)
+def a05_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many rows every fold of the backtest trains, calibrates and tests on."""
+    prices = with_tr(spark, sf_dir)
+    calendar = fx.sessions(prices)
+    history = F.row_number().over(Window.partitionBy("instrument_id").orderBy("date"))
+    rows, out = stored(prices.select(*KEYS, history.alias("n")).where("n >= 252"), "history"), None
+    for fold in calendars.walk_forward(calendar, 5, ASSETS["equity"].test_sessions, ASSETS["equity"].train_sessions).orderBy("fold").collect():
+        counts = [p.agg(F.count(F.lit(1)).alias(name)) for name, p in zip(("train", "calibration", "test"), fold_parts(rows, fold, calendar, 5, ASSETS["equity"].calibration_sessions), strict=True)]
+        part = counts[0].crossJoin(counts[1]).crossJoin(counts[2]).select(F.lit(fold["fold"]).alias("fold"), "train", "calibration", "test")  # one row each
+        out = part if out is None else out.unionByName(part)
+    return out if out is not None else spark.createDataFrame([], "fold int, train long, calibration long, test long")
 
 
 @query("a08_challenger_records")
 def a08(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A challenger family against the main one on shared forecasts."""
-    rows = outcomes(spark, sf_dir)
-    y = F.col("actual_return")
-    other = F.round((F.col("prob_up") + F.col("baseline_prob")) / 2, 6)
-    challenger = rows.withColumns({"hit": scalar.hit(other, y), "brier": scalar.brier(other, y)})
-    return rounded(evaluate.records(paired_long(challenger, rows), ["horizon", "metric"], []))
+    """Trees, network and ensemble against the linear model on every fold."""
+    prices = with_tr(spark, sf_dir)
+    scored = backtest(target_rows(prices, [5]), fx.sessions(prices), FEATURES, 5, ASSETS["equity"], ("linear", "trees", "network"))
+    rows = with_scores(scored.where("actual_return is not null").withColumnRenamed("date", "session"))
+    return rounded(evaluate.records(models_live(rows, "linear", 4), ["family", "horizon", "metric"], []))
+
+
+def package(spark: SparkSession, prices: DataFrame, asset: str, flags: DataFrame, kinds: str = "linear", horizons: Sequence[int] = (5, 20)) -> DataFrame:
+    """The last session's package of one asset class, from models fitted on all that was known a horizon before it."""
+    rows = stored(target_rows(prices, horizons, ASSETS[asset].regime_history).join(prices.select(*KEYS, "close"), KEYS), "package")
+    calendar = fx.sessions(prices)
+    end = calendar.agg(F.max("idx")).first()[0]
+    placed, fitted = rows.join(calendar, "date"), {}
+    for h in horizons:
+        edge = end - h - ASSETS[asset].calibration_sessions
+        known = placed.where(F.col("idx") + h <= end)
+        fitted[h] = models.fit_horizon(known.where(F.col("idx") <= edge), known.where(F.col("idx") > edge), FEATURES, h, kinds)
+    events = spark.range(120).select(F.concat(F.lit("e"), F.col("id").cast("string")).alias("event_id"), F.date_add(F.lit("1995-01-10").cast("date"), (F.col("id") * 30).cast("int")).alias("day"))
+    implied = spark.createDataFrame([(BASKET[0], 20, "ok", 0.5, 0.3, -0.1, 0.1)], "instrument_id string, horizon int, status string, prob_up double, iv double, band_low double, band_high double")
+    today = placed.where(F.col("idx") == end).drop("idx", *(f"y_{h}" for h in horizons))
+    return daily_package(today, fitted, calendar, f"{asset}-v1", F.lit("2002-01-01 22:00:00").cast("timestamp"), flags, events, implied)
+
+
+def shock_flags(frame: DataFrame, days: DataFrame) -> DataFrame:
+    """instrument_id, session, shock_signals, shock_market of the days with any."""
+    names = (("volume_z", 4.0, "volume"), ("gap_sigma", 3.0, "gap"), ("move_sigma", 4.0, "move"))
+    own = F.concat_ws(",", *(F.when(F.col(c) > least, name) for c, least, name in names))
+    rows = frame.where("enough").select("instrument_id", F.col("date").alias("session"), own.alias("shock_signals"))
+    on_market = days.where("market_flag").select(F.col("date").alias("session"), F.concat_ws(",", F.when(F.col("vix"), "vix"), F.when(F.col("cross"), "cross")).alias("shock_market"))
+    return rows.join(on_market, "session", "left").where("shock_signals <> '' or shock_market is not null")
 
 
 @query("a10_daily_forecast")
 def a10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last session's package: bands in prices, events in the window, shocks and ids, as it is saved."""
-    rows = fx.forecasts(spark, sf_dir)
-    last = rows.agg(F.max("session").alias("session"))
-    today = rows.join(F.broadcast(last), "session", "left_semi")
-    named = today.withColumns({"forecast_id": scalar.forecast_id(F.col("instrument_id"), F.col("session"), F.col("horizon"), F.lit("v1")), "price_low": scalar.price_band(F.col("close"), F.col("band_low")), "price_high": scalar.price_band(F.col("close"), F.col("band_high"))})
-    return rounded(named.withColumn("prob_up", scalar.masked(F.col("prob_up"), F.col("withheld"))))
+    """The last session's package: features, fitted models, targets, events, shocks and implied columns."""
+    flags = shock_flags(shock_frame(spark, sf_dir), market(spark, sf_dir))
+    return rounded(package(spark, with_tr(spark, sf_dir), "equity", flags))
 
 
 @query("a12_resolve_due", OUT + " SELECT resolution_type, horizon, count(*) AS n FROM outcomes WHERE target_session <= DATE '2000-12-31' GROUP BY 1, 2")
@@ -156,21 +276,86 @@ def a12(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("a13_live_arena")
 def a13(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records over all and by regime of the newest year."""
-    rows = evaluate.each_regime(outcomes(spark, sf_dir).where("session >= '2000-11-01'"))
-    return rounded(evaluate.records(evaluate.scored_long(rows, ["horizon", "regime"]), ["horizon", "regime", "metric"], ["regime"]))
+    """Records over all and by regime, and the model against the market's implied probability."""
+    rows = stored(with_implied(outcomes(spark, sf_dir)), "live")
+    each = evaluate.each_regime(rows)
+    own = evaluate.records(evaluate.scored_long(each, ["horizon", "regime"]), ["horizon", "regime", "metric"], ["regime"])
+    implied = evaluate.records(implied_comparisons(rows), ["horizon", "metric"], []).withColumn("regime", F.lit("implied"))
+    return rounded(own.unionByName(implied))
+
+
+def with_implied(rows: DataFrame) -> DataFrame:
+    """A made-up implied probability of the twenty-day forecasts."""
+    has = (F.col("horizon") == 20) & (F.dayofmonth("session") % 5 != 0)
+    return rows.withColumns({"implied_status": F.when(has, "ok").otherwise("fetch_failed"), "implied_prob_up": F.when(has, 0.5 + 0.4 * (F.col("baseline_prob") - 0.5))})
+
+
+SUMMED = "count(DISTINCT session) AS days, count(*) AS n, round(avg(m), 6) AS value, round(avg(b), 6) AS baseline_value, round(avg(m - b), 6) AS delta"
+IMPLIED_SQL = OUT + ", i AS (SELECT *, 0.5 + 0.4 * (baseline_prob - 0.5) AS p FROM outcomes WHERE horizon = 20 AND day(session) % 5 <> 0), x AS (SELECT horizon, session, unnest([{'k': 'direction_accuracy', 'm': hit, 'b': ((p > 0.5) = (actual_return > 0))::INT::DOUBLE}, {'k': 'brier', 'm': brier, 'b': power(p - (actual_return > 0)::INT, 2)}]) AS s FROM i), v AS (SELECT horizon, session, s.k AS metric, s.m AS m, s.b AS b FROM x)"
+
+
+@query("a13_implied_points", IMPLIED_SQL + f" SELECT horizon, metric, {SUMMED} FROM v GROUP BY 1, 2")
+def a13_implied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(points(implied_comparisons(with_implied(outcomes(spark, sf_dir))), ["horizon", "metric"]))
+
+
+FAMILIES_SQL = OUT + """, fam AS (
+        SELECT 'main' AS family, * FROM outcomes UNION ALL SELECT 'calm', * REPLACE (power((prob_up + baseline_prob) / 2 - (actual_return > 0)::INT, 2) AS brier, (((prob_up + baseline_prob) / 2 > 0.5) = (actual_return > 0))::INT::DOUBLE AS hit) FROM outcomes WHERE day(session) % 3 <> 0
+        UNION ALL SELECT 'base', * REPLACE (baseline_brier AS brier, baseline_hit AS hit) FROM outcomes WHERE day(session) % 4 <> 0),
+    shared AS (SELECT * FROM fam SEMI JOIN (SELECT instrument_id, session, horizon FROM fam GROUP BY ALL HAVING count(DISTINCT family) = 3) USING (instrument_id, session, horizon)),
+    x AS (SELECT a.horizon, a.family, a.session, unnest([{'k': 'direction_accuracy', 'm': a.hit, 'b': b.hit}, {'k': 'brier', 'm': a.brier, 'b': b.brier}]) AS s FROM shared a JOIN shared b ON a.family <> 'main' AND b.family = 'main' AND a.instrument_id = b.instrument_id AND a.session = b.session AND a.horizon = b.horizon),
+    v AS (SELECT horizon, family, session, s.k AS metric, s.m AS m, s.b AS b FROM x)"""
+
+
+def families(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three families of outcomes: the package's, its mean with the baseline on two days of three, and the baseline on three of four."""
+    rows, y = outcomes(spark, sf_dir), F.col("actual_return")
+    mean, day = (F.col("prob_up") + F.col("baseline_prob")) / 2, F.dayofmonth("session")
+    calm = rows.where(day % 3 != 0).withColumns({"family": F.lit("calm"), "hit": scalar.hit(mean, y), "brier": scalar.brier(mean, y)})
+    base = rows.where(day % 4 != 0).withColumns({"family": F.lit("base"), "hit": F.col("baseline_hit"), "brier": F.col("baseline_brier")})
+    return rows.withColumn("family", F.lit("main")).unionByName(calm).unionByName(base)
+
+
+@query("a14_model_arena", FAMILIES_SQL + f" SELECT horizon, family, metric, {SUMMED} FROM v GROUP BY 1, 2, 3")
+def a14(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The live table of model families on the sample that all of them share."""
+    return rounded(points(models_live(families(spark, sf_dir), "main", 3), ["horizon", "family", "metric"]))
+
+
+@query("a14_model_arena_verdicts")
+def a14_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(evaluate.records(models_live(families(spark, sf_dir), "main", 3), ["family", "horizon", "metric"], []))
+
+
+def live_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pattern and indicator triggers with the contexts that held, written once."""
+    return stored(confluence.triggers(ready(spark, sf_dir), all_signals(bars(spark, sf_dir))), "triggers")
+
+
+@query("a18_confluence")
+def a18(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every combination of a trigger and the contexts that stood with it: discovery, correction, confirmation."""
+    split = F.lit("1999-12-31").cast("date")
+    return rounded(confluence.measure(live_events(spark, sf_dir), bars(spark, sf_dir), (5, 20), split, F.date_add(split, 1)))
 
 
 @query("a19_live_panel")
 def a19(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last session's triggers with every measured combination that stands on them."""
-    events = hashed_events(spark, sf_dir)
+    events = live_events(spark, sf_dir)
     split = F.lit("1999-12-31").cast("date")
     table = confluence.measure(events, bars(spark, sf_dir), (5,), split, F.date_add(split, 1))
     last = events.agg(F.max("date")).first()[0]
     return rounded(confluence.standing(events, table, F.lit(last)))
 
 
+@query("g14_confluence_summary", REGION + "@SIGNALS, h AS (SELECT instrument_id, date, rule AS trigger FROM signals) SELECT count(*) AS events, count(DISTINCT trigger) AS triggers, count(DISTINCT instrument_id) AS instruments, 3::BIGINT AS combinations, 1::BIGINT AS too_early, 0::BIGINT AS not_found, 0::BIGINT AS found, 0::BIGINT AS found_too_early, 1::BIGINT AS found_not_confirmed, 1::BIGINT AS confirmed FROM h")
+def g14(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = spark.createDataFrame([("a", "too_early"), ("b", "confirmed"), ("c", "found_not_confirmed")], "combo string, status string")
+    events = all_signals(bars(spark, sf_dir)).withColumnRenamed("rule", "trigger")
+    return confluence.summary(table, events)
+
+
 @query("a28_arena_documents")
 def a28(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = evaluate.records(evaluate.scored_long(outcomes(spark, sf_dir), ["horizon"]), ["horizon", "metric"], [])
@@ -208,7 +393,7 @@ def f06(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(feeds.implied_table(chains).select("instrument_id", "status", "prob_up"))
 
 
-@query("j19_attach_implied", fx.prelude("region", "sessions") + fx.FORECASTS + " SELECT forecast_id, CASE WHEN horizon = 20 AND instrument_id <> 'CZ00005' THEN 'ok' ELSE 'no_chain' END AS implied_status FROM forecasts")
+@query("j19_attach_implied", fx.prelude("region", "sessions") + fx.FORECASTS + " SELECT forecast_id, CASE WHEN horizon = 20 AND instrument_id <> 'CZ00005' THEN 'ok' ELSE 'fetch_failed' END AS implied_status FROM forecasts")
 def j19(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = spark.createDataFrame([(b, 20, "ok", 0.5, 0.3, -0.1, 0.1) for b in BASKET[:4]], "instrument_id string, horizon int, status string, prob_up double, iv double, band_low double, band_high double")
     return feeds.attach_implied(fx.forecasts(spark, sf_dir), known).select("forecast_id", "implied_status")
@@ -222,8 +407,6 @@ def f07(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("w23_tail_signals", fx.prelude("region", "sessions", "macro") + "@SHOCK SELECT instrument_id, round(volume_z, 6) AS volume_z, round(gap_sigma, 6) AS gap_sigma, round(move_sigma, 6) AS move_sigma FROM shock WHERE date = (SELECT max(date) FROM panel_region) AND enough")
 def w23(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The detector on one session: the frame of all days, cut to that day."""
-    from tidemark.plans.measure import shock_frame
-
     frame = shock_frame(spark, sf_dir)
     last = fx.panel(spark, sf_dir).agg(F.max("date").alias("date"))
     return rounded(frame.join(F.broadcast(last), "date", "left_semi").where("enough").select("instrument_id", "volume_z", "gap_sigma", "move_sigma"))
@@ -297,7 +480,7 @@ def _fill_in() -> None:
     from tidemark.plans.registry import ORACLES
 
     parts = {"@SHOCK": SHOCK_SQL.replace("{level}", "region"), "@MARKET": MARKET_SQL, "@SIGNALS": EWM + MACD + ALL_SIGNALS}
-    for name in ("w23_tail_signals", "w24_market_shock", "j01_signal_outcomes"):
+    for name in ("w23_tail_signals", "w24_market_shock", "j01_signal_outcomes", "g14_confluence_summary"):
         for mark, text in parts.items():
             ORACLES[name] = ORACLES[name].replace(mark, text)
 

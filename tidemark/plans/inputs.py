@@ -467,13 +467,6 @@ def j20(spark: SparkSession, sf_dir: str) -> DataFrame:
     return confluence.with_combos(hashed_events(spark, sf_dir)).groupBy("combo").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("a18_confluence")
-def a18(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prices = bars(spark, sf_dir)
-    split = F.lit("1999-12-31").cast("date")
-    return rounded(confluence.measure(hashed_events(spark, sf_dir), prices, (5, 20), split, F.date_add(split, 1)))
-
-
 @query("a17_pattern_arena")
 def a17(spark: SparkSession, sf_dir: str) -> DataFrame:
     prices = bars(spark, sf_dir)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators import candles, cross_section, macro, pivots, regime, returns, signals, technical
+from tidemark.operators import candles, cross_section, macro, pivots, ranks, regime, returns, signals, technical
 from tidemark.operators.rolling import by_instrument, exponential_means, guarded, span
 from tidemark.plans.registry import query, rounded
 from tidemark.sources import fixtures as fx
@@ -192,7 +192,7 @@ def w08(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = regime.wide_returns(log_returns(spark, sf_dir), BASKET)
     vol = guarded(F.stddev_samp, F.col(BASKET[0]), 20, over=macro.by_day()) * F.sqrt(F.lit(252.0))
     daily = wide.select("date", vol.alias("vol"))
-    return rounded(daily.withColumn("vol_pct", technical.expanding_rank("vol", 252, macro.by_day())))
+    return rounded(ranks.with_expanding_ranks(daily, {"vol_pct": "vol"}, 252))
 
 
 CORR = """,

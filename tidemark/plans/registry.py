@@ -31,4 +31,4 @@ def rounded(df: DataFrame) -> DataFrame:
     return df.select(*(F.round(F.nanvl(F.col(c), F.lit(None).cast("double")), DIGITS).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes))
 
 
-from tidemark.plans import composites, inputs, measure, panel  # noqa: E402,F401  the modules register themselves
+from tidemark.plans import classes, composites, inputs, measure, panel, stores  # noqa: E402,F401  the modules register themselves

@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Used only where the session names no checkpoint folder (tests, a laptop).
+#: Used only where the session names no checkpoint folder and runs on one machine (tests, a laptop).
 LOCAL_SHARED_DIR = "/tmp/checkpoints/tidemark"
 
 
@@ -30,8 +30,12 @@ def session(master: str | None = None, **conf: str) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach: ``spark.checkpoint.dir``, else a local one."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or LOCAL_SHARED_DIR
+    """The folder every executor can reach: ``spark.checkpoint.dir``, else, on one machine only, a local one."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        base = LOCAL_SHARED_DIR
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 BARS = ("open", "high", "low", "close", "adj_close", "volume")
@@ -71,19 +71,30 @@ def feed_items(landed: DataFrame, source: str, host: str, payload: str = "payloa
     return kept.select(F.lit(source).alias("source"), F.substring(F.trim("title"), 1, 200).alias("title"), F.trim("link").alias("link"), "published")
 
 
+def news_windows(items: DataFrame, sessions: DataFrame, most: int = 10) -> DataFrame:
+    """Each session's newest items from the day before it to six in the morning after it: session, item columns, rank.
+
+    An item's day says which three sessions' windows it can be in, so the join is by day.
+    """
+    near = items.withColumn("session", F.explode(F.array(*[F.date_add(F.to_date("published"), k) for k in (-1, 0, 1)])))
+    low, high = F.date_sub("session", 1).cast("timestamp"), F.date_add("session", 1).cast("timestamp") + F.expr("INTERVAL 6 HOURS")
+    inside = near.join(sessions.select("session"), "session", "left_semi").where((F.col("published") >= low) & (F.col("published") <= high))
+    rank = F.row_number().over(Window.partitionBy("session").orderBy(F.col("published").desc(), "link"))
+    return inside.withColumn("rank", rank).where(F.col("rank") <= most)
+
+
 def in_news_window(items: DataFrame, session: Column, most: int = 10) -> DataFrame:
-    """The newest items from the day before the session to six in the morning after it."""
-    low, high = F.date_sub(session, 1).cast("timestamp"), F.date_add(session, 1).cast("timestamp") + F.expr("INTERVAL 6 HOURS")
-    return items.where((F.col("published") >= low) & (F.col("published") <= high)).orderBy(F.col("published").desc(), "link").limit(most)
+    """One session's window."""
+    day = items.sparkSession.range(1).select(session.cast("date").alias("session"))
+    return news_windows(items, day, most).drop("session", "rank").orderBy(F.col("published").desc(), "link")
 
 
 def implied_table(calls: DataFrame) -> DataFrame:
     """Risk-neutral probability, volatility and band of each chain: id, horizon, spot, rate, years and rows of strike, bid, ask, iv, open_interest.
 
-    status: no_chain, illiquid, no_expiry, bad_price or ok. The two neighbouring strikes whose middle is nearest the spot decide.
+    status: no_spot, no_rate, stale_session (where rows carry ``chain_session`` and ``session`` and these differ), no_chain,
+    illiquid, no_expiry, bad_price or ok, in that order. The two neighbouring strikes whose middle is nearest the spot decide.
     """
-    from pyspark.sql import Window
-
     from tidemark.functions.scalar import implied_probability
     from tidemark.operators.rolling import ratio
 
@@ -91,6 +102,8 @@ def implied_table(calls: DataFrame) -> DataFrame:
     own = Window.partitionBy(*keys).orderBy("strike")
     fields = ("strike", "bid", "ask", "iv", "open_interest")
     known = calls.where("strike is not null and bid is not null and ask is not null")
+    stale = F.col("chain_session") != F.col("session") if {"chain_session", "session"} <= set(calls.columns) else F.lit(False)
+    known = known.withColumn("__stale", F.coalesce(stale, F.lit(False)))
     pairs = known.withColumns({f"next_{c}": F.lead(c).over(own) for c in fields}).withColumn("chain", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
     distance = F.abs((F.col("strike") + F.col("next_strike")) / 2 - F.col("spot"))
     nearest = F.row_number().over(Window.partitionBy(*keys).orderBy(distance.asc_nulls_last(), "strike"))
@@ -102,7 +115,7 @@ def implied_table(calls: DataFrame) -> DataFrame:
 
     middle = lambda p: (F.col(f"{p}bid") + F.col(f"{p}ask")) / 2
     prob = implied_probability(F.col("strike"), middle(""), F.col("next_strike"), middle("next_"), F.col("rate"), F.col("years"))
-    status = F.when(F.col("chain") < 2, "no_chain").when(~F.coalesce(usable("") & usable("next_"), F.lit(False)), "illiquid").when(F.col("years") <= 0, "no_expiry").when(~prob.between(0.01, 0.99), "bad_price").otherwise("ok")
+    status = F.when(F.col("spot").isNull(), "no_spot").when(F.col("rate").isNull(), "no_rate").when(F.col("__stale"), "stale_session").when(F.col("chain") < 2, "no_chain").when(~F.coalesce(usable("") & usable("next_"), F.lit(False)), "illiquid").when(F.col("years") <= 0, "no_expiry").when(~prob.between(0.01, 0.99), "bad_price").otherwise("ok")
     weight = F.least(F.greatest(ratio(F.col("spot") - F.col("strike"), F.col("next_strike") - F.col("strike")), F.lit(0.0)), F.lit(1.0))
     iv = F.coalesce("iv", F.lit(0.0)) + (F.coalesce("next_iv", F.lit(0.0)) - F.coalesce("iv", F.lit(0.0))) * weight
     found = pair.withColumns({"status": status, "__prob": prob, "__iv": F.when((iv > 0.01) & (iv < 3), iv)})
@@ -112,7 +125,7 @@ def implied_table(calls: DataFrame) -> DataFrame:
     return found.select(*keys, "status", F.when(ok, F.col("__prob")).alias("prob_up"), F.when(ok, F.col("__iv")).alias("iv"), F.when(ok, drift - wide).alias("band_low"), F.when(ok, drift + wide).alias("band_high"))
 
 
-def attach_implied(forecasts: DataFrame, implied: DataFrame, missing: str = "no_chain") -> DataFrame:
+def attach_implied(forecasts: DataFrame, implied: DataFrame, missing: str = "fetch_failed") -> DataFrame:
     """Forecasts with the implied columns; instruments without any get a status that says so."""
     named = implied.select("instrument_id", "horizon", *(F.col(c).alias(f"implied_{c}") for c in ("status", "prob_up", "iv", "band_low", "band_high")))
     return forecasts.join(named, ["instrument_id", "horizon"], "left").withColumn("implied_status", F.coalesce("implied_status", F.lit(missing)))

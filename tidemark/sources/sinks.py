@@ -9,8 +9,8 @@ from tidemark.operators.record import content_hash, months_to_write
 
 
 def write_years(rows: DataFrame, root: str, date: str = "date") -> None:
-    """One folder a year, in key order; only the years that ``rows`` holds are replaced."""
-    keyed = rows.withColumn("year", F.year(date)).repartition("year").sortWithinPartitions("instrument_id", date)
+    """One folder a year, in key order; only the years that ``rows`` holds are replaced. A year is written by as many tasks as its share of the rows."""
+    keyed = rows.withColumn("year", F.year(date)).repartitionByRange("year", "instrument_id", date).sortWithinPartitions("year", "instrument_id", date)
     keyed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("year").parquet(root)
 
 
@@ -39,15 +39,24 @@ def write_months(outcomes: DataFrame, existing: DataFrame, root: str, now: Colum
     keyed = outcomes.withColumn("month", F.date_format("target_session", "yyyy-MM")).join(wanted.select("month"), "month", "left_semi")
     shown = keyed.select(*(F.format_string("%.6g", c).alias(c) if t == "double" else F.col(c) for c, t in keyed.dtypes))
     for kind, table in (("csv", shown), ("parquet", keyed)):
-        table.repartition("month").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("header", True).partitionBy("month").format(kind).save(f"{root}/{kind}")
+        table.repartitionByRange("month", "instrument_id", "session").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("header", True).partitionBy("month").format(kind).save(f"{root}/{kind}")
     return wanted
 
 
+def patched(entries: DataFrame, fresh: DataFrame, key: str = "id", stamp: str = "resolved_at") -> DataFrame:
+    """``entries`` with the fresh outcome's columns where none is stamped yet: what is resolved stays as it was, so a second run changes nothing."""
+    fields = [c for c in fresh.columns if c != key]
+    known = fresh.select(key, *(F.col(c).alias(f"__new_{c}") for c in fields))
+    takes = F.col(stamp).isNull() & F.col(f"__new_{stamp}").isNotNull()
+    kept = {c: F.when(takes, F.col(f"__new_{c}")).otherwise(F.col(c)) for c in fields}
+    return entries.join(known, key, "left").select(*(kept[c].alias(c) if c in kept else F.col(c) for c in entries.columns))
+
+
 def append_outcomes(fresh: DataFrame, resolved: DataFrame, path: str, key: str = "id") -> None:
     """Add outcomes of entries that have none yet: a second run adds nothing."""
     fresh.join(resolved.select(key), key, "left_anti").write.mode("append").parquet(path)
 
 
 def write_documents(documents: DataFrame, root: str, key: str = "instrument_id") -> None:
-    """JSON documents, one folder a key."""
-    documents.repartition(key).write.mode("overwrite").partitionBy(key).text(root)
+    """JSON documents, one folder a key. There is one row a key, so it is written where it is."""
+    documents.write.mode("overwrite").partitionBy(key).text(root)

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 PRICES = T.StructType(
     [
@@ -23,16 +22,18 @@ ACTIONS = T.StructType([T.StructField("instrument_id", T.StringType()), T.Struct
 UNIVERSE = ("instrument_id", "ticker", "name", "asset_class", "sector", "exchange_calendar", "valid_from", "valid_to", "segment", "source_symbol")
 
 
-def try_read(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
-    """The table at ``path``, or None where there is none."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
+def _files(spark: SparkSession, path: str):
+    """The file system of ``path`` and the path in it."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
-        return None
-    try:
-        return reader.parquet(path)
-    except AnalysisException:
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def try_read(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
+    """The table at ``path``, or None where there is no file; a table that can't be read is an error."""
+    fs, at = _files(spark, path)
+    if not fs.exists(at) or not fs.getContentSummary(at).getFileCount():
         return None
+    return (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
 
 
 def read_years(spark: SparkSession, root: str, years: Sequence[int] | None = None, schema: T.StructType = PRICES) -> DataFrame:
@@ -45,15 +46,18 @@ def read_years(spark: SparkSession, root: str, years: Sequence[int] | None = Non
 
 
 def stored_years(spark: SparkSession, root: str) -> list[int]:
-    """The years that have a partition, in order: names of folders, not rows."""
-    found = try_read(spark, root)
-    return [] if found is None or "year" not in found.columns else sorted(r["year"] for r in found.select("year").distinct().collect())
+    """The years that have a partition, in order: names of folders are listed, rows aren't read."""
+    fs, at = _files(spark, root)
+    names = [f.getPath().getName() for f in fs.listStatus(at) if f.isDirectory()] if fs.exists(at) else []
+    return sorted(int(n.removeprefix("year=")) for n in names if n.startswith("year=") and n.removeprefix("year=").isdigit())
 
 
 def read_packages(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    """Packages of all ages in the columns of ``schema``; what an old one lacks is null."""
-    found = try_read(spark, root, schema)
-    return spark.createDataFrame([], schema) if found is None else found
+    """Packages of all ages, in folders of any depth, in the columns of ``schema``; what an old one lacks is null."""
+    fs, at = _files(spark, root)
+    if not fs.exists(at):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(root)
 
 
 def read_universe(spark: SparkSession, path: str, pins: dict[str, str] | None = None) -> DataFrame:
