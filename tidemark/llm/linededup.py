@@ -72,7 +72,8 @@ def _repeats(docs: DataFrame, rank_col: str, text_col: str, least_words: int) ->
     rows = docs.select(F.col(rank_col).cast("long").alias("rank"), F.xxhash64(text_col).alias("body"), F.col(text_col).alias("text"))
     cut = stored(rows.mapInArrow(_cut, "rank long, body long, unit int, start long, end long, words int, digest binary"), "units")
     at = F.struct("rank", "unit")
-    firsts = cut.groupBy("digest").agg(F.min(at).alias("first"), F.max(at).alias("last")).where(F.col("first") != F.col("last")).select("digest", "first")
+    # Written, so that the join deals both sides anew and Spark can split a common line's rows.
+    firsts = stored(cut.groupBy("digest").agg(F.min(at).alias("first"), F.max(at).alias("last")).where(F.col("first") != F.col("last")).select("digest", "first"), "firsts")
     found = cut.join(firsts, "digest").where(at != F.col("first")).drop("digest")
     # Neighbouring repeats share the difference of their number and their order among the text's repeats.
     text = Window.partitionBy("rank", "body")
