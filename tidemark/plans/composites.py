@@ -57,12 +57,14 @@ def backtest(rows: DataFrame, calendar: DataFrame, features: Sequence[str], hori
     """Scored rows of all folds: every family's prediction and the naive baseline's, with the fold; of several families also their ensemble.
 
     Folds are fitted one after another, each in parallel and on the same rows for
-    all families. A scored fold is written, so plans stay short and a lost
+    all families; a fold without a labelled row to fit or to calibrate on has no score. A scored fold is written, so plans stay short and a lost
     executor costs no fit.
     """
     spark, out, rows = rows.sparkSession, None, stored(rows, "backtest")  # every fold reads them several times
     for fold in calendars.walk_forward(calendar, horizon, asset.test_sessions, asset.train_sessions).orderBy("fold").collect():
         train, calibration, test = fold_parts(rows, fold, calendar, horizon, asset.calibration_sessions)
+        if not fittable(train, calibration, f"y_{horizon}"):
+            continue
         naive = models.predict_baseline(test.select(*KEYS, "vol_20"), models.fit_baselines(train, f"y_{horizon}", horizon), "naive", horizon)
         parts = []
         for kind in kinds:
@@ -79,6 +81,11 @@ def backtest(rows: DataFrame, calendar: DataFrame, features: Sequence[str], hori
     return spark.createDataFrame([], SCORED) if out is None else out
 
 
+def fittable(train: DataFrame, calibration: DataFrame, target: str) -> bool:
+    """Whether both have a row with a label."""
+    return not any(rows.where(F.col(target).isNotNull()).isEmpty() for rows in (train, calibration))
+
+
 def points(long: DataFrame, keys: Sequence[str]) -> DataFrame:
     """What a comparison rests on, before any resampling: keys, days, n, value, baseline_value, delta."""
     total = F.sum("n")
@@ -119,10 +126,10 @@ def daily_package(today: DataFrame, fitted: dict[int, models.HorizonModel], cale
     ``flags`` has instrument_id, session, shock_signals and shock_market; a session
     on which the market itself is in shock has its probabilities withheld.
     """
-    parts = None
+    parts = today.select("instrument_id", F.col("date").alias("session"), F.lit(0).alias("horizon"), "close", *(F.lit(0.0).alias(c) for c in ("expected_return", "scale", "prob_up", "band_low", "band_high"))).where("false")
     for horizon, model in fitted.items():
         part = model.predict(today).select("instrument_id", F.col("date").alias("session"), F.lit(horizon).alias("horizon"), "close", "expected_return", "scale", "prob_up", "band_low", "band_high")
-        parts = part if parts is None else parts.unionByName(part)
+        parts = parts.unionByName(part)
     placed = calendars.events_in_window(calendars.with_target(parts, calendar), events, calendar)
     flagged = placed.join(flags, ["instrument_id", "session"], "left").withColumns({c: F.coalesce(c, F.lit("")) for c in ("shock_signals", "shock_market")})
     named = feeds.attach_implied(flagged, implied).withColumns(
@@ -245,7 +252,9 @@ def package(spark: SparkSession, prices: DataFrame, asset: str, flags: DataFrame
     for h in horizons:
         edge = end - h - ASSETS[asset].calibration_sessions
         known = placed.where(F.col("idx") + h <= end)
-        fitted[h] = models.fit_horizon(known.where(F.col("idx") <= edge), known.where(F.col("idx") > edge), FEATURES, h, kinds)
+        train, calibration = known.where(F.col("idx") <= edge), known.where(F.col("idx") > edge)
+        if fittable(train, calibration, f"y_{h}"):
+            fitted[h] = models.fit_horizon(train, calibration, FEATURES, h, kinds)
     events = spark.range(120).select(F.concat(F.lit("e"), F.col("id").cast("string")).alias("event_id"), F.date_add(F.lit("1995-01-10").cast("date"), (F.col("id") * 30).cast("int")).alias("day"))
     implied = spark.createDataFrame([(BASKET[0], 20, "ok", 0.5, 0.3, -0.1, 0.1)], "instrument_id string, horizon int, status string, prob_up double, iv double, band_low double, band_high double")
     today = placed.where(F.col("idx") == end).drop("idx", *(f"y_{h}" for h in horizons))
