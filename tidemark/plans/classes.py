@@ -142,7 +142,7 @@ def a21(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(flows.points(evaluate.arena_long(signals, prices, (5,), ["asset"]), ["asset", "rule", "horizon"]))
 
 
-@query("a09_lab_points", LAB + " SELECT universe, threshold, cost, 20 AS horizon, count(*) AS days, count(*) AS n, round(avg(strategy), 6) AS value, round(avg(hold), 6) AS baseline_value, round(avg(strategy - hold), 6) AS delta FROM per GROUP BY 1, 2, 3")
+@query("a09_lab_points", LAB + " SELECT universe, threshold, cost, 20 AS horizon, count(*) AS days, count(*) AS n, round(avg(strategy), 6) AS value, round(avg(hold), 6) AS baseline_value, round(avg(strategy - hold), 6) + 0.0 AS delta FROM per GROUP BY 1, 2, 3")
 def a09_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = lab.periods(lab_rows(spark, sf_dir), fx.universe(spark, sf_dir), 20, lab.grid(spark))
     keys = ["universe", "threshold", "cost", "horizon"]
@@ -162,7 +162,7 @@ def m09_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("e02_human_model_baseline", flows.THESES.replace("hit, baseline_brier,", "hit, brier, baseline_brier,") + """, d AS (SELECT person, count(*) AS n, avg(b - brier) AS against_model, avg(b - baseline_brier) AS against_baseline FROM th GROUP BY 1)
-    SELECT person, n, round(against_model, 6) AS against_model, round(against_baseline, 6) AS against_baseline, CASE WHEN abs(against_model) < 0.005 THEN 'same' WHEN against_model < 0 THEN 'better' ELSE 'worse' END AS model_verdict, CASE WHEN abs(against_baseline) < 0.005 THEN 'same' WHEN against_baseline < 0 THEN 'better' ELSE 'worse' END AS baseline_verdict FROM d""")
+    SELECT person, n, round(against_model, 6) + 0.0 AS against_model, round(against_baseline, 6) + 0.0 AS against_baseline, CASE WHEN abs(against_model) < 0.005 THEN 'same' WHEN against_model < 0 THEN 'better' ELSE 'worse' END AS model_verdict, CASE WHEN abs(against_baseline) < 0.005 THEN 'same' WHEN against_baseline < 0 THEN 'better' ELSE 'worse' END AS baseline_verdict FROM d""")
 def e02(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A person's loss against the model's and the baseline's on the same theses; within half a per cent is the same."""
     p = F.greatest("prob_up", 1 - F.col("prob_up"))

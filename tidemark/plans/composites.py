@@ -299,7 +299,7 @@ def with_implied(rows: DataFrame) -> DataFrame:
     return rows.withColumns({"implied_status": F.when(has, "ok").otherwise("fetch_failed"), "implied_prob_up": F.when(has, 0.5 + 0.4 * (F.col("baseline_prob") - 0.5))})
 
 
-SUMMED = "count(DISTINCT session) AS days, count(*) AS n, round(avg(m), 6) AS value, round(avg(b), 6) AS baseline_value, round(avg(m - b), 6) AS delta"
+SUMMED = "count(DISTINCT session) AS days, count(*) AS n, round(avg(m), 6) AS value, round(avg(b), 6) AS baseline_value, round(avg(m - b), 6) + 0.0 AS delta"
 IMPLIED_SQL = OUT + ", i AS (SELECT *, 0.5 + 0.4 * (baseline_prob - 0.5) AS p FROM outcomes WHERE horizon = 20 AND day(session) % 5 <> 0), x AS (SELECT horizon, session, unnest([{'k': 'direction_accuracy', 'm': hit, 'b': ((p > 0.5) = (actual_return > 0))::INT::DOUBLE}, {'k': 'brier', 'm': brier, 'b': power(p - (actual_return > 0)::INT, 2)}]) AS s FROM i), v AS (SELECT horizon, session, s.k AS metric, s.m AS m, s.b AS b FROM x)"
 
 
