@@ -115,11 +115,11 @@ def s10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("session", F.concat(F.lit("["), F.array_join(F.col("horizons").cast("array<string>"), ", "), F.lit("]")).alias("horizons"), "instruments", "forecasts")
 
 
-@query("s12_json_prices", NATION + " SELECT instrument_id AS ticker, date, round(close, 6) AS close, round(close * 0.98, 6) AS adj_close, CASE WHEN day(date) = 3 THEN 0.5 ELSE 0.0 END AS dividend, CASE WHEN day(date) = 7 THEN 2.0 ELSE 0.0 END AS split_ratio FROM panel_nation")
+@query("s12_json_prices", NATION + " SELECT instrument_id AS ticker, date, round(close, 6) AS close, round(close + 1, 6) AS adj_close, CASE WHEN day(date) = 3 THEN 0.5 ELSE 0.0 END AS dividend, CASE WHEN day(date) = 7 THEN 2.0 ELSE 0.0 END AS split_ratio FROM panel_nation")
 def s12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A JSON array a ticker and year, of raw bars with dividends and split factors."""
     rows = fx.panel(spark, sf_dir, "nation")
-    bar = F.struct(F.concat(F.col("date").cast("string"), F.lit("T00:00:00.000Z")).alias("date"), "open", "high", "low", "close", (F.col("close") * 0.98).alias("adjClose"), F.col("volume").cast("double").alias("volume"), F.when(F.dayofmonth("date") == 3, 0.5).otherwise(0.0).alias("divCash"), F.when(F.dayofmonth("date") == 7, 2.0).otherwise(1.0).alias("splitFactor"))
+    bar = F.struct(F.concat(F.col("date").cast("string"), F.lit("T00:00:00.000Z")).alias("date"), "open", "high", "low", "close", (F.col("close") + 1).alias("adjClose"), F.col("volume").cast("double").alias("volume"), F.when(F.dayofmonth("date") == 3, 0.5).otherwise(0.0).alias("divCash"), F.when(F.dayofmonth("date") == 7, 2.0).otherwise(1.0).alias("splitFactor"))
     landed = rows.groupBy(F.col("instrument_id").alias("ticker"), F.year("date").alias("y")).agg(F.to_json(F.collect_list(bar)).alias("payload"))
     return rounded(feeds.json_prices(landed).select("ticker", "date", "close", "adj_close", "dividend", "split_ratio"))
 
