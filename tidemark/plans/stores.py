@@ -18,6 +18,11 @@ from tidemark.sources import fixtures as fx
 NATION = fx.prelude("nation")
 
 
+def fine(df: DataFrame) -> DataFrame:
+    """Doubles to nine digits: prices of two digits over small quantities have no tie there, so both engines round alike."""
+    return df.select(*(F.round(c, 9).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes))
+
+
 def priced(spark: SparkSession, sf_dir: str, level: str = "nation") -> DataFrame:
     """The panel in the columns of stored prices."""
     rows = fx.panel(spark, sf_dir, level)
@@ -30,9 +35,9 @@ def stored_prices(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
-@query("s01_year_scan", NATION + " SELECT instrument_id, date, round(close, 6) AS close, year(date)::INTEGER AS year FROM panel_nation WHERE year(date) = 1997")
+@query("s01_year_scan", NATION + " SELECT instrument_id, date, round(close, 9) AS close, year(date)::INTEGER AS year FROM panel_nation WHERE year(date) = 1997")
 def s01(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(tables.read_years(spark, stored_prices(spark, sf_dir), [1997]).select(*KEYS, "close", "year"))
+    return fine(tables.read_years(spark, stored_prices(spark, sf_dir), [1997]).select(*KEYS, "close", "year"))
 
 
 @query("s02_stored_years", NATION + " SELECT DISTINCT year(date)::INTEGER AS year FROM panel_nation")
@@ -55,7 +60,7 @@ def class_of(id_col: str = "instrument_id") -> Column:
     return F.when(last.isin("1", "2", "3"), "crypto").when(last.isin("4", "5", "6"), "fx").otherwise("bonds")
 
 
-@query("s04_asset_loads", NATION + f" SELECT {CLASS_SQL} AS asset_class, instrument_id, date, round(close, 6) AS close FROM panel_nation WHERE year(date) >= 1999")
+@query("s04_asset_loads", NATION + f" SELECT {CLASS_SQL} AS asset_class, instrument_id, date, round(close, 9) AS close FROM panel_nation WHERE year(date) >= 1999")
 def s04(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each class under a folder of its own, loaded apart."""
     rows, found = priced(spark, sf_dir), None
@@ -64,7 +69,7 @@ def s04(spark: SparkSession, sf_dir: str) -> DataFrame:
         sinks.write_years(rows.where(class_of() == name), root)
         part = tables.read_years(spark, root, [1999, 2000, 2001]).withColumn("asset_class", F.lit(name))
         found = part if found is None else found.unionByName(part)
-    return rounded(found.select("asset_class", *KEYS, "close"))
+    return fine(found.select("asset_class", *KEYS, "close"))
 
 
 @query("s06_table_or_none", fx.prelude("universe") + " SELECT 'there' AS path, count(*) AS rows FROM universe UNION ALL SELECT 'missing', NULL")
@@ -115,20 +120,20 @@ def s10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("session", F.concat(F.lit("["), F.array_join(F.col("horizons").cast("array<string>"), ", "), F.lit("]")).alias("horizons"), "instruments", "forecasts")
 
 
-@query("s12_json_prices", NATION + " SELECT instrument_id AS ticker, date, round(close, 6) AS close, round(close + 1, 6) AS adj_close, CASE WHEN day(date) = 3 THEN 0.5 ELSE 0.0 END AS dividend, CASE WHEN day(date) = 7 THEN 2.0 ELSE 0.0 END AS split_ratio FROM panel_nation")
+@query("s12_json_prices", NATION + " SELECT instrument_id AS ticker, date, round(close, 9) AS close, round(close + 1, 9) AS adj_close, CASE WHEN day(date) = 3 THEN 0.5 ELSE 0.0 END AS dividend, CASE WHEN day(date) = 7 THEN 2.0 ELSE 0.0 END AS split_ratio FROM panel_nation")
 def s12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A JSON array a ticker and year, of raw bars with dividends and split factors."""
     rows = fx.panel(spark, sf_dir, "nation")
     bar = F.struct(F.concat(F.col("date").cast("string"), F.lit("T00:00:00.000Z")).alias("date"), "open", "high", "low", "close", (F.col("close") + 1).alias("adjClose"), F.col("volume").cast("double").alias("volume"), F.when(F.dayofmonth("date") == 3, 0.5).otherwise(0.0).alias("divCash"), F.when(F.dayofmonth("date") == 7, 2.0).otherwise(1.0).alias("splitFactor"))
     landed = rows.groupBy(F.col("instrument_id").alias("ticker"), F.year("date").alias("y")).agg(F.to_json(F.collect_list(bar)).alias("payload"))
-    return rounded(feeds.json_prices(landed).select("ticker", "date", "close", "adj_close", "dividend", "split_ratio"))
+    return fine(feeds.json_prices(landed).select("ticker", "date", "close", "adj_close", "dividend", "split_ratio"))
 
 
-@query("s13_two_adjustments", NATION + " SELECT instrument_id AS ticker, date, round(close, 6) AS close, CASE WHEN day(date) <> 5 THEN round(close * 0.9, 6) END AS adj_close FROM panel_nation")
+@query("s13_two_adjustments", NATION + " SELECT instrument_id AS ticker, date, round(close, 9) AS close, CASE WHEN day(date) <> 5 THEN round(close * 0.9, 9) END AS adj_close FROM panel_nation")
 def s13(spark: SparkSession, sf_dir: str) -> DataFrame:
     split = fx.panel(spark, sf_dir, "nation").select(F.col("instrument_id").alias("ticker"), "date", "close")
     full = split.where(F.dayofmonth("date") != 5).withColumn("close", F.col("close") * 0.9)
-    return rounded(feeds.two_adjustments(split, full).select("ticker", "date", "close", "adj_close"))
+    return fine(feeds.two_adjustments(split, full).select("ticker", "date", "close", "adj_close"))
 
 
 @query("s14_rate_csv", REGION + ", r AS (SELECT date, right(instrument_id, 1) AS currency, round(close, 6) AS rate FROM panel_region WHERE day(date) <> 13) SELECT * FROM r UNION ALL SELECT DISTINCT date, 'EUR', 1.0 FROM r")
@@ -178,22 +183,22 @@ def f14(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feeds.news_windows(items, days).select("session", "link", "published", "rank")
 
 
-@query("s23_conform", NATION + " SELECT instrument_id AS ticker, date, round(close, 6) AS close, CASE WHEN day(date) <> 4 THEN volume::DOUBLE END AS volume, 'offer' AS source FROM panel_nation WHERE day(date) NOT IN (2, 3)")
+@query("s23_conform", NATION + " SELECT instrument_id AS ticker, date, round(close, 9) AS close, CASE WHEN day(date) <> 4 THEN volume::DOUBLE END AS volume, 'offer' AS source FROM panel_nation WHERE day(date) NOT IN (2, 3)")
 def s23(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A provider's frame of text columns, some without a close, some with words for numbers."""
     rows = fx.panel(spark, sf_dir, "nation")
     day = F.dayofmonth("date")
     close = F.when(day == 2, None).when(day == 3, "n/a").otherwise(F.col("close").cast("string"))
     frame = rows.select(F.col("instrument_id").alias("ticker"), F.col("date").cast("string").alias("date"), *(F.col(c).cast("string").alias(c) for c in ("open", "high", "low")), close.alias("close"), close.alias("adj_close"), F.when(day == 4, "many").otherwise(F.col("volume").cast("string")).alias("volume"))
-    return rounded(tables.conform(frame, "offer").select("ticker", "date", "close", "volume", "source"))
+    return fine(tables.conform(frame, "offer").select("ticker", "date", "close", "volume", "source"))
 
 
-@query("k01_rewrite_years", NATION + " SELECT instrument_id, date, round(CASE WHEN year(date) = 2000 THEN close * 2 ELSE close END, 6) AS close FROM panel_nation")
+@query("k01_rewrite_years", NATION + " SELECT instrument_id, date, round(CASE WHEN year(date) = 2000 THEN close * 2 ELSE close END, 9) AS close FROM panel_nation")
 def k01(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writing a year again replaces that year alone."""
     root = stored_prices(spark, sf_dir)
     sinks.write_years(priced(spark, sf_dir).where("year(date) = 2000").withColumn("close", F.col("close") * 2), root)
-    return rounded(tables.read_years(spark, root).select(*KEYS, "close"))
+    return fine(tables.read_years(spark, root).select(*KEYS, "close"))
 
 
 @query("k03_table", fx.prelude("universe") + " SELECT * FROM universe")
