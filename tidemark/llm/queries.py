@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.audit import audit
+from tidemark.llm.classlm import lm_scores
 from tidemark.llm.decontaminate import contamination
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.linededup import repeated_units
@@ -14,6 +16,7 @@ from tidemark.llm.minhash import near_dedup
 from tidemark.llm.mixing import mix
 from tidemark.llm.pii import find_pii
 from tidemark.llm.quality import fit_quality, scored
+from tidemark.llm.search import ranked_search
 from tidemark.llm.sharding import shard
 from tidemark.llm.toxicity import fit_toxicity
 from tidemark.llm.warc import warc_round_trip
@@ -156,3 +159,81 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_pii")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+@query(
+    "op11_ranked_search",
+    r"""
+    WITH lowered AS (
+        SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                          '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+    held AS (SELECT doc_id, len(terms) AS n, unnest(terms) AS term FROM lowered),
+    tfs AS (SELECT doc_id, term, any_value(n) AS n, count(*) AS tf FROM held GROUP BY doc_id, term),
+    sizes AS (SELECT count(*) AS docs, sum(len(terms))::BIGINT AS terms FROM lowered WHERE len(terms) > 0),
+    weights AS (
+        SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+        FROM tfs, sizes GROUP BY term, docs),
+    asked AS (
+        SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+    scores AS (
+        SELECT item_id, doc_id,
+               sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // terms))))::BIGINT AS score
+        FROM asked JOIN tfs USING (term) JOIN weights USING (term), sizes GROUP BY item_id, doc_id),
+    ranked AS (
+        SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank
+        FROM scores WHERE score > 0)
+    SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
+    return ranked_search(docs, items, 50)
+
+
+@query(
+    "op12_filter_audit",
+    r"""
+    WITH read AS (
+        SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+               regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+    failing AS (
+        SELECT r.doc_id, part, coalesce(l.quality = 1, false) AS good, coalesce(l.toxic = 1, false) AS toxic,
+               (len(words) < 100)::INTEGER
+               + 2 * (100 * len(list_distinct(words)) < 80 * len(words))::INTEGER
+               + 4 * (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text))::INTEGER
+               + 8 * regexp_matches(text, '[#$%&*|]')::INTEGER
+               + 16 * (r.doc_id > min(r.doc_id) OVER (PARTITION BY text))::INTEGER AS fails
+        FROM read r LEFT JOIN labels l USING (doc_id)),
+    letters AS (SELECT unnest([1, 2, 4, 8, 16]) AS bit, unnest(['A', 'B', 'C', 'D', 'E']) AS letter),
+    orders AS (
+        SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order,
+               unnest([1, 2, 3, 4, 5]) AS step,
+               unnest([0, a.bit, a.bit + b.bit, a.bit + b.bit + c.bit, 31 - e.bit]) AS before,
+               unnest([a.bit, b.bit, c.bit, d.bit, e.bit]) AS bit
+        FROM letters a JOIN letters b ON b.bit <> a.bit JOIN letters c ON c.bit NOT IN (a.bit, b.bit)
+        JOIN letters d ON d.bit NOT IN (a.bit, b.bit, c.bit) JOIN letters e ON e.bit NOT IN (a.bit, b.bit, c.bit, d.bit)),
+    kinds AS (
+        SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+        FROM failing GROUP BY part, fails),
+    counted AS (
+        SELECT part, filter_order, step, bit,
+               coalesce(sum(n) FILTER (fails & (before | bit) = 0), 0)::BIGINT AS kept,
+               coalesce(sum(n) FILTER (fails & before = 0 AND fails & bit > 0), 0)::BIGINT AS removed,
+               coalesce(sum(n) FILTER (fails & before > 0 AND fails & bit > 0), 0)::BIGINT AS redundant,
+               coalesce(sum(n) FILTER (fails = bit), 0)::BIGINT AS unique_fails,
+               coalesce(sum(good) FILTER (fails & before = 0 AND fails & bit > 0), 0)::BIGINT AS good_lost,
+               coalesce(sum(toxic) FILTER (fails & before = 0 AND fails & bit > 0), 0)::BIGINT AS toxic_lost
+        FROM kinds CROSS JOIN orders GROUP BY part, filter_order, step, bit)
+    SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+           (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley FROM counted
+    """,
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    return audit(docs, labels)
+
+
+@query("op13_class_lm")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(spark.read.parquet(f"{sf_dir}/documents.parquet"))
