@@ -3,15 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from statistics import NormalDist
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.functions.scalar import brier, covered, hit
+from tidemark.operators.bootstrap import resampled, z_of_p_sql
 
 LEAST, SIGNIFICANT = 30, 0.05
 MARGIN, COVERAGE_TOLERANCE, NOMINAL = 0.005, 0.02, 0.90
@@ -58,46 +55,9 @@ def each_regime(rows: DataFrame) -> DataFrame:
     return rows.withColumn("regime", F.explode(both))
 
 
-def stationary_means(total: np.ndarray, count: np.ndarray, block: int, reps: int, seed: int) -> np.ndarray:
-    """Means of stationary block resamples of daily sums and counts: blocks of geometric length, days in a circle."""
-    rng = np.random.Generator(np.random.PCG64(seed))
-    n = len(total)
-    at = rng.integers(n, size=reps)
-    sums, counts = total[at].copy(), count[at].astype(float)
-    for _ in range(n - 1):
-        fresh = rng.random(reps) < 1 / block
-        at = np.where(fresh, rng.integers(n, size=reps), (at + 1) % n)
-        sums += total[at]
-        counts += count[at]
-    return sums / counts
-
-
 def compared(cells: DataFrame, keys: Sequence[str], horizon: str | int = "horizon", reps: int = REPS, seed: int = SEED) -> DataFrame:
-    """From daily cells to one comparison a key: value, baseline_value, delta, n, n_eff, p_value.
-
-    A group holds one row a day, so no group outgrows a task.
-    """
-    fixed = horizon if isinstance(horizon, int) else None
-
-    def run(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values("day")
-        n, d = int(g["n"].sum()), g["d"].to_numpy()
-        mean = d.sum() / n
-        p, effective = None, float(n)
-        if len(g) >= 3:
-            h = fixed if fixed is not None else int(g[horizon].iloc[0])
-            means = stationary_means(d, g["n"].to_numpy(), max(2, min(h, len(g) // 2)), reps, seed)
-            off = means - mean
-            p = min(1.0, max(1 / reps, 2 * min(np.mean(off <= -abs(mean)), np.mean(off >= abs(mean)))))
-            spread = float(np.var(means, ddof=1))
-            own = (g["dd"].sum() - n * mean**2) / (n - 1) if n > 1 else 0.0
-            effective = min(max(own / spread, 1.0), n) if spread > 0 else float(n)
-        row = dict(zip(keys, key, strict=True))
-        return pd.DataFrame([row | {"value": g["model"].sum() / n, "baseline_value": g["base"].sum() / n, "delta": mean, "n": n, "n_eff": float(effective), "p_value": p}])
-
-    types = dict(cells.dtypes)
-    schema = ", ".join(f"`{k}` {types[k]}" for k in keys) + ", value double, baseline_value double, delta double, n long, n_eff double, p_value double"
-    return cells.groupBy(*keys).applyInPandas(run, schema)
+    """From daily cells to one comparison a key: value, baseline_value, delta, n, n_eff, p_value, by stationary block bootstrap."""
+    return resampled(cells, keys, F.lit(horizon) if isinstance(horizon, int) else F.col(horizon), reps, seed)
 
 
 def corrected(comparisons: DataFrame, partition: Sequence[str], horizon: str = "horizon") -> DataFrame:
@@ -122,17 +82,10 @@ def verdict(metric: Column, p: str = "p_value_fdr") -> Column:
     return F.when(F.col("n") < LEAST, "too_early").when(metric == "coverage", coverage).otherwise(ladder)
 
 
-@F.pandas_udf(T.DoubleType())
-def z_of_p(p: pd.Series) -> pd.Series:
-    """Two-sided z of a p-value; 8 where there is none."""
-    normal = NormalDist()
-    return p.map(lambda x: 8.0 if pd.isna(x) or x <= 0 else abs(normal.inv_cdf(min(x / 2, 1 - 1e-16))))
-
-
 def observations_needed(power_80: bool = True) -> Column:
     """How many observations would show the measured difference at the 5 % level."""
     z = 1.959963985 + (0.841621234 if power_80 else 1.281551566)
-    deviation = F.abs("delta") / F.greatest(z_of_p("p_value"), F.lit(1e-6)) * F.sqrt("n_eff")
+    deviation = F.abs("delta") / F.greatest(F.expr(z_of_p_sql("p_value")), F.lit(1e-6)) * F.sqrt("n_eff")
     none = (F.col("delta") == 0) | F.col("n_eff").isNull() | (F.col("n_eff") < 2)
     return F.when(none, F.lit(0)).otherwise(F.ceil(F.pow(z * deviation / F.abs("delta"), 2))).cast("long")
 

@@ -11,9 +11,9 @@ from tidemark.operators import evaluate, lab, macro, models, record, regime, ret
 from tidemark.operators.signals import all_signals
 from tidemark.plans import composites as flows
 from tidemark.plans.inputs import FEATURES, G08_SQL, LAB, fx_pairs, lab_rows
-from tidemark.plans.measure import OUT, outcomes, region_universe
+from tidemark.plans.measure import EACH_REGIME_SQL, LONG_SQL, OUT, outcomes, region_universe
 from tidemark.plans.panel import BASKET, KEYS, REGION, bars, log_returns
-from tidemark.plans.registry import query, rounded
+from tidemark.plans.base import query, rounded
 from tidemark.plans.stores import CLASS_SQL, class_of
 from tidemark.session import scratch, stored
 from tidemark.sources import fixtures as fx
@@ -108,9 +108,6 @@ def a33(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(out)
 
 
-LONG_SQL = "x AS (SELECT *, unnest([{'k': 'direction_accuracy', 'm': hit, 'b': baseline_hit}, {'k': 'brier', 'm': brier, 'b': baseline_brier}, {'k': 'coverage', 'm': covered, 'b': 0.9::DOUBLE}]) AS s FROM src), v AS (SELECT * EXCLUDE (s), s.k AS metric, s.m AS m, s.b AS b FROM x)"
-
-
 @query("a15_scoped_arena", OUT + f", src AS (SELECT {CLASS_SQL} AS scope, * FROM outcomes), {LONG_SQL} SELECT scope, horizon, metric, {flows.SUMMED} FROM v GROUP BY 1, 2, 3")
 def a15(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Due forecasts of each class resolved, and compared within the class."""
@@ -118,7 +115,7 @@ def a15(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(flows.points(evaluate.scored_long(rows, ["scope", "horizon"]), ["scope", "horizon", "metric"]))
 
 
-@query("a06_record_points", OUT + f", src AS (SELECT 'all' AS regime, * EXCLUDE (regime) FROM outcomes UNION ALL SELECT regime, * EXCLUDE (regime) FROM outcomes WHERE regime IS NOT NULL), {LONG_SQL} SELECT horizon, regime, metric, {flows.SUMMED} FROM v GROUP BY 1, 2, 3")
+@query("a06_record_points", OUT + f", {EACH_REGIME_SQL}, {LONG_SQL} SELECT horizon, regime, metric, {flows.SUMMED} FROM v GROUP BY 1, 2, 3")
 def a06_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = evaluate.each_regime(outcomes(spark, sf_dir))
     return rounded(flows.points(evaluate.scored_long(rows, ["horizon", "regime"]), ["horizon", "regime", "metric"]))
@@ -248,7 +245,7 @@ def a34_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _fill_in() -> None:
     from tidemark.plans.panel import ALL_SIGNALS, EWM, MACD
-    from tidemark.plans.registry import ORACLES
+    from tidemark.plans.base import ORACLES
 
     for name in ("a16_indicator_points", "a21_class_arenas"):
         ORACLES[name] = ORACLES[name].replace("@SIGNALS", EWM + MACD + ALL_SIGNALS)

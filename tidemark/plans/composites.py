@@ -12,9 +12,10 @@ from tidemark.functions.assets import ASSETS, Asset, train_stride
 from tidemark.operators import confluence, cross_section, evaluate, macro, models, record, regime, resolve, returns, technical, upsert
 from tidemark.operators.signals import all_signals
 from tidemark.plans.inputs import FEATURES, offered, ready
-from tidemark.plans.measure import OUT, market, outcomes, region_universe, shock_frame, thin_series
+from tidemark.plans.measure import EACH_REGIME_SQL, LONG_SQL, OUT, market, outcomes, region_universe, shock_frame, thin_series
 from tidemark.plans.panel import BASKET, KEYS, REGION, TR, bars, log_returns, with_tr
-from tidemark.plans.registry import query, rounded
+from tidemark.plans.base import comparable, query, rounded
+from tidemark.plans.twins import records_sql
 from tidemark.session import stored
 from tidemark.sources import feeds
 from tidemark.sources import fixtures as fx
@@ -283,14 +284,23 @@ def a12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("resolution_type", "horizon").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("a13_live_arena")
+IMPLIED = """implied AS (SELECT *, 0.5 + 0.4 * (baseline_prob - 0.5) AS p FROM outcomes WHERE horizon = 20 AND day(session) % 5 <> 0),
+    ix AS (
+        SELECT horizon, session, unnest([
+            {'k': 'direction_accuracy', 'm': hit, 'b': ((p > 0.5) = (actual_return > 0))::INT::DOUBLE}, {'k': 'brier', 'm': brier, 'b': power(p - (actual_return > 0)::INT, 2)}]) AS s FROM implied),
+    live AS (
+        SELECT horizon, regime, session, metric, m, b FROM v
+        UNION ALL SELECT horizon, 'implied', session, s.k, s.m, s.b FROM ix)"""
+
+
+@query("a13_live_arena", OUT + f", {EACH_REGIME_SQL}, {LONG_SQL}, {IMPLIED}, " + records_sql("live", ["horizon", "regime", "metric"], ["regime"]))
 def a13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records over all and by regime, and the model against the market's implied probability."""
     rows = stored(with_implied(outcomes(spark, sf_dir)), "live")
     each = evaluate.each_regime(rows)
     own = evaluate.records(evaluate.scored_long(each, ["horizon", "regime"]), ["horizon", "regime", "metric"], ["regime"])
     implied = evaluate.records(implied_comparisons(rows), ["horizon", "metric"], []).withColumn("regime", F.lit("implied"))
-    return rounded(own.unionByName(implied))
+    return comparable(own.unionByName(implied))
 
 
 def with_implied(rows: DataFrame) -> DataFrame:
@@ -331,9 +341,9 @@ def a14(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(points(models_live(families(spark, sf_dir), "main", 3), ["horizon", "family", "metric"]))
 
 
-@query("a14_model_arena_verdicts")
+@query("a14_model_arena_verdicts", FAMILIES_SQL + ", " + records_sql("v", ["family", "horizon", "metric"]))
 def a14_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(evaluate.records(models_live(families(spark, sf_dir), "main", 3), ["family", "horizon", "metric"], []))
+    return comparable(evaluate.records(models_live(families(spark, sf_dir), "main", 3), ["family", "horizon", "metric"], []))
 
 
 def live_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -486,7 +496,7 @@ def e05(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _fill_in() -> None:
     from tidemark.plans.measure import MARKET_SQL, SHOCK_SQL
     from tidemark.plans.panel import ALL_SIGNALS, EWM, MACD
-    from tidemark.plans.registry import ORACLES
+    from tidemark.plans.base import ORACLES
 
     parts = {"@SHOCK": SHOCK_SQL.replace("{level}", "region"), "@MARKET": MARKET_SQL, "@SIGNALS": EWM + MACD + ALL_SIGNALS}
     for name in ("w23_tail_signals", "w24_market_shock", "j01_signal_outcomes", "g14_confluence_summary"):

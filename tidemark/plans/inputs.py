@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -10,8 +11,9 @@ from tidemark.operators import confluence, cross_section, evaluate, lab, models,
 from tidemark.operators.signals import all_signals
 from tidemark.plans.measure import FULL_SHOCK, OUT, SCENARIO_SQL, outcomes
 from tidemark.plans.panel import ALL_SIGNALS, BASKET, EWM, KEYS, MACD, REGION, bars, log_returns, with_tr
-from tidemark.plans.registry import query, rounded
+from tidemark.plans.base import comparable, query, rounded
 from tidemark.sources import feeds
+from tidemark.plans.twins import records_sql
 from tidemark.sources import fixtures as fx
 
 SESSIONS = fx.prelude("region", "sessions")
@@ -514,7 +516,14 @@ def w29(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(lab.thinned(lab.curves(table)))
 
 
-@query("a09_lab")
+def two_labs_sql() -> str:
+    """The periods of two horizons, one set of tables each, as rows of a comparison."""
+    parts = [re.sub(r"\b(lr|reb|seen|uni|daily|per)\b", rf"\1_{h}", LAB_SQL.replace("horizon = 20", f"horizon = {h}").replace("k % 20", f"k % {h}")) for h in (5, 20)]
+    rows = " UNION ALL ".join(f"SELECT universe, threshold, cost, {h} AS horizon, date AS session, strategy AS m, hold AS b, 'excess_return' AS metric FROM per_{h}" for h in (5, 20))
+    return fx.prelude("region", "sessions", "universe") + fx.OUTCOMES + parts[0] + parts[1] + f", v AS ({rows}), "
+
+
+@query("a09_lab", two_labs_sql() + records_sql("v", ["universe", "threshold", "cost", "horizon", "metric"], judged=False))
 def a09(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The grid of two horizons, compared with holding and corrected together."""
     rows, names, grid = lab_rows(spark, sf_dir), fx.universe(spark, sf_dir), lab.grid(spark)
@@ -522,7 +531,7 @@ def a09(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = ["universe", "threshold", "cost", "horizon"]
     long = table.select(*keys, F.col("date").alias("day"), F.col("strategy").alias("model"), F.col("hold").alias("base"))
     found = evaluate.corrected(evaluate.compared(evaluate.daily_cells(long, keys), keys), [])
-    return rounded(found.withColumn("verdict", evaluate.verdict(F.lit("excess_return"))))
+    return comparable(found.withColumn("verdict", evaluate.verdict(F.lit("excess_return"))))
 
 
 def model_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

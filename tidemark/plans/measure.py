@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from uuid import UUID
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,8 +10,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import scalar
 from tidemark.operators import evaluate, record, resolve, returns, scenario, shocks, upsert
-from tidemark.plans.panel import BASKET, KEYS, bars
-from tidemark.plans.registry import query, rounded
+from tidemark.plans.panel import ALL_SIGNALS, BASKET, EWM, KEYS, MACD, REGION, bars
+from tidemark.plans.base import comparable, query, rounded
+from tidemark.plans.twins import corrected_sql, records_sql
 from tidemark.sources import fixtures as fx
 
 BASE = fx.prelude("region", "sessions")
@@ -104,21 +106,27 @@ def m03(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(found.select("horizon", "metric", "delta", "n", evaluate.verdict(F.col("metric")).alias("verdict")))
 
 
-@query("m01_bootstrap")
+LONG_SQL = """x AS (
+        SELECT *, unnest([{'k': 'direction_accuracy', 'm': hit, 'b': baseline_hit}, {'k': 'brier', 'm': brier, 'b': baseline_brier}, {'k': 'coverage', 'm': covered, 'b': 0.9::DOUBLE}]) AS s FROM src),
+    v AS (SELECT * EXCLUDE (s), s.k AS metric, s.m AS m, s.b AS b FROM x)"""
+EACH_REGIME_SQL = "src AS (SELECT 'all' AS regime, * EXCLUDE (regime) FROM outcomes UNION ALL SELECT regime, * EXCLUDE (regime) FROM outcomes WHERE regime IS NOT NULL)"
+
+
+@query("m01_bootstrap", OUT + f", src AS (SELECT * FROM outcomes), {LONG_SQL}, " + records_sql("v", ["horizon", "metric"]))
 def m01(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Model records of every horizon and metric: bootstrap p, effective n, correction, verdict, observations needed."""
-    return rounded(evaluate.records(evaluate.scored_long(outcomes(spark, sf_dir), ["horizon"]), ["horizon", "metric"], []))
+    return comparable(evaluate.records(evaluate.scored_long(outcomes(spark, sf_dir), ["horizon"]), ["horizon", "metric"], []))
 
 
-@query("m04_observations_needed")
+@query("m04_observations_needed", OUT + TESTED.replace("fam AS", "unused AS").split("    unused AS")[0].rstrip().rstrip(",") + ", " + corrected_sql(["horizon", "metric"], rows="tested") + " SELECT horizon, metric, n, observations_needed FROM judged")
 def m04(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(tested(spark, sf_dir).select("horizon", "metric", "n", evaluate.observations_needed().alias("observations_needed")))
 
 
-@query("a06_records_by_regime")
+@query("a06_records_by_regime", OUT + f", {EACH_REGIME_SQL}, {LONG_SQL}, " + records_sql("v", ["horizon", "regime", "metric"]))
 def a06(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = evaluate.each_regime(outcomes(spark, sf_dir))
-    return rounded(evaluate.records(evaluate.scored_long(rows, ["horizon", "regime"]), ["horizon", "regime", "metric"], []))
+    return comparable(evaluate.records(evaluate.scored_long(rows, ["horizon", "regime"]), ["horizon", "regime", "metric"], []))
 
 
 @query("g09_heat_cells", OUT + " SELECT horizon, target_session, count(*) AS n, sum(hit)::BIGINT AS hits, sum(baseline_hit)::BIGINT AS baseline_hits FROM outcomes GROUP BY 1, 2")
@@ -433,7 +441,23 @@ def f09(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shocks.broad_count(shock_frame(spark, sf_dir), BASKET[:3], 2)
 
 
-@query("a20_news_arena")
+NEWS_SQL = (
+    fx.prelude("region", "nation", "sessions", "macro") + SHOCK_SQL.replace("{level}", "nation") + """,
+    u AS MATERIALIZED (SELECT *, (vol_after > sigma_before)::INT::DOUBLE AS rose FROM shock WHERE vol_after IS NOT NULL AND sigma_before > 0),
+    calm_share AS (SELECT date, avg(rose) AS base FROM u WHERE NOT flag GROUP BY 1),
+    own AS (SELECT 'instrument_shock' AS signal, u.date AS session, rose AS m, base AS b FROM u JOIN calm_share USING (date) WHERE flag)"""
+    + re.sub(r"\b(sret|sr|ss|sframe|shock)\b", r"region_\1", SHOCK_SQL.replace("{level}", "region")) + MARKET_SQL.replace("FROM shock", "FROM region_shock").replace("JOIN shock", "JOIN region_shock") + """,
+    md AS MATERIALIZED (SELECT *, (vol_after > sigma_before)::INT::DOUBLE AS r1, (vol_after >= 1.5 * sigma_before)::INT::DOUBLE AS r2 FROM market WHERE vol_after IS NOT NULL AND sigma_before > 0),
+    v AS (
+        SELECT *, 5 AS horizon, 'direction_accuracy' AS metric FROM (
+            SELECT * FROM own
+            UNION ALL SELECT 'market_shock', date, r1, (SELECT avg(r1) FROM md WHERE NOT coalesce(market_flag, false)) FROM md WHERE market_flag
+            UNION ALL SELECT 'withheld', date, r2, (SELECT avg(r2) FROM md WHERE NOT coalesce(withheld, false)) FROM md WHERE withheld) WHERE b IS NOT NULL), """
+    + records_sql("v", ["signal", "horizon", "metric"])
+)
+
+
+@query("a20_news_arena", NEWS_SQL)
 def a20(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Do volatilities rise after a signal: instruments against the day's others, market days against the rest."""
     days = market(spark, sf_dir)
@@ -443,7 +467,7 @@ def a20(spark: SparkSession, sf_dir: str) -> DataFrame:
         shocks.day_control(days, "withheld", 1.5).select(F.lit("withheld").alias("signal"), "day", "model", "base"),
     ]
     long = parts[0].unionByName(parts[1]).unionByName(parts[2]).withColumns({"horizon": F.lit(5), "metric": F.lit("direction_accuracy")})
-    return rounded(evaluate.records(long, ["signal", "horizon", "metric"], []))
+    return comparable(evaluate.records(long, ["signal", "horizon", "metric"], []))
 
 
 ENTRIES = ", entries AS (SELECT forecast_id AS id, instrument_id, session, target_session, horizon, prob_up, baseline_prob FROM forecasts WHERE horizon IN (5, 20) AND target_session IS NOT NULL AND right(instrument_id, 1) = '1')"
@@ -537,12 +561,22 @@ def t10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return record.seeded_sample(record.questions(bars(spark, sf_dir), 20), 200, 7, "instrument_id", "date").select(*KEYS, "baseline_prob", "up")
 
 
-@query("a16_indicator_arena")
+def arena_sql(horizons: tuple[int, ...]) -> str:
+    """``v``: each signal's hit and that of the instrument's usual direction, at every horizon that has closed."""
+    ahead = " UNION ALL ".join(f"SELECT instrument_id, date, {h} AS horizon, lead(close, {h}) OVER (PARTITION BY instrument_id ORDER BY date) > close AS up FROM panel_region" for h in horizons)
+    return f""", f AS MATERIALIZED ({ahead}),
+    usual AS (SELECT instrument_id, horizon, avg(up::INT) >= 0.5 AS usual FROM f WHERE up IS NOT NULL GROUP BY 1, 2),
+    v AS (
+        SELECT s.rule, s.direction, f.horizon, s.date AS session, 'direction_accuracy' AS metric, (f.up = (s.direction = 'long'))::INT::DOUBLE AS m, (f.up = u.usual)::INT::DOUBLE AS b
+        FROM signals s JOIN f USING (instrument_id, date) JOIN usual u ON u.instrument_id = s.instrument_id AND u.horizon = f.horizon WHERE f.up IS NOT NULL), """
+
+
+@query("a16_indicator_arena", REGION + EWM + MACD + ALL_SIGNALS + arena_sql(fx.HORIZONS) + records_sql("v", ["rule", "direction", "horizon", "metric"], judged=False))
 def a16(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.operators.signals import all_signals
 
     prices = bars(spark, sf_dir)
-    return rounded(evaluate.arena(all_signals(prices), prices, fx.HORIZONS))
+    return comparable(evaluate.arena(all_signals(prices), prices, fx.HORIZONS))
 
 
 @query("k07_package_hash")

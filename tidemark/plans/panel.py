@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import candles, cross_section, macro, pivots, ranks, regime, returns, signals, technical
 from tidemark.operators.rolling import by_instrument, exponential_means, guarded, span
-from tidemark.plans.registry import query, rounded
+from tidemark.plans.base import query, rounded
 from tidemark.sources import fixtures as fx
 
 KEYS = ["instrument_id", "date"]

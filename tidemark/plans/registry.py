@@ -1,34 +1,6 @@
-"""Named queries and their DuckDB twins, gathered from the plan modules."""
+"""All named queries and their DuckDB twins: importing it imports every plan module, and these register themselves."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-Query = Callable[[SparkSession, str], DataFrame]
-
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
-DIGITS = 6
-
-
-def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
-    """Register a query under a name, with its twin where SQL has one."""
-
-    def add(f: Query) -> Query:
-        QUERIES[name] = f
-        if sql is not None:
-            ORACLES[name] = sql
-        return f
-
-    return add
-
-
-def rounded(df: DataFrame) -> DataFrame:
-    """Doubles to six digits, as both engines are compared; NaN to null."""
-    return df.select(*(F.round(F.nanvl(F.col(c), F.lit(None).cast("double")), DIGITS).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes))
-
-
-from tidemark.plans import classes, composites, inputs, measure, panel, stores  # noqa: E402,F401  the modules register themselves
+from tidemark.plans import classes, composites, inputs, measure, panel, stores  # noqa: F401
+from tidemark.plans.base import ORACLES, QUERIES  # noqa: F401

@@ -10,7 +10,7 @@ from tidemark.functions import calendars, quality, scalar
 from tidemark.operators import cross_section, models, record, upsert
 from tidemark.plans.measure import OUT, outcomes
 from tidemark.plans.panel import KEYS, REGION, bars
-from tidemark.plans.registry import query, rounded
+from tidemark.plans.base import query, rounded
 from tidemark.session import scratch
 from tidemark.sources import feeds, sinks, tables
 from tidemark.sources import fixtures as fx
