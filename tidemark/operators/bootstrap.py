@@ -1,4 +1,4 @@
-"""Stationary block bootstrap of daily sums, as columns.
+"""Stationary block bootstrap of daily sums, from random streams that every engine can draw.
 
 Random numbers depend on (seed, repetition, draw) alone: two 52-bit parts of an md5,
 so that any engine, partitioning or rerun draws the same ones. A repetition is a row of
@@ -7,21 +7,28 @@ there are as many days as the sample has. A block's sums are differences of runn
 sums, so a block costs two look-ups however long it is, and a repetition about
 days / block of them.
 
-Comparisons and repetitions meet by chunks of repetitions: a comparison is a row of its
-days' running sums for each chunk, a chunk is one row of draws that all comparisons share.
+A comparison is a row of its days' running sums for each chunk of repetitions, so that one
+with many days or repetitions is spread over tasks; a task draws a chunk's numbers once for
+all comparisons. Rows go through numpy one by one, and none holds more than its days.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from hashlib import md5
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.session import stored
 
 CHUNK = 50
 FEWEST_DAYS = 3
+#: Means that differ by less are equal: what is left is rounding.
+NO_SPREAD = 1e-18
 
 #: Coefficients of algorithm AS241 for the normal quantile (fixed values, constant term last): centre, middle and far numerators and denominators.
 CENTRE = (
@@ -60,18 +67,12 @@ def z_of_p_sql(p: str) -> str:
     return f"CASE WHEN {p} IS NULL OR {p} <= 0 THEN 8e0 WHEN abs({q}) <= 0.425e0 THEN abs({near}) ELSE abs({tail}) END"
 
 
-def uniform(digits: Column, first: int) -> Column:
-    """13 hex digits from ``first`` as a number in [0, 1)."""
-    return F.conv(F.substring(digits, first, 13), 16, 10).cast("long") / float(1 << 52)
-
-
-def draws(spark: SparkSession, reps: int, most: int, seed: int) -> DataFrame:
-    """chunk, reps: each chunk's repetitions, each of them ``most`` draws (j, u of the first day, ln(1 - v) of the length)."""
-    one = lambda rep: F.transform(F.sequence(F.lit(0), F.lit(most - 1)), lambda j: draw(F.md5(F.concat_ws(":", F.lit(str(seed)), rep.cast("string"), j.cast("string"))), j))
-    draw = lambda digits, j: F.struct(j.alias("j"), uniform(digits, 1).alias("u"), F.log(1 - uniform(digits, 14)).alias("w"))
-    rows = spark.range(-(-reps // CHUNK)).select(F.col("id").cast("int").alias("chunk"))
-    last = F.least(F.lit(reps), (F.col("chunk") + 1) * CHUNK) - 1
-    return rows.repartition(-(-reps // CHUNK), "chunk").select("chunk", F.transform(F.sequence(F.col("chunk") * CHUNK, last), one).alias("reps"))
+def draws(chunk: int, reps: int, most: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each repetition of a chunk ``most`` draws: uniform numbers for the first days, and ln(1 - uniform) for the lengths."""
+    rows = range(chunk * CHUNK, min(reps, (chunk + 1) * CHUNK))
+    digits = [md5(f"{seed}:{rep}:{j}".encode()).hexdigest() for rep in rows for j in range(most)]
+    u, v = (np.array([int(d[at : at + 13], 16) for d in digits], float).reshape(len(rows), most) / (1 << 52) for at in (0, 13))
+    return u, np.log(1 - v)
 
 
 def most_draws(days: Column, block: Column) -> Column:
@@ -80,26 +81,22 @@ def most_draws(days: Column, block: Column) -> Column:
     return F.least(days, F.ceil(share + 10 * F.sqrt(share) + 30)).cast("int")
 
 
-def _mean(rep: Column) -> Column:
-    """A repetition's mean over the columns t, block, most, sums, counts of a comparison."""
-    days, block = F.col("t"), F.col("block")
-
-    def prefix(of: str, at: Column) -> Column:
-        return F.when(at == 0, F.lit(0)).otherwise(F.element_at(F.col(of), at))
-
-    def step(so_far: Column, draw: Column) -> Column:
-        left = days - so_far["done"]
-        length = F.least(left, (1 + F.floor(draw["w"] / F.log(1 - 1.0 / block))).cast("int"))
-        length = F.when(draw["j"] == F.col("most") - 1, left).otherwise(length)
-        first = F.floor(draw["u"] * days).cast("int")
-        end = first + length
-        round_ = F.when(end > days, end - days).otherwise(end)
-        part = lambda of: prefix(of, round_) - prefix(of, first) + F.when(end > days, F.element_at(F.col(of), -1)).otherwise(F.lit(0))
-        moved = F.struct((so_far["done"] + length).alias("done"), (so_far["d"] + part("sums")).alias("d"), (so_far["n"] + part("counts")).alias("n"))
-        return F.when(left > 0, moved).otherwise(so_far)
-
-    none = F.struct(F.lit(0).alias("done"), F.lit(0.0).alias("d"), F.lit(0).cast("long").alias("n"))
-    return F.aggregate(F.slice(rep, 1, F.col("most")), none, step, lambda x: x["d"] / x["n"])
+def chunk_means(sums: np.ndarray, counts: np.ndarray, block: int, most: int, u: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """The mean of each repetition over days with these running sums and counts."""
+    t = len(sums)
+    u, w = u[:, :most], w[:, :most]
+    length = 1 + np.floor(w / np.log(1 - 1.0 / block)).astype(np.int64)
+    done = np.minimum(np.cumsum(length, 1), t)
+    done[:, -1] = t
+    length = np.diff(done, axis=1, prepend=0)
+    first = np.floor(u * t).astype(np.int64)
+    end = first + length
+    past = end > t
+    total = []
+    for running in (sums, counts):
+        prefix = np.concatenate([[0], running])
+        total.append((prefix[np.where(past, end - t, end)] - prefix[first] + past * running[-1]).sum(1))
+    return total[0] / total[1]
 
 
 def resampled(cells: DataFrame, keys: Sequence[str], horizon: Column, reps: int, seed: int) -> DataFrame:
@@ -116,10 +113,22 @@ def resampled(cells: DataFrame, keys: Sequence[str], horizon: Column, reps: int,
     found = grouped.select(*keys, "t", n, (F.col("model") / n).alias("value"), (F.col("base") / n).alias("baseline_value"), mean.alias("delta"), own.alias("own"), F.col("days.sum").alias("sums"), F.col("days.count").alias("counts"), F.greatest(F.lit(2), F.least(F.col("__h").cast("int"), F.floor(F.col("t") / 2).cast("int"))).alias("block"))
     found = stored(found.withColumn("most", most_draws(F.col("t"), F.col("block"))), "comparisons")
 
-    most = found.agg(F.max("most")).first()[0] or 1
     chunks = -(-reps // CHUNK)
-    asked = found.where(F.col("t") >= FEWEST_DAYS).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))).repartition(chunks, "chunk")
-    means = asked.join(draws(cells.sparkSession, reps, most, seed), "chunk").select(*keys, "delta", F.explode(F.transform("reps", _mean)).alias("m"))
+    asked = found.where(F.col("t") >= FEWEST_DAYS).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
+    asked = asked.select(*keys, "delta", "chunk", "block", "most", "sums", "counts").repartition(chunks, "chunk").sortWithinPartitions("chunk", F.col("most").desc())
+
+    def repeat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, drawn = -1, None
+        for batch in batches:
+            means = []
+            for chunk, block, most, sums, counts in zip(*(batch.column(c) for c in ("chunk", "block", "most", "sums", "counts")), strict=True):
+                if chunk.as_py() != at:
+                    at, drawn = chunk.as_py(), draws(chunk.as_py(), reps, most.as_py(), seed)
+                means.append(chunk_means(sums.values.to_numpy(), counts.values.to_numpy(), block.as_py(), most.as_py(), *drawn))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in (*keys, "delta")), pa.array(means, pa.list_(pa.float64()))], names=[*keys, "delta", "means"])
+
+    fields = [asked.schema[c] for c in (*keys, "delta")]
+    means = asked.mapInArrow(repeat, T.StructType([*fields, T.StructField("means", T.ArrayType(T.DoubleType()))])).select(*keys, "delta", F.explode("means").alias("m"))
     off, far = F.col("m") - F.col("delta"), F.abs("delta")
     # Keys may be null, so both parts meet in one grouping and not in a join.
     tails = means.groupBy(*keys).agg(F.count_if(off <= -far).alias("low"), F.count_if(off >= far).alias("high"), F.var_samp("m").alias("spread"))
@@ -127,7 +136,7 @@ def resampled(cells: DataFrame, keys: Sequence[str], horizon: Column, reps: int,
     both = found.select(*keys, F.struct(*what).alias("own"), F.lit(None).cast("struct<low:bigint,high:bigint,spread:double>").alias("tails"))
     both = both.unionByName(tails.select(*keys, F.lit(None).cast(both.schema["own"].dataType).alias("own"), F.struct("low", "high", "spread").alias("tails")))
     one = both.groupBy(*keys).agg(F.max("own").alias("o"), F.max("tails").alias("s"))
-    effective = F.when(F.coalesce(F.col("s.spread"), F.lit(0.0)) > 0, F.least(F.greatest(F.col("o.own") / F.col("s.spread"), F.lit(1.0)), F.col("o.n"))).otherwise(F.col("o.n"))
+    effective = F.when(F.coalesce(F.col("s.spread"), F.lit(0.0)) > NO_SPREAD, F.least(F.greatest(F.col("o.own") / F.col("s.spread"), F.lit(1.0)), F.col("o.n"))).otherwise(F.col("o.n"))
     p = F.least(F.lit(1.0), F.greatest(F.lit(1.0 / reps), 2 * F.least("s.low", "s.high") / F.lit(reps)))
     return one.select(*keys, "o.value", "o.baseline_value", "o.delta", "o.n", effective.cast("double").alias("n_eff"), F.when(F.col("s").isNotNull(), p).alias("p_value"))
 
@@ -141,11 +150,12 @@ def resampled_sql(rows: str, keys: Sequence[str], horizon: str = "horizon", day:
     bg AS MATERIALIZED (
         SELECT *, row_number() OVER () AS g, greatest(2, least({horizon}, t // 2))::BIGINT AS block,
                CASE WHEN n > 1 THEN (dd - n * delta * delta) / (n - 1) ELSE 0.0 END AS own
-        FROM (SELECT {k}, count(*) AS t, sum(n)::BIGINT AS n, sum(m) / sum(n) AS value, sum(b) / sum(n) AS baseline_value, sum(d) / sum(n) AS delta, sum(dd) AS dd FROM bc GROUP BY {k})),
+        FROM (SELECT {k}, count(*) AS t, sum(n)::BIGINT AS n, sum(d) AS d, sum(m) / sum(n) AS value, sum(b) / sum(n) AS baseline_value, sum(d) / sum(n) AS delta, sum(dd) AS dd FROM bc GROUP BY {k})),
+    bp_at AS MATERIALIZED (SELECT *, (g - 1) * (SELECT max(t) + 1 FROM bg) AS shift FROM bg),
     bp AS MATERIALIZED (
-        SELECT g, row_number() OVER w AS i, sum(d) OVER w AS pd, sum(n) OVER w AS pn
-        FROM (SELECT g.g, c.day, c.d, c.n FROM bc c JOIN bg g ON {same}) WINDOW w AS (PARTITION BY g ORDER BY day ROWS UNBOUNDED PRECEDING)
-        UNION ALL SELECT g, 0, 0.0, 0 FROM bg),
+        SELECT shift + row_number() OVER w AS k, sum(d) OVER w AS pd, sum(n) OVER w AS pn
+        FROM (SELECT g.g, g.shift, c.day, c.d, c.n FROM bc c JOIN bp_at g ON {same}) WINDOW w AS (PARTITION BY g ORDER BY day ROWS UNBOUNDED PRECEDING)
+        UNION ALL SELECT shift, 0.0, 0 FROM bp_at),
     bs AS MATERIALIZED (SELECT t, block, least(t, ceil(t / block + 10 * sqrt(t / block) + 30))::BIGINT AS most FROM (SELECT DISTINCT t, block FROM bg WHERE t >= {FEWEST_DAYS})),
     br AS MATERIALIZED (
         SELECT rep, j, ('0x' || substr(h, 1, 13))::BIGINT / {1 << 52}.0::DOUBLE AS u, ln(1 - ('0x' || substr(h, 14, 13))::BIGINT / {1 << 52}.0::DOUBLE) AS w
@@ -155,11 +165,11 @@ def resampled_sql(rows: str, keys: Sequence[str], horizon: str = "horizon", day:
     bd AS (SELECT *, sum(l) OVER (PARTITION BY t, block, rep ORDER BY j ROWS UNBOUNDED PRECEDING) - l AS done FROM bl),
     bu AS (SELECT t, block, rep, s, s + CASE WHEN j = most - 1 THEN t - done ELSE least(l, t - done) END AS e FROM bd WHERE done < t),
     bm AS (
-        SELECT g.g, rep, sum(y.pd - x.pd + CASE WHEN e > u.t THEN z.pd ELSE 0 END) / sum(y.pn - x.pn + CASE WHEN e > u.t THEN z.pn ELSE 0 END) AS mean
-        FROM bu u JOIN bg g ON g.t = u.t AND g.block = u.block JOIN bp x ON x.g = g.g AND x.i = s
-        JOIN bp y ON y.g = g.g AND y.i = CASE WHEN e > u.t THEN e - u.t ELSE e END JOIN bp z ON z.g = g.g AND z.i = u.t GROUP BY g.g, rep),
+        SELECT g.g, rep, sum(y.pd - x.pd + CASE WHEN e > u.t THEN g.d ELSE 0 END) / sum(y.pn - x.pn + CASE WHEN e > u.t THEN g.n ELSE 0 END) AS mean
+        FROM bu u JOIN bp_at g ON g.t = u.t AND g.block = u.block JOIN bp x ON x.k = g.shift + s
+        JOIN bp y ON y.k = g.shift + CASE WHEN e > u.t THEN e - u.t ELSE e END GROUP BY g.g, rep),
     bt AS (SELECT g, count(*) FILTER (mean - delta <= -abs(delta)) AS low, count(*) FILTER (mean - delta >= abs(delta)) AS high, var_samp(mean) AS spread FROM bm JOIN bg USING (g) GROUP BY g),
     compared AS (
-        SELECT {k}, value, baseline_value, delta, n, CASE WHEN spread > 0 THEN least(greatest(own / spread, 1.0), n) ELSE n END::DOUBLE AS n_eff,
+        SELECT {k}, value, baseline_value, delta, n, CASE WHEN spread > {NO_SPREAD} THEN least(greatest(own / spread, 1.0), n) ELSE n END::DOUBLE AS n_eff,
                CASE WHEN t >= {FEWEST_DAYS} THEN least(1.0, greatest(1.0 / {reps}, 2 * least(low, high) / {reps}.0)) END AS p_value
         FROM bg LEFT JOIN bt USING (g))"""

@@ -11,10 +11,10 @@ def corrected_sql(keys: Sequence[str], partition: Sequence[str] = (), rows: str
     """From ``rows`` (keys, delta, n, n_eff, p_value) to ``judged``: with the correction, the tests in it, the verdict by ``metric`` and the observations needed."""
     by = ", ".join([*partition, "f"])
     return f"""
-    fam AS (SELECT *, CASE WHEN horizon IN (5, 20, 60) THEN 'core' ELSE 'extended' END AS f FROM {rows}),
+    by_family AS (SELECT *, CASE WHEN horizon IN (5, 20, 60) THEN 'core' ELSE 'extended' END AS f FROM {rows}),
     ordered AS (
         SELECT *, count(*) OVER (PARTITION BY {by}) AS n_tests,
-               p_value * count(p_value) OVER (PARTITION BY {by}) / row_number() OVER (PARTITION BY {by}, p_value IS NULL ORDER BY p_value) AS raw FROM fam),
+               p_value * count(p_value) OVER (PARTITION BY {by}) / row_number() OVER (PARTITION BY {by}, p_value IS NULL ORDER BY p_value) AS raw FROM by_family),
     bh AS (
         SELECT *, CASE WHEN p_value IS NOT NULL THEN least(1.0, min(raw) OVER (
                    PARTITION BY {by}, p_value IS NULL ORDER BY p_value RANGE BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) END AS p_value_fdr FROM ordered),
