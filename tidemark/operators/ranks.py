@@ -11,7 +11,7 @@ from bisect import bisect_left, bisect_right, insort
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tidemark.session import stored
@@ -41,6 +41,65 @@ def quantiles(rows: DataFrame, keys: Sequence[str], value: str, levels: Sequence
     return ends.groupBy(*keys, "n").agg(F.transform(F.array_sort(F.collect_list(level)), lambda s: s["q"]).alias("quantiles"))
 
 
+def _ranges(rows: DataFrame, *order: str) -> DataFrame:
+    """``rows`` range-partitioned by ``order`` with their range's number, written once: ranges are sampled, and both sides must read the same ones."""
+    return stored(rows.repartitionByRange(*order).withColumn("__range", F.spark_partition_id()), "ranges")
+
+
+def _earlier(keys: Sequence[str]) -> WindowSpec:
+    return Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+
+
+def staged_quantiles(rows: DataFrame, keys: Sequence[str], value: str, stage: str, levels: Sequence[float], stages: Sequence[int], strict: bool = False) -> DataFrame:
+    """keys, stage, n, quantiles: for each of ``stages`` the exact quantiles of the values whose own stage is not later (``strict``: earlier).
+
+    Values are ranked once for all stages. Only counts by range are repeated for later stages, and the few
+    ranges that hold a wanted rank; meant for few levels.
+    """
+    known = rows.select(*keys, F.col(stage).alias("__s"), F.col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull() & ~F.isnan("__v"))
+    cells = _ranges(known.groupBy(*keys, "__v", "__s").agg(F.count(F.lit(1)).alias("__c")), *keys, "__v")
+    within = (lambda s: F.col("__s") < s) if strict else (lambda s: F.col("__s") <= s)
+    counted = [F.struct(F.lit(s).alias("stage"), F.sum(F.when(within(s), F.col("__c"))).alias("c")) for s in stages]
+    sums = cells.groupBy(*keys, "__range").agg(F.array(*counted).alias("__a")).select(*keys, "__range", F.explode("__a").alias("a")).select(*keys, "__range", "a.*").where("c is not null")
+    group = [*keys, "stage"]
+    firsts = sums.select(*group, "__range", "c", F.coalesce(F.sum("c").over(_earlier(group)), F.lit(0)).alias("__first"), F.sum("c").over(Window.partitionBy(*group)).alias("n"))
+    wanted = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p"), F.lit(up).alias("up")) for i, p in enumerate(levels) for up in (False, True)])
+    asked = firsts.select(*group, "__range", "c", "__first", "n", F.explode(wanted).alias("w")).withColumn("t", F.col("w.p") * (F.col("n") - 1))
+    asked = asked.withColumn("__at", F.when(F.col("w.up"), F.ceil("t")).otherwise(F.floor("t")) - F.col("__first")).where((F.col("__at") >= 0) & (F.col("__at") < F.col("c")))
+    asked = stored(asked.select(*group, "__range", "__at", "w.i", "w.up", "t", "n"), "asked")
+    holding = cells.join(asked.select(*group, "__range").distinct(), [*keys, "__range"]).where(F.col("__s") < F.col("stage") if strict else F.col("__s") <= F.col("stage"))
+    order = Window.partitionBy(*group, "__range").orderBy("__v", "__s").rowsBetween(Window.unboundedPreceding, -1)
+    placed = holding.select(*group, "__range", "__v", "__c", F.coalesce(F.sum("__c").over(order), F.lit(0)).alias("__from"))
+    found = placed.join(asked, [*group, "__range"]).where((F.col("__at") >= F.col("__from")) & (F.col("__at") < F.col("__from") + F.col("__c")))
+    ends = found.groupBy(*group, "n", "i", "t").agg(F.max(F.when(~F.col("up"), F.col("__v"))).alias("a"), F.max(F.when(F.col("up"), F.col("__v"))).alias("b"))
+    level = F.struct("i", (F.col("a") + (F.col("b") - F.col("a")) * (F.col("t") - F.floor("t"))).alias("q"))
+    return ends.groupBy(*group, "n").agg(F.transform(F.array_sort(F.collect_list(level)), lambda s: s["q"]).alias("quantiles"))
+
+
+def shares(marks: DataFrame, asks: DataFrame, keys: Sequence[str], value: str, stage: str | None = None, stages: Sequence[int] = (0,)) -> DataFrame:
+    """``asks`` with marks (how many its key has) and upto (how many of them are at most its value).
+
+    With a ``stage`` only marks of an earlier stage than the ask's own count. Both sides are ranked together, range
+    by range, once for all stages; rows are neither copied nor paired.
+    """
+    others = [c for c in asks.columns if c not in (*keys, value)]
+    own = F.col(stage).cast("int") if stage else F.lit(-1)
+    row = asks.select(F.struct(*others).alias("r")).schema["r"].dataType if others else None
+    kept = [F.struct(*others).alias("__row")] if others else []
+    none = [F.lit(None).cast(row).alias("__row")] if others else []
+    both = marks.select(*keys, F.col(value).alias("__v"), F.lit(0).alias("__side"), own.alias("__s"), *none).unionByName(asks.select(*keys, F.col(value).alias("__v"), F.lit(1).alias("__side"), (own if stage else F.lit(stages[0])).alias("__s"), *kept))
+    cells = _ranges(both, *keys, "__v", "__side")
+    mark = [F.when((F.col("__side") == 0) & (F.col("__s") < s), 1).otherwise(0) for s in stages]
+    sums = cells.groupBy(*keys, "__range").agg(*(F.sum(m).alias(f"__m{i}") for i, m in enumerate(mark)))
+    names = range(len(stages))
+    before = sums.select(*keys, "__range", *(F.coalesce(F.sum(f"__m{i}").over(_earlier(keys)), F.lit(0)).alias(f"__b{i}") for i in names), *(F.sum(f"__m{i}").over(Window.partitionBy(*keys)).alias(f"__n{i}") for i in names))
+    so_far = Window.partitionBy(*keys, "__range").orderBy("__v", "__side").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = cells.withColumns({f"__u{i}": F.sum(m).over(so_far) for i, m in enumerate(mark)}).where("__side = 1").join(before, [*keys, "__range"])
+    pick = lambda f: F.coalesce(*(F.when(F.col("__s") == s, f(i)) for i, s in enumerate(stages)))
+    fields = [F.col(f"__row.{c}").alias(c) for c in others]
+    return ranked.select(*keys, F.col("__v").alias(value), *fields, pick(lambda i: F.col(f"__n{i}")).alias("marks"), pick(lambda i: F.col(f"__u{i}") + F.col(f"__b{i}")).alias("upto"))
+
+
 def with_expanding_ranks(rows: DataFrame, ranks: dict[str, str], least: int, keys: Sequence[str] = (), order: str = "date") -> DataFrame:
     """Add, for each (name, column), the average-tie percentile rank of a value among all so far; null before ``least`` of them.
 

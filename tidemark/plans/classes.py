@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalar
-from tidemark.functions.assets import ASSETS
-from tidemark.operators import evaluate, lab, macro, models, record, regime, returns, upsert
+from tidemark.functions.assets import ASSETS, HORIZONS
+from tidemark.operators import evaluate, lab, macro, models, record, regime, returns, upsert, walkforward
 from tidemark.operators.signals import all_signals
 from tidemark.plans import composites as flows
 from tidemark.plans.inputs import FEATURES, G08_SQL, LAB, fx_pairs, lab_rows
@@ -97,13 +97,13 @@ def a11(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("a33_class_backtests")
 def a33(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every fold of each class's own walk-forward: asset, fold, n, hit, brier, coverage and the baseline's."""
+    """Every fold of each class's own walk-forward: asset, horizon, fold, n, hit, brier, coverage and the baseline's."""
     out, y = None, F.col("actual_return")
     for asset in ("crypto", "fx", "bonds"):
         prices = class_panel(spark, sf_dir, asset)
-        scored = flows.backtest(flows.target_rows(prices, [5]), fx.sessions(prices), FEATURES, 5, ASSETS[asset]).where("actual_return is not null")
+        scored = walkforward.walk_forward_scores(flows.target_rows(prices, HORIZONS), fx.sessions(prices), FEATURES, HORIZONS, ASSETS[asset]).where("actual_return is not null")
         values = {"hit": scalar.hit(F.col("prob_up"), y), "brier": scalar.brier(F.col("prob_up"), y), "covered": scalar.covered(F.col("band_low"), F.col("band_high"), y), "baseline_brier": scalar.brier(F.col("baseline_prob"), y)}
-        part = scored.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), *(F.avg(v).alias(k) for k, v in values.items())).withColumn("asset", F.lit(asset))
+        part = scored.groupBy("horizon", "fold").agg(F.count(F.lit(1)).alias("n"), *(F.avg(v).alias(k) for k, v in values.items())).withColumn("asset", F.lit(asset))
         out = part if out is None else out.unionByName(part)
     return rounded(out)
 

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import calendars, quality, scalar
-from tidemark.functions.assets import ASSETS, Asset, train_stride
-from tidemark.operators import confluence, cross_section, evaluate, macro, models, record, regime, resolve, returns, technical, upsert
+from tidemark.functions.assets import ASSETS, HORIZONS, Asset
+from tidemark.operators import confluence, cross_section, evaluate, macro, models, record, regime, resolve, returns, technical, upsert, walkforward
 from tidemark.operators.signals import all_signals
 from tidemark.plans.inputs import FEATURES, offered, ready
 from tidemark.plans.measure import EACH_REGIME_SQL, LONG_SQL, OUT, market, outcomes, region_universe, shock_frame, thin_series
@@ -40,48 +40,6 @@ def build_features(prices: DataFrame, actions: DataFrame, universe: DataFrame, r
     return own.join(cross_section.breadth(own), "date", "left").join(macro.with_changes(macro_on_sessions), "date", "left").join(regimes.select("date", "stress", "regime"), "date", "left")
 
 
-def fold_parts(rows: DataFrame, fold, calendar: DataFrame, horizon: int, calibration_sessions: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Train, calibration and test rows of a fold: labels end by its train_end, the last days calibrate, the rest is thinned."""
-    idx = calendar.select("date", "idx")
-    end = calendar.where(F.col("date") == fold["train_end"]).first()["idx"]
-    eligible = rows.join(idx, "date").where(F.col("idx") + horizon <= end)
-    edge = end - horizon - calibration_sessions
-    calibration, early = eligible.where(F.col("idx") > edge), eligible.where(F.col("idx") <= edge)
-    train = calendars.every_nth_day(early, train_stride(horizon))
-    return train.drop("idx"), calibration.drop("idx"), rows.where(F.col("date").between(fold["test_start"], fold["test_end"]))
-
-
-SCORED = "instrument_id string, date date, actual_return double, expected_return double, scale double, prob_up double, band_low double, band_high double, family string, baseline_prob double, fold int, horizon int"
-
-
-def backtest(rows: DataFrame, calendar: DataFrame, features: Sequence[str], horizon: int, asset: Asset, kinds: Sequence[str] = ("linear",)) -> DataFrame:
-    """Scored rows of all folds: every family's prediction and the naive baseline's, with the fold; of several families also their ensemble.
-
-    Folds are fitted one after another, each in parallel and on the same rows for
-    all families; a fold without a labelled row to fit or to calibrate on has no score. A scored fold is written, so plans stay short and a lost
-    executor costs no fit.
-    """
-    spark, out, rows = rows.sparkSession, None, stored(rows, "backtest")  # every fold reads them several times
-    for fold in calendars.walk_forward(calendar, horizon, asset.test_sessions, asset.train_sessions).orderBy("fold").collect():
-        train, calibration, test = fold_parts(rows, fold, calendar, horizon, asset.calibration_sessions)
-        if not fittable(train, calibration, f"y_{horizon}"):
-            continue
-        naive = models.predict_baseline(test.select(*KEYS, "vol_20"), models.fit_baselines(train, f"y_{horizon}", horizon), "naive", horizon)
-        parts = []
-        for kind in kinds:
-            model = models.fit_horizon(train, calibration, features, horizon, kind)
-            parts.append(model.predict(test).select(*KEYS, F.col(f"y_{horizon}").alias("actual_return"), "expected_return", "scale", "prob_up", "band_low", "band_high", F.lit(kind).alias("family")))
-        if len(parts) > 1:
-            parts.append(models.ensemble(parts).withColumn("family", F.lit("ensemble")))
-        scored = parts[0]
-        for p in parts[1:]:
-            scored = scored.unionByName(p)
-        done = scored.join(naive.select(*KEYS, F.col("prob_up").alias("baseline_prob")), KEYS).withColumns({"fold": F.lit(fold["fold"]), "horizon": F.lit(horizon)})
-        part = stored(done.select(*(c.split()[0] for c in SCORED.split(", "))), "fold")
-        out = part if out is None else out.unionByName(part)
-    return spark.createDataFrame([], SCORED) if out is None else out
-
-
 def fittable(train: DataFrame, calibration: DataFrame, target: str) -> bool:
     """Whether both have a row with a label."""
     return not any(rows.where(F.col(target).isNotNull()).isEmpty() for rows in (train, calibration))
@@ -207,41 +165,101 @@ def target_rows(prices: DataFrame, horizons: Sequence[int], least: int = 252) ->
     return technical.features(prices).join(targets, KEYS).where(F.col("history_sessions") >= least)
 
 
-@query("a05_backtest")
-def a05(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every fold of the linear model at five days."""
+#: Families of the walk-forward: all features, and the control on an instrument's own returns.
+FAMILIES = {"linear": FEATURES, "ar": walkforward.AR_INPUTS}
+WALKED = list(dict.fromkeys([*FEATURES, *walkforward.AR_INPUTS]))
+
+
+def walked(spark: SparkSession, sf_dir: str, families: dict[str, Sequence[str]]) -> DataFrame:
+    """Every fold of every horizon, for each family."""
     prices = with_tr(spark, sf_dir)
-    return rounded(backtest(target_rows(prices, [5]), fx.sessions(prices), FEATURES, 5, ASSETS["equity"]))
+    used = [c for c in WALKED if any(c in columns for columns in families.values())]
+    return walkforward.walk_forward_scores(target_rows(prices, HORIZONS), fx.sessions(prices), used, HORIZONS, ASSETS["equity"], families)
 
 
-LONG_FOLDS = ", folds AS (SELECT k AS fold, 756 + k * 504 AS start FROM (SELECT unnest(range(100))::INTEGER AS k) WHERE 756 + k * 504 + 504 <= (SELECT max(idx) FROM sessions)), fd AS (SELECT fold, a.idx AS end_idx, b.idx AS from_idx, c.idx AS to_idx FROM folds JOIN sessions a ON a.idx = greatest(0, start - 6) + 1 JOIN sessions b ON b.idx = start + 1 JOIN sessions c ON c.idx = start + 504)"
+@query("a05_backtest")
+def a05(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fold of the linear model at all horizons."""
+    return rounded(walked(spark, sf_dir, {"linear": FEATURES}))
+
+
+#: Folds of all horizons, the labelled rows, and what each day is to each fold.
+WALK = f""", hz AS (SELECT unnest({list(HORIZONS)})::INTEGER AS horizon),
+    starts AS (SELECT k AS fold, 756 + k * 504 AS start FROM (SELECT unnest(range(100))::INTEGER AS k) WHERE 756 + k * 504 + 504 <= (SELECT max(idx) FROM sessions)),
+    plan AS (
+        SELECT horizon, fold, greatest(0, start - horizon - 1) + 1 - horizon AS last_label, greatest(0, start - horizon - 1) + 1 - horizon - 252 AS edge, start + 1 AS first_test, start + 504 AS last_test
+        FROM starts, hz),
+    priced AS (SELECT instrument_id, date, idx, ltr, row_number() OVER w AS n, lag(ltr, 20) OVER w AS before FROM walk_tr JOIN sessions USING (date) WINDOW w AS (PARTITION BY instrument_id ORDER BY date)),
+    ahead AS (SELECT p.*, horizon, a.ltr - p.ltr AS y FROM priced p CROSS JOIN hz LEFT JOIN (SELECT instrument_id, n AS later, ltr FROM priced) a ON a.instrument_id = p.instrument_id AND a.later = p.n + horizon WHERE p.n >= 252),
+    days AS (SELECT horizon, date, idx, row_number() OVER (PARTITION BY horizon ORDER BY date) - 1 AS k FROM (SELECT DISTINCT horizon, date, idx FROM ahead WHERE y IS NOT NULL)),
+    days_of AS (
+        SELECT d.horizon, fold, date, 'train' AS role FROM days d JOIN plan p ON p.horizon = d.horizon AND idx <= edge WHERE k % greatest(1, d.horizon // 5) = 0
+        UNION ALL SELECT horizon, fold, date, CASE WHEN half = 1 THEN 'band' ELSE 'prob' END FROM (
+            SELECT d.horizon, fold, date, ntile(2) OVER (PARTITION BY d.horizon, fold ORDER BY date) AS half FROM days d JOIN plan p ON p.horizon = d.horizon AND idx > edge AND idx <= last_label)
+        UNION ALL SELECT horizon, fold, date, 'test' FROM plan JOIN sessions ON idx BETWEEN first_test AND last_test),
+    placed AS MATERIALIZED (SELECT a.*, fold, role FROM ahead a JOIN days_of d ON d.date = a.date AND d.horizon = a.horizon WHERE role = 'test' OR y IS NOT NULL)"""
+#: Total return by instrument and day, as the logarithm.
+WALK_TR = fx.prelude("region", "sessions") + """, walk_g AS (
+        SELECT p.instrument_id, p.date, p.close, coalesce((p.close + coalesce(a.dividend, 0)) / lag(p.close) OVER (PARTITION BY p.instrument_id ORDER BY p.date), 1.0) AS g
+        FROM panel_region p LEFT JOIN actions_region a USING (instrument_id, date)),
+    walk_tr AS MATERIALIZED (SELECT instrument_id, date, close, sum(ln(g)) OVER (PARTITION BY instrument_id ORDER BY date ROWS UNBOUNDED PRECEDING) AS ltr FROM walk_g)"""
+
+
+@query("a05_fold_parts", WALK_TR + WALK + " SELECT horizon, fold, count(*) FILTER (role = 'train') AS train, count(*) FILTER (role IN ('band', 'prob')) AS calibration, count(*) FILTER (role = 'test') AS test FROM placed GROUP BY 1, 2")
+def a05_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many rows every fold of every horizon trains, calibrates and tests on."""
+    prices = with_tr(spark, sf_dir)
+    rows = stored(target_rows(prices, HORIZONS), "history")
+    days = walkforward.roles(rows, fx.sessions(prices), HORIZONS, ASSETS["equity"])
+    placed = walkforward.placed_rows(rows, days, ["ret_5"], HORIZONS, KEYS)
+    own = placed.groupBy("horizon", "fold").agg(*(F.count_if(F.col("role").isin(*of)).alias(name) for name, of in (("train", ["train"]), ("calibration", ["band", "prob"]), ("test", ["test"]))))
+    # A training day stands under its first fold and trains all later ones.
+    so_far = Window.partitionBy("horizon").orderBy("fold").rowsBetween(Window.unboundedPreceding, 0)
+    return own.withColumn("train", F.sum("train").over(so_far))
 
 
 @query(
-    "a05_fold_parts",
-    fx.prelude("region", "sessions") + LONG_FOLDS + """, h AS (SELECT instrument_id, date, idx, row_number() OVER (PARTITION BY instrument_id ORDER BY date) AS n FROM panel_region JOIN sessions USING (date)), r AS (SELECT * FROM h WHERE n >= 252)
-    SELECT fold, count(*) FILTER (idx + 5 <= end_idx - 252) AS train, count(*) FILTER (idx + 5 <= end_idx AND idx + 5 > end_idx - 252) AS calibration, count(*) FILTER (idx BETWEEN from_idx AND to_idx) AS test FROM r, fd GROUP BY 1""",
+    "a05_one_feature",
+    WALK_TR
+    + WALK
+    + """, rows AS (SELECT *, ltr - before AS x FROM placed),
+    vol AS (SELECT instrument_id, date, stddev_samp(r) OVER (PARTITION BY instrument_id ORDER BY date ROWS 19 PRECEDING) * sqrt(252.0) AS vol_20
+            FROM (SELECT instrument_id, date, ltr - lag(ltr) OVER (PARTITION BY instrument_id ORDER BY date) AS r FROM walk_tr)),
+    moments AS (SELECT horizon, fold, count(*) AS m, avg(x) AS mx, avg(y) AS my, var_pop(x) AS vx, covar_pop(x, y) AS cxy, avg((y > 0)::INT) AS rate FROM rows WHERE role = 'train' GROUP BY 1, 2),
+    fits AS (SELECT *, CASE WHEN vx > 1e-24 THEN m * cxy / (m * vx + vx) ELSE 0 END AS w FROM moments),
+    points AS (
+        SELECT r.*, rate, my + w * (x - mx) AS point, greatest(sqrt(horizon / 252.0) * vol_20, 1e-4) AS scale FROM rows r JOIN fits USING (horizon, fold) JOIN vol USING (instrument_id, date) WHERE role <> 'train'),
+    bands AS (SELECT horizon, fold, quantile_cont(abs((y - point) / scale), 0.9) AS q FROM points WHERE role = 'band' GROUP BY 1, 2)
+    SELECT instrument_id, date, horizon, fold, round(y, 6) AS actual_return, round(point, 6) AS expected_return, round(least(greatest(rate, 0.01), 0.99), 6) AS baseline_prob,
+           round(point - q * scale, 6) AS band_low, round(point + q * scale, 6) AS band_high
+    FROM points JOIN bands USING (horizon, fold) WHERE role = 'test' AND (horizon, fold) IN (SELECT (horizon, fold) FROM points WHERE role = 'prob')""",
 )
-def a05_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many rows every fold of the backtest trains, calibrates and tests on."""
-    prices = with_tr(spark, sf_dir)
-    calendar = fx.sessions(prices)
-    history = F.row_number().over(Window.partitionBy("instrument_id").orderBy("date"))
-    rows, out = stored(prices.select(*KEYS, history.alias("n")).where("n >= 252"), "history"), None
-    for fold in calendars.walk_forward(calendar, 5, ASSETS["equity"].test_sessions, ASSETS["equity"].train_sessions).orderBy("fold").collect():
-        counts = [p.agg(F.count(F.lit(1)).alias(name)) for name, p in zip(("train", "calibration", "test"), fold_parts(rows, fold, calendar, 5, ASSETS["equity"].calibration_sessions), strict=True)]
-        part = counts[0].crossJoin(counts[1]).crossJoin(counts[2]).select(F.lit(fold["fold"]).alias("fold"), "train", "calibration", "test")  # one row each
-        out = part if out is None else out.unionByName(part)
-    return out if out is not None else spark.createDataFrame([], "fold int, train long, calibration long, test long")
+def a05_one(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fold of every horizon of a ridge on one feature, whose closed form SQL can say: points, bands, the naive baseline."""
+    found = walked(spark, sf_dir, {"momentum": ["ret_20"]})
+    return rounded(found.select(*KEYS, "horizon", "fold", "actual_return", "expected_return", "baseline_prob", "band_low", "band_high"))
 
 
 @query("a08_challenger_records")
 def a08(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trees, network and ensemble against the linear model on every fold."""
-    prices = with_tr(spark, sf_dir)
-    scored = backtest(target_rows(prices, [5]), fx.sessions(prices), FEATURES, 5, ASSETS["equity"], ("linear", "trees", "network"))
-    rows = with_scores(scored.where("actual_return is not null").withColumnRenamed("date", "session"))
-    return rounded(evaluate.records(models_live(rows, "linear", 4), ["family", "horizon", "metric"], []))
+    """The control and the ensemble against the linear model, on every fold of all horizons."""
+    rows = with_scores(walked(spark, sf_dir, FAMILIES).where("actual_return is not null").withColumnRenamed("date", "session"))
+    return comparable(evaluate.records(models_live(rows, "linear", 3), ["family", "horizon", "metric"], []))
+
+
+@query(
+    "a08_baseline_points",
+    WALK_TR
+    + WALK
+    + """, rate AS (SELECT horizon, fold, least(greatest(avg((y > 0)::INT), 0.01), 0.99) AS p FROM placed WHERE role = 'train' GROUP BY 1, 2),
+    tested AS (SELECT * FROM placed JOIN rate USING (horizon, fold) WHERE role = 'test' AND y IS NOT NULL AND (horizon, fold) IN (SELECT (horizon, fold) FROM placed WHERE role = 'prob'))
+    SELECT horizon, fold, count(DISTINCT date) AS days, count(*) AS n, round(avg(((p > 0.5) = (y > 0))::INT), 6) AS baseline_hit, round(avg(power(p - (y > 0)::INT, 2)), 6) AS baseline_brier FROM tested GROUP BY 1, 2""",
+)
+def a08_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the challengers' records rest on: days, rows and the naive baseline of every fold of all horizons."""
+    y, p = F.col("actual_return"), F.col("baseline_prob")
+    rows = walked(spark, sf_dir, {"ar": walkforward.AR_INPUTS}).where("actual_return is not null")
+    return rounded(rows.groupBy("horizon", "fold").agg(F.count_distinct("date").alias("days"), F.count(F.lit(1)).alias("n"), F.avg(scalar.hit(p, y)).alias("baseline_hit"), F.avg(scalar.brier(p, y)).alias("baseline_brier")))
 
 
 def package(spark: SparkSession, prices: DataFrame, asset: str, flags: DataFrame, kinds: str = "linear", horizons: Sequence[int] = (5, 20)) -> DataFrame:
