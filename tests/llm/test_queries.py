@@ -102,3 +102,17 @@ def test_stages_take_awkward_rows_and_clashing_columns(spark):
             else:
                 assert sorted(set(table_after.columns)) == sorted(table_after.columns) and "slot" in table_after.columns
             table = table_after
+
+
+def test_near_duplicates_judge_rows_of_one_id_by_their_texts(spark):
+    long = " ".join(f"word{i}" for i in range(40))
+    other = " ".join(f"other{i}" for i in range(40))
+    rows = [(1, long), (1, other), (1, other), (2, long + " more"), (3, "short text"), (None, other), (None, other), (4, None), (4, None), (5, "")]
+    docs = spark.createDataFrame([(*r, "s", {"k": 1}, "p") for r in rows], "doc_id long, text string, source string, tags map<string,int>, __place string")
+    found = corpus_pipeline.near_duplicates(spark, docs, SF)
+    assert found.columns == docs.columns
+    got = sorted((r.doc_id is None, r.doc_id or 0, r.text or "") for r in found.collect())
+    # Of the two linked texts the one under the plain id 2 stays; 1's other text stays once, null texts of one id are equal.
+    assert got == sorted([(False, 2, long + " more"), (False, 1, other), (False, 3, "short text"), (True, 0, other), (True, 0, other), (False, 4, ""), (False, 5, "")])
+    once = spark.createDataFrame([(*r, "s", {"k": 1}, "p") for r in [(1, long), (2, long + " more"), (3, other)]], docs.schema)
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, once, SF).collect()) == [1, 3]
