@@ -7,10 +7,8 @@ in one buffer or task, however many it has.
 
 from __future__ import annotations
 
-from bisect import bisect_left, bisect_right, insort
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
@@ -41,7 +39,7 @@ def quantiles(rows: DataFrame, keys: Sequence[str], value: str, levels: Sequence
     return ends.groupBy(*keys, "n").agg(F.transform(F.array_sort(F.collect_list(level)), lambda s: s["q"]).alias("quantiles"))
 
 
-def _ranges(rows: DataFrame, *order: str) -> DataFrame:
+def ranged(rows: DataFrame, *order: str) -> DataFrame:
     """``rows`` range-partitioned by ``order`` with their range's number, written once: ranges are sampled, and both sides must read the same ones."""
     return stored(rows.repartitionByRange(*order).withColumn("__range", F.spark_partition_id()), "ranges")
 
@@ -57,7 +55,7 @@ def staged_quantiles(rows: DataFrame, keys: Sequence[str], value: str, stage: st
     ranges that hold a wanted rank; meant for few levels.
     """
     known = rows.select(*keys, F.col(stage).alias("__s"), F.col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull() & ~F.isnan("__v"))
-    cells = _ranges(known.groupBy(*keys, "__v", "__s").agg(F.count(F.lit(1)).alias("__c")), *keys, "__v")
+    cells = ranged(known.groupBy(*keys, "__v", "__s").agg(F.count(F.lit(1)).alias("__c")), *keys, "__v")
     within = (lambda s: F.col("__s") < s) if strict else (lambda s: F.col("__s") <= s)
     counted = [F.struct(F.lit(s).alias("stage"), F.sum(F.when(within(s), F.col("__c"))).alias("c")) for s in stages]
     sums = cells.groupBy(*keys, "__range").agg(F.array(*counted).alias("__a")).select(*keys, "__range", F.explode("__a").alias("a")).select(*keys, "__range", "a.*").where("c is not null")
@@ -77,7 +75,7 @@ def staged_quantiles(rows: DataFrame, keys: Sequence[str], value: str, stage: st
 
 
 def shares(marks: DataFrame, asks: DataFrame, keys: Sequence[str], value: str, stage: str | None = None, stages: Sequence[int] = (0,)) -> DataFrame:
-    """``asks`` with marks (how many its key has) and upto (how many of them are at most its value).
+    """``asks`` with marks (how many its key has), below and upto (how many of them are under and at most its value).
 
     With a ``stage`` only marks of an earlier stage than the ask's own count. Both sides are ranked together, range
     by range, once for all stages; rows are neither copied nor paired.
@@ -88,39 +86,58 @@ def shares(marks: DataFrame, asks: DataFrame, keys: Sequence[str], value: str, s
     kept = [F.struct(*others).alias("__row")] if others else []
     none = [F.lit(None).cast(row).alias("__row")] if others else []
     both = marks.select(*keys, F.col(value).alias("__v"), F.lit(0).alias("__side"), own.alias("__s"), *none).unionByName(asks.select(*keys, F.col(value).alias("__v"), F.lit(1).alias("__side"), (own if stage else F.lit(stages[0])).alias("__s"), *kept))
-    cells = _ranges(both, *keys, "__v", "__side")
+    cells = ranged(both, *keys, "__v")
     mark = [F.when((F.col("__side") == 0) & (F.col("__s") < s), 1).otherwise(0) for s in stages]
     sums = cells.groupBy(*keys, "__range").agg(*(F.sum(m).alias(f"__m{i}") for i, m in enumerate(mark)))
     names = range(len(stages))
     before = sums.select(*keys, "__range", *(F.coalesce(F.sum(f"__m{i}").over(_earlier(keys)), F.lit(0)).alias(f"__b{i}") for i in names), *(F.sum(f"__m{i}").over(Window.partitionBy(*keys)).alias(f"__n{i}") for i in names))
-    so_far = Window.partitionBy(*keys, "__range").orderBy("__v", "__side").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = cells.withColumns({f"__u{i}": F.sum(m).over(so_far) for i, m in enumerate(mark)}).where("__side = 1").join(before, [*keys, "__range"])
+    # The frame runs to the last row of the same value.
+    so_far = Window.partitionBy(*keys, "__range").orderBy("__v").rangeBetween(Window.unboundedPreceding, 0)
+    same = Window.partitionBy(*keys, "__range", "__v")
+    counted = cells.withColumns({f"__u{i}": F.sum(m).over(so_far) for i, m in enumerate(mark)} | {f"__e{i}": F.sum(m).over(same) for i, m in enumerate(mark)})
+    ranked = counted.where("__side = 1").join(before, [*keys, "__range"])
     pick = lambda f: F.coalesce(*(F.when(F.col("__s") == s, f(i)) for i, s in enumerate(stages)))
     fields = [F.col(f"__row.{c}").alias(c) for c in others]
-    return ranked.select(*keys, F.col("__v").alias(value), *fields, pick(lambda i: F.col(f"__n{i}")).alias("marks"), pick(lambda i: F.col(f"__u{i}") + F.col(f"__b{i}")).alias("upto"))
+    upto = pick(lambda i: F.col(f"__u{i}") + F.col(f"__b{i}"))
+    return ranked.select(*keys, F.col("__v").alias(value), *fields, pick(lambda i: F.col(f"__n{i}")).alias("marks"), (upto - pick(lambda i: F.col(f"__e{i}"))).alias("below"), upto.alias("upto"))
+
+
+#: Rows of a series whose order is settled by comparing them with one another.
+LEAF = 64
 
 
 def with_expanding_ranks(rows: DataFrame, ranks: dict[str, str], least: int, keys: Sequence[str] = (), order: str = "date") -> DataFrame:
     """Add, for each (name, column), the average-tie percentile rank of a value among all so far; null before ``least`` of them.
 
-    One pass a series over a sorted list. A series holds one row a day.
+    Offline divide and conquer over time: a row's past is its leaf's earlier rows and, on each level above, the left
+    halves of the nodes whose right half it is in. Of each such half the values below and equal are counted
+    by ranking both halves of a node together, in ranges of values, all nodes and levels at once: n log n rows,
+    and no series, node or level has to fit a task.
     """
-    types = {**dict(rows.dtypes), **dict.fromkeys(ranks, "double")}
-
-    def run(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values(order)
-        for name, column in ranks.items():
-            seen: list[float] = []
-            out: list[float | None] = []
-            for v in g[column]:
-                if v is None or v != v:
-                    out.append(None)
-                    continue
-                insort(seen, v)
-                below, upto = bisect_left(seen, v), bisect_right(seen, v)
-                out.append((below + (upto - below + 1) / 2) / len(seen) if len(seen) >= least else None)
-            g[name] = pd.Series(out, index=g.index, dtype="float64")
-        return g[list(types)]
-
-    grouped = rows.groupBy(*keys) if keys else rows.groupBy(F.lit(0).alias("__all"))
-    return grouped.applyInPandas(run, ", ".join(f"`{c}` {t}" for c, t in types.items()))
+    key = F.struct(*keys) if keys else F.lit(0)
+    placed = ranged(rows.withColumn("__key", key), *(["__key"] if keys else []), order)
+    starts = placed.groupBy("__key", "__range").agg(F.count(F.lit(1)).alias("__c"))
+    starts = starts.select("__key", "__range", F.coalesce(F.sum("__c").over(_earlier(["__key"])), F.lit(0)).alias("__start"))
+    numbered = placed.join(starts, ["__key", "__range"]).withColumn("__at", F.row_number().over(Window.partitionBy("__key", "__range").orderBy(order)) - 1 + F.col("__start"))
+    numbered = stored(numbered.drop("__start", "__range"), "series")
+    longest = numbered.agg(F.max("__at")).first()[0] or 0
+    levels = max(0, (longest // LEAF).bit_length())
+    each = F.explode(F.array(*(F.struct(F.lit(name).alias("name"), F.col(column).cast("double").alias("v")) for name, column in ranks.items())))
+    known = numbered.select("__key", "__at", F.floor(F.col("__at") / LEAF).alias("__leaf"), each.alias("x")).select("x.name", "__key", "__at", "__leaf", "x.v")
+    known = known.where(F.col("v").isNotNull() & ~F.isnan("v"))
+    a, b = known.alias("a"), known.alias("b")
+    same = F.lit(True)
+    for c in ("name", "__key", "__leaf"):
+        same &= F.col(f"a.{c}") == F.col(f"b.{c}")
+    # A leaf has so many rows at most, so this is a bounded number of pairs a row.
+    parts = a.join(b, same & (F.col("b.__at") <= F.col("a.__at"))).groupBy("a.name", "a.__key", "a.__at").agg(F.count_if(F.col("b.v") < F.col("a.v")).alias("below"), F.count_if(F.col("b.v") <= F.col("a.v")).alias("upto"), F.count(F.lit(1)).alias("n"))
+    if levels:
+        split = known.withColumn("level", F.explode(F.sequence(F.lit(1), F.lit(levels))))
+        split = split.withColumn("half", F.floor(F.col("__leaf") / F.pow(F.lit(2), F.col("level") - 1)).cast("long")).withColumn("node", F.floor(F.col("half") / 2))
+        group = ["name", "__key", "level", "node"]
+        counted = shares(split.where("half % 2 = 0").select(*group, "v"), split.where("half % 2 = 1").select(*group, "__at", "v"), group, "v")
+        parts = parts.unionByName(counted.select("name", "__key", "__at", "below", "upto", F.col("marks").alias("n")))
+    total = parts.groupBy("name", "__key", "__at").agg(*(F.sum(c).alias(c) for c in ("below", "upto", "n")))
+    rank = F.when(F.col("n") >= least, (F.col("below") + (F.col("upto") - F.col("below") + 1) / 2) / F.col("n"))
+    wide = total.groupBy("__key", "__at").agg(*(F.max(F.when(F.col("name") == name, rank)).alias(name) for name in ranks))
+    return numbered.join(wide, ["__key", "__at"], "left").select(*rows.columns, *ranks)

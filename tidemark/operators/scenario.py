@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.evaluate import LEAST, NOMINAL, each_regime
-from tidemark.operators.ranks import quantiles
+from tidemark.operators.ranks import quantiles, shares, staged_quantiles
+from tidemark.session import stored
 
 #: 0.5 % to 99.5 % in steps of half a per cent.
 LEVELS = [round(0.005 * i, 3) for i in range(1, 200)]
@@ -23,13 +24,16 @@ def quantile_grid(scored: DataFrame) -> DataFrame:
     ``scored`` has horizon, regime, calm, y, expected_return, scale.
     """
     rows = each_regime(with_error(scored.where("calm is not null"))).where(F.col("regime").isin("all", "calm", "normal", "stressed"))
-    rows = rows.withColumns({"calm_error": F.when(F.col("calm"), F.col("error")), "size": F.abs("error"), "calm_size": F.abs(F.when(F.col("calm"), F.col("error")))})
     keys = ["horizon", "regime"]
     found = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("windows"), F.count_if("calm").alias("calm_windows"))
-    # A horizon's regime "all" is a fifth of the table: ranks, not buffers.
-    for name, value, levels in (("q", "calm_error", LEVELS), ("b", "calm_size", [NOMINAL]), ("a", "size", [NOMINAL])):
-        found = found.join(quantiles(rows, keys, value, levels).select(*keys, F.col("quantiles").alias(name)), keys, "left")
-    found = found.withColumns({"a": F.col("a")[0], "b": F.col("b")[0]})
+    # One ranking has all three distributions: calm errors, their sizes, and all sizes. Ranks, not buffers: a horizon's regime "all" is a fifth of the table.
+    error, size = F.col("error"), F.abs("error")
+    one = lambda name, v: F.struct(F.lit(name).alias("what"), v.alias("value"))
+    long = rows.select(*keys, F.explode(F.array(one("q", F.when(F.col("calm"), error)), one("b", F.when(F.col("calm"), size)), one("a", size))).alias("x")).select(*keys, "x.*")
+    ranked = quantiles(long, [*keys, "what"], "value", LEVELS)
+    at = LEVELS.index(NOMINAL)
+    each = ranked.groupBy(*keys).agg(*(F.max(F.when(F.col("what") == name, F.col("quantiles"))).alias(name) for name in ("q", "b", "a")))
+    found = found.join(each, keys, "left").withColumns({"a": F.col("a")[at], "b": F.col("b")[at]})
     enough = F.col("calm_windows") >= LEAST
     return found.select(
         "horizon",
@@ -53,27 +57,28 @@ def instrument_shares(scored: DataFrame) -> DataFrame:
 def forward_scores(scored: DataFrame) -> DataFrame:
     """Each calm row scored by the calm errors of earlier folds alone, where these are at least 300.
 
-    horizon, regime, day, hit, base_hit, covered. ``scored`` has fold and
-    naive_prob. The share of past errors up to a point comes from ranks over
-    both sides together, not from pairs of rows.
+    horizon, regime, day, hit, base_hit, covered. ``scored`` has fold and naive_prob. Errors and
+    points are ranked together once for all folds: counts by fold within a range of values, summed over earlier
+    folds, stand for the past; no past row is copied into a later fold.
     """
     calm = each_regime(with_error(scored.where("calm"))).where(F.col("regime").isin("all", "calm", "normal", "stressed"))
     keys = ["horizon", "regime"]
-    folds = calm.select(*keys, "fold").distinct()
-    past = calm.select(*keys, F.col("fold").alias("of"), "error").join(folds, keys).where("of < fold")
-    stats = past.groupBy(*keys, "fold").agg(F.count(F.lit(1)).alias("past"), F.percentile(F.abs("error"), F.lit(NOMINAL)).alias("q")).where(F.col("past") >= LEAST_PAST)
-    point = -F.col("expected_return") / F.col("scale")
-    marks = past.select(*keys, "fold", F.col("error").alias("x"), F.lit(0).alias("side"), F.lit(None).cast("struct<day:date,error:double,y:double,naive:double>").alias("row"))
-    asks = calm.select(*keys, "fold", point.alias("x"), F.lit(1).alias("side"), F.struct(F.col("date").alias("day"), "error", "y", F.col("naive_prob").alias("naive")).alias("row"))
-    over = Window.partitionBy(*keys, "fold").orderBy("x", "side").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = marks.unionByName(asks).withColumn("upto", F.sum(1 - F.col("side")).over(over)).where("side = 1").join(stats, [*keys, "fold"])
-    up = F.col("row.y") > 0
+    calm = stored(calm.select(*keys, "fold", "date", "error", "y", "naive_prob", (-F.col("expected_return") / F.col("scale")).alias("point")), "calm")
+    folds = [r[0] for r in calm.select("fold").distinct().orderBy("fold").collect()]  # a fold a year
+    if not folds:
+        folds = [0]
+    bands = staged_quantiles(calm.withColumn("size", F.abs("error")), keys, "size", "fold", [NOMINAL], folds, strict=True)
+    bands = bands.where(F.col("n") >= LEAST_PAST).select(*keys, F.col("stage").alias("fold"), F.col("quantiles")[0].alias("q"))
+    marks = calm.select(*keys, "fold", F.col("error").alias("point"))
+    placed = shares(marks, calm.select(*keys, F.col("fold").alias("at"), "fold", "date", "error", "y", "naive_prob", "point"), keys, "point", stage="fold", stages=folds)
+    ranked = placed.join(bands.withColumnRenamed("fold", "at"), [*keys, "at"])
+    up = F.col("y") > 0
     return ranked.select(
         *keys,
-        F.col("row.day").alias("day"),
-        (((1 - F.col("upto") / F.col("past")) > 0.5) == up).cast("double").alias("hit"),
-        ((F.col("row.naive") > 0.5) == up).cast("double").alias("base_hit"),
-        (F.abs("row.error") <= F.col("q")).cast("double").alias("covered"),
+        F.col("date").alias("day"),
+        (((1 - F.col("upto") / F.col("marks")) > 0.5) == up).cast("double").alias("hit"),
+        ((F.col("naive_prob") > 0.5) == up).cast("double").alias("base_hit"),
+        (F.abs("error") <= F.col("q")).cast("double").alias("covered"),
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.returns import log_return, total_return
+from tidemark.operators.ranks import ranged
 from tidemark.operators.rolling import by_instrument, guarded, positive_ln, ratio
 
 VOLUME_Z, GAP_SIGMA, MOVE_SIGMA, CROSS_SIGMA, VIX_JUMP = 4.0, 3.0, 4.0, 2.5, 0.20
@@ -62,23 +63,24 @@ def signal_list() -> Column:
 def as_of(left: DataFrame, right: DataFrame, columns: Sequence[str], by: Sequence[str] = (), on: str = "date") -> DataFrame:
     """Each left row with the right columns of the last right row up to its moment.
 
-    One sort of both sides by key and moment; a right row that carries a missing
-    value still counts as the last one. Without keys the rows of one day meet,
-    and what stood before the day comes from a table of one row a day.
+    Both sides are sorted together into ranges of key and moment, so that one key with many rows, or no key at
+    all, is many tasks; the last right row of each range is carried into the ranges after it. A
+    right row that carries a missing value still counts as the last one.
     """
-    day = F.to_date(F.col(on)).alias("__day")
-    spread = [*by] if by else ["__day"]
-    marks = right.select(*by, on, day, F.struct(*columns).alias("__v"), F.lit(0).alias("__side"))
+    marks = right.select(*by, on, F.struct(*columns).alias("__v"), F.lit(0).alias("__side"))
     kind = marks.schema["__v"].dataType
-    points = left.select(*by, on, day, F.lit(None).cast(kind).alias("__v"), F.lit(1).alias("__side"), F.struct(*left.columns).alias("__row"))
-    both = marks.withColumn("__row", F.lit(None).cast(points.schema["__row"].dataType)).unionByName(points)
-    over = Window.partitionBy(*spread).orderBy(on, "__side").rowsBetween(Window.unboundedPreceding, 0)
-    found = both.withColumn("__v", F.last("__v", ignorenulls=True).over(over)).where("__side = 1")
-    if not by:
-        daily = marks.groupBy("__day").agg(F.max_by("__v", on).alias("__v"))
-        days = points.select("__day").distinct().join(daily.select("__day", F.col("__v").alias("__own")), "__day", "full")
-        earlier = days.select("__day", F.last("__own", ignorenulls=True).over(Window.orderBy("__day").rowsBetween(Window.unboundedPreceding, -1)).alias("__earlier"))
-        found = found.join(earlier, "__day", "left").withColumn("__v", F.coalesce("__v", "__earlier"))
+    points = left.select(*by, on, F.lit(None).cast(kind).alias("__v"), F.lit(1).alias("__side"), F.struct(*left.columns).alias("__row"))
+    both = ranged(marks.withColumn("__row", F.lit(None).cast(points.schema["__row"].dataType)).unionByName(points), *by, on, "__side")
+    # Keys may be null; structs compare nulls as equal.
+    key = F.struct(*by) if by else F.lit(0)
+    placed = both.withColumn("__key", key)
+    last = placed.where("__side = 0").groupBy("__key", "__range").agg(F.max_by("__v", on).alias("__own"))
+    ranges = placed.select("__key", "__range").distinct().join(last, ["__key", "__range"], "left")
+    before = F.last("__own", ignorenulls=True).over(Window.partitionBy("__key").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1))
+    carried = ranges.select("__key", "__range", before.alias("__earlier"))
+    over = Window.partitionBy("__key", "__range").orderBy(on, "__side").rowsBetween(Window.unboundedPreceding, 0)
+    found = placed.withColumn("__v", F.last("__v", ignorenulls=True).over(over)).where("__side = 1")
+    found = found.join(carried, ["__key", "__range"], "left").withColumn("__v", F.coalesce("__v", "__earlier"))
     return found.select("__row.*", *(F.col(f"__v.{c}").alias(c) for c in columns))
 
 
