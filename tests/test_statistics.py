@@ -8,7 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import evaluate, models, ranks, returns, rolling, technical
+from tidemark.operators import bootstrap, boosting, evaluate, models, ranks, returns, rolling, technical
 
 DAY = date(2020, 1, 1)
 
@@ -86,16 +86,36 @@ def test_features_never_see_the_future(spark, cut):
     pd.testing.assert_frame_equal(a, b)
 
 
-def test_bootstrap_finds_no_difference_where_there_is_none():
-    low = 0
+def test_bootstrap_finds_no_difference_where_there_is_none(spark):
+    rows = []
     for seed in range(60):
         rng = np.random.default_rng(seed)
         shared = np.convolve(rng.normal(size=219), np.ones(20) / 20, "valid")
-        d = shared + rng.normal(0, 0.2, 200)
-        means = evaluate.stationary_means(d * 40, np.full(200, 40), 20, 400, seed)
-        off, mean = means - d.mean(), d.mean()
-        low += 2 * min((off <= -abs(mean)).mean(), (off >= abs(mean)).mean()) < 0.05
-    assert low <= 12
+        rows += [(seed, 20, DAY + timedelta(i), 40, float(d * 40), 0.0, float(d * 40), float(d * d * 40)) for i, d in enumerate(shared + rng.normal(0, 0.2, 200))]
+    cells = spark.createDataFrame(rows, "seed int, horizon int, day date, n long, model double, base double, d double, dd double")
+    found = evaluate.compared(cells, ["seed"], 20, reps=400).collect()
+    assert len(found) == 60 and sum(r.p_value < 0.05 for r in found) <= 12
+
+
+def test_bootstrap_repetitions_by_hand(spark):
+    rng = np.random.default_rng(2)
+    d, n = rng.normal(size=9), rng.integers(1, 5, 9)
+    u, w = bootstrap.draws(0, 30, 9, 7)
+    got = bootstrap.chunk_means(np.cumsum(d), np.cumsum(n), 3, 9, u, w)
+    for r in range(30):
+        days: list[int] = []
+        for j in range(9):
+            length = 1 + int(np.floor(w[r, j] / np.log(1 - 1 / 3)))
+            days += [(int(u[r, j] * 9) + k) % 9 for k in range(min(length, 9 - len(days)))]
+        assert len(days) == 9 and got[r] == pytest.approx(d[days].sum() / n[days].sum())
+
+
+def test_normal_quantile_in_sql(spark):
+    ps = [0.9, 0.5, 0.2, 1e-3, 1e-9, 1e-14, 1.0, 0.0, None]
+    rows = spark.createDataFrame([(p,) for p in ps], "p double")
+    got = [r.z for r in rows.select(F.expr(bootstrap.z_of_p_sql("p")).alias("z")).collect()]
+    for p, z in zip(ps, got, strict=True):
+        assert z == pytest.approx(8.0 if not p else abs(NormalDist().inv_cdf(p / 2)), abs=1e-9)
 
 
 def test_comparison_and_effective_size(spark):
@@ -156,7 +176,8 @@ def test_conformal_band_covers(spark):
     table = spark.createDataFrame(rows)
     parts = [table.where(f"date < '{DAY + timedelta(500)}'"), table.where(f"date >= '{DAY + timedelta(500)}' and date < '{DAY + timedelta(900)}'"), table.where(f"date >= '{DAY + timedelta(900)}'")]
     for kind in ("linear", "trees", "network"):
-        got = models.fit_horizon(parts[0], parts[1], ["x"], 5, kind).predict(parts[2]).toPandas()
+        options = {"rounds": 12, "rate": 0.3, "least_rows": 20, "leaves": 8} if kind == "trees" else {}
+        got = models.fit_horizon(parts[0], parts[1], ["x"], 5, kind, **options).predict(parts[2]).toPandas()
         inside = ((got.band_low <= got.y_5) & (got.y_5 <= got.band_high)).mean()
         assert 0.84 <= inside <= 0.96
         assert got.prob_up.between(0.01, 0.99).all()
@@ -167,20 +188,24 @@ def test_conformal_band_covers(spark):
     again = models.fit_network(parts[0].repartition(5), ["x"], "y_5")
     assert all(np.allclose(p, q) for one, two in zip(network.layers, again.layers, strict=True) for p, q in zip(one, two, strict=True))
     fitted = models.fit_horizon(parts[0], parts[1], ["x"], 5, "linear")
-    share = models.linear_contributions(fitted.points, ["x"], parts[2]).first().contributions
+    share = fitted.points.contributions(parts[2]).first().contributions
     assert [c.feature for c in share] == ["x"]
 
 
-def test_saved_models_predict_as_before(spark, tmp_path):
+@pytest.mark.parametrize("kind", ["linear", "trees", "network", "ensemble"])
+def test_saved_models_predict_as_before(spark, tmp_path, monkeypatch, kind):
     rng = np.random.default_rng(5)
     n = 900
-    rows = pd.DataFrame({"instrument_id": "A", "date": [DAY + timedelta(i) for i in range(n)], "x": rng.normal(size=n), "vol_20": 0.2})
+    rows = pd.DataFrame({"instrument_id": "A", "date": [DAY + timedelta(i) for i in range(n)], "x": rng.normal(size=n), "z": rng.normal(size=n), "vol_20": 0.2})
     rows["y_5"] = 0.02 * rows.x + 0.02 * rng.normal(size=n)
+    rows.loc[::40, "z"] = None
     table = spark.createDataFrame(rows)
-    model = models.fit_horizon(table.where(f"date < '{DAY + timedelta(400)}'"), table.where(f"date >= '{DAY + timedelta(400)}'"), ["x"], 5, "linear")
-    models.save_models({5: model}, str(tmp_path / "m"))
+    monkeypatch.setitem(models.FITS, "trees", lambda *a: boosting.fit_boosted(*a, rounds=2, leaves=5, least_rows=30))
+    monkeypatch.setitem(models.FITS, "network", lambda *a: models.fit_network(*a, rounds=1, steps=10))
+    model = models.fit_horizon(table.where(f"date < '{DAY + timedelta(400)}'"), table.where(f"date >= '{DAY + timedelta(400)}'"), ["x", "z"], 5, kind)
+    models.save_models({5: model}, ["x", "z"], str(tmp_path / "m"))
     loaded = models.load_models(spark, str(tmp_path / "m"), (5, 120), core=(5,))
-    assert set(loaded) == {5}
+    assert set(loaded) == {5} and models.kind_of(loaded[5].points) == kind
     one, two = (m.predict(table).orderBy("date").toPandas() for m in (model, loaded[5]))
     pd.testing.assert_frame_equal(one, two)
     with pytest.raises(Exception, match="h20|PATH_NOT_FOUND"):
@@ -188,16 +213,16 @@ def test_saved_models_predict_as_before(spark, tmp_path):
 
 
 def test_linear_fit_equals_ridge(spark):
-    """The linear model is the ridge solution on standardised features, with the label's own scale in the penalty."""
     rng = np.random.default_rng(6)
     x = rng.normal(size=(400, 2)) * [1.0, 3.0] + [0.5, -2.0]
-    y = x @ [0.3, -0.1] + rng.normal(size=400) * 0.2
+    x[::17, 1] = np.nan
+    y = np.nan_to_num(x) @ [0.3, -0.1] + rng.normal(size=400) * 0.2
     table = spark.createDataFrame(pd.DataFrame({"a": x[:, 0], "b": x[:, 1], "y_5": y}))
-    got = models.fit_points(table, ["a", "b"], "y_5", "linear").transform(table).orderBy("a").toPandas().point
-    z = (x - x.mean(0)) / x.std(0)
-    spread = y.std(ddof=1)
-    # The fit standardises by sample deviations and divides the label by its own: so does the penalty.
-    z = z * x.std(0) / x.std(0, ddof=1)
-    w = np.linalg.solve(z.T @ z / 400 + 1e-3 * np.eye(2), z.T @ ((y - y.mean()) / spread) / 400) * spread
-    want = (z @ w + y.mean())[np.argsort(x[:, 0])]
-    assert np.allclose(got, want, atol=2e-3)
+    fitted = models.fit_points(table, ["a", "b"], "y_5", "linear")
+    got = fitted.contributions(fitted.transform(table)).orderBy("a").toPandas()
+    filled = np.where(np.isnan(x), np.nanmedian(x, 0), x)
+    z = (filled - filled.mean(0)) / filled.std(0)
+    w = np.linalg.solve(z.T @ z + np.eye(2), z.T @ (y - y.mean()))
+    order = np.argsort(x[:, 0])
+    assert np.allclose(got.point, (z @ w + y.mean())[order])
+    assert np.allclose([[c["value"] for c in r] for r in got.contributions], (z * w)[order])

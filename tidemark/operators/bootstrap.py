@@ -67,6 +67,11 @@ def z_of_p_sql(p: str) -> str:
     return f"CASE WHEN {p} IS NULL OR {p} <= 0 THEN 8e0 WHEN abs({q}) <= 0.425e0 THEN abs({near}) ELSE abs({tail}) END"
 
 
+def uniform(digits: Column) -> Column:
+    """The first 52 bits of hex digits as a number in [0, 1)."""
+    return F.conv(F.substring(digits, 1, 13), 16, 10).cast("long") / float(1 << 52)
+
+
 def draws(chunk: int, reps: int, most: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """Of each repetition of a chunk ``most`` draws: uniform numbers for the first days, and ln(1 - uniform) for the lengths."""
     rows = range(chunk * CHUNK, min(reps, (chunk + 1) * CHUNK))

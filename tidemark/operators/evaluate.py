@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalar import brier, covered, hit
-from tidemark.operators.bootstrap import resampled, z_of_p_sql
+from tidemark.operators.bootstrap import resampled, uniform, z_of_p_sql
 
 LEAST, SIGNIFICANT = 30, 0.05
 MARGIN, COVERAGE_TOLERANCE, NOMINAL = 0.005, 0.02, 0.90
@@ -125,8 +125,8 @@ def hardest_baseline(records: DataFrame, metric: str = "direction_accuracy") ->
 
 
 def random_control(rows: DataFrame, id_col: str, low: float = 0.3, high: float = 0.7, seed: int = SEED) -> DataFrame:
-    """Replace prob_up by a uniform number that depends on the id alone."""
-    u = F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(1 << 40)) / float(1 << 40)
+    """Replace prob_up by a uniform number that depends on seed and id alone."""
+    u = uniform(F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col))))
     return rows.withColumn("prob_up", low + (high - low) * u)
 
 

@@ -1,11 +1,11 @@
 """Walk-forward models: baselines, linear, tree and network regressors, conformal bands, calibrated probabilities.
 
-Trees are MLlib's, which grow by depth and want no missing values; gaps take the
-exact training median, and every feature is standardised by its population
-deviation (0 counts as 1). The network is fitted by many tasks at once, each on its
-own rows, whose weights are averaged after every round. Numbers are this library's
-own, the protocol is fixed: fit on the past, a first half of the calibration window
-for the band, a second for the probabilities.
+The linear model is a ridge from one pass of sums of products; trees are grown leaf by
+leaf (see ``boosting``); the network is fitted by many tasks at once, each on its own
+rows, whose weights are averaged after every round. Gaps take the exact training
+median (trees learn a side for them), every feature is standardised by its population deviation. Numbers
+are this library's own, the protocol is fixed: fit on the past, a first half of the calibration window
+for the band, a second for the probabilities. Models of every kind are stored alike.
 """
 
 from __future__ import annotations
@@ -15,16 +15,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import PipelineModel
-from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, IsotonicRegression, IsotonicRegressionModel, LinearRegression
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.ml.regression import IsotonicRegression
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.scalar import horizon_scale, sign_bin
+from tidemark.operators.boosting import Boosted, fit_boosted
 from tidemark.operators.ranks import quantiles
+from tidemark.operators.walkforward import ALPHA, ridge, sums_of_products
 from tidemark.session import stored
 
 NOMINAL, LEAST_BIN, LEAST_HISTORY = 0.90, 100, 300
@@ -74,38 +73,133 @@ def predict_baseline(rows: DataFrame, fitted: DataFrame, name: str, horizon: int
     return found.select(*rows.columns, point.alias("expected_return"), prob.alias("prob_up"), (point - F.col("band_q") * scale).alias("band_low"), (point + F.col("band_q") * scale).alias("band_high"))
 
 
-def standardiser(train: DataFrame, features: Sequence[str]) -> list:
-    """Fitted stages: gaps to the exact median, less the mean, over the population deviation (0 counts as 1); then one vector."""
-    known = train.select(*(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in features))
-    medians = {r["feature"]: r["quantiles"][0] for r in quantiles(known.unpivot([], list(features), "feature", "value"), ["feature"], "value", [0.5]).collect()}
-    filled = {c: F.coalesce(F.col(c), F.lit(float(medians.get(c, 0.0)))) for c in features}
-    stats = known.agg(*(f(x).alias(f"{c}__{name}") for c, x in filled.items() for name, f in (("mean", F.avg), ("sd", F.stddev_pop)))).first()
-    one = lambda c: f"(coalesce(nanvl(CAST(`{c}` AS DOUBLE), CAST(NULL AS DOUBLE)), {medians.get(c, 0.0)!r}D) - {stats[f'{c}__mean'] or 0.0!r}D) / {stats[f'{c}__sd'] or 1.0!r}D AS `{c}__std`"
-    scaled = SQLTransformer(statement=f"SELECT *, {', '.join(map(one, features))} FROM __THIS__")
-    return [scaled, VectorAssembler(inputCols=[f"{c}__std" for c in features], outputCol="features")]
+@dataclass
+class Scaling:
+    """Gaps to the exact median, less the mean, over the population deviation (0 counts as 1)."""
+
+    features: list[str]
+    medians: np.ndarray
+    means: np.ndarray
+    deviations: np.ndarray
+
+    @classmethod
+    def fit(cls, train: DataFrame, features: Sequence[str]) -> Scaling:
+        features = list(features)
+        known = train.select(*(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in features))
+        medians = {r["feature"]: r["quantiles"][0] for r in quantiles(known.unpivot([], features, "feature", "value"), ["feature"], "value", [0.5]).collect()}
+        filled = {c: F.coalesce(F.col(c), F.lit(float(medians.get(c, 0.0)))) for c in features}
+        stats = known.agg(*(f(x).alias(f"{c}__{name}") for c, x in filled.items() for name, f in (("mean", F.avg), ("sd", F.stddev_pop)))).first()
+        column = lambda of, none: np.array([stats[f"{c}__{of}"] or none for c in features], float)
+        return cls(features, np.array([medians.get(c, 0.0) for c in features], float), column("mean", 0.0), column("sd", 1.0))
+
+    def values(self) -> list[Column]:
+        """The standardised features as columns."""
+        one = lambda c, m, mean, sd: (F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")), F.lit(float(m))) - F.lit(float(mean))) / F.lit(float(sd))
+        return [one(*row) for row in zip(self.features, self.medians, self.means, self.deviations, strict=True)]
+
+    def table(self) -> list[tuple[str, int, list[float]]]:
+        return [(f"scaling.{name}", 0, getattr(self, name).tolist()) for name in ("medians", "means", "deviations")]
+
+    @classmethod
+    def read(cls, features: list[str], found: dict) -> Scaling:
+        return cls(features, *(np.array(found[(f"scaling.{name}", 0)], float) for name in ("medians", "means", "deviations")))
+
+
+@dataclass
+class Linear:
+    """Ridge on standardised features."""
 
+    scaling: Scaling
+    weights: np.ndarray
+    intercept: float
+    kind = "linear"
+
+    def transform(self, rows: DataFrame) -> DataFrame:
+        terms = (x * F.lit(float(w)) for x, w in zip(self.scaling.values(), self.weights, strict=True))
+        return rows.withColumn("point", sum(terms, F.lit(float(self.intercept))))
+
+    def contributions(self, rows: DataFrame) -> DataFrame:
+        """Add contributions: an array of (feature, value), each standardised feature times its weight. Exact for this model."""
+        parts = [F.struct(F.lit(f).alias("feature"), (x * F.lit(float(w))).alias("value")) for f, x, w in zip(self.scaling.features, self.scaling.values(), self.weights, strict=True)]
+        return rows.withColumn("contributions", F.array(*parts))
+
+    def table(self) -> list[tuple[str, int, list[float]]]:
+        return [*self.scaling.table(), ("linear.weights", 0, self.weights.tolist()), ("linear.intercept", 0, [self.intercept])]
+
+    @classmethod
+    def read(cls, features: list[str], rows: Sequence[tuple]) -> Linear:
+        found = {(kind, stage): values for kind, stage, values in rows}
+        return cls(Scaling.read(features, found), np.array(found[("linear.weights", 0)], float), found[("linear.intercept", 0)][0])
 
-def fit_points(train: DataFrame, features: Sequence[str], target: str, kind: str) -> PipelineModel:
-    """Standardisation and a regressor that adds ``point``."""
-    stages = standardiser(train, features)
-    ready = train
-    for stage in stages:
-        ready = stage.transform(ready)
-    return PipelineModel([*stages, regressor(kind, target).fit(ready)])
 
+def fit_linear(train: DataFrame, features: Sequence[str], target: str, alpha: float = ALPHA) -> Linear:
+    """The ridge by one pass of sums of products; medians and deviations are exact."""
+    scaling = Scaling.fit(train, features)
+    x = F.array(*(F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")), F.lit(float(m))) for c, m in zip(features, scaling.medians, strict=True)))
+    rows = train.where(F.col(target).isNotNull()).select(F.lit(0).alias("horizon"), F.lit(0).alias("fold"), x.alias("x"), F.col(target).cast("double").alias("y"))
+    moments = sums_of_products(rows, len(features)).get((0, 0))
+    if moments is None:
+        return Linear(scaling, np.zeros(len(features)), 0.0)
+    found = ridge(moments, scaling.medians, range(len(features)), alpha)
+    return Linear(scaling, found.weights * scaling.deviations, float(found.intercept + found.weights @ scaling.means))
 
-def regressor(kind: str, target: str, seed: int = 7):
-    if kind == "trees":
-        return GBTRegressor(labelCol=target, maxIter=20, maxDepth=4, stepSize=0.1, subsamplingRate=0.8, seed=seed, predictionCol="point")
-    if kind == "linear":
-        return LinearRegression(labelCol=target, regParam=1e-3, elasticNetParam=0.0, predictionCol="point")
-    raise ValueError(kind)
+
+@dataclass
+class Ensemble:
+    """The equal-weight mean of several models' points."""
+
+    members: list
+    kind = "ensemble"
+
+    def transform(self, rows: DataFrame) -> DataFrame:
+        out, names = rows, []
+        for i, m in enumerate(self.members):
+            names.append(f"__point_{i}")
+            out = m.transform(out).withColumnRenamed("point", names[-1])
+        return out.withColumn("point", sum((F.col(n) for n in names[1:]), F.col(names[0])) / len(names)).drop(*names)
+
+    def table(self) -> list[tuple[str, int, list[float]]]:
+        return [(f"{i}/{m.kind}/{kind}", stage, values) for i, m in enumerate(self.members) for kind, stage, values in m.table()]
+
+    @classmethod
+    def read(cls, features: list[str], rows: Sequence[tuple]) -> Ensemble:
+        own: dict[int, tuple[str, list]] = {}
+        for kind, stage, values in rows:
+            i, model, rest = kind.split("/", 2)
+            own.setdefault(int(i), (model, []))[1].append((rest, stage, values))
+        return cls([KINDS[model].read(features, parts) for _, (model, parts) in sorted(own.items())])
+
+
+def fit_points(train: DataFrame, features: Sequence[str], target: str, kind: str, **options) -> object:
+    """A regressor that adds ``point``: linear, trees, network or the ensemble of the three."""
+    if kind == "ensemble":
+        return Ensemble([fit_points(train, features, target, k) for k in ("trees", "linear", "network")])
+    if kind not in FITS:
+        raise ValueError(kind)
+    return FITS[kind](train, features, target, **options)
 
 
 #: Past errors stand in a model as so many evenly spaced exact quantiles, at every size.
 ERROR_LEVELS = [i / 1000 for i in range(1001)]
 
 
+@dataclass
+class Curve:
+    """A rising piecewise-linear map of probabilities, flat beyond its ends."""
+
+    x: np.ndarray
+    y: np.ndarray
+
+    def of(self, column: Column) -> Column:
+        x, y = self.x, self.y
+
+        @F.pandas_udf(T.DoubleType())
+        def read(raw: pd.Series) -> pd.Series:
+            return pd.Series(np.interp(raw.to_numpy(float), x, y) if len(x) else np.full(len(raw), 0.5))
+
+        return read(column)
+
+
 @dataclass
 class HorizonModel:
     """A fitted point model with its band and its calibrated probabilities."""
@@ -113,14 +207,14 @@ class HorizonModel:
     points: object  # adds ``point`` by transform()
     errors: list[float]
     band_q: float
-    calibrator: object
+    calibrator: Curve
     horizon: int
 
     def predict(self, rows: DataFrame) -> DataFrame:
         """Add expected_return, scale, prob_up_raw, prob_up, band_low, band_high."""
         scaled = self.points.transform(rows).withColumn("scale", horizon_scale(F.col("vol_20"), F.lit(self.horizon)))
         raw = scaled.withColumn("prob_up_raw", raw_probability(self.errors)(F.col("point"), F.col("scale")))
-        done = self.calibrator.transform(raw)
+        done = raw.withColumn("calibrated", self.calibrator.of(F.col("prob_up_raw")))
         prob = F.least(F.greatest(F.col("calibrated"), F.lit(LOW)), F.lit(HIGH))
         band = F.lit(self.band_q) * F.col("scale")
         return done.select(*rows.columns, F.col("point").alias("expected_return"), "scale", "prob_up_raw", prob.alias("prob_up"), (F.col("point") - band).alias("band_low"), (F.col("point") + band).alias("band_high"))
@@ -137,12 +231,11 @@ def raw_probability(errors: Sequence[float]):
     return share
 
 
-def fit_horizon(train: DataFrame, calibration: DataFrame, features: Sequence[str], horizon: int, kind: str = "trees") -> HorizonModel:
+def fit_horizon(train: DataFrame, calibration: DataFrame, features: Sequence[str], horizon: int, kind: str = "trees", **options) -> HorizonModel:
     """Fit on train; band from the older half of the calibration days, probabilities from the newer."""
     target = f"y_{horizon}"
     train, calibration = (d.where(F.col(target).isNotNull()) for d in (train, calibration))
-    points = fit_network(train, features, target) if kind == "network" else fit_points(train, features, target, kind)
-    return calibrated(points, calibration, horizon)
+    return calibrated(fit_points(train, features, target, kind, **options), calibration, horizon)
 
 
 def calibrated(points, calibration: DataFrame, horizon: int) -> HorizonModel:
@@ -155,7 +248,8 @@ def calibrated(points, calibration: DataFrame, horizon: int) -> HorizonModel:
     found = {r["what"]: list(r["quantiles"]) for r in quantiles(errors.unpivot([], ["error", "size"], "what", "value"), ["what"], "value", ERROR_LEVELS).collect()}
     past = found.get("error", [])
     newer = scored.where("half = 2").select(raw_probability(past)(F.col("point"), F.col("scale")).alias("prob_up_raw"), (F.col("y") > 0).cast("double").alias("up"))
-    calibrator = IsotonicRegression(featuresCol="prob_up_raw", labelCol="up", predictionCol="calibrated").fit(newer)
+    fitted = IsotonicRegression(featuresCol="prob_up_raw", labelCol="up").fit(newer)
+    calibrator = Curve(fitted.boundaries.toArray(), fitted.predictions.toArray())
     return HorizonModel(points, past, found["size"][ERROR_LEVELS.index(NOMINAL)] if found else 0.0, calibrator, horizon)
 
 
@@ -171,21 +265,34 @@ def ensemble(predictions: Sequence[DataFrame], keys: Sequence[str] = ("instrumen
 class Network:
     """A small two-layer regressor over standardised features."""
 
-    stages: list
+    scaling: Scaling
     layers: list[tuple[np.ndarray, np.ndarray]]
     shift: float
     spread: float
+    kind = "network"
 
     def transform(self, rows: DataFrame) -> DataFrame:
         layers, shift, spread = self.layers, self.shift, self.spread
 
         @F.pandas_udf(T.DoubleType())
-        def predict(vectors: pd.Series) -> pd.Series:
-            return pd.Series(forward(np.array(vectors.tolist()), layers)[-1][:, 0] * spread + shift)
+        def predict(*columns: pd.Series) -> pd.Series:
+            return pd.Series(forward(np.column_stack([c.to_numpy(float) for c in columns]), layers)[-1][:, 0] * spread + shift)
 
-        for stage in self.stages:
-            rows = stage.transform(rows)
-        return rows.withColumn("point", predict(vector_to_array("features")))
+        return rows.withColumn("point", predict(*self.scaling.values()))
+
+    def table(self) -> list[tuple[str, int, list[float]]]:
+        return [
+            *self.scaling.table(),
+            ("network.output", 0, [self.shift, self.spread]),
+            *(row for i, (a, b) in enumerate(self.layers) for row in ((f"network.weights.{a.shape[0]}x{a.shape[1]}", i, a.ravel().tolist()), ("network.bias", i, b.tolist()))),
+        ]
+
+    @classmethod
+    def read(cls, features: list[str], rows: Sequence[tuple]) -> Network:
+        found = {(kind, stage): values for kind, stage, values in rows}
+        weights = {stage: np.array(v, float).reshape([int(n) for n in kind.rpartition(".")[2].split("x")]) for (kind, stage), v in found.items() if kind.startswith("network.weights")}
+        layers = [(weights[i], np.array(found[("network.bias", i)], float)) for i in sorted(weights)]
+        return cls(Scaling.read(features, found), layers, *found[("network.output", 0)])
 
 
 def forward(x: np.ndarray, layers: list) -> list[np.ndarray]:
@@ -224,11 +331,9 @@ def fit_network(train: DataFrame, features: Sequence[str], target: str, hidden:
 
     All training rows take part; what comes to the driver is one set of weights a part.
     """
-    stages, ready = standardiser(train, features), train
-    for stage in stages:
-        ready = stage.transform(ready)
+    scaling, ready = Scaling.fit(train, features), train
     part = F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(PARTS))
-    rows = stored(ready.select(part.alias("part"), F.xxhash64(*keys).alias("k"), vector_to_array("features").alias("x"), F.col(target).cast("double").alias("y")).repartition(PARTS, "part").sortWithinPartitions("part", "k"), "network")
+    rows = stored(ready.select(part.alias("part"), F.xxhash64(*keys).alias("k"), F.array(*scaling.values()).alias("x"), F.col(target).cast("double").alias("y")).repartition(PARTS, "part").sortWithinPartitions("part", "k"), "network")
     mean, spread = rows.agg(F.avg("y"), F.stddev_pop("y")).first()
     mean, spread = mean or 0.0, spread or 1.0
     sizes = [len(features), *hidden, 1]
@@ -251,76 +356,27 @@ def fit_network(train: DataFrame, features: Sequence[str], target: str, hidden:
         for a, b in zip(sizes, sizes[1:], strict=False):
             layers.append((flat[at : at + a * b].reshape(a, b), flat[at + a * b : at + a * b + b]))
             at += a * b + b
-    return Network(stages, layers, mean, spread)
+    return Network(scaling, layers, mean, spread)
 
 
-def linear_contributions(model: PipelineModel, features: Sequence[str], rows: DataFrame) -> DataFrame:
-    """Add contributions: an array of (feature, value), each standardised feature times its weight. Exact for the linear model."""
-    weights = model.stages[-1].coefficients.toArray().tolist()
-    scaled = rows
-    for stage in model.stages[:-1]:
-        scaled = stage.transform(scaled)
-    values = vector_to_array("features")
-    parts = F.array(*[F.struct(F.lit(f).alias("feature"), (values[i] * w).alias("value")) for i, (f, w) in enumerate(zip(features, weights, strict=True))])
-    return scaled.select(*rows.columns, parts.alias("contributions"))
+#: Models by kind, and what fits them.
+KINDS = {"linear": Linear, "trees": Boosted, "network": Network, "ensemble": Ensemble}
+FITS = {"linear": fit_linear, "trees": fit_boosted, "network": fit_network}
 
 
-def tree_contributions(model: PipelineModel, features: Sequence[str], rows: DataFrame) -> DataFrame:
-    """Add contributions of a boosted-tree model by path attribution: each split passes the change of its node's mean to its feature.
+def kind_of(points: object) -> str:
+    return next(name for name, kind in KINDS.items() if isinstance(points, kind))
 
-    Trees are flattened on the driver (their size is fixed by depth and rounds)
-    and walked in vectorised batches.
-    """
-    boosted = model.stages[-1]
-    trees = []
-    for weight, tree in zip(boosted.treeWeights, boosted.trees, strict=True):
-        flat: list[tuple[int, float, int, int, float]] = []
-
-        def walk(node, flat=flat) -> int:
-            at = len(flat)
-            flat.append((-1, 0.0, -1, -1, 0.0))
-            if node.numDescendants() == 0:
-                flat[at] = (-1, 0.0, -1, -1, float(node.prediction()))
-                return at
-            split, left, right = node.split(), walk(node.leftChild()), walk(node.rightChild())
-            flat[at] = (int(split.featureIndex()), float(split.threshold()), left, right, float(node.prediction()))
-            return at
-
-        walk(tree._call_java("rootNode"))
-        trees.append((float(weight), np.array(flat)))
-    count = len(features)
-
-    @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def attribute(vectors: pd.Series) -> pd.Series:
-        x = np.array(vectors.tolist())
-        out = np.zeros((len(x), count))
-        for weight, flat in trees:
-            at = np.zeros(len(x), int)
-            for _ in range(64):
-                feature = flat[at, 0].astype(int)
-                inner = np.flatnonzero(feature >= 0)
-                if not len(inner):
-                    break
-                below = x[inner, feature[inner]] <= flat[at[inner], 1]
-                after = np.where(below, flat[at[inner], 2], flat[at[inner], 3]).astype(int)
-                np.add.at(out, (inner, feature[inner]), weight * (flat[after, 4] - flat[at[inner], 4]))
-                at[inner] = after
-        return pd.Series(out.tolist())
-
-    scaled = rows
-    for stage in model.stages[:-1]:
-        scaled = stage.transform(scaled)
-    values = attribute(vector_to_array("features"))
-    named = F.transform(F.arrays_zip(F.array(*map(F.lit, features)).alias("f"), values.alias("v")), lambda z: F.struct(z["f"].alias("feature"), z["v"].alias("value")))
-    return scaled.select(*rows.columns, named.alias("contributions"))
-
-
-def save_models(models: dict[int, HorizonModel], path: str) -> None:
-    """Each horizon's point model, calibrator, errors and band under a folder of its own."""
+
+def save_models(models: dict[int, HorizonModel], features: Sequence[str], path: str) -> None:
+    """All horizons' models of any kind as one table a horizon (kind, part, stage, parameters), small whatever they were fitted on."""
+    spark = SparkSession.active()
     for h, m in models.items():
-        m.points.write().overwrite().save(f"{path}/h{h}/points")
-        m.calibrator.write().overwrite().save(f"{path}/h{h}/calibrator")
-        SparkSession.active().createDataFrame([(h, m.band_q, m.errors)], "horizon int, band_q double, errors array<double>").write.mode("overwrite").parquet(f"{path}/h{h}/band")
+        kind, curve = kind_of(m.points), m.calibrator
+        rows = [(kind, part, stage, [float(v) for v in values]) for part, stage, values in m.points.table()]
+        rows += [(kind, "band", 0, [float(m.band_q)]), (kind, "errors", 0, [float(v) for v in m.errors]), (kind, "curve.x", 0, curve.x.tolist()), (kind, "curve.y", 0, curve.y.tolist())]
+        rows += [(kind, f"feature.{name}", i, []) for i, name in enumerate(features)]
+        spark.createDataFrame(rows, "kind string, part string, stage int, parameters array<double>").write.mode("overwrite").parquet(f"{path}/h{h}")
 
 
 def load_models(spark: SparkSession, path: str, horizons: Sequence[int], core: Sequence[int] = (5, 20, 60)) -> dict[int, HorizonModel]:
@@ -330,6 +386,9 @@ def load_models(spark: SparkSession, path: str, horizons: Sequence[int], core: S
         at = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/h{h}")
         if h not in core and not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
             continue
-        band = spark.read.parquet(f"{path}/h{h}/band").first()
-        found[h] = HorizonModel(PipelineModel.load(f"{path}/h{h}/points"), list(band["errors"]), band["band_q"], IsotonicRegressionModel.load(f"{path}/h{h}/calibrator"), h)
+        rows = spark.read.parquet(f"{path}/h{h}").collect()
+        own = {r["part"]: list(r["parameters"]) for r in rows if r["part"] in ("band", "errors", "curve.x", "curve.y")}
+        features = [r["part"].partition(".")[2] for r in sorted((r for r in rows if r["part"].startswith("feature.")), key=lambda r: r["stage"])]
+        parts = [(r["part"], r["stage"], list(r["parameters"])) for r in rows if r["part"] not in own and not r["part"].startswith("feature.")]
+        found[h] = HorizonModel(KINDS[rows[0]["kind"]].read(features, parts), own["errors"], own["band"][0], Curve(np.array(own["curve.x"]), np.array(own["curve.y"])), h)
     return found

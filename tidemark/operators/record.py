@@ -139,13 +139,21 @@ def questions(prices: DataFrame, horizon: int, window: int = 120, least_past: in
 
 
 def seeded_sample(rows: DataFrame, n: int, seed: int, *keys: str) -> DataFrame:
-    """n rows in the order of a hash of their keys: the same rows on every run."""
-    return rows.orderBy(F.xxhash64(*keys, F.lit(seed)), *keys).limit(n)
+    """n rows in the order of a hash of seed and keys: the same rows on every run and in every engine."""
+    text = F.concat_ws("|", F.lit(str(seed)), *(F.col(c).cast("string") for c in keys))
+    return rows.orderBy(F.md5(text), *keys).limit(n)
+
+
+def canonical(name: str, kind: str) -> Column:
+    """``name=value`` as every engine writes it: doubles with nine digits, days as YYYY-MM-DD, a missing value as null."""
+    c = F.col(name)
+    text = c.cast("decimal(38,9)").cast("string") if kind in ("double", "float") else c.cast("string")
+    return F.concat(F.lit(f"{name}="), F.coalesce(text, F.lit("null")))
 
 
 def content_hash(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Per session a fingerprint of its rows that depends on no order of rows or files: session, rows, sha256."""
-    text = F.to_json(F.struct(*sorted(rows.columns)))
+    text = F.concat_ws("|", *(canonical(c, t) for c, t in sorted(rows.dtypes)))
     lines = rows.select("session", F.sha2(text, 256).alias("line"))
     # Sums of hash parts are order-free and need one row a session, not the rows themselves.
     part = lambda i: F.sum(F.conv(F.substring("line", 1 + 12 * i, 12), 16, 10).cast("decimal(38,0)"))

@@ -180,7 +180,7 @@ def train_task(rows: DataFrame, calendar: DataFrame, horizons: tuple[int, ...],
     for h in horizons:
         known, edge = placed.where(F.col("idx") + h <= end), end - h - calibration_sessions
         fitted[h] = models.fit_horizon(known.where(F.col("idx") <= edge), known.where(F.col("idx") > edge), FEATURES, h, kind)
-    models.save_models(fitted, path)
+    models.save_models(fitted, FEATURES, path)
 
 
 def report_task(scored: DataFrame) -> DataFrame:

@@ -510,7 +510,17 @@ def g21(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(found.select("universe", "threshold", "cost", "periods", "max_drawdown", "bh_max_drawdown", "share_better", "cash_periods", "excess_per_period"))
 
 
-@query("w29_thinned_curves")
+@query(
+    "w29_thinned_curves",
+    LAB.replace("horizon = 20", "horizon = 5").replace("k % 20", "k % 5")
+    + """, curves AS (SELECT *, product(1 + strategy) OVER w AS sc, product(1 + hold) OVER w AS hc FROM per WINDOW w AS (PARTITION BY universe, threshold, cost ORDER BY date ROWS UNBOUNDED PRECEDING)),
+    placed AS (
+        SELECT *, sc / max(sc) OVER w - 1 AS sd, hc / max(hc) OVER w - 1 AS hd, row_number() OVER w - 1 AS i, count(*) OVER (PARTITION BY universe, threshold, cost) AS n
+        FROM curves WINDOW w AS (PARTITION BY universe, threshold, cost ORDER BY date ROWS UNBOUNDED PRECEDING))
+    SELECT universe, threshold, cost, 5 AS horizon, date, positions, round(strategy, 6) AS strategy, round(hold, 6) AS hold, round(sc, 6) AS strategy_curve, round(hc, 6) AS hold_curve,
+           round(sd, 6) AS strategy_drawdown, round(hd, 6) AS hold_drawdown
+    FROM placed WHERE n <= 120 OR i = n - 1 OR floor(ceil(i / ((n - 1) / 119)) * ((n - 1) / 119)) = i""",
+)
 def w29(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = lab.periods(lab_rows(spark, sf_dir), fx.universe(spark, sf_dir), 5, lab.grid(spark))
     return rounded(lab.thinned(lab.curves(table)))
@@ -564,10 +574,14 @@ def m09(spark: SparkSession, sf_dir: str) -> DataFrame:
 FEATURES = ["ret_5", "ret_20", "vol_20", "vol_60", "rsi_14", "macd_hist", "ema_dist_20", "bb_width_20"]
 
 
+#: Trees of the queries below; a production fit takes 400, at the same 63 leaves.
+ROUNDS = 12
+
+
 def fitted(spark: SparkSession, sf_dir: str, kind: str) -> tuple[models.HorizonModel, DataFrame]:
     rows = model_rows(spark, sf_dir).where("history_sessions >= 300")
     train, calibration, test = (rows.where(c) for c in ("date < '1999-01-01'", "date >= '1999-01-10' and date < '2000-06-01'", "date >= '2000-06-10'"))
-    return models.fit_horizon(train.where("y_5 is not null"), calibration, FEATURES, 5, kind), test
+    return models.fit_horizon(train.where("y_5 is not null"), calibration, FEATURES, 5, kind, **({"rounds": ROUNDS, "rate": 0.1} if kind == "trees" else {})), test
 
 
 @query("m05_gbt_conformal")
@@ -585,7 +599,7 @@ def m08(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("m07_contributions")
 def m07(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, test = fitted(spark, sf_dir, "trees")
-    found = models.tree_contributions(model.points, FEATURES, test.select(*KEYS, *FEATURES))
+    found = model.points.contributions(test.select(*KEYS, *FEATURES))
     return found.select(*KEYS, F.to_json(scalar.top_contributions(F.col("contributions"), 6)).alias("contributions"))
 
 

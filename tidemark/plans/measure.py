@@ -207,7 +207,13 @@ def g22(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("session").agg(F.min_by(F.struct("regime", "n"), F.struct(-F.col("n"), F.col("regime"))).alias("m")).select("session", "m.*")
 
 
-@query("g18_random_control")
+@query(
+    "g18_random_control",
+    OUT
+    + """, drawn AS (SELECT *, 0.3 + (0.7 - 0.3) * (('0x' || substr(md5('7:' || forecast_id), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE) AS u FROM outcomes)
+    SELECT horizon, session, count(*) AS n, round(avg(((u > 0.5) = (actual_return > 0))::INT), 6) AS hit, round(avg(power(u - (actual_return > 0)::INT, 2)), 6) AS brier, round(avg(covered), 6) AS covered, round(avg(baseline_hit), 6) AS baseline_hit
+    FROM drawn GROUP BY 1, 2""",
+)
 def g18(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Uniform probabilities by id: their daily scores, for the null."""
     return rounded(evaluate.daily_table(evaluate.random_control(outcomes(spark, sf_dir), "forecast_id")))
@@ -267,7 +273,7 @@ def a26(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(record.screener(names, bars(spark, sf_dir), outcomes(spark, sf_dir)))
 
 
-@query("j05_open_forecasts", OUT + " SELECT forecast_id FROM forecasts ANTI JOIN outcomes USING (forecast_id)")
+@query("j05_open_forecasts", OUT + ", closed AS MATERIALIZED (SELECT forecast_id FROM outcomes), made AS MATERIALIZED (SELECT forecast_id FROM forecasts) SELECT forecast_id FROM made ANTI JOIN closed USING (forecast_id)")
 def j05(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolve.still_open(fx.forecasts(spark, sf_dir), outcomes(spark, sf_dir)).select("forecast_id")
 
@@ -548,15 +554,19 @@ def g19(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert.split_factor(lots, fx.actions(spark, sf_dir))
 
 
-@query("w30_questions", BASE + """, q AS (SELECT instrument_id, date, close, row_number() OVER w AS n, lead(close, 20) OVER w AS later, (close > lag(close, 20) OVER w)::INT AS rose, count(*) OVER x AS ahead FROM panel_region
+QUESTIONS_SQL = BASE + """, q AS (
+        SELECT instrument_id, date, close, row_number() OVER w AS n, lead(close, 20) OVER w AS later, (close > lag(close, 20) OVER w)::INT AS rose, count(*) OVER x AS ahead FROM panel_region
         WINDOW w AS (PARTITION BY instrument_id ORDER BY date), x AS (PARTITION BY instrument_id ORDER BY date ROWS BETWEEN 1 FOLLOWING AND 20 FOLLOWING)),
-    r AS (SELECT *, avg(rose) OVER (PARTITION BY instrument_id ORDER BY date ROWS UNBOUNDED PRECEDING) AS rate FROM q)
-    SELECT instrument_id, date, round(least(greatest(rate, 0.01), 0.99), 4) AS baseline_prob, later > close AS up FROM r WHERE n > 120 AND ahead = 20""")
+    r AS (SELECT *, avg(rose) OVER (PARTITION BY instrument_id ORDER BY date ROWS UNBOUNDED PRECEDING) AS rate FROM q),
+    questions AS (SELECT instrument_id, date, round(least(greatest(rate, 0.01), 0.99), 4) AS baseline_prob, later > close AS up FROM r WHERE n > 120 AND ahead = 20)"""
+
+
+@query("w30_questions", QUESTIONS_SQL + " SELECT * FROM questions")
 def w30(spark: SparkSession, sf_dir: str) -> DataFrame:
     return record.questions(bars(spark, sf_dir), 20).select(*KEYS, "baseline_prob", "up")
 
 
-@query("t10_seeded_sample")
+@query("t10_seeded_sample", QUESTIONS_SQL + " SELECT * FROM questions ORDER BY md5('7|' || instrument_id || '|' || date), instrument_id, date LIMIT 200")
 def t10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return record.seeded_sample(record.questions(bars(spark, sf_dir), 20), 200, 7, "instrument_id", "date").select(*KEYS, "baseline_prob", "up")
 
@@ -579,24 +589,68 @@ def a16(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(evaluate.arena(all_signals(prices), prices, fx.HORIZONS))
 
 
-@query("k07_package_hash")
+PACKAGE_SQL = """, lines AS (
+        SELECT session, sha256('forecast_id=' || forecast_id || '|horizon=' || horizon || '|prob_up=' || coalesce(prob_up::DECIMAL(38, 9)::VARCHAR, 'null') || '|session=' || session
+                               || '|target_session=' || coalesce(target_session::VARCHAR, 'null')) AS line FROM forecasts),
+    packed AS (
+        SELECT session, count(*) AS rows, sum(('0x' || substr(line, 1, 12))::BIGINT) AS a, sum(('0x' || substr(line, 13, 12))::BIGINT) AS b, sum(('0x' || substr(line, 25, 12))::BIGINT) AS c,
+               sum(('0x' || substr(line, 37, 12))::BIGINT) AS d, sum(('0x' || substr(line, 49, 12))::BIGINT) AS e FROM lines GROUP BY 1)"""
+
+
+@query("k07_package_hash", BASE + fx.FORECASTS + PACKAGE_SQL + " SELECT session, rows, sha256(rows || '|' || a || '|' || b || '|' || c || '|' || d || '|' || e) AS sha256 FROM packed")
 def k07(spark: SparkSession, sf_dir: str) -> DataFrame:
     return record.content_hash(fx.forecasts(spark, sf_dir).select("forecast_id", "session", "horizon", "prob_up", "target_session"), ["forecast_id"])
 
 
-@query("k13_archive")
+@query("k13_archive", BASE + fx.FORECASTS + " SELECT session, count(*) AS rows, day(session) <> 1 AS verified FROM forecasts GROUP BY 1")
 def k13(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fx.forecasts(spark, sf_dir).select("forecast_id", "session", "horizon", "prob_up", "target_session")
     stated = record.content_hash(rows, ["forecast_id"]).withColumn("sha256", F.when(F.dayofmonth("session") == 1, "tampered").otherwise(F.col("sha256")))
     return record.archive(rows, stated)
 
 
+@query(
+    "a27_documents_read_back",
+    OUT
+    + REGION_SECTORS
+    + """, newest AS (SELECT * FROM forecasts QUALIFY row_number() OVER (PARTITION BY instrument_id, horizon ORDER BY session DESC) = 1),
+    own AS (SELECT instrument_id, horizon, count(*) AS n, round(avg(hit), 4) AS hit FROM outcomes GROUP BY 1, 2),
+    closes AS (SELECT instrument_id, least(count(*), 250) AS closes, round(max_by(close, date), 4) AS last_close FROM panel_region GROUP BY 1)
+    SELECT s.instrument_id, s.sector AS ticker, c.closes, c.last_close, f.horizon, f.session, f.target_session, round(f.prob_up, 4) AS prob_up, round(f.band_low, 6) AS band_low, o.n, o.hit
+    FROM sectors s JOIN closes c USING (instrument_id) LEFT JOIN newest f USING (instrument_id) LEFT JOIN own o ON o.instrument_id = f.instrument_id AND o.horizon = f.horizon""",
+)
+def a27_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The instruments' documents parsed again: what a reader of them sees."""
+    forecast = "struct<horizon:int,session:date,target_session:date,prob_up:double,band_low:double,band_high:double>"
+    kind = f"ticker string, closes array<double>, forecasts array<{forecast}>, record array<struct<horizon:int,n:bigint,hit:double,baseline_hit:double>>"
+    parsed = a27(spark, sf_dir).select("instrument_id", F.from_json("document", kind).alias("d")).select("instrument_id", "d.*").withColumn("f", F.explode("forecasts"))
+    own = F.element_at(F.filter("record", lambda r: r["horizon"] == F.col("f.horizon")), 1)
+    read = parsed.withColumn("own", F.when(F.exists("record", lambda r: r["horizon"] == F.col("f.horizon")), own))
+    fields = [F.col(f"f.{c}") for c in ("horizon", "session", "target_session", "prob_up", "band_low")]
+    return rounded(read.select("instrument_id", "ticker", F.size("closes").cast("long").alias("closes"), F.element_at("closes", -1).alias("last_close"), *fields, F.col("own.n").alias("n"), F.col("own.hit").alias("hit")))
+
+
 @query("a27_documents")
 def a27(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = region_universe(spark, sf_dir).withColumn("ticker", F.col("sector"))
     return record.instrument_documents(names, bars(spark, sf_dir), fx.forecasts(spark, sf_dir), outcomes(spark, sf_dir))
 
 
+@query(
+    "k08_history_read_back",
+    fx.prelude("region")
+    + """ SELECT instrument_id, date, round(open, 2) AS open, round(high, 2) AS high, round(low, 2) AS low, round(close, 2) AS close, round(volume, 2)::DOUBLE AS volume
+    FROM panel_region QUALIFY row_number() OVER (PARTITION BY instrument_id ORDER BY date DESC) <= 1460""",
+)
+def k08_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history documents parsed again, a row a day; they hold four digits, of which two are compared, as engines round ties apart."""
+    names = ("open", "high", "low", "close", "volume")
+    kind = "date array<date>, " + ", ".join(f"{c} array<double>" for c in names)
+    parsed = k08(spark, sf_dir).select("instrument_id", F.from_json("document", kind).alias("d"))
+    days = parsed.select("instrument_id", F.explode(F.arrays_zip(*(F.col(f"d.{c}").alias(c) for c in ("date", *names)))).alias("x"))
+    return days.select("instrument_id", "x.date", *(F.round(f"x.{c}", 2).alias(c) for c in names))
+
+
 @query("k08_history_json")
 def k08(spark: SparkSession, sf_dir: str) -> DataFrame:
     return record.history_documents(bars(spark, sf_dir))

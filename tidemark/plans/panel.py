@@ -141,6 +141,51 @@ def w03_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(bars(spark, sf_dir).select(*KEYS, technical.bollinger_width(F.col("close")).alias("bb_width_20"), technical.gap(F.col("open"), F.col("close")).alias("gap_1")))
 
 
+def features_sql(source: str = "tr") -> str:
+    """``features``: all sixteen of ``source`` (bars with tr_close), on the total-return scale; exponential means by recursion over rows."""
+    spans = (12, 20, 26, 50, 200)
+    first = ", ".join(f"c AS e{n}" for n in spans)
+    step = ", ".join(f"w.e{n} + (x.c - w.e{n}) * 2 / {n + 1}" for n in spans)
+    known = ", ".join(f"CASE WHEN f.n >= {n} THEN f.e{n} END AS m{n}" for n in spans)
+    back = ", ".join(f"ln(c) - lag(ln(c), {k}) OVER w AS ret_{k}" for k in (1, 5, 20, 60))
+    distance = ", ".join(f"ln(c / m{n}) AS ema_dist_{n}" for n in (20, 50, 200))
+    return f""",
+    fadj AS MATERIALIZED (
+        SELECT instrument_id, date, open * tr_close / close AS o, tr_close AS c, volume, row_number() OVER w AS n, tr_close - lag(tr_close) OVER w AS step
+        FROM {source} WINDOW w AS (PARTITION BY instrument_id ORDER BY date)),
+    fwalk AS (
+        SELECT instrument_id, n, {first}, NULL::DOUBLE AS gain, NULL::DOUBLE AS loss FROM fadj WHERE n = 1
+        UNION ALL
+        SELECT x.instrument_id, x.n, {step},
+               CASE WHEN w.gain IS NULL THEN greatest(x.step, 0) ELSE w.gain + (greatest(x.step, 0) - w.gain) / 14 END,
+               CASE WHEN w.loss IS NULL THEN greatest(-x.step, 0) ELSE w.loss + (greatest(-x.step, 0) - w.loss) / 14 END
+        FROM fwalk w JOIN fadj x ON x.instrument_id = w.instrument_id AND x.n = w.n + 1),
+    fsmooth AS MATERIALIZED (SELECT a.*, {known}, f.gain, f.loss FROM fadj a JOIN fwalk f USING (instrument_id, n)),
+    fsignal AS (
+        SELECT instrument_id, n, m12 - m26 AS s FROM fsmooth WHERE n = 26
+        UNION ALL
+        SELECT x.instrument_id, x.n, w.s + (x.m12 - x.m26 - w.s) * 2 / 10 FROM fsignal w JOIN fsmooth x ON x.instrument_id = w.instrument_id AND x.n = w.n + 1),
+    fback AS (
+        SELECT a.*, g.s, {back}, lag(ln(c), 21) OVER w - lag(ln(c), 252) OVER w AS mom_252_21, ln(o / lag(c) OVER w) AS gap_1,
+               CASE WHEN count(volume) OVER v = 20 THEN quantile_cont(volume, 0.5) OVER v END AS vm, CASE WHEN count(c) OVER v = 20 THEN 4 * stddev_samp(c) OVER v / avg(c) OVER v END AS bb_width_20
+        FROM fsmooth a LEFT JOIN fsignal g USING (instrument_id, n)
+        WINDOW w AS (PARTITION BY instrument_id ORDER BY date), v AS (PARTITION BY instrument_id ORDER BY date ROWS 19 PRECEDING)),
+    features AS MATERIALIZED (
+        SELECT instrument_id, date, n AS history_sessions, ret_1, ret_5, ret_20, ret_60, mom_252_21, gap_1, bb_width_20, {distance},
+               CASE WHEN count(ret_1) OVER v = 20 THEN stddev_samp(ret_1) OVER v * sqrt(252.0) END AS vol_20, CASE WHEN count(ret_1) OVER z = 60 THEN stddev_samp(ret_1) OVER z * sqrt(252.0) END AS vol_60,
+               CASE WHEN n >= 15 AND loss <> 0 THEN 100 - 100 / (1 + gain / loss) END AS rsi_14, CASE WHEN n >= 34 THEN (m12 - m26 - s) / c END AS macd_hist,
+               CASE WHEN volume <> 0 AND vm <> 0 THEN ln(volume / vm) END AS volume_anomaly_20
+        FROM fback WINDOW v AS (PARTITION BY instrument_id ORDER BY date ROWS 19 PRECEDING), z AS (PARTITION BY instrument_id ORDER BY date ROWS 59 PRECEDING))"""
+
+
+FEATURE_NAMES = ["ret_1", "ret_5", "ret_20", "ret_60", "vol_20", "vol_60", "mom_252_21", "rsi_14", "macd_hist", "ema_dist_20", "ema_dist_50", "ema_dist_200", "volume_anomaly_20", "bb_width_20", "gap_1"]
+
+
+@query("w03_all_features", REGION + TR + features_sql() + f" SELECT instrument_id, date, history_sessions, {', '.join(f'round({c}, 6) AS {c}' for c in FEATURE_NAMES)} FROM features")
+def w03_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(technical.features(with_tr(spark, sf_dir)).withColumn("history_sessions", F.col("history_sessions").cast("long")))
+
+
 @query("w03_technical_features")
 def w03_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All sixteen features, as 32-bit floats (their parts have twins above and below)."""

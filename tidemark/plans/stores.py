@@ -250,10 +250,11 @@ def p06(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(quality.canonical_actions(text, names.where("segment = 'main'"), F.lit("2002-01-01").cast("timestamp")).drop("fetched_at"))
 
 
-@query("p10_to_yield", fx.prelude("macro") + " SELECT date, round(yield_10y / 1e6, 6) AS close FROM macro WHERE yield_10y IS NOT NULL")
+@query("p10_to_yield", fx.prelude("macro") + " SELECT date, round(yield_10y / 1e4, 9) AS close FROM macro WHERE yield_10y IS NOT NULL")
 def p10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    levels = upsert.as_price(fx.macro(spark, sf_dir).where("yield_10y is not null").select("date", (F.col("yield_10y") / 1e6).alias("close")), ["close"])
-    return rounded(upsert.as_yield(levels, ["close"]))
+    levels = upsert.as_price(fx.macro(spark, sf_dir).where("yield_10y is not null").select("date", (F.col("yield_10y") / 1e4).alias("close")), ["close"])
+    # Nine digits: rounding at six would fall on ties of two-digit averages.
+    return upsert.as_yield(levels, ["close"]).withColumn("close", F.round("close", 9))
 
 
 @query("p12_feature_columns", "SELECT unnest(['open', 'high', 'low', 'close', 'volume']) AS feature")

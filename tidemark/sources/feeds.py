@@ -64,8 +64,11 @@ def pivot_series(observed: DataFrame, series: Sequence[str]) -> DataFrame:
 def feed_items(landed: DataFrame, source: str, host: str, payload: str = "payload") -> DataFrame:
     """source, title, link, published of an RSS payload's items: no doctype or entities, https and the exact host, a parsable date."""
     safe = landed.where(~F.upper(payload).contains("<!DOCTYPE") & ~F.upper(payload).contains("<!ENTITY"))
-    item = lambda tag: F.xpath(payload, F.lit(f"//item[normalize-space(title) and normalize-space(link) and normalize-space(pubDate)]/{tag}[1]/text()"))
-    rows = safe.select(F.explode(F.arrays_zip(item("title").alias("title"), item("link").alias("link"), item("pubDate").alias("published"))).alias("i")).select("i.*")
+    # Item by item, as a title may be several text nodes; what is commented out is no item.
+    bare = F.regexp_replace(payload, r"(?s)<!--.*?-->", "")
+    items = safe.select(F.explode(F.regexp_extract_all(bare, F.lit(r"(?s)<item(?:\s[^>]*)?>.*?</item>"), F.lit(0))).alias("item"))
+    text = lambda tag: F.trim(F.xpath_string("item", F.lit(f"/item/{tag}[1]")))
+    rows = items.select(text("title").alias("title"), text("link").alias("link"), text("pubDate").alias("published")).where("title <> '' and link <> '' and published <> ''")
     moment = F.try_to_timestamp(F.regexp_replace(F.regexp_replace("published", r"^\w{3}, ", ""), r" (GMT|UT|UTC)$", " +0000"), F.lit("d MMM yyyy HH:mm:ss Z"))
     kept = rows.withColumn("published", moment).where(F.col("published").isNotNull() & F.col("link").startswith("https://") & (F.parse_url("link", F.lit("HOST")) == host))
     return kept.select(F.lit(source).alias("source"), F.substring(F.trim("title"), 1, 200).alias("title"), F.trim("link").alias("link"), "published")

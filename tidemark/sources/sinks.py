@@ -52,11 +52,6 @@ def patched(entries: DataFrame, fresh: DataFrame, key: str = "id", stamp: str =
     return entries.join(known, key, "left").select(*(kept[c].alias(c) if c in kept else F.col(c) for c in entries.columns))
 
 
-def append_outcomes(fresh: DataFrame, resolved: DataFrame, path: str, key: str = "id") -> None:
-    """Add outcomes of entries that have none yet: a second run adds nothing."""
-    fresh.join(resolved.select(key), key, "left_anti").write.mode("append").parquet(path)
-
-
 def write_documents(documents: DataFrame, root: str, key: str = "instrument_id") -> None:
     """JSON documents, one folder a key. There is one row a key, so it is written where it is."""
     documents.write.mode("overwrite").partitionBy(key).text(root)
