@@ -162,19 +162,6 @@ def test_streaming_bars_equal_batch(spark, tmp_path):
     assert got and all(want[k] == v for k, v in got.items()) and len(got) > 30
 
 
-@pytest.mark.parametrize("compact_every", [2, 16])
-def test_streaming_merge_is_idempotent(spark, tmp_path, compact_every):
-    path, keys = str(tmp_path / "t"), ["instrument_id", "date"]
-    merge = streams.merge_into(path, keys, "arrived", compact_every)
-    rows = lambda v, a, name="A": spark.createDataFrame([(name, DAY, v, a)], "instrument_id string, date date, close double, arrived int")
-    assert streams.current(spark, path, keys) is None
-    merge(rows(1.0, 1).unionByName(rows(2.0, 2)), 0)
-    merge(rows(3.0, 3).unionByName(rows(5.0, 1, "B")), 1)
-    merge(rows(3.0, 3).unionByName(rows(5.0, 1, "B")), 1)
-    merge(rows(4.0, 2), 2)
-    assert sorted((r.instrument_id, r.close, r.arrived) for r in streams.current(spark, path, keys).collect()) == [("A", 4.0, 2), ("B", 5.0, 1)]
-
-
 def test_split_factor_and_screens(spark):
     acts = spark.createDataFrame([("A", DAY, 2.0), ("A", DAY + timedelta(5), 3.0), ("A", DAY + timedelta(9), 1.0)], "instrument_id string, date date, split_ratio double")
     lots = spark.createDataFrame([("A", DAY, DAY + timedelta(9)), ("A", DAY - timedelta(1), DAY + timedelta(4)), ("B", DAY, DAY)], "instrument_id string, entered date, until date")

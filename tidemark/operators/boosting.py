@@ -280,12 +280,12 @@ def histograms(rows: DataFrame, p: int, recent: list[Tree], tree: Tree | None, w
     return {r["leaf"]: np.frombuffer(r["hist"]).reshape(p, 256, 2) for r in found}
 
 
-def fit_boosted(train: DataFrame, features: Sequence[str], target: str, rounds: int = 400, leaves: int = 63, rate: float = 0.03, least_rows: int = 500, ridge: float = 1.0, bag: float = 0.8, feature_share: float = 0.8, bins: int = BINS, seed: int = 7, keys: Sequence[str] = ("instrument_id", "date")) -> Boosted:
-    """``rounds`` trees of ``leaves`` leaves on squared error, each on a hashed sample of rows and a drawn one of features."""
-    features, p = list(features), len(features)
-    known = train.where(F.col(target).isNotNull())
-    cuts = bin_cuts(known, features, bins)
-    base = known.agg(F.avg(target)).first()[0] or 0.0
+ROWS = "id long, bins binary, residual double"
+
+
+def prepared(known: DataFrame, features: Sequence[str], target: str, cuts: list[np.ndarray], base: float, keys: Sequence[str], seed: int) -> DataFrame:
+    """The written rows that all passes read: a hash of the keys, a byte a feature, and the label less ``base``."""
+    p = len(features)
     clean = F.array(*(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in features))
 
     def prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -293,8 +293,26 @@ def fit_boosted(train: DataFrame, features: Sequence[str], target: str, rounds:
             x = batch.column("x").flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, p)
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([row.tobytes() for row in binned(x, cuts)], pa.binary()), batch.column("residual")], names=["id", "bins", "residual"])
 
-    kind = "id long, bins binary, residual double"
-    rows = stored(known.select(F.xxhash64(*keys, F.lit(seed)).alias("id"), clean.alias("x"), (F.col(target).cast("double") - F.lit(base)).alias("residual")).mapInArrow(prepare, kind), "boosting")
+    return stored(known.select(F.xxhash64(*keys, F.lit(seed)).alias("id"), clean.alias("x"), (F.col(target).cast("double") - F.lit(base)).alias("residual")).mapInArrow(prepare, ROWS), "boosting")
+
+
+def root_splits(train: DataFrame, features: Sequence[str], target: str, least_rows: int = 500, ridge: float = 1.0, bins: int = BINS, keys: Sequence[str] = ("instrument_id", "date"), seed: int = 7) -> list[tuple[str, float, float, float]]:
+    """What the first split of all rows weighs: of each feature its best cut, the rows at or under it and the gain."""
+    known = train.where(F.col(target).isNotNull())
+    cuts = bin_cuts(known, features, bins)
+    rows = prepared(known, features, target, cuts, known.agg(F.avg(target)).first()[0] or 0.0, keys, seed)
+    hist = histograms(rows, len(features), [], None, {0: 0}, 0, 1.0).get(0)
+    found = [(c, best_split(hist, [i], least_rows, ridge)) for i, c in enumerate(features)] if hist is not None else []
+    return [(c, float(cuts[s.feature][s.bin]) if s.bin < len(cuts[s.feature]) else float("inf"), s.sides[1], s.gain) for c, s in found if s is not None]
+
+
+def fit_boosted(train: DataFrame, features: Sequence[str], target: str, rounds: int = 400, leaves: int = 63, rate: float = 0.03, least_rows: int = 500, ridge: float = 1.0, bag: float = 0.8, feature_share: float = 0.8, bins: int = BINS, seed: int = 7, keys: Sequence[str] = ("instrument_id", "date")) -> Boosted:
+    """``rounds`` trees of ``leaves`` leaves on squared error, each on a hashed sample of rows and a drawn one of features."""
+    features, p = list(features), len(features)
+    known = train.where(F.col(target).isNotNull())
+    cuts = bin_cuts(known, features, bins)
+    base = known.agg(F.avg(target)).first()[0] or 0.0
+    rows = prepared(known, features, target, cuts, base, keys, seed)
     trees: list[Tree] = []
     recent: list[Tree] = []
     draw = np.random.default_rng(seed)
@@ -319,18 +337,18 @@ def fit_boosted(train: DataFrame, features: Sequence[str], target: str, rounds:
         trees.append(tree)
         recent.append(tree)
         if len(recent) == REWRITE:
-            rows, recent = _rewritten(rows, recent, p, kind), []
+            rows, recent = _rewritten(rows, recent, p), []
     discard(rows, train.sparkSession)
     return Boosted(features, float(base), trees)
 
 
-def _rewritten(rows: DataFrame, recent: list[Tree], p: int, kind: str) -> DataFrame:
+def _rewritten(rows: DataFrame, recent: list[Tree], p: int) -> DataFrame:
     """The rows with the residuals that ``recent`` leaves."""
 
     def less(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("bins"), pa.array(_residuals(batch, recent, p)[1])], names=["id", "bins", "residual"])
 
-    out = stored(rows.mapInArrow(less, kind), "boosting")
+    out = stored(rows.mapInArrow(less, ROWS), "boosting")
     discard(rows, rows.sparkSession)
     return out

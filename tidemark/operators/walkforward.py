@@ -50,12 +50,18 @@ def fold_plan(calendar: DataFrame, horizons: Sequence[int], asset: Asset) -> Dat
     return out
 
 
-def roles(rows: DataFrame, calendar: DataFrame, horizons: Sequence[int], asset: Asset) -> DataFrame:
+def latest_plan(calendar: DataFrame, horizons: Sequence[int], asset: Asset) -> DataFrame:
+    """The one fold of each horizon whose test is the last session: what a daily package is made from."""
+    end = calendar.agg(F.max("idx").alias("m"))
+    return end.select(F.explode(F.array(*map(F.lit, horizons))).alias("horizon"), F.lit(0).alias("fold"), F.col("m")).select("horizon", "fold", (F.col("m") - F.col("horizon")).alias("end"), (F.col("m") - F.col("horizon") - asset.calibration_sessions).alias("edge"), F.col("m").alias("first"), F.col("m").alias("last"))
+
+
+def roles(rows: DataFrame, calendar: DataFrame, horizons: Sequence[int], asset: Asset, plan: DataFrame | None = None) -> DataFrame:
     """date, horizon, fold, role: what each day is to each fold; a training day has its first fold only.
 
     One row for each day, horizon and role: bounded by the calendar.
     """
-    plan = stored(fold_plan(calendar, horizons, asset), "folds")
+    plan = stored(fold_plan(calendar, horizons, asset) if plan is None else plan, "folds")
     labelled = F.array_compact(F.array(*(F.when(F.col(f"y_{h}").isNotNull(), F.lit(h)) for h in horizons)))
     days = rows.select("date", F.explode(labelled).alias("horizon")).distinct().join(calendar.select("date", "idx"), "date")
     days = stored(days.withColumn("n", F.row_number().over(Window.partitionBy("horizon").orderBy("date")) - 1), "days")
@@ -215,13 +221,13 @@ def calibrated(points: DataFrame, keys: Sequence[str]) -> DataFrame:
     return done.select(*keys, F.col("y").alias("actual_return"), F.col("point").alias("expected_return"), "scale", prob("prob").alias("prob_up"), (F.col("point") - width).alias("band_low"), (F.col("point") + width).alias("band_high"), "family", prob("base_rate").alias("baseline_prob"), "fold", "horizon")
 
 
-def walk_forward_scores(rows: DataFrame, calendar: DataFrame, features: Sequence[str], horizons: Sequence[int], asset: Asset, families: dict[str, Sequence[str]] | None = None, keys: Sequence[str] = ("instrument_id", "date")) -> DataFrame:
-    """Scored test rows of all folds and horizons: each ridge family's, and of several their ensemble's, with the naive baseline's probability.
+def walk_forward_scores(rows: DataFrame, calendar: DataFrame, features: Sequence[str], horizons: Sequence[int], asset: Asset, families: dict[str, Sequence[str]] | None = None, keys: Sequence[str] = ("instrument_id", "date"), plan: DataFrame | None = None) -> DataFrame:
+    """Scored test rows of all folds and horizons: each ridge family's, and of several their ensemble's, with the naive baseline's probability. ``plan`` takes the place of the expanding folds.
 
     ``rows`` has keys, the features, vol_20 and y_h. A fold without a labelled row to fit or to calibrate on has no score.
     """
     families = families or {"linear": features}
     rows = stored(rows, "backtest")
-    placed = placed_rows(rows, roles(rows, calendar, horizons, asset), features, horizons, keys)
+    placed = placed_rows(rows, roles(rows, calendar, horizons, asset, plan), features, horizons, keys)
     models = fit_folds(placed.where("role = 'train'"), list(features), families)
     return calibrated(stored(scored_points(placed.where("role <> 'train'"), models, list(families), keys), "points"), keys)

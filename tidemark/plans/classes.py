@@ -86,11 +86,12 @@ def a04_bonds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("a11_daily_forecasts")
 def a11(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last package of each other class, from models of its own."""
+    """The last package of each other class at all horizons, from models of its own."""
     flags = spark.createDataFrame([], "instrument_id string, session date, shock_signals string, shock_market string")
     out = None
     for asset in ("crypto", "fx", "bonds"):
-        done = flows.package(spark, class_panel(spark, sf_dir, asset), asset, flags, horizons=(5,)).withColumn("asset", F.lit(asset))
+        level = "nation" if asset == "crypto" else "region"
+        done = flows.package(spark, class_panel(spark, sf_dir, asset), asset, flags, flows.official_days(spark, sf_dir), flows.implied_now(spark, sf_dir, level)).withColumn("asset", F.lit(asset))
         out = done if out is None else out.unionByName(done)
     return rounded(out)
 
@@ -191,23 +192,50 @@ def report_task(scored: DataFrame) -> DataFrame:
     return found.withColumn("skill", 1 - F.try_divide("brier", "baseline_brier"))
 
 
-@query("a07_train_and_report")
-def a07(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Models of two horizons trained, saved, loaded again and reported on the rows they predict."""
+def held_out(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Rows with targets of all horizons and a calendar, and where the last fifth of the sessions begins: what comes after it is reported on."""
     from tidemark.plans.panel import with_tr
 
-    prices, path, horizons = with_tr(spark, sf_dir), scratch(spark, "models"), (5, 20)
-    rows = stored(flows.target_rows(prices, horizons), "training")
-    train_task(rows, fx.sessions(prices), horizons, path)
-    parts = None
-    for h, model in models.load_models(spark, path, (*horizons, 60), core=horizons).items():
-        known = rows.where(F.col(f"y_{h}").isNotNull())
-        base = known.agg(F.avg((F.col(f"y_{h}") > 0).cast("double")).alias("baseline_prob"))
-        part = model.predict(known).crossJoin(F.broadcast(base)).select(F.lit(h).alias("horizon"), F.col(f"y_{h}").alias("actual_return"), "prob_up", "band_low", "band_high", "baseline_prob")  # one row
+    prices = with_tr(spark, sf_dir)
+    return stored(flows.target_rows(prices, HORIZONS), "training"), stored(fx.sessions(prices), "calendar")
+
+
+@query("a07_train_and_report")
+def a07(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Models of all horizons trained on the first four fifths of the sessions, saved, loaded again and reported on the last fifth, which they never saw."""
+    rows, calendar = held_out(spark, sf_dir)
+    path, cut = scratch(spark, "models"), calendar.agg(F.floor(F.max("idx") * 0.8)).first()[0]
+    train_task(rows, calendar.where(F.col("idx") <= cut), HORIZONS, path)
+    placed, parts = rows.join(calendar, "date"), None
+    for h, model in models.load_models(spark, path, HORIZONS).items():
+        known = placed.where(F.col(f"y_{h}").isNotNull())
+        base = known.where(F.col("idx") + h <= cut).agg(F.avg((F.col(f"y_{h}") > 0).cast("double")).alias("baseline_prob"))
+        later = model.predict(known.where(F.col("idx") > cut)).crossJoin(F.broadcast(base))  # one row
+        part = later.select(F.lit(h).alias("horizon"), F.col(f"y_{h}").alias("actual_return"), "prob_up", "band_low", "band_high", "baseline_prob")
         parts = part if parts is None else parts.unionByName(part)
     return rounded(report_task(parts))
 
 
+@query(
+    "a07_report_points",
+    flows.WALK_TR
+    + flows.LATEST_WALK
+    + """, cut AS (SELECT floor(max(idx) * 0.8) AS last_seen FROM sessions),
+    base AS (SELECT horizon, avg((y > 0)::INT) AS p FROM ahead, cut WHERE y IS NOT NULL AND idx + horizon <= last_seen GROUP BY 1)
+    SELECT horizon, count(*) AS n, round(avg(power(p - (y > 0)::INT, 2)), 6) AS baseline_brier FROM ahead JOIN base USING (horizon), cut WHERE y IS NOT NULL AND idx > last_seen GROUP BY 1""",
+)
+def a07_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the report rests on: held-out rows of each horizon and the loss of the share that rose before."""
+    rows, calendar = held_out(spark, sf_dir)
+    cut = calendar.agg(F.floor(F.max("idx") * 0.8)).first()[0]
+    each = F.explode(F.array(*(F.struct(F.lit(h).alias("horizon"), F.col(f"y_{h}").alias("y")) for h in HORIZONS)))
+    long = rows.join(calendar, "date").select("idx", each.alias("x")).select("idx", "x.*").where("y is not null")
+    up = (F.col("y") > 0).cast("double")
+    # The mean of (p - up)^2 over rows of which a share s rose is p^2 - 2 p s + s.
+    found = long.groupBy("horizon").agg(F.avg(F.when(F.col("idx") + F.col("horizon") <= cut, up)).alias("p"), F.count_if(F.col("idx") > cut).alias("n"), F.avg(F.when(F.col("idx") > cut, up)).alias("s"))
+    return rounded(found.where("n > 0").select("horizon", "n", (F.col("p") * F.col("p") - 2 * F.col("p") * F.col("s") + F.col("s")).alias("baseline_brier")))
+
+
 # Documents.
 
 

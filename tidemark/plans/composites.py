@@ -79,16 +79,13 @@ def implied_comparisons(rows: DataFrame) -> DataFrame:
     return known.select("horizon", F.col("session").alias("day"), F.explode(F.array(pair("direction_accuracy", scalar.hit), pair("brier", scalar.brier))).alias("m")).select("horizon", "day", "m.*")
 
 
-def daily_package(today: DataFrame, fitted: dict[int, models.HorizonModel], calendar: DataFrame, version: str, made_at: Column, flags: DataFrame, events: DataFrame, implied: DataFrame) -> DataFrame:
-    """One session's forecasts: every model's point, probability and bands, in returns and prices, with target, events, shock flags and the implied columns.
+def daily_package(parts: DataFrame, calendar: DataFrame, version: str, made_at: Column, flags: DataFrame, events: DataFrame, implied: DataFrame) -> DataFrame:
+    """One session's forecasts in returns and prices, with target, events, shock flags and the implied columns.
 
-    ``flags`` has instrument_id, session, shock_signals and shock_market; a session
+    ``parts`` has instrument_id, session, horizon, close, expected_return, scale, prob_up, band_low and band_high, a row a
+    horizon; ``flags`` has instrument_id, session, shock_signals and shock_market; a session
     on which the market itself is in shock has its probabilities withheld.
     """
-    parts = today.select("instrument_id", F.col("date").alias("session"), F.lit(0).alias("horizon"), "close", *(F.lit(0.0).alias(c) for c in ("expected_return", "scale", "prob_up", "band_low", "band_high"))).where("false")
-    for horizon, model in fitted.items():
-        part = model.predict(today).select("instrument_id", F.col("date").alias("session"), F.lit(horizon).alias("horizon"), "close", "expected_return", "scale", "prob_up", "band_low", "band_high")
-        parts = parts.unionByName(part)
     placed = calendars.events_in_window(calendars.with_target(parts, calendar), events, calendar)
     flagged = placed.join(flags, ["instrument_id", "session"], "left").withColumns({c: F.coalesce(c, F.lit("")) for c in ("shock_signals", "shock_market")})
     named = feeds.attach_implied(flagged, implied).withColumns(
@@ -183,13 +180,17 @@ def a05(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(walked(spark, sf_dir, {"linear": FEATURES}))
 
 
-#: Folds of all horizons, the labelled rows, and what each day is to each fold.
-WALK = f""", hz AS (SELECT unnest({list(HORIZONS)})::INTEGER AS horizon),
+#: The horizons; folds of all of them, or the last session's; the labelled rows, and what each day is to each fold.
+HORIZON_LIST = f""", hz AS (SELECT unnest({list(HORIZONS)})::INTEGER AS horizon),"""
+FOLDS_PLAN = """
     starts AS (SELECT k AS fold, 756 + k * 504 AS start FROM (SELECT unnest(range(100))::INTEGER AS k) WHERE 756 + k * 504 + 504 <= (SELECT max(idx) FROM sessions)),
     plan AS (
         SELECT horizon, fold, greatest(0, start - horizon - 1) + 1 - horizon AS last_label, greatest(0, start - horizon - 1) + 1 - horizon - 252 AS edge, start + 1 AS first_test, start + 504 AS last_test
-        FROM starts, hz),
-    priced AS (SELECT instrument_id, date, idx, ltr, row_number() OVER w AS n, lag(ltr, 20) OVER w AS before FROM walk_tr JOIN sessions USING (date) WINDOW w AS (PARTITION BY instrument_id ORDER BY date)),
+        FROM starts, hz),"""
+LATEST_PLAN = """
+    plan AS (SELECT horizon, 0 AS fold, m - horizon AS last_label, m - horizon - 252 AS edge, m AS first_test, m AS last_test FROM hz, (SELECT max(idx) AS m FROM sessions)),"""
+DAY_ROLES = """
+    priced AS (SELECT instrument_id, date, idx, close, ltr, row_number() OVER w AS n, lag(ltr, 20) OVER w AS before FROM walk_tr JOIN sessions USING (date) WINDOW w AS (PARTITION BY instrument_id ORDER BY date)),
     ahead AS (SELECT p.*, horizon, a.ltr - p.ltr AS y FROM priced p CROSS JOIN hz LEFT JOIN (SELECT instrument_id, n AS later, ltr FROM priced) a ON a.instrument_id = p.instrument_id AND a.later = p.n + horizon WHERE p.n >= 252),
     days AS (SELECT horizon, date, idx, row_number() OVER (PARTITION BY horizon ORDER BY date) - 1 AS k FROM (SELECT DISTINCT horizon, date, idx FROM ahead WHERE y IS NOT NULL)),
     days_of AS (
@@ -198,6 +199,7 @@ WALK = f""", hz AS (SELECT unnest({list(HORIZONS)})::INTEGER AS horizon),
             SELECT d.horizon, fold, date, ntile(2) OVER (PARTITION BY d.horizon, fold ORDER BY date) AS half FROM days d JOIN plan p ON p.horizon = d.horizon AND idx > edge AND idx <= last_label)
         UNION ALL SELECT horizon, fold, date, 'test' FROM plan JOIN sessions ON idx BETWEEN first_test AND last_test),
     placed AS MATERIALIZED (SELECT a.*, fold, role FROM ahead a JOIN days_of d ON d.date = a.date AND d.horizon = a.horizon WHERE role = 'test' OR y IS NOT NULL)"""
+WALK, LATEST_WALK = (HORIZON_LIST + plan + DAY_ROLES for plan in (FOLDS_PLAN, LATEST_PLAN))
 #: Total return by instrument and day, as the logarithm.
 WALK_TR = fx.prelude("region", "sessions") + """, walk_g AS (
         SELECT p.instrument_id, p.date, p.close, coalesce((p.close + coalesce(a.dividend, 0)) / lag(p.close) OVER (PARTITION BY p.instrument_id ORDER BY p.date), 1.0) AS g
@@ -218,11 +220,8 @@ def a05_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return own.withColumn("train", F.sum("train").over(so_far))
 
 
-@query(
-    "a05_one_feature",
-    WALK_TR
-    + WALK
-    + """, rows AS (SELECT *, ltr - before AS x FROM placed),
+#: A ridge on one feature, its bands and the naive baseline, over ``placed``.
+ONE_FEATURE = """, rows AS (SELECT *, ltr - before AS x FROM placed),
     vol AS (SELECT instrument_id, date, stddev_samp(r) OVER (PARTITION BY instrument_id ORDER BY date ROWS 19 PRECEDING) * sqrt(252.0) AS vol_20
             FROM (SELECT instrument_id, date, ltr - lag(ltr) OVER (PARTITION BY instrument_id ORDER BY date) AS r FROM walk_tr)),
     moments AS (SELECT horizon, fold, count(*) AS m, avg(x) AS mx, avg(y) AS my, var_pop(x) AS vx, covar_pop(x, y) AS cxy, avg((y > 0)::INT) AS rate FROM rows WHERE role = 'train' GROUP BY 1, 2),
@@ -230,9 +229,16 @@ def a05_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     points AS (
         SELECT r.*, rate, my + w * (x - mx) AS point, greatest(sqrt(horizon / 252.0) * vol_20, 1e-4) AS scale FROM rows r JOIN fits USING (horizon, fold) JOIN vol USING (instrument_id, date) WHERE role <> 'train'),
     bands AS (SELECT horizon, fold, quantile_cont(abs((y - point) / scale), 0.9) AS q FROM points WHERE role = 'band' GROUP BY 1, 2)
-    SELECT instrument_id, date, horizon, fold, round(y, 6) AS actual_return, round(point, 6) AS expected_return, round(least(greatest(rate, 0.01), 0.99), 6) AS baseline_prob,
-           round(point - q * scale, 6) AS band_low, round(point + q * scale, 6) AS band_high
-    FROM points JOIN bands USING (horizon, fold) WHERE role = 'test' AND (horizon, fold) IN (SELECT (horizon, fold) FROM points WHERE role = 'prob')""",
+    SELECT @COLUMNS
+    FROM points JOIN bands USING (horizon, fold) WHERE role = 'test' AND (horizon, fold) IN (SELECT (horizon, fold) FROM points WHERE role = 'prob')"""
+
+
+@query(
+    "a05_one_feature",
+    WALK_TR
+    + WALK
+    + ONE_FEATURE.replace("@COLUMNS", """instrument_id, date, horizon, fold, round(y, 6) AS actual_return, round(point, 6) AS expected_return, round(least(greatest(rate, 0.01), 0.99), 6) AS baseline_prob,
+           round(point - q * scale, 6) AS band_low, round(point + q * scale, 6) AS band_high"""),
 )
 def a05_one(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every fold of every horizon of a ridge on one feature, whose closed form SQL can say: points, bands, the naive baseline."""
@@ -262,22 +268,25 @@ def a08_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(rows.groupBy("horizon", "fold").agg(F.count_distinct("date").alias("days"), F.count(F.lit(1)).alias("n"), F.avg(scalar.hit(p, y)).alias("baseline_hit"), F.avg(scalar.brier(p, y)).alias("baseline_brier")))
 
 
-def package(spark: SparkSession, prices: DataFrame, asset: str, flags: DataFrame, kinds: str = "linear", horizons: Sequence[int] = (5, 20)) -> DataFrame:
-    """The last session's package of one asset class, from models fitted on all that was known a horizon before it."""
-    rows = stored(target_rows(prices, horizons, ASSETS[asset].regime_history).join(prices.select(*KEYS, "close"), KEYS), "package")
-    calendar = fx.sessions(prices)
-    end = calendar.agg(F.max("idx")).first()[0]
-    placed, fitted = rows.join(calendar, "date"), {}
-    for h in horizons:
-        edge = end - h - ASSETS[asset].calibration_sessions
-        known = placed.where(F.col("idx") + h <= end)
-        train, calibration = known.where(F.col("idx") <= edge), known.where(F.col("idx") > edge)
-        if fittable(train, calibration, f"y_{h}"):
-            fitted[h] = models.fit_horizon(train, calibration, FEATURES, h, kinds)
-    events = spark.range(120).select(F.concat(F.lit("e"), F.col("id").cast("string")).alias("event_id"), F.date_add(F.lit("1995-01-10").cast("date"), (F.col("id") * 30).cast("int")).alias("day"))
-    implied = spark.createDataFrame([(BASKET[0], 20, "ok", 0.5, 0.3, -0.1, 0.1)], "instrument_id string, horizon int, status string, prob_up double, iv double, band_low double, band_high double")
-    today = placed.where(F.col("idx") == end).drop("idx", *(f"y_{h}" for h in horizons))
-    return daily_package(today, fitted, calendar, f"{asset}-v1", F.lit("2002-01-01 22:00:00").cast("timestamp"), flags, events, implied)
+def official_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """event_id, day: of each priority of orders the first order of every month, as a schedule of official days."""
+    rows = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderpriority").alias("kind"), F.to_date("o_orderdate").alias("day"))
+    return rows.groupBy("kind", F.trunc("day", "month").alias("month")).agg(F.min("day").alias("day")).select(F.concat_ws("-", "kind", F.date_format("month", "yyyyMM")).alias("event_id"), "day")
+
+
+def implied_now(spark: SparkSession, sf_dir: str, level: str = "region") -> DataFrame:
+    """The market-implied columns of every instrument of a panel at its last close, from a chain of calls on it."""
+    return feeds.implied_table(call_chains(fx.panel(spark, sf_dir, level)))
+
+
+def package(spark: SparkSession, prices: DataFrame, asset: str, flags: DataFrame, events: DataFrame, implied: DataFrame, horizons: Sequence[int] = HORIZONS, features: Sequence[str] = FEATURES) -> DataFrame:
+    """The last session's package of one asset class, from models of all horizons fitted in one scan on what was known a horizon before it."""
+    calendar, own = fx.sessions(prices), ASSETS[asset]
+    rows = target_rows(prices, horizons, own.regime_history)
+    scores = walkforward.walk_forward_scores(rows, calendar, features, horizons, own, {"linear": features}, plan=walkforward.latest_plan(calendar, horizons, own))
+    named = scores.join(prices.select(*KEYS, "close"), KEYS).withColumnRenamed("date", "session")
+    parts = named.select("instrument_id", "session", "horizon", "close", "expected_return", "scale", "prob_up", "band_low", "band_high")
+    return daily_package(parts, calendar, f"{asset}-v1", F.lit("2002-01-01 22:00:00").cast("timestamp"), flags, events, implied)
 
 
 def shock_flags(frame: DataFrame, days: DataFrame) -> DataFrame:
@@ -291,9 +300,23 @@ def shock_flags(frame: DataFrame, days: DataFrame) -> DataFrame:
 
 @query("a10_daily_forecast")
 def a10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last session's package: features, fitted models, targets, events, shocks and implied columns."""
+    """The last session's package of all horizons: features, fitted models, targets, events, shocks and implied columns."""
     flags = shock_flags(shock_frame(spark, sf_dir), market(spark, sf_dir))
-    return rounded(package(spark, with_tr(spark, sf_dir), "equity", flags))
+    return rounded(package(spark, with_tr(spark, sf_dir), "equity", flags, official_days(spark, sf_dir), implied_now(spark, sf_dir)))
+
+
+@query(
+    "a10_one_feature",
+    WALK_TR
+    + LATEST_WALK
+    + ONE_FEATURE.replace("@COLUMNS", """instrument_id, date AS session, horizon, round(close, 6) AS close, round(point, 6) AS expected_return, round(exp(ln(close) + point - q * scale), 6) AS price_low,
+           round(exp(ln(close) + point + q * scale), 6) AS price_high"""),
+)
+def a10_one(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The package of a model whose closed form SQL can say: closes, points and price bands of all horizons."""
+    none = spark.createDataFrame([], "instrument_id string, session date, shock_signals string, shock_market string")
+    found = package(spark, with_tr(spark, sf_dir), "equity", none, official_days(spark, sf_dir), implied_now(spark, sf_dir), features=["ret_20"])
+    return rounded(found.select("instrument_id", "session", "horizon", "close", "expected_return", "price_low", "price_high"))
 
 
 @query("a12_resolve_due", OUT + " SELECT resolution_type, horizon, count(*) AS n FROM outcomes WHERE target_session <= DATE '2000-12-31' GROUP BY 1, 2")
@@ -420,14 +443,32 @@ CHAIN = """, chain AS (SELECT instrument_id, 20 AS horizon, max_by(close, date)
     SELECT instrument_id, CASE WHEN oi < 100 THEN 'illiquid' WHEN p < 0.01 OR p > 0.99 THEN 'bad_price' ELSE 'ok' END AS status, CASE WHEN oi >= 100 AND p BETWEEN 0.01 AND 0.99 THEN round(p, 6) END AS prob_up FROM probs"""
 
 
-@query("f06_implied_prob", fx.prelude("nation") + CHAIN)
-def f06(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A made-up chain of calls on every nation's last close."""
-    spots = fx.panel(spark, sf_dir, "nation").groupBy("instrument_id").agg(F.max_by("close", "date").alias("spot"))
+def call_chains(prices: DataFrame) -> DataFrame:
+    """Calls on every instrument's last close at six strikes; those of ids with a 0 in the last place but one are hardly traded."""
+    spots = prices.groupBy("instrument_id").agg(F.max_by("close", "date").alias("spot"))
     rows = spots.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(5))))
     price = F.greatest(F.col("spot") * (0.20 - 0.04 * F.col("k")), F.col("spot") * 0.002)
-    chains = rows.select("instrument_id", F.lit(20).alias("horizon"), "spot", F.lit(0.02).alias("rate"), F.lit(0.25).alias("years"), (F.col("spot") * (0.85 + 0.05 * F.col("k"))).alias("strike"), price.alias("bid"), price.alias("ask"), F.lit(0.3).alias("iv"), F.when(F.substring("instrument_id", 7, 1) == "0", 10).otherwise(500).cast("long").alias("open_interest"))
-    return rounded(feeds.implied_table(chains).select("instrument_id", "status", "prob_up"))
+    terms = (F.lit(20).alias("horizon"), "spot", F.lit(0.02).alias("rate"), F.lit(0.25).alias("years"))
+    traded = F.when(F.substring("instrument_id", 7, 1) == "0", 10).otherwise(500).cast("long")
+    return rows.select("instrument_id", *terms, (F.col("spot") * (0.85 + 0.05 * F.col("k"))).alias("strike"), price.alias("bid"), price.alias("ask"), F.lit(0.3).alias("iv"), traded.alias("open_interest"))
+
+
+@query("f06_implied_prob", fx.prelude("nation") + CHAIN)
+def f06(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A chain of calls on every nation's last close."""
+    return rounded(feeds.implied_table(call_chains(fx.panel(spark, sf_dir, "nation"))).select("instrument_id", "status", "prob_up"))
+
+
+A35_SQL = fx.prelude("region", "sessions") + fx.FORECASTS + CHAIN.replace("panel_nation GROUP BY", "panel_region WHERE instrument_id <> 'CZ00005' GROUP BY").replace(
+    "    SELECT instrument_id, CASE WHEN oi", "    , implied AS (SELECT instrument_id, CASE WHEN oi"
+)
+
+
+@query("a35_implied_flow", A35_SQL + ") SELECT forecast_id, coalesce(i.status, 'fetch_failed') AS implied_status, i.prob_up AS implied_prob_up FROM forecasts f LEFT JOIN implied i ON i.instrument_id = f.instrument_id AND f.horizon = 20")
+def a35(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The market-implied columns of every forecast, from chains of all instruments but one, whose fetch failed: its columns are empty and say so."""
+    chains = call_chains(fx.panel(spark, sf_dir).where("instrument_id <> 'CZ00005'"))
+    return rounded(feeds.attach_implied(fx.forecasts(spark, sf_dir), feeds.implied_table(chains)).select("forecast_id", "implied_status", "implied_prob_up"))
 
 
 @query("j19_attach_implied", fx.prelude("region", "sessions") + fx.FORECASTS + " SELECT forecast_id, CASE WHEN horizon = 20 AND instrument_id <> 'CZ00005' THEN 'ok' ELSE 'fetch_failed' END AS implied_status FROM forecasts")

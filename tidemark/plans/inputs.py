@@ -7,10 +7,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import calendars, quality, scalar
-from tidemark.operators import confluence, cross_section, evaluate, lab, models, patterns, record, regime, returns, technical, upsert
+from tidemark.operators import boosting, confluence, cross_section, evaluate, lab, models, patterns, record, regime, returns, technical, upsert
 from tidemark.operators.signals import all_signals
 from tidemark.plans.measure import FULL_SHOCK, OUT, SCENARIO_SQL, outcomes
-from tidemark.plans.panel import ALL_SIGNALS, BASKET, EWM, KEYS, MACD, REGION, bars, log_returns, with_tr
+from tidemark.plans.panel import ALL_SIGNALS, BASKET, EWM, KEYS, MACD, REGION, TR, bars, features_sql, log_returns, with_tr
 from tidemark.plans.base import comparable, query, rounded
 from tidemark.sources import feeds
 from tidemark.plans.twins import records_sql
@@ -584,6 +584,23 @@ def fitted(spark: SparkSession, sf_dir: str, kind: str) -> tuple[models.HorizonM
     return models.fit_horizon(train.where("y_5 is not null"), calibration, FEATURES, 5, kind, **({"rounds": ROUNDS, "rate": 0.1} if kind == "trees" else {})), test
 
 
+GAINS_SQL = REGION + TR + features_sql() + f""", labelled AS (
+        SELECT instrument_id, date, lead(ln(tr_close), 5) OVER (PARTITION BY instrument_id ORDER BY date) - ln(tr_close) AS y FROM tr),
+    known AS (SELECT f.*, y - avg(y) OVER () AS r FROM features f JOIN labelled USING (instrument_id, date) WHERE history_sessions >= 300 AND date < DATE '1999-01-01' AND y IS NOT NULL),
+    long AS MATERIALIZED (UNPIVOT (SELECT r, {", ".join(FEATURES)} FROM known) ON {", ".join(FEATURES)} INTO NAME feature VALUE x),
+    cuts AS (SELECT feature, unnest(list_distinct(quantile_cont(x, {[i / 255 for i in range(1, 255)]}))) AS cut FROM long GROUP BY 1),
+    sides AS (SELECT c.feature, cut, sum(r) FILTER (x <= cut) AS gl, count(*) FILTER (x <= cut) AS nl, sum(r) AS g, count(*) AS n FROM cuts c JOIN long l ON l.feature = c.feature GROUP BY 1, 2),
+    gains AS (SELECT *, gl * gl / (nl + 1) + (g - gl) * (g - gl) / (n - nl + 1) - g * g / (n + 1) AS gain FROM sides WHERE nl >= 500 AND n - nl >= 500)
+    SELECT feature, round(cut, 6) AS cut, nl::DOUBLE AS rows_left, round(gain, 6) AS gain FROM gains QUALIFY row_number() OVER (PARTITION BY feature ORDER BY gain DESC, cut) = 1"""
+
+
+@query("m05_first_gains", GAINS_SQL)
+def m05_gains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each feature the cut that splits all training rows best."""
+    train = model_rows(spark, sf_dir).where("history_sessions >= 300 and date < '1999-01-01'")
+    return rounded(spark.createDataFrame(boosting.root_splits(train, FEATURES, "y_5"), "feature string, cut double, rows_left double, gain double"))
+
+
 @query("m05_gbt_conformal")
 def m05(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, test = fitted(spark, sf_dir, "trees")

@@ -638,17 +638,18 @@ def a27(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "k08_history_read_back",
-    fx.prelude("region")
-    + """ SELECT instrument_id, date, round(open, 2) AS open, round(high, 2) AS high, round(low, 2) AS low, round(close, 2) AS close, round(volume, 2)::DOUBLE AS volume
-    FROM panel_region QUALIFY row_number() OVER (PARTITION BY instrument_id ORDER BY date DESC) <= 1460""",
+    fx.prelude("region") + " SELECT instrument_id, date, true AS as_stored FROM panel_region QUALIFY row_number() OVER (PARTITION BY instrument_id ORDER BY date DESC) <= 1460",
 )
 def k08_back(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The history documents parsed again, a row a day; they hold four digits, of which two are compared, as engines round ties apart."""
+    """The history documents parsed again, a row a day, and whether all its numbers are the bars' own to four digits."""
     names = ("open", "high", "low", "close", "volume")
     kind = "date array<date>, " + ", ".join(f"{c} array<double>" for c in names)
     parsed = k08(spark, sf_dir).select("instrument_id", F.from_json("document", kind).alias("d"))
-    days = parsed.select("instrument_id", F.explode(F.arrays_zip(*(F.col(f"d.{c}").alias(c) for c in ("date", *names)))).alias("x"))
-    return days.select("instrument_id", "x.date", *(F.round(f"x.{c}", 2).alias(c) for c in names))
+    days = parsed.select("instrument_id", F.explode(F.arrays_zip(*(F.col(f"d.{c}").alias(c) for c in ("date", *names)))).alias("x")).select("instrument_id", F.col("x.date").alias("date"), "x")
+    same = F.lit(True)
+    for c in names:
+        same &= F.abs(F.col(f"x.{c}") - F.col(c)) <= 0.00005 + 1e-9
+    return days.join(bars(spark, sf_dir), KEYS, "left").select(*KEYS, F.coalesce(same, F.lit(False)).alias("as_stored"))
 
 
 @query("k08_history_json")

@@ -1,4 +1,4 @@
-"""Bars and merges as streams: the batch operators' incremental forms."""
+"""Bars as streams: the batch operators' incremental forms. Merging them into a table is left to a table format."""
 
 from __future__ import annotations
 
@@ -6,9 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.upsert import keep_last
-from tidemark.session import discard
-
 EVENTS = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampType()), T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType()), T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType())])
 
 
@@ -28,49 +25,3 @@ def sessions(events: DataFrame, gap: str = "30 minutes", late: str = "2 hours")
     """Runs of a user's events without a pause of ``gap``."""
     found = events.withWatermark("ts", late).groupBy("user_id", F.session_window("ts", gap).alias("w")).agg(F.count(F.lit(1)).alias("events"), F.sum("value").alias("value"))
     return found.select("user_id", F.col("w.start").alias("start"), F.col("w.end").alias("end"), "events", "value")
-
-
-def _versions(spark: SparkSession, folder: str) -> list[int]:
-    """Numbers of the finished tables under ``folder``, in order."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = [f.getPath() for f in fs.listStatus(at)] if fs.exists(at) else []
-    return sorted(int(p.getName()) for p in names if p.getName().isdigit() and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
-
-
-def merge_into(path: str, keys: list[str], arrival: str, compact_every: int = 16):
-    """A foreachBatch function that upserts each batch into the table at ``path``.
-
-    A batch is written as it came, under its own number, so one that is run again
-    overwrites itself and what was there before stays untouched. Readers take the
-    newest row of each key. Every ``compact_every``-th batch the whole is written once,
-    and what it replaces is removed after that.
-    """
-
-    def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        fresh = keep_last(batch, [F.col(arrival).desc()], keys)
-        fresh.write.mode("overwrite").parquet(f"{path}/batches/{batch_id:09d}")
-        if (batch_id + 1) % compact_every == 0:
-            current(spark, path, keys, batch_id).write.mode("overwrite").parquet(f"{path}/whole/{batch_id:09d}")
-            for folder, keep in (("batches", lambda v: v > batch_id), ("whole", lambda v: v >= batch_id)):
-                for v in _versions(spark, f"{path}/{folder}"):
-                    if not keep(v):
-                        discard(f"{path}/{folder}/{v:09d}", spark)
-
-    return run
-
-
-def current(spark: SparkSession, path: str, keys: list[str], upto: int | None = None) -> DataFrame | None:
-    """The table as of the last finished batch: the last whole table under the batches since, of each key the newest row."""
-    within = lambda v: upto is None or v <= upto
-    whole = [v for v in _versions(spark, f"{path}/whole") if within(v)][-1:]
-    since = [v for v in _versions(spark, f"{path}/batches") if within(v) and v > (whole or [-1])[0]]
-    parts = [("whole", v) for v in whole] + [("batches", v) for v in since]
-    if not parts:
-        return None
-    out = None
-    for folder, v in parts:
-        part = spark.read.parquet(f"{path}/{folder}/{v:09d}").withColumn("__batch", F.lit(v))
-        out = part if out is None else out.unionByName(part)
-    return keep_last(out, [F.col("__batch").desc()], keys).drop("__batch")
