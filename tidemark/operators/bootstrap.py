@@ -29,6 +29,8 @@ CHUNK = 50
 FEWEST_DAYS = 3
 #: Means that differ by less are equal: what is left is rounding.
 NO_SPREAD = 1e-18
+#: A mean this near to the measured difference counts as equal to it, whatever the order of its sums.
+TIE = 1e-12
 
 #: Coefficients of algorithm AS241 for the normal quantile (fixed values, constant term last): centre, middle and far numerators and denominators.
 CENTRE = (
@@ -136,7 +138,7 @@ def resampled(cells: DataFrame, keys: Sequence[str], horizon: Column, reps: int,
     means = asked.mapInArrow(repeat, T.StructType([*fields, T.StructField("means", T.ArrayType(T.DoubleType()))])).select(*keys, "delta", F.explode("means").alias("m"))
     off, far = F.col("m") - F.col("delta"), F.abs("delta")
     # Keys may be null, so both parts meet in one grouping and not in a join.
-    tails = means.groupBy(*keys).agg(F.count_if(off <= -far).alias("low"), F.count_if(off >= far).alias("high"), F.var_samp("m").alias("spread"))
+    tails = means.groupBy(*keys).agg(F.count_if(off <= -far + TIE).alias("low"), F.count_if(off >= far - TIE).alias("high"), F.var_samp("m").alias("spread"))
     what = ("t", "n", "value", "baseline_value", "delta", "own")
     both = found.select(*keys, F.struct(*what).alias("own"), F.lit(None).cast("struct<low:bigint,high:bigint,spread:double>").alias("tails"))
     both = both.unionByName(tails.select(*keys, F.lit(None).cast(both.schema["own"].dataType).alias("own"), F.struct("low", "high", "spread").alias("tails")))
@@ -173,7 +175,7 @@ def resampled_sql(rows: str, keys: Sequence[str], horizon: str = "horizon", day:
         SELECT g.g, rep, sum(y.pd - x.pd + CASE WHEN e > u.t THEN g.d ELSE 0 END) / sum(y.pn - x.pn + CASE WHEN e > u.t THEN g.n ELSE 0 END) AS mean
         FROM bu u JOIN bp_at g ON g.t = u.t AND g.block = u.block JOIN bp x ON x.k = g.shift + s
         JOIN bp y ON y.k = g.shift + CASE WHEN e > u.t THEN e - u.t ELSE e END GROUP BY g.g, rep),
-    bt AS (SELECT g, count(*) FILTER (mean - delta <= -abs(delta)) AS low, count(*) FILTER (mean - delta >= abs(delta)) AS high, var_samp(mean) AS spread FROM bm JOIN bg USING (g) GROUP BY g),
+    bt AS (SELECT g, count(*) FILTER (mean - delta <= -abs(delta) + {TIE}) AS low, count(*) FILTER (mean - delta >= abs(delta) - {TIE}) AS high, var_samp(mean) AS spread FROM bm JOIN bg USING (g) GROUP BY g),
     compared AS (
         SELECT {k}, value, baseline_value, delta, n, CASE WHEN spread > {NO_SPREAD} THEN least(greatest(own / spread, 1.0), n) ELSE n END::DOUBLE AS n_eff,
                CASE WHEN t >= {FEWEST_DAYS} THEN least(1.0, greatest(1.0 / {reps}, 2 * least(low, high) / {reps}.0)) END AS p_value
