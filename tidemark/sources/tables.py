@@ -74,9 +74,10 @@ def read_ticker_history(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("instrument_id", "ticker", F.to_date("valid_from").alias("valid_from"), F.to_date(F.nullif(F.col("valid_to"), F.lit(""))).alias("valid_to"))
 
 
-def read_manifests(spark: SparkSession, glob: str) -> DataFrame:
-    """One row a JSON manifest, newest session first."""
-    return spark.read.option("multiLine", True).json(glob).withColumn("session", F.to_date("session")).orderBy(F.col("session").desc())
+def read_manifests(spark: SparkSession, glob: str, schema: str | None = None) -> DataFrame:
+    """One row a JSON manifest, newest session first; a file holds one or an array of them. With a schema files are read once."""
+    reader = spark.read.option("multiLine", True)
+    return (reader.schema(schema) if schema else reader).json(glob).withColumn("session", F.to_date("session")).orderBy(F.col("session").desc())
 
 
 def conform(frame: DataFrame, source: str) -> DataFrame:
