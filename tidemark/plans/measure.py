@@ -476,6 +476,14 @@ def a20(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(evaluate.records(long, ["signal", "horizon", "metric"], []))
 
 
+@query("a28_news_arena_documents", "SELECT horizon, signal, metric, n, n_tests, verdict FROM (" + NEWS_SQL + ")")
+def a28_news(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The news arena's published document, parsed again: a row a signal."""
+    published = record.verdict_documents(a20(spark, sf_dir), ["signal", "metric"])
+    kind = "array<struct<signal:string,metric:string,n:bigint,n_tests:bigint,verdict:string>>"
+    return published.select("horizon", F.explode(F.from_json("document", kind)).alias("r")).select("horizon", "r.*")
+
+
 ENTRIES = ", entries AS (SELECT forecast_id AS id, instrument_id, session, target_session, horizon, prob_up, baseline_prob FROM forecasts WHERE horizon IN (5, 20) AND target_session IS NOT NULL AND right(instrument_id, 1) = '1')"
 
 
