@@ -24,6 +24,30 @@ def test_exponential_mean_ages_over_gaps(spark):
     assert np.allclose([r.m for r in got], want, equal_nan=True)
 
 
+@pytest.mark.parametrize("alpha", [2 / 201, 1 / 14, 0.5, 0.99])
+def test_exponential_means_over_blocks_equal_one_walk(spark, alpha):
+    rng = np.random.default_rng(11)
+    n = 900
+    whole = rng.normal(size=n).cumsum() + 50
+    gaps, late, short, none = whole.copy(), whole.copy(), whole[:3].copy(), np.full(300, np.nan)
+    gaps[rng.random(n) < 0.3] = np.nan
+    gaps[100:420] = np.nan  # more than two blocks without a value
+    late[:200] = np.nan
+    series = {"whole": whole, "gaps": gaps, "late": late, "short": short, "none": none}
+    rows = [(k, DAY + timedelta(int(i) * (3 if k == "whole" else 1)), None if np.isnan(v) else float(v), float(i)) for k, x in series.items() for i, v in enumerate(x)]
+    table = spark.createDataFrame(rows, "instrument_id string, date date, close double, other double").repartition(7)
+    found = rolling.exponential_means(table, {"m": ("close", alpha, 14), "o": ("other", 0.1, 1)}, ["instrument_id", "date"]).orderBy("date").toPandas()
+    assert len(found) == len(rows) and list(found.columns) == ["instrument_id", "date", "close", "other", "m", "o"]
+    for k, x in series.items():
+        got = found[found.instrument_id == k]
+        assert np.allclose(got.m.astype(float), pd.Series(x).ewm(alpha=alpha, adjust=False, min_periods=14).mean(), rtol=1e-10, equal_nan=True)
+        assert np.allclose(got.o, pd.Series(np.arange(len(x), dtype=float)).ewm(alpha=0.1, adjust=False).mean(), rtol=1e-10)
+    empty = rolling.exponential_means(table.limit(0), {"m": ("close", alpha, 14)}, ["instrument_id", "date"])
+    assert empty.count() == 0
+    with pytest.raises(ValueError, match="alpha"):
+        rolling.exponential_means(table, {"m": ("close", 1.0, 1)}, ["instrument_id", "date"])
+
+
 def test_guarded_windows_want_every_row(spark):
     x = [1.0, 2.0, None, 4.0, 5.0, 6.0]
     got = [r.s for r in panel(spark, x).select("date", rolling.guarded(F.stddev_samp, F.col("close"), 3).alias("s")).orderBy("date").collect()]

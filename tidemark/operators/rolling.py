@@ -1,17 +1,18 @@
 """Windows over one instrument's days, with the guards that a missing value needs.
 
 A rolling statistic of n rows has a value only where all n are present; means
-by exponential weights run through pandas, one instrument a group.
+by exponential weights are composed by blocks of days.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from tidemark.session import stored
+
 
 def by_instrument() -> WindowSpec:
     """One instrument's days in order."""
@@ -54,23 +55,66 @@ def running_product(x: Column, over: WindowSpec | None = None) -> Column:
     return F.exp(F.sum(F.ln(x)).over((over or by_instrument()).rowsBetween(Window.unboundedPreceding, 0)))
 
 
+#: Calendar days of a block. Weights fall by no more than alpha = 0.99 to this power within one, which doubles hold.
+BLOCK_DAYS = 128
+
+
 def exponential_means(df: DataFrame, columns: dict[str, tuple[str, float, int]], keep: Sequence[str]) -> DataFrame:
-    """Add exponentially weighted means by instrument: name to (column, alpha, least values).
+    """Add exponentially weighted means by instrument: name to (column, alpha, least values), alpha at most 0.99.
 
-    Weights follow positions, so a gap ages what came before it. One pass of
-    pandas over each instrument's own history, which its number of days bounds.
+    Weights follow positions, so a gap ages what came before it; where a value is missing the mean stays, and it is
+    null before ``least`` values. Each value maps the mean before it to share * mean + part. These maps are composed
+    within blocks of days by running sums, blocks are folded in their order, and every row applies its block's
+    maps to the mean that the block began with. Blocks spread a long history over tasks; an instrument has as many
+    as the calendar, whatever its rows.
     """
+    if any(not 0 < alpha <= 0.99 for _, alpha, _ in columns.values()):
+        raise ValueError("alpha must be above 0 and at most 0.99")
     inputs = sorted({c for c, _, _ in columns.values()})
     kept = list(dict.fromkeys([*keep, *inputs]))
-    schema = T.StructType([*(df.schema[c] for c in kept), *(T.StructField(n, T.DoubleType()) for n in columns)])
-
-    def fold(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values("date")
-        for name, (column, alpha, least) in columns.items():
-            g[name] = g[column].astype("float64").ewm(alpha=alpha, adjust=False, min_periods=least).mean()
-        return g[[f.name for f in schema]]
-
-    return df.select(*kept).groupBy("instrument_id").applyInPandas(fold, schema)
+    keys = ["instrument_id", "__block"]
+    over = Window.partitionBy(*keys).orderBy("date")
+    so_far, before = over.rowsBetween(Window.unboundedPreceding, 0), over.rowsBetween(Window.unboundedPreceding, -1)
+    block = F.floor(F.datediff("date", F.lit("1970-01-01").cast("date")) / BLOCK_DAYS)
+    rows = df.select("instrument_id", "date", F.struct(*kept).alias("__row"), *(F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(f"__x_{c}") for c in inputs))
+    rows = rows.withColumn("__block", block).withColumn("__at", F.row_number().over(over))
+    seen = {c: F.when(F.col(f"__x_{c}").isNotNull(), F.col("__at")) for c in inputs}
+    rows = rows.withColumns(
+        {f"__gap_{c}": F.col("__at") - F.max(seen[c]).over(before) for c in inputs}
+        | {f"__n_{c}": F.count(seen[c]).over(so_far) for c in inputs}
+        | {f"__from_{c}": F.min(seen[c]).over(so_far) for c in inputs}
+        | {f"__first_{c}": F.first(f"__x_{c}", ignorenulls=True).over(so_far) for c in inputs}
+    )
+    shares, sums, whole, means = {}, {}, {}, {}
+    for c in inputs:
+        whole |= {f"n_{c}": f"max(__n_{c})", f"from_{c}": f"min(__from_{c})", f"last_{c}": f"max(if(__x_{c} is not null, __at, null))", f"first_{c}": f"max_by(__first_{c}, __at)"}
+    for name, (c, alpha, least) in columns.items():
+        # The block's first value waits for the mean and the gap that come from earlier blocks.
+        later, old = f"__x_{c} is not null and __gap_{c} is not null", f"power({1 - alpha!r}D, __gap_{c})"
+        shares[f"__share_{name}"] = F.sum(F.expr(f"if({later}, ln({old} / ({old} + {alpha!r}D)), 0D)")).over(so_far)
+        sums[f"__sum_{name}"] = F.sum(F.expr(f"if({later}, {alpha!r}D * __x_{c} / ({old} + {alpha!r}D) * exp(-__share_{name}), 0D)")).over(so_far)
+        whole |= {f"share_{name}": f"min(__share_{name})", f"sum_{name}": f"max_by(__sum_{name}, __at)"}
+        come = f"__in_{name}"
+        mean = f"if(__first_{c} is null, {come}.mean, exp(__share_{name}) * ({_mixed(come, f'__from_{c}', f'__first_{c}', alpha)} + __sum_{name}))"
+        means[name] = f"if({come}.n + __n_{c} >= {least}, {mean}, null) AS `{name}`"
+    rows = stored(rows.withColumns(shares).withColumns(sums), "blocks")
+    blocks = rows.groupBy(*keys).agg(*(F.expr(v).alias(k) for k, v in {"rows": "count(1)", **whole}.items()))
+    past = F.collect_list(F.struct("rows", *whole)).over(Window.partitionBy("instrument_id").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1))
+    begun = blocks.select(*keys, past.alias("past")).selectExpr(*keys, *(f"{_folded(c, name, alpha)} AS __in_{name}" for name, (c, alpha, _) in columns.items()))
+    return rows.join(begun, keys).selectExpr(*(f"__row.`{c}` AS `{c}`" for c in kept), *means.values())
+
+
+def _mixed(come: str, at: str, x: str, alpha: float) -> str:
+    """The mean after a block's first value x, its row ``at``, given the mean and the gap before the block."""
+    old = f"power({1 - alpha!r}D, {come}.gap + {at})"
+    return f"if({come}.mean is null, {x}, ({old} * {come}.mean + {alpha!r}D * {x}) / ({old} + {alpha!r}D))"
+
+
+def _folded(c: str, name: str, alpha: float) -> str:
+    """mean, gap (rows since the last value) and n after all earlier blocks in their order."""
+    end = f"exp(b.share_{name}) * ({_mixed('s', f'b.from_{c}', f'b.first_{c}', alpha)} + b.sum_{name})"
+    after = f"struct(if(b.first_{c} is null, s.mean, {end}) AS mean, if(b.first_{c} is null, s.gap + b.rows, b.rows - b.last_{c}) AS gap, s.n + b.n_{c} AS n)"
+    return f"aggregate(past, struct(CAST(null AS DOUBLE) AS mean, 0L AS gap, 0L AS n), (s, b) -> {after})"
 
 
 def span(n: int) -> float:
