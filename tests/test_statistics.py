@@ -204,10 +204,10 @@ def test_conformal_band_covers(spark):
         assert 0.84 <= inside <= 0.96
         assert got.prob_up.between(0.01, 0.99).all()
         assert ((got.prob_up > 0.5) == (got.y_5 > 0)).mean() > 0.6
-    network = models.fit_network(parts[0], ["x"], "y_5")
+    network = models.fit_network(parts[0], ["x"], "y_5", epochs=6)
     found = network.transform(parts[2]).toPandas()
     assert np.corrcoef(found.point, found.y_5)[0, 1] > 0.5
-    again = models.fit_network(parts[0].repartition(5), ["x"], "y_5")
+    again = models.fit_network(parts[0].repartition(5), ["x"], "y_5", epochs=6)
     assert all(np.allclose(p, q) for one, two in zip(network.layers, again.layers, strict=True) for p, q in zip(one, two, strict=True))
     fitted = models.fit_horizon(parts[0], parts[1], ["x"], 5, "linear")
     share = fitted.points.contributions(parts[2]).first().contributions
@@ -223,7 +223,7 @@ def test_saved_models_predict_as_before(spark, tmp_path, monkeypatch, kind):
     rows.loc[::40, "z"] = None
     table = spark.createDataFrame(rows)
     monkeypatch.setitem(models.FITS, "trees", lambda *a: boosting.fit_boosted(*a, rounds=2, leaves=5, least_rows=30))
-    monkeypatch.setitem(models.FITS, "network", lambda *a: models.fit_network(*a, rounds=1, steps=10))
+    monkeypatch.setitem(models.FITS, "network", lambda *a: models.fit_network(*a, epochs=1))
     model = models.fit_horizon(table.where(f"date < '{DAY + timedelta(400)}'"), table.where(f"date >= '{DAY + timedelta(400)}'"), ["x", "z"], 5, kind)
     models.save_models({5: model}, ["x", "z"], str(tmp_path / "m"))
     loaded = models.load_models(spark, str(tmp_path / "m"), (5, 120), core=(5,))
@@ -234,6 +234,27 @@ def test_saved_models_predict_as_before(spark, tmp_path, monkeypatch, kind):
         models.load_models(spark, str(tmp_path / "m"), (20,), core=(20,))
 
 
+def test_network_slopes_over_tasks_equal_one_process(spark):
+    rng = np.random.default_rng(8)
+    x, t = rng.normal(size=(300, 3)), rng.normal(size=300)
+    layers = [(rng.normal(size=(a, b)), rng.normal(size=b)) for a, b in ((3, 5), (5, 4), (4, 1))]
+    rows = spark.createDataFrame([(v.tolist(), float(y)) for v, y in zip(x, t, strict=True)], "x array<double>, t double")
+    n, got = models.summed_slopes(rows.repartition(9), layers)
+    want = models.slopes(x, t, layers)
+    assert n == 300 and all(np.allclose(g, w, rtol=0, atol=1e-9) for g, w in zip(got, want, strict=True))
+    # Against differences of the loss itself.
+    loss = lambda: 0.5 * ((models.forward(x, layers)[-1][:, 0] - t) ** 2).sum()
+    for i, at in ((0, (1, 2)), (1, (4, 0)), (2, (3, 0))):
+        w, eps = layers[i][0], 1e-6
+        w[at] += eps
+        up = loss()
+        w[at] -= 2 * eps
+        down = loss()
+        w[at] += eps
+        assert got[2 * i][at] == pytest.approx((up - down) / (2 * eps), rel=1e-4)
+    assert models.summed_slopes(rows.limit(0), layers)[0] == 0
+
+
 def test_linear_fit_equals_ridge(spark):
     rng = np.random.default_rng(6)
     x = rng.normal(size=(400, 2)) * [1.0, 3.0] + [0.5, -2.0]

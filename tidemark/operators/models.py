@@ -1,8 +1,8 @@
 """Walk-forward models: baselines, linear, tree and network regressors, conformal bands, calibrated probabilities.
 
 The linear model is a ridge from one pass of sums of products; trees are grown leaf by
-leaf (see ``boosting``); the network is fitted by many tasks at once, each on its own
-rows, whose weights are averaged after every round. Gaps take the exact training
+leaf (see ``boosting``); the network descends by gradients of whole batches, summed over
+all tasks at every step. Gaps take the exact training
 median (trees learn a side for them), every feature is standardised by its population deviation. Numbers
 are this library's own, the protocol is fixed: fit on the past, a first half of the calibration window
 for the band, a second for the probabilities. Models of every kind are stored alike.
@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -24,7 +25,7 @@ from tidemark.functions.scalar import horizon_scale, sign_bin
 from tidemark.operators.boosting import Boosted, fit_boosted
 from tidemark.operators.ranks import quantiles
 from tidemark.operators.walkforward import ALPHA, ridge, sums_of_products
-from tidemark.session import stored
+from tidemark.session import discard, scratch, stored
 
 NOMINAL, LEAST_BIN, LEAST_HISTORY = 0.90, 100, 300
 BASELINES = {"naive": None, "momentum": "ret_20", "sector": "sector_ret_20", "buy_hold": None}
@@ -171,9 +172,9 @@ class Ensemble:
 
 
 def fit_points(train: DataFrame, features: Sequence[str], target: str, kind: str, **options) -> object:
-    """A regressor that adds ``point``: linear, trees, network or the ensemble of the three."""
+    """A regressor that adds ``point``: linear, trees, network or the ensemble of the three, whose options go by member."""
     if kind == "ensemble":
-        return Ensemble([fit_points(train, features, target, k) for k in ("trees", "linear", "network")])
+        return Ensemble([fit_points(train, features, target, k, **options.get(k, {})) for k in ("trees", "linear", "network")])
     if kind not in FITS:
         raise ValueError(kind)
     return FITS[kind](train, features, target, **options)
@@ -303,59 +304,77 @@ def forward(x: np.ndarray, layers: list) -> list[np.ndarray]:
     return out
 
 
-def descend(x: np.ndarray, t: np.ndarray, layers: list, steps: int, seed: int, batch: int = 256, rate: float = 0.003, decay: float = 1e-4) -> list:
-    """So many Adam steps on one task's rows, from the given weights."""
-    rng, params = np.random.default_rng(seed), [p.copy() for layer in layers for p in layer]
-    first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
-    for step in range(1, steps + 1):
-        at = rng.integers(len(x), size=min(batch, len(x)))
-        now = list(zip(params[::2], params[1::2], strict=True))
-        seen = forward(x[at], now)
-        back, slopes = (seen[-1] - t[at, None]) / len(at), []
-        for i in reversed(range(len(now))):
-            slopes[:0] = [seen[i].T @ back + decay * now[i][0], back.sum(0)]
-            back = (back @ now[i][0].T) * (seen[i] > 0)
-        for p, g, m, v in zip(params, slopes, first, second, strict=True):
-            m += 0.1 * (g - m)
-            v += 0.001 * (g * g - v)
-            p -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-    return list(zip(params[::2], params[1::2], strict=True))
+def slopes(x: np.ndarray, t: np.ndarray, layers: list) -> list[np.ndarray]:
+    """Gradients of half the summed squared error, layer by layer: weights, then bias."""
+    seen = forward(x, layers)
+    back, found = seen[-1] - t[:, None], []
+    for i in reversed(range(len(layers))):
+        found[:0] = [seen[i].T @ back, back.sum(0)]
+        back = (back @ layers[i][0].T) * (seen[i] > 0)
+    return found
+
+
+def summed_slopes(rows: DataFrame, layers: list) -> tuple[int, list[np.ndarray]]:
+    """How many rows there are, and their summed gradients: a task adds up its own rows by slices, and each number's sum over tasks is a group.
+
+    ``rows`` has x (an array) and t. What comes to the driver is one number a weight.
+    """
+
+    def partial(batches):
+        count, total = 0, None
+        for batch in batches:
+            x = np.array(batch.column("x").to_pylist(), float)
+            if len(x):
+                own = np.concatenate([g.ravel() for g in slopes(x, np.asarray(batch.column("t"), float), layers)])
+                count, total = count + len(x), own if total is None else total + own
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(-1, len(total)), pa.int32()), pa.array(np.r_[float(count), total])], ["at", "value"])
 
+    found = dict(rows.select("x", "t").mapInArrow(partial, "at int, value double").groupBy("at").agg(F.sum("value")).collect())
+    flat, shapes, out = [found.get(i, 0.0) for i in range(sum(p.size for layer in layers for p in layer))], [p.shape for layer in layers for p in layer], []
+    for shape in shapes:
+        size = int(np.prod(shape))
+        out.append(np.reshape(flat[:size], shape))
+        flat = flat[size:]
+    return int(found.get(-1, 0)), out
 
-#: The network's rows are dealt into so many parts by a hash of their key, whatever the cluster, so that reruns agree.
-PARTS = 8
 
+#: A step takes the rows of one of so many parts, dealt by a hash of the key; a part grows with the data and is spread over all tasks.
+BATCHES = 4
 
-def fit_network(train: DataFrame, features: Sequence[str], target: str, hidden: tuple[int, int] = (64, 32), rounds: int = 6, steps: int = 120, seed: int = 7, keys: Sequence[str] = ("instrument_id", "date")) -> Network:
-    """Each round every part descends from the common weights on its own rows; their weights are averaged by rows.
 
-    All training rows take part; what comes to the driver is one set of weights a part.
+def fit_network(
+    train: DataFrame, features: Sequence[str], target: str, hidden: tuple[int, int] = (64, 32), epochs: int = 15, seed: int = 7,
+    keys: Sequence[str] = ("instrument_id", "date"), rate: float = 0.01, decay: float = 1e-4,
+) -> Network:
+    """So many Adam steps an epoch as there are batches, each on the mean gradient of its whole batch, summed over all tasks.
+
+    All training rows take part once an epoch. The number of steps doesn't depend on the number of rows.
     """
-    scaling, ready = Scaling.fit(train, features), train
-    part = F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(PARTS))
-    rows = stored(ready.select(part.alias("part"), F.xxhash64(*keys).alias("k"), F.array(*scaling.values()).alias("x"), F.col(target).cast("double").alias("y")).repartition(PARTS, "part").sortWithinPartitions("part", "k"), "network")
-    mean, spread = rows.agg(F.avg("y"), F.stddev_pop("y")).first()
+    spark = train.sparkSession
+    train = stored(train.select(*dict.fromkeys([*keys, *features, target])), "training")
+    scaling = Scaling.fit(train, features)
+    mean, spread = train.agg(F.avg(F.col(target).cast("double")), F.stddev_pop(F.col(target).cast("double"))).first()
     mean, spread = mean or 0.0, spread or 1.0
-    sizes = [len(features), *hidden, 1]
-    start = np.random.default_rng(seed)
-    layers = [(start.normal(0, np.sqrt(2 / a), (a, b)), np.zeros(b)) for a, b in zip(sizes, sizes[1:], strict=False)]
-
-    def moved_by(now: list, turn: int):
-        def run(g: pd.DataFrame) -> pd.DataFrame:
-            g = g.sort_values("k")
-            x, t = np.array(g["x"].tolist(), float), (g["y"].to_numpy(float) - mean) / spread
-            moved = descend(x, t, now, steps, seed + 1000 * turn + int(g["part"].iloc[0]))
-            return pd.DataFrame([{"n": len(g), "weights": np.concatenate([p.ravel() for layer in moved for p in layer]).tolist()}])
-
-        return run
-
-    for turn in range(rounds):
-        found = rows.groupBy("part").applyInPandas(moved_by(layers, turn), "n long, weights array<double>").collect()
-        flat = np.average([r["weights"] for r in found], axis=0, weights=[r["n"] for r in found])
-        layers, at = [], 0
-        for a, b in zip(sizes, sizes[1:], strict=False):
-            layers.append((flat[at : at + a * b].reshape(a, b), flat[at + a * b : at + a * b + b]))
-            at += a * b + b
+    batch = F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(BATCHES))
+    ready = train.where(F.col(target).isNotNull()).select(batch.alias("batch"), F.array(*scaling.values()).alias("x"), ((F.col(target).cast("double") - mean) / spread).alias("t"))
+    path = scratch(spark, "network")
+    ready.write.partitionBy("batch").option("compression", "zstd").parquet(path)
+    parts = [part for part in (spark.read.schema(ready.schema).parquet(path).where(F.col("batch") == i) for i in range(BATCHES)) if not part.isEmpty()]
+    sizes, start = [len(features), *hidden, 1], np.random.default_rng(seed)
+    params = [p for a, b in zip(sizes, sizes[1:], strict=False) for p in (start.normal(0, np.sqrt(2 / a), (a, b)), np.zeros(b))]
+    first, second, step = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params], 0
+    layers = list(zip(params[::2], params[1::2], strict=True))
+    for _ in range(epochs):
+        for part in parts:
+            step += 1
+            n, total = summed_slopes(part, layers)
+            for p, g, m, v in zip(params, total, first, second, strict=True):
+                g = g / n + (decay * p if p.ndim == 2 else 0.0)
+                m += 0.1 * (g - m)
+                v += 0.001 * (g * g - v)
+                p -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+    discard(path, spark)
     return Network(scaling, layers, mean, spread)
 
 

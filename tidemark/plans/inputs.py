@@ -581,7 +581,9 @@ ROUNDS = 12
 def fitted(spark: SparkSession, sf_dir: str, kind: str) -> tuple[models.HorizonModel, DataFrame]:
     rows = model_rows(spark, sf_dir).where("history_sessions >= 300")
     train, calibration, test = (rows.where(c) for c in ("date < '1999-01-01'", "date >= '1999-01-10' and date < '2000-06-01'", "date >= '2000-06-10'"))
-    return models.fit_horizon(train.where("y_5 is not null"), calibration, FEATURES, 5, kind, **({"rounds": ROUNDS, "rate": 0.1} if kind == "trees" else {})), test
+    trees = {"rounds": ROUNDS, "rate": 0.1}
+    options = {"trees": trees, "ensemble": {"trees": trees}}.get(kind, {})
+    return models.fit_horizon(train.where("y_5 is not null"), calibration, FEATURES, 5, kind, **options), test
 
 
 GAINS_SQL = REGION + TR + features_sql() + f""", labelled AS (
@@ -613,6 +615,19 @@ def m08(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(model.predict(test).select(*KEYS, "y_5", "expected_return", "scale", "prob_up_raw", "prob_up", "band_low", "band_high"))
 
 
+@query("m08_network_conformal")
+def m08_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model, test = fitted(spark, sf_dir, "network")
+    return rounded(model.predict(test).select(*KEYS, "y_5", "expected_return", "scale", "prob_up_raw", "prob_up", "band_low", "band_high"))
+
+
+@query("m08_ensemble_conformal")
+def m08_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mean of trees, linear model and network, calibrated as one."""
+    model, test = fitted(spark, sf_dir, "ensemble")
+    return rounded(model.predict(test).select(*KEYS, "y_5", "expected_return", "scale", "prob_up_raw", "prob_up", "band_low", "band_high"))
+
+
 @query("m07_contributions")
 def m07(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, test = fitted(spark, sf_dir, "trees")
