@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import calendars, quality, scalar
 from tidemark.operators import boosting, confluence, cross_section, evaluate, lab, models, patterns, record, regime, returns, technical, upsert
 from tidemark.operators.signals import all_signals
+from tidemark.operators.shocks import as_of
 from tidemark.plans.measure import FULL_SHOCK, OUT, SCENARIO_SQL, outcomes
 from tidemark.plans.panel import ALL_SIGNALS, BASKET, EWM, KEYS, MACD, REGION, TR, bars, features_sql, log_returns, with_tr
 from tidemark.plans.base import comparable, query, rounded
@@ -344,6 +345,33 @@ def c02(spark: SparkSession, sf_dir: str) -> DataFrame:
     return calendars.last_closed(calendars.sessions(spark, "TARGET", "1999-01-01", "2024-12-31"), F.lit("2024-07-10 12:10:00").cast("timestamp"))
 
 
+CLOSES_SQL = f"""WITH {TARGET},
+    closes AS (SELECT date, ((date + INTERVAL '14 hours 10 minutes')::TIMESTAMP AT TIME ZONE 'Europe/Berlin' AT TIME ZONE 'UTC')::TIMESTAMP AS close_at FROM cal),
+    booked AS (SELECT (o_orderdate::DATE + INTERVAL 7 YEAR)::TIMESTAMP + to_minutes(o_orderkey % 1440) AS created_at FROM orders)"""
+
+
+def booked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A moment for every order: its day, seven years on, and a minute of it."""
+    rows = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    day = F.unix_date(F.add_months(F.col("o_orderdate").cast("date"), 84)) * F.lit(86400).cast("long")
+    return rows.select((day + F.col("o_orderkey") % 1440 * 60).cast("timestamp").alias("created_at"))
+
+
+@query("c05_order_sessions", CLOSES_SQL + " SELECT c.date AS start_session, count(*) AS orders FROM booked b ASOF JOIN closes c ON b.created_at <= c.close_at GROUP BY 1")
+def c05_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by the settlement session that is the first to close after them."""
+    placed = calendars.start_session(booked(spark, sf_dir), calendars.sessions(spark, "TARGET", "1999-01-01", "2024-12-31"))
+    return placed.groupBy("start_session").agg(F.count(F.lit(1)).alias("orders"))
+
+
+@query("c02_order_last_closed", CLOSES_SQL + " SELECT c.date AS session, count(*) AS orders FROM booked b ASOF JOIN closes c ON b.created_at >= c.close_at GROUP BY 1")
+def c02_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by the last settlement session that had closed when they came."""
+    ends = calendars.sessions(spark, "TARGET", "1999-01-01", "2024-12-31").select(F.col("close_at").alias("created_at"), F.col("date").alias("session"))
+    found = as_of(booked(spark, sf_dir), ends, ["session"], on="created_at")
+    return found.where("session is not null").groupBy("session").agg(F.count(F.lit(1)).alias("orders"))
+
+
 @query("c03_sessions_back", SESSIONS + " SELECT date AS session FROM sessions WHERE idx = (SELECT max(idx) FROM sessions WHERE date <= DATE '2000-05-14') - 10")
 def c03(spark: SparkSession, sf_dir: str) -> DataFrame:
     return calendars.sessions_back(fx.sessions(bars(spark, sf_dir)), F.lit("2000-05-14").cast("date"), 10)
