@@ -4,8 +4,10 @@ import hashlib
 import random
 import re
 import struct
+import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -220,6 +222,43 @@ def test_classifiers_hold_on_the_held_out_third(spark, kind):
     assert {r.doc_id: round(r.score, 9) for r in again.where("held_out").collect()} == {r.doc_id: round(r.score, 9) for r in got}
 
 
+def test_quality_scores_equal_a_fit_row_by_row(spark):
+    """Ridge by adding up one labelled row after another, isotonic levels by the max-min of means over all runs."""
+    table, labels = labelled(spark)
+    labels = labels.withColumn("quality", F.when(F.col("doc_id") % 7 == 3, 1 - F.col("quality")).otherwise(F.col("quality")))
+    model = quality.fit_quality(table, labels, waves=32)
+    marks = {r.doc_id: r.quality for r in labels.collect() if r.quality is not None}
+    texts = {r.doc_id: r.text or "" for r in table.collect()}
+    ids = sorted(i for i in marks if i in texts and zlib.crc32(str(i).encode()) % 3 != 1)
+    part = {r.id: r.part for r in spark.createDataFrame([(i,) for i in ids], "id long").selectExpr("id", "pmod(xxhash64(id, 11), 5) AS part").collect()}
+    stats = {i: quality.statistics(pa.array([texts[i]]))[0] for i in texts}
+    mean = np.mean([stats[i] for i in ids], axis=0)
+    spread = np.sqrt(np.mean([(stats[i] - mean) ** 2 for i in ids], axis=0))
+    spread = np.where(spread > 1e-9, spread, 1)
+    assert np.allclose(model.mean, mean) and np.allclose(model.scale, spread, rtol=1e-5)
+
+    def waves(i):
+        z = np.clip((stats[i] - model.mean) / model.scale, -8, 8)
+        return np.array([1.0, *(np.sqrt(2 / 32) * np.cos(sum(z * model.project[:, j]) + model.phase[j]) for j in range(32))])
+
+    gram, moment = 1e-2 * np.eye(33), np.zeros(33)
+    for i in ids:
+        if part[i] > 0:
+            x = waves(i)
+            gram, moment = gram + np.outer(x, x), moment + x * marks[i]
+    weights = np.linalg.solve(gram, moment)
+    held = sorted((float(waves(i) @ weights), marks[i]) for i in ids if part[i] == 0)
+    y = [t for _, t in held]
+    level = [max(min(np.mean(y[j : k + 1]) for k in range(i, len(y))) for j in range(i + 1)) for i in range(len(y))]
+    blocks = [[i for i in range(len(y)) if round(level[i], 12) == v] for v in sorted(set(np.round(level, 12).tolist()))]
+    centres = [np.mean([held[i][0] for i in b]) for b in blocks]
+    levels = [(sum(y[i] for i in b) + 0.5) / (len(b) + 1) for b in blocks]
+    want = {i: float(np.clip(np.interp(waves(i) @ weights, centres, levels), 0, 1)) for i in texts}
+    got = {r.doc_id: r.score for r in quality.scored(table, model, 0.5).collect()}
+    assert len(held) > 10 and len(blocks) > 1 and set(got) == set(want)
+    assert max(abs(got[i] - want[i]) for i in want) < 1e-6
+
+
 @pytest.mark.parametrize("fit", [quality.fit_quality, toxicity.fit_toxicity])
 def test_classifiers_awkward_and_empty(spark, fit):
     label = "quality" if fit is quality.fit_quality else "toxic"
