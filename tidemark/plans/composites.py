@@ -158,8 +158,8 @@ def g15(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def target_rows(prices: DataFrame, horizons: Sequence[int], least: int = 252) -> DataFrame:
     """Features and targets of priced rows with enough history."""
-    targets = returns.with_targets(prices, list(horizons)).select(*KEYS, *(f"y_{h}" for h in horizons))
-    return technical.features(prices).join(targets, KEYS).where(F.col("history_sessions") >= least)
+    targets = returns.with_targets(prices, list(horizons), "tr_log").select(*KEYS, *(f"y_{h}" for h in horizons))
+    return technical.features(prices, "tr_log").join(targets, KEYS).where(F.col("history_sessions") >= least)
 
 
 #: Families of the walk-forward: all features, and the control on an instrument's own returns.
