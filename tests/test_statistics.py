@@ -8,7 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import bootstrap, boosting, evaluate, models, ranks, returns, rolling, technical
+from tidemark.operators import bootstrap, boosting, evaluate, models, ranks, resolve, returns, rolling, shocks, technical
 
 DAY = date(2020, 1, 1)
 
@@ -62,6 +62,41 @@ def test_total_return_with_dividends_and_gaps(spark):
     assert np.allclose(got, [1.0, 1.21, 1.21, 1.21, 1.21])
 
 
+def test_returns_hold_where_total_return_is_beyond_a_double(spark):
+    """Dividends of twice the price a day: e^1.1 a day, past e^709 after some 650 days."""
+    n = 900
+    rng = np.random.default_rng(3)
+    close = (100 * np.exp(rng.normal(0, 0.01, n))).tolist()
+    prices = panel(spark, close).withColumns({c: F.col("close") for c in ("open", "high", "low")} | {"volume": F.lit(1.0)})
+    paid = prices.select("instrument_id", "date", F.lit(200.0).alias("dividend"), F.lit(1.0).alias("split_ratio"))
+    step = pd.Series([np.nan, *np.log((np.array(close[1:]) + 200) / np.array(close[:-1]))])
+    total = returns.total_return(prices, paid)
+    assert total.where("tr_close = double('inf')").count() > 100
+    rows = returns.with_targets(total, [5], "tr_log").orderBy("date").toPandas()
+    assert np.allclose(rows.y_5, step[::-1].rolling(5).sum()[::-1].shift(-1), equal_nan=True)
+    made = technical.features(total, "tr_log").orderBy("date").toPandas()
+    assert np.allclose(made.ret_20, step.rolling(20).sum(), equal_nan=True)
+    assert np.allclose(made.vol_20, step.rolling(20).std() * np.sqrt(252), equal_nan=True)
+    frame = shocks.instrument_frame(prices, paid).orderBy("date").toPandas()
+    assert np.allclose(frame.sigma_before.astype(float), step.rolling(20).std().shift(1), equal_nan=True)
+
+
+def test_outcomes_beyond_a_double(spark):
+    """Back from beyond is minus infinity, which is no rise; between two ends beyond is no number, a rise in every engine."""
+    inf = float("inf")
+    series = spark.createDataFrame([("A", DAY + timedelta(i), v) for i, v in enumerate([1.0, inf, inf, 2.0])], "instrument_id string, date date, tr_close double")
+    due = spark.createDataFrame([("A", DAY + timedelta(i), DAY + timedelta(i + 1), 0.6, 0.5, -1.0, 1.0) for i in range(3)], "instrument_id string, session date, target_session date, prob_up double, baseline_prob double, band_low double, band_high double")
+    got = resolve.resolve_due(due, series, F.lit("2100-01-01").cast("date")).orderBy("session").collect()
+    assert [str(r.actual_return) for r in got] == ["inf", "nan", "-inf"]
+    assert [r.hit for r in got] == [1.0, 1.0, 0.0] and [r.covered for r in got] == [0.0, 0.0, 0.0]
+
+
+def test_baselines_stay_without_a_known_error(spark):
+    rows = spark.createDataFrame([(float("nan"), 0.1, 0.2)] * 120, "y_5 double, vol_20 double, ret_20 double")
+    got = {(r.baseline, r.bin): (r.rate, r.band_q) for r in models.fit_baselines(rows, "y_5", 5).collect()}
+    assert got == {("naive", None): (1.0, None), ("momentum", 1): (1.0, None), ("buy_hold", None): (1.0, None)}
+
+
 def test_expanding_rank_equals_pandas(spark):
     rng = np.random.default_rng(0)
     x = rng.integers(0, 20, 80).astype(float).tolist()

@@ -42,12 +42,12 @@ def feature_columns(rows: DataFrame) -> list[str]:
 
 
 def fit_baselines(train: DataFrame, target: str, horizon: int) -> DataFrame:
-    """baseline, bin, rate, mean, base_rate, base_mean, band_q: bins of fewer than 100 rows are left out."""
+    """baseline, bin, rate, mean, base_rate, base_mean, band_q: bins of fewer than 100 rows are left out; without a known error the band is null."""
     y, scale = F.col(target), horizon_scale(F.col("vol_20"), F.lit(horizon))
     base = train.agg(F.avg((y > 0).cast("double")).alias("base_rate"), F.avg(y).alias("base_mean"))
     with_base = train.crossJoin(F.broadcast(base))
     sizes = with_base.select(F.lit(0).alias("all"), F.abs((y - F.col("base_mean")) / scale).alias("size"))
-    band = quantiles(sizes, ["all"], "size", [NOMINAL]).select(F.col("quantiles")[0].alias("band_q"))
+    band = quantiles(sizes, ["all"], "size", [NOMINAL]).agg(F.max(F.col("quantiles")[0]).alias("band_q"))  # always one row
     parts = None
     for name, column in BASELINES.items():
         if column is None:
