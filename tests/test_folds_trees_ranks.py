@@ -246,3 +246,13 @@ def test_feed_titles_keep_their_links(spark):
     feed = "<rss><channel>" + item("a<!-- c -->b", 1) + item("<![CDATA[c & d]]>", 2) + item("e<b>f</b>g", 3) + f"<item><title> </title><link>https://e.example/4</link>{date_}</item>" + item("h", 5) + "</channel></rss>"
     got = feeds.feed_items(spark.createDataFrame([(feed,)], "payload string"), "x", "e.example").collect()
     assert sorted((r.title, r.link[-1]) for r in got) == [("ab", "1"), ("c & d", "2"), ("efg", "3"), ("h", "5")]
+
+
+def test_flat_items_read_as_xml_does(spark):
+    """Items without markup in their texts are read without an XML parser, to the same texts; anything else is not flat."""
+    flat = ["<item><title>a</title><link>b</link></item>", "<item>\n <title>first</title><title>second</title>\n</item>", "<item><title></title></item>", "<item><title> x > y </title></item>", "<item></item>", "<item><TITLE>n</TITLE><title>o</title></item>"]
+    other = ["<item><title>a &amp; b</title></item>", "<item><title>e<b>f</b>g</title></item>", '<item><title lang="en">a</title></item>', "<item><![CDATA[c]]></item>", "<item>t<title>a</title></item>", "<item><title>a\r\nb</title></item>"]
+    rows = spark.createDataFrame([(x,) for x in flat + other], "item string")
+    got = rows.select(F.col("item").rlike(feeds.FLAT_ITEM).alias("flat"), F.regexp_extract("item", "<title>([^<]*)</title>", 1).alias("plain"), F.xpath_string("item", F.lit("/item/title[1]")).alias("xml")).collect()
+    assert [r.flat for r in got] == [True] * len(flat) + [False] * len(other)
+    assert all(r.plain == r.xml for r in got if r.flat)

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 BARS = ("open", "high", "low", "close", "adj_close", "volume")
 
+#: An item of elements without attributes, children, references or characters that XML alters or forbids.
+FLAT_ITEM = r"^<item>[ \n\t]*(?:<([A-Za-z]+)>[^<&\]\r\x00-\x08\x0B\x0C\x0E-\x1F\uFFFE\uFFFF]*+</\1>[ \n\t]*)*</item>$"
+
 
 def wide_to_long(wide: DataFrame, tickers: Sequence[str], fields: Sequence[str], date: str = "date") -> DataFrame:
     """One column for each ticker and field, named ticker_field, to date, ticker and fields; bars without any value are dropped."""
@@ -67,7 +70,10 @@ def feed_items(landed: DataFrame, source: str, host: str, payload: str = "payloa
     # Item by item, as a title may be several text nodes; what is commented out is no item.
     bare = F.regexp_replace(payload, r"(?s)<!--.*?-->", "")
     items = safe.select(F.explode(F.regexp_extract_all(bare, F.lit(r"(?s)<item(?:\s[^>]*)?>.*?</item>"), F.lit(0))).alias("item"))
-    text = lambda tag: F.trim(F.xpath_string("item", F.lit(f"/item/{tag}[1]")))
+    # In a flat item a tag's text is what stands in it; only others are parsed as XML, once a tag.
+    flat = F.col("item").rlike(FLAT_ITEM)
+    plain = lambda tag: F.regexp_extract("item", f"<{tag}>([^<]*)</{tag}>", 1)
+    text = lambda tag: F.trim(F.when(flat, plain(tag)).otherwise(F.xpath_string("item", F.lit(f"/item/{tag}[1]"))))
     rows = items.select(text("title").alias("title"), text("link").alias("link"), text("pubDate").alias("published")).where("title <> '' and link <> '' and published <> ''")
     moment = F.try_to_timestamp(F.regexp_replace(F.regexp_replace("published", r"^\w{3}, ", ""), r" (GMT|UT|UTC)$", " +0000"), F.lit("d MMM yyyy HH:mm:ss Z"))
     kept = rows.withColumn("published", moment).where(F.col("published").isNotNull() & F.col("link").startswith("https://") & (F.parse_url("link", F.lit("HOST")) == host))
