@@ -270,8 +270,12 @@ def a08_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def official_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """event_id, day: of each priority of orders the first order of every month, as a schedule of official days."""
-    rows = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderpriority").alias("kind"), F.to_date("o_orderdate").alias("day"))
-    return rows.groupBy("kind", F.trunc("day", "month").alias("month")).agg(F.min("day").alias("day")).select(F.concat_ws("-", "kind", F.date_format("month", "yyyyMM")).alias("event_id"), "day")
+
+    def make() -> DataFrame:
+        rows = fx.read(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("kind"), F.to_date("o_orderdate").alias("day"))
+        return rows.groupBy("kind", F.trunc("day", "month").alias("month")).agg(F.min("day").alias("day")).select(F.concat_ws("-", "kind", F.date_format("month", "yyyyMM")).alias("event_id"), "day")
+
+    return fx.once("official_days", (sf_dir,), make)
 
 
 def implied_now(spark: SparkSession, sf_dir: str, level: str = "region") -> DataFrame:
