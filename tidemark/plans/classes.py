@@ -242,7 +242,7 @@ def a07_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """kind, key, document of everything that is published."""
     names = region_universe(spark, sf_dir).withColumn("ticker", F.col("sector"))
-    prices, due, rows = bars(spark, sf_dir), stored(outcomes(spark, sf_dir), "due"), fx.forecasts(spark, sf_dir)
+    prices, due, rows = bars(spark, sf_dir), outcomes(spark, sf_dir), fx.forecasts(spark, sf_dir)
     named = lambda t, kind, key: t.select(F.lit(kind).alias("kind"), F.col(key).cast("string").alias("key"), "document")
     table = lab.summary(lab.periods(lab_rows(spark, sf_dir), fx.universe(spark, sf_dir), 20, lab.grid(spark)))
     packed = lambda t, key, *fields: t.groupBy(key).agg(F.to_json(F.array_sort(F.collect_list(F.struct(*(scalar.number(F.col(c), 6).alias(c) if d == "double" else F.col(c) for c, d in t.dtypes if c in fields))))).alias("document"))
